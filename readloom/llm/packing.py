@@ -7,6 +7,7 @@ of sequences with equal room at once; pieces then take planned slots by joining
 from __future__ import annotations
 
 import bisect
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -19,44 +20,64 @@ from readloom.llm.common import bucket_of, numbered, stash
 
 ROWS_A_BUCKET, MOST_BUCKETS = 2_000, 4_096
 #: Ids of white-space-free chunks that a task keeps at hand; when full it starts anew, which costs time only.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 1_000_000
 ID_BYTES = 4
 
 
 class ChunkEncoder:
     """Ids of a text as little-endian unsigned 32-bit numbers, through a cache by white-space-free chunk.
 
-    The vocabulary's pre-tokenizer drops white space and never joins across it, so a text's ids are those of its chunks.
+    The vocabulary's pre-tokenizer drops white space and never joins across it, so a text's ids are those of its chunks. Chunks
+    that aren't known yet are encoded together, parted by a special token.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._mark, self._mark_id = min((t.content, i) for i, t in self._tokenizer.get_added_tokens_decoder().items() if t.special)
         self._known: dict[bytes, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         chunks = text.encode("utf-8", "surrogatepass").split()
-        missing = [c for c in dict.fromkeys(chunks) if c not in self._known]
-        if missing:
-            if len(self._known) + len(missing) > CACHE_CHUNKS:
-                self._known.clear()
-                missing = list(dict.fromkeys(chunks))
-            for at in range(0, len(missing), 20_000):
-                part = missing[at : at + 20_000]
-                found = self._tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in part], add_special_tokens=False)
-                self._known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(part, found, strict=True))
+        try:
+            return b"".join(map(self._known.__getitem__, chunks))
+        except KeyError:
+            missing = [c for c in dict.fromkeys(chunks) if c not in self._known]
+        if len(self._known) + len(missing) > CACHE_CHUNKS:
+            self._known.clear()
+            missing = list(dict.fromkeys(chunks))
+        for at in range(0, len(missing), 10_000):
+            self._learn(missing[at : at + 10_000])
         return b"".join(map(self._known.__getitem__, chunks))
 
+    def _learn(self, chunks: list[bytes]) -> None:
+        texts = [c.decode("utf-8", "replace") for c in chunks]
+        if not any(self._mark in t for t in texts):
+            ids = np.array(self._tokenizer.encode(self._mark.join(texts), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(ids == self._mark_id).tolist()
+            raw = ids.tobytes()
+            for c, first, last in zip(chunks, [0, *(e + 1 for e in ends)], [*ends, len(ids)], strict=True):
+                self._known[c] = raw[first * ID_BYTES : last * ID_BYTES]
+            return
+        for c, t in zip(chunks, texts, strict=True):
+            self._known[c] = np.array(self._tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@functools.cache
+def encoder_of(path: str) -> ChunkEncoder:
+    """One for each Python worker: later tasks find the cache filled."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    return ChunkEncoder(path)
+
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
     """Columns doc_id, piece, start, length, ids_crc32: each document's ids and a final id 0, cut at every `capacity` ids."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        encoder = ChunkEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         step = capacity * ID_BYTES
         for batch in batches:
             rows = []

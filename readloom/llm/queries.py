@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import packing, sharding, simhash
+from readloom.llm import packing, sharding, simhash, spans
 from readloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
 
+def op4_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
