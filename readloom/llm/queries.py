@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import packing, sharding, simhash, spans
+from readloom.llm import chat, mixing, packing, sharding, simhash, spans
 from readloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,14 @@ def op4_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
