@@ -126,3 +126,17 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), limit
     """Columns doc_id, size (words), source_size, target, taken of every row of `docs(doc_id, text, source)`; see `mix`."""
     sized = stash(docs.select("doc_id", "source", word_count("text").alias("size")))
     return mix(sized, weights, limit).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def take(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), limit: float = 3.0) -> DataFrame:
+    """`docs(doc_id, text, source, ...)` as the mix has it: each row as often as its copies, none included.
+
+    Repeated rows are told apart by a hash of their text and their number within it.
+    """
+    sized = stash(docs.select("doc_id", "source", word_count("text").alias("size")))
+    same = Window.partitionBy("id").orderBy("copies")
+    drawn = mix(sized, weights, limit).select(F.col("doc_id").alias("id"), "copies").withColumn("n", F.row_number().over(same))
+    own = Window.partitionBy("doc.doc_id").orderBy(F.xxhash64("doc.text"))
+    held = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("row", F.row_number().over(own))
+    joined = held.join(drawn, held["doc.doc_id"].eqNullSafe(drawn["id"]) & (held["row"] - drawn["n"] == 0))
+    return joined.filter("copies > 0").select("doc", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("doc.*")

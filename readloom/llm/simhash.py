@@ -12,10 +12,10 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.llm.common import stash
+from readloom.llm.common import bucket_of, stash
 from readloom.llm.components import components
 
 BITS = 64
@@ -217,3 +217,68 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
     joined = components(links)
     of_print = nodes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(of_print, "fp").select("doc_id", hex_of("fp").alias("fingerprint"), "component_id")
+
+
+#: Two min-hashes a band and eight bands: texts of similarity 0.8 share a band but for 3 in 10,000.
+BANDS, ROWS_A_BAND = 8, 2
+#: Fingerprints of texts of similarity 0.8 over five-word shingles differ in about 10 bits, in 17 at most of many thousand.
+WIDE_RADIUS = 20
+MEMBERS = 2048
+
+
+def _signature(texts: pd.Series, width: int) -> pd.DataFrame:
+    rng = np.random.default_rng(20240501)
+    factors = rng.integers(0, 1 << 63, BANDS * ROWS_A_BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    rows = []
+    for text in texts:
+        h = shingle_hashes(text, width)
+        if not len(h):
+            rows.append((0, [0] * BANDS))
+            continue
+        least = np.array([(h * f).min() for f in factors]).reshape(BANDS, ROWS_A_BAND)
+        keys = least[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ least[:, 1] ^ np.arange(1, BANDS + 1, dtype=np.uint64)
+        rows.append((fingerprint_of(h), keys.view(np.int64).tolist()))
+    return pd.DataFrame(rows, columns=["fp", "keys"])
+
+
+def _similar(a: str, b: str, width: int) -> float:
+    one, other = (np.unique(shingle_hashes(t, width)) for t in (a, b))
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    return common / max(1, len(one) + len(other) - common)
+
+
+def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """`docs(doc_id, text, ...)` with one row of each group of near copies: that of the smallest doc_id.
+
+    Near copies are texts whose sets of `width`-word shingles have a Jaccard similarity of `similarity` or more, and whatever is
+    linked through such. At 0.8, fingerprints differ in too many bits for keys on their parts to tell much, so blocks come from
+    bands of min-hashes of the shingles; in a block fingerprints are compared bit-sliced, each text is linked to its nearest
+    earlier one within the radius, and links stay if the exact similarity of the whole texts suffices. A block of over MEMBERS
+    texts is dealt into parts, each together with the block's first text.
+
+    Equal texts are one. Null and empty texts are equal and without words, a group of their own. Rows that share a doc_id (a
+    null one too) are one document, of which the first text by hash stays. An empty table gives no rows.
+    """
+    low = F.lit(-(1 << 63))
+    sign = F.pandas_udf(lambda s: _signature(s, width), "struct<fp long, keys array<long>>")
+    text = F.coalesce("text", F.lit(""))
+    signed = docs.select(F.coalesce("doc_id", low).alias("id"), F.md5(text).alias("same"), sign(text).alias("s"))
+    texts = signed.groupBy("same").agg(F.min("id").alias("node"), F.first("s").alias("s"))
+    nodes = stash(texts.select("node", "s.fp", "s.keys").dropDuplicates(["node"]))
+    keyed = nodes.filter("fp != 0").select("node", "fp", F.explode("keys").alias("key"))
+    counted = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "fp")).alias("first")).filter("n > 1")
+    parts = F.ceil(F.col("n") / MEMBERS)
+    dealt = keyed.join(counted, "key").select("key", bucket_of(["node"], parts).alias("part"), "node", "fp")
+    firsts = counted.filter(F.col("n") > MEMBERS).select("key", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"), "first.node", "first.fp")
+    blocks = dealt.unionByName(firsts).groupBy("key", "part").agg(F.array_sort(F.collect_set(F.struct("node", "fp"))).alias("members")).filter(F.size("members") > 1)
+    links = stash(links_in_blocks(blocks, WIDE_RADIUS, nearest=True).distinct())
+    ends = links.select(F.explode(F.array("src", "dst")).alias("end")).distinct()
+    whole = docs.select(F.coalesce("doc_id", low).alias("end"), text.alias("whole")).join(ends, "end", "left_semi").groupBy("end").agg(F.min("whole").alias("whole"))
+    alike = F.pandas_udf(lambda a, b: pd.Series([_similar(x, y, width) for x, y in zip(a, b, strict=True)], dtype="float64"), "double")
+    one, other = (whole.select(F.col("end").alias(n), F.col("whole").alias(f"{n}_text")) for n in ("src", "dst"))
+    near = links.join(one, "src").join(other, "dst").filter(alike("src_text", "dst_text") >= similarity).select("src", "dst")
+    kept = nodes.join(components(near).select("node"), "node", "left_anti").select("node")
+    held = docs.select(F.struct(*docs.columns).alias("doc"), F.coalesce("doc_id", low).alias("id"))
+    staying = held.join(kept, held["id"] == kept["node"], "left_semi")
+    first = Window.partitionBy("id").orderBy(F.xxhash64("doc.text"))
+    return staying.withColumn("row", F.row_number().over(first)).filter("row = 1").select("doc.*")
