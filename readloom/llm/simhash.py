@@ -122,11 +122,11 @@ def _above(counts: list[np.ndarray], radius: int) -> np.ndarray:
     return above
 
 
-def links_in_blocks(blocks: DataFrame, radius: int, nearest: bool = False) -> DataFrame:
-    """Links (src, dst) from `blocks(members array<struct<fp, node>>)`: for each row its first earlier row within the radius, or its nearest.
+def links_in_blocks(blocks: DataFrame, radius: int, nearest: int = 0) -> DataFrame:
+    """Links (src, dst) between rows of `blocks(members array<struct<fp, node>>)` within the radius.
 
-    One link a row: a spanning tree of what is near instead of all pairs. With `nearest` False every earlier row within the
-    radius is joined, through a union-find over the block, to the row's tree, so no connection is lost.
+    One link a row at most, to the first row of its component in the block: no connection is lost, and no group gives all its
+    pairs. Or, for links that are yet to be checked, each row's `nearest` earlier rows.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,7 +138,7 @@ def links_in_blocks(blocks: DataFrame, radius: int, nearest: bool = False) -> Da
             nodes = np.concatenate([np.asarray(x, np.int64) for x in batch["nodes"]])
             found: list[tuple[np.ndarray, np.ndarray]] = []
             for later, earlier, distance in near_lanes(prints, sizes, radius):
-                found.append(_nearest(later, earlier, distance) if nearest else (later, earlier))
+                found.append(_nearest(later, earlier, distance, nearest) if nearest else (later, earlier))
                 if not nearest:
                     found = [_spanning(found, len(prints))]
             for later, earlier in found:
@@ -148,9 +148,11 @@ def links_in_blocks(blocks: DataFrame, radius: int, nearest: bool = False) -> Da
     return split.mapInPandas(run, "src long, dst long")
 
 
-def _nearest(later: np.ndarray, earlier: np.ndarray, distance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _nearest(later: np.ndarray, earlier: np.ndarray, distance: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((earlier, distance, later))
-    first = order[np.flatnonzero(np.diff(later[order], prepend=-1))]
+    own = later[order]
+    place = np.arange(len(own)) - np.searchsorted(own, own)
+    first = order[place < n]
     return later[first], earlier[first]
 
 
@@ -224,6 +226,8 @@ BANDS, ROWS_A_BAND = 8, 2
 #: Fingerprints of texts of similarity 0.8 over five-word shingles differ in about 10 bits, in 17 at most of many thousand.
 WIDE_RADIUS = 20
 MEMBERS = 2048
+#: Earlier texts of a block whose exact similarity is looked at. Fingerprints rank them roughly, so one would not do.
+NEAREST = 3
 
 
 def _signature(texts: pd.Series, width: int) -> pd.DataFrame:
@@ -253,7 +257,7 @@ def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8)
     Near copies are texts whose sets of `width`-word shingles have a Jaccard similarity of `similarity` or more, and whatever is
     linked through such. At 0.8, fingerprints differ in too many bits for keys on their parts to tell much, so blocks come from
     bands of min-hashes of the shingles; in a block fingerprints are compared bit-sliced, each text is linked to its nearest
-    earlier one within the radius, and links stay if the exact similarity of the whole texts suffices. A block of over MEMBERS
+    earlier ones within the radius, and links stay if the exact similarity of the whole texts suffices. A block of over MEMBERS
     texts is dealt into parts, each together with the block's first text.
 
     Equal texts are one. Null and empty texts are equal and without words, a group of their own. Rows that share a doc_id (a
@@ -271,7 +275,7 @@ def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8)
     dealt = keyed.join(counted, "key").select("key", bucket_of(["node"], parts).alias("part"), "node", "fp")
     firsts = counted.filter(F.col("n") > MEMBERS).select("key", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"), "first.node", "first.fp")
     blocks = dealt.unionByName(firsts).groupBy("key", "part").agg(F.array_sort(F.collect_set(F.struct("node", "fp"))).alias("members")).filter(F.size("members") > 1)
-    links = stash(links_in_blocks(blocks, WIDE_RADIUS, nearest=True).distinct())
+    links = stash(links_in_blocks(blocks, WIDE_RADIUS, NEAREST).distinct())
     ends = links.select(F.explode(F.array("src", "dst")).alias("end")).distinct()
     whole = docs.select(F.coalesce("doc_id", low).alias("end"), text.alias("whole")).join(ends, "end", "left_semi").groupBy("end").agg(F.min("whole").alias("whole"))
     alike = F.pandas_udf(lambda a, b: pd.Series([_similar(x, y, width) for x, y in zip(a, b, strict=True)], dtype="float64"), "double")
