@@ -115,7 +115,8 @@ def dedup_spans(docs: DataFrame) -> DataFrame:
     key = F.xxhash64("text")
     runs = stash(hashed_runs(docs.select("doc_id", "text", key.alias("key"))))
     place = F.struct("doc_id", "key", "first")
-    repeated = runs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at")).filter("n > 1").drop("n")
+    counted = runs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
+    repeated = stash(counted.filter("n > 1").drop("n"))  # a table of its own, so that the join may split a run that most texts have
     later = runs.join(repeated, ["h1", "h2"]).filter(~F.col("at").eqNullSafe(place))
     gone = later.groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     held = docs.select(F.struct(*docs.columns).alias("doc"), key.alias("key"))  # in a struct, no column's name can clash
