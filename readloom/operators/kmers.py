@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.functions.seq import reverse_complement
 
 
-def kmers(seqs: DataFrame, key: str, k: int | Column) -> DataFrame:
+#: Bases of a stretch that k-mers are cut from: finding a place in a string takes time in proportion to it.
+STRETCH = 256
+
+
+def kmers(seqs: DataFrame, key: str, k: int) -> DataFrame:
     """key, start (from 0), kmer of `seqs(key, seq)`; none for those shorter than k, none with an N."""
-    size = F.lit(k) if isinstance(k, int) else k
-    starts = F.when(F.length("seq") >= size, F.sequence(F.lit(0), F.length("seq") - size)).otherwise(F.array().cast("array<int>"))
-    each = seqs.select(key, "seq", F.explode(starts).alias("start"), *([] if isinstance(k, int) else [size.alias("k")]))
-    cut = F.substring(F.col("seq"), F.col("start") + 1, F.lit(k) if isinstance(k, int) else F.col("k"))
-    return each.select(key, "start", cut.alias("kmer")).filter(~F.col("kmer").contains("N"))
+    stretch = lambda i: F.struct((i * STRETCH).alias("at"), F.substring(F.col("seq"), i * STRETCH + 1, F.lit(STRETCH + k - 1)).alias("s"))
+    last = F.floor((F.length("seq") - k) / STRETCH).cast("int")
+    cut = seqs.filter(F.length("seq") >= k).select(key, F.explode(F.transform(F.sequence(F.lit(0), last), stretch)).alias("x"))
+    each = cut.select(key, F.col("x.at").alias("at"), F.posexplode(F.transform(F.sequence(F.lit(1), F.length("x.s") - (k - 1)), lambda i: F.substring(F.col("x.s"), i, F.lit(k)))).alias("i", "kmer"))
+    return each.select(key, (F.col("at") + F.col("i")).alias("start"), "kmer").filter(~F.col("kmer").contains("N"))
 
 
 def placements(reads: DataFrame, contigs: DataFrame, k: int) -> DataFrame:

@@ -115,10 +115,10 @@ def r11(aminos: DataFrame) -> DataFrame:
     return resist.region_consensus(positions_of(aminos))
 
 
-@query("r12_failures", f"WITH {_COV} SELECT seed, CASE WHEN max(coverage) < 300 THEN 'MIDI: low coverage' ELSE 'low coverage' END AS reason FROM cov WHERE coverage < 400 GROUP BY seed", "aminos")
+@query("r12_failures", f"WITH {_COV} SELECT seed, CASE WHEN max(coverage) < 3500 THEN 'MIDI: low coverage' ELSE 'low coverage' END AS reason FROM cov WHERE coverage < 4000 GROUP BY seed", "aminos")
 def r12(aminos: DataFrame) -> DataFrame:
-    low = coverage_of(aminos).filter("coverage < 400").groupBy("seed").agg(F.max("coverage").alias("m"))
-    return low.select("seed", F.when(F.col("m") < 300, "MIDI: low coverage").otherwise("low coverage").alias("reason"))
+    low = coverage_of(aminos).filter("coverage < 4000").groupBy("seed").agg(F.max("coverage").alias("m"))
+    return low.select("seed", F.when(F.col("m") < 3500, "MIDI: low coverage").otherwise("low coverage").alias("reason"))
 
 
 @query("r13_rule_sets", "SELECT seed AS genotype, CASE WHEN seed IN ('HCV-1b', 'HCV-2a') THEN concat('rules of ', seed) WHEN seed = 'HCV-3b' THEN 'rules of HCV-1b' ELSE 'Not available' END AS rules FROM (SELECT DISTINCT seed FROM aminos)", "aminos")
@@ -137,7 +137,7 @@ def r14(aminos: DataFrame) -> DataFrame:
     return scored.select("seed", "drug", F.row_number().over(Window.partitionBy("seed").orderBy(F.desc(group), "drug")).alias("place"))
 
 
-@query("r15_complete_drug_lists", f"WITH {_POS}, {_RULES} SELECT g.seed, g.drug, coalesce({_LEVEL}, 0) AS level FROM (SELECT seed, unnest(['D0', 'D1', 'D2', 'D3', 'D4', 'D5', 'D6', 'D7']) AS drug FROM (SELECT DISTINCT seed FROM aminos)) g LEFT JOIN (SELECT * FROM scored) s ON s.seed = g.seed AND s.drug = g.drug WHERE s.drug IS NOT NULL OR g.drug >= 'D6'", "aminos")
+@query("r15_complete_drug_lists", f"WITH {_POS}, {_RULES} SELECT g.seed, g.drug, CASE WHEN s.drug IS NULL THEN 0 ELSE {_LEVEL} END AS level FROM (SELECT seed, unnest(['D0', 'D1', 'D2', 'D3', 'D4', 'D5', 'D6', 'D7']) AS drug FROM (SELECT DISTINCT seed FROM aminos)) g LEFT JOIN (SELECT * FROM scored) s ON s.seed = g.seed AND s.drug = g.drug WHERE s.drug IS NOT NULL OR g.drug >= 'D6'", "aminos")
 def r15(aminos: DataFrame) -> DataFrame:
     calls = resist.levels(resist.rule_scores(positions_of(aminos), rules(aminos.sparkSession)), RANGES)
     known = F.explode(F.array(*(F.lit(f"D{i}") for i in range(8)))).alias("drug")

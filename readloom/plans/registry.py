@@ -15,7 +15,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 _LETTERS = "'abcdefghijklmnopqrstuvwxyz'"
 _PIECES = "SELECT doc_id, i, substr(seq, CAST({n} * i + 1 AS INT), {n}) AS seq, substr(letters, CAST({n} * i + 1 AS INT), {n}) AS letters FROM ({rows}) cut"
-_SPARK_ROWS = "SELECT doc_id, seq, letters, explode(sequence(0, CAST((length(seq) - 1) DIV {n} AS INT))) AS i FROM seqs WHERE length(seq) > 0"
+_SPARK_PIECES = "SELECT doc_id, i, p.s AS seq, p.l AS letters FROM (SELECT doc_id, posexplode(zip_with(regexp_extract_all(seq, '(.{{{{1,{n}}}}})'), regexp_extract_all(letters, '(.{{{{1,{n}}}}})'), (s, l) -> named_struct('s', s, 'l', l))) AS (i, p) FROM seqs) cut"
 _DUCK_ROWS = "SELECT doc_id, seq, letters, unnest(range(0, (length(seq) - 1) // {n} + 1)) AS i FROM seqs WHERE length(seq) > 0"
 _CUT = "CASE WHEN (pair_id * 2 + mate) % 17 = 0 THEN '*' WHEN (pair_id * 2 + mate) % 5 = 0 THEN '60M' WHEN (pair_id * 2 + mate) % 5 = 1 THEN '10S50M' WHEN (pair_id * 2 + mate) % 5 = 2 THEN '30M3D30M' WHEN (pair_id * 2 + mate) % 5 = 3 THEN '20M6I34M' ELSE '40M20S' END"
 _PAIR = "doc_id * 65536 + CAST(floor(i / 2) AS BIGINT)"
@@ -27,8 +27,8 @@ LENSES: dict[str, tuple[tuple[str, ...], str, str | None]] = {
         f"SELECT doc_id, source, lang, n_chars, regexp_replace(lower(text), '[^a-z]', '') AS letters, translate(regexp_replace(lower(text), '[^a-z]', ''), {_LETTERS}, 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM documents",
         f"SELECT doc_id, source, lang, n_chars, regexp_replace(lower(text), '[^a-z]', '', 'g') AS letters, translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), {_LETTERS}, 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM documents",
     ),
-    "pieces150": (("seqs",), _PIECES.format(n=150, rows=_SPARK_ROWS.format(n=150)), _PIECES.format(n=150, rows=_DUCK_ROWS.format(n=150))),
-    "pieces60": (("seqs",), _PIECES.format(n=60, rows=_SPARK_ROWS.format(n=60)), _PIECES.format(n=60, rows=_DUCK_ROWS.format(n=60))),
+    "pieces150": (("seqs",), _SPARK_PIECES.format(n=150), _PIECES.format(n=150, rows=_DUCK_ROWS.format(n=150))),
+    "pieces60": (("seqs",), _SPARK_PIECES.format(n=60), _PIECES.format(n=60, rows=_DUCK_ROWS.format(n=60))),
     "reads": (
         ("pieces150",),
         f"SELECT {_PAIR} AS pair_id, CAST(1 + i % 2 AS INT) AS mate, 1101 + (doc_id + i) % 7 AS tile, seq, translate(letters, {_LETTERS}, '#$%&()*+-./0123456789:;<=>') AS qual FROM pieces150",

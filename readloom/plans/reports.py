@@ -218,11 +218,11 @@ def j19(rows: DataFrame) -> DataFrame:
     return rows.select(key).distinct().join(rows.filter("on_score = 4").select(key), key, "left_anti")
 
 
-@query("j23_mixtures_with_mismatches", f"WITH {_CONS} SELECT refname, pos FROM cons c WHERE cutoff = '0.100' AND upper(base) IN ('R', 'Y', 'S', 'W', 'K', 'M', 'B', 'D', 'H', 'V', 'N') AND EXISTS (SELECT 1 FROM cons m WHERE m.refname = c.refname AND m.pos = c.pos AND m.cutoff = 'MAX' AND upper(m.base) <> 'A')", "aligned")
+@query("j23_mixtures_with_mismatches", f"WITH {_CONS} SELECT refname, pos FROM cons c WHERE cutoff = '0.100' AND upper(base) IN ('R', 'Y', 'S', 'W', 'K', 'M', 'B', 'D', 'H', 'V', 'N') AND EXISTS (SELECT 1 FROM cons m WHERE m.refname = c.refname AND m.pos = c.pos AND m.cutoff = 'MAX' AND upper(m.base) = 'A')", "aligned")
 def j23(aligned: DataFrame) -> DataFrame:
     bases = counts.consensus_bases(counts.position_bases(aligned), ("0.100", "MAX"))
     mixtures = bases.filter(F.col("cutoff") == "0.100").filter(F.upper("base").isin(*"RYSWKMBDHVN")).select("refname", "pos")
-    return mixtures.join(bases.filter("cutoff = 'MAX' AND upper(base) <> 'A'"), ["refname", "pos"], "left_semi")
+    return mixtures.join(bases.filter("cutoff = 'MAX' AND upper(base) = 'A'"), ["refname", "pos"], "left_semi")
 
 
 @query("j25_reconciled_references", "SELECT status, count(*) AS n FROM (SELECT CASE WHEN a.id IS NULL THEN 'unused' WHEN b.id IS NULL THEN 'missing' WHEN a.v = b.v THEN 'matching' ELSE 'changed' END AS status FROM (SELECT doc_id AS id, seq AS v FROM seqs WHERE doc_id % 5 <> 0) a FULL JOIN (SELECT doc_id AS id, CASE WHEN doc_id % 7 = 0 THEN letters ELSE seq END AS v FROM seqs WHERE doc_id % 3 <> 0) b ON a.id = b.id) GROUP BY status", "seqs")
