@@ -37,6 +37,18 @@ def stash(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Stands for a null doc_id where ids pass through pandas, which would make floats of a column with nulls.
+NO_ID = -(1 << 63)
+
+
+def filled_id(doc_id: str = "doc_id") -> Column:
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
+
+
+def restored_id(doc_id: str = "doc_id") -> Column:
+    return F.when(F.col(doc_id) != NO_ID, F.col(doc_id)).alias("doc_id")
+
+
 def bucket_of(columns: list[str | Column], buckets: Column | int) -> Column:
     """A stable bucket from 0 to buckets - 1."""
     n = buckets if isinstance(buckets, Column) else F.lit(buckets)

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from readloom.llm.common import filled_id, restored_id
+
 #: Base phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Short notices by label, as words.
@@ -151,10 +153,11 @@ def scan(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = pd.DataFrame([scan_text(t) for t in batch["text"]], columns=names)
-            yield out.astype({"first_word": "Int64", "last_word": "Int64"}).assign(doc_id=batch["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None))
+            yield out.astype({"first_word": "Int64", "last_word": "Int64"}).assign(doc_id=batch["doc_id"].to_numpy())
 
     schema = (
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
         "spans array<struct<label: string, first_word: long, end_word: long, edits: int>>"
     )
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    scanned = docs.select(filled_id().alias("doc_id"), "text").mapInPandas(run, schema)
+    return scanned.select(restored_id(), *names)

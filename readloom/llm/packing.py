@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import bucket_of, numbered, stash
+from readloom.llm.common import bucket_of, filled_id, numbered, restored_id, stash
 
 ROWS_A_BUCKET, MOST_BUCKETS = 2_000, 4_096
 #: Ids of white-space-free chunks that a task keeps at hand; when full it starts anew, which costs time only.
@@ -74,7 +74,7 @@ def encoder_of(path: str) -> ChunkEncoder:
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
-    """Columns doc_id, piece, start, length, ids_crc32: each document's ids and a final id 0, cut at every `capacity` ids."""
+    """Columns doc_id (NO_ID for null), piece, start, length, ids_crc32: each document's ids and a final id 0, cut at every `capacity` ids."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = encoder_of(tokenizer)
@@ -86,10 +86,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
                 for n, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
                     rows.append((doc, n, at // ID_BYTES, len(part) // ID_BYTES, zlib.crc32(part)))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select(filled_id().alias("doc_id"), "text").mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -164,4 +163,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048) -> DataFrame:
             yield batch.assign(sequence_id=sequence, offset=offset)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "_rank").mapInPandas(place, schema)
+    placed = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "_rank").mapInPandas(place, schema)
+    return placed.select(restored_id(), *placed.columns[1:])

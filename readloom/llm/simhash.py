@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.llm.common import bucket_of, stash
+from readloom.llm.common import bucket_of, filled_id, stash
 from readloom.llm.components import components
 
 BITS = 64
@@ -211,11 +211,12 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
 
     Null and empty texts have fingerprint zero and link like others. Rows that share a doc_id (repeats) each get their row.
     Distinct fingerprints are compared; copies of one fingerprint follow their smallest doc_id, so a group of copies of any
-    size is one node. An empty table gives no rows; other columns of `docs` are ignored.
+    size is one node. A null doc_id has a row, but names no component: one of null ids alone has the component null. An empty table
+    gives no rows; other columns of `docs` are ignored.
     """
     prints = stash(docs.select("doc_id", fingerprint("text", width).alias("fp")))
     nodes = stash(prints.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    links = links_in_blocks(pigeonhole_blocks(nodes, radius), radius)
+    links = links_in_blocks(pigeonhole_blocks(nodes.filter("node IS NOT NULL"), radius), radius)
     joined = components(links)
     of_print = nodes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(of_print, "fp").select("doc_id", hex_of("fp").alias("fingerprint"), "component_id")
@@ -263,10 +264,9 @@ def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8)
     Equal texts are one. Null and empty texts are equal and without words, a group of their own. Rows that share a doc_id (a
     null one too) are one document, of which the first text by hash stays. An empty table gives no rows.
     """
-    low = F.lit(-(1 << 63))
     sign = F.pandas_udf(lambda s: _signature(s, width), "struct<fp long, keys array<long>>")
     text = F.coalesce("text", F.lit(""))
-    signed = docs.select(F.coalesce("doc_id", low).alias("id"), F.md5(text).alias("same"), sign(text).alias("s"))
+    signed = docs.select(filled_id().alias("id"), F.md5(text).alias("same"), sign(text).alias("s"))
     texts = signed.groupBy("same").agg(F.min("id").alias("node"), F.first("s").alias("s"))
     nodes = stash(texts.select("node", "s.fp", "s.keys").dropDuplicates(["node"]))
     keyed = nodes.filter("fp != 0").select("node", "fp", F.explode("keys").alias("key"))
@@ -277,12 +277,12 @@ def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8)
     blocks = dealt.unionByName(firsts).groupBy("key", "part").agg(F.array_sort(F.collect_set(F.struct("node", "fp"))).alias("members")).filter(F.size("members") > 1)
     links = stash(links_in_blocks(blocks, WIDE_RADIUS, NEAREST).distinct())
     ends = links.select(F.explode(F.array("src", "dst")).alias("end")).distinct()
-    whole = docs.select(F.coalesce("doc_id", low).alias("end"), text.alias("whole")).join(ends, "end", "left_semi").groupBy("end").agg(F.min("whole").alias("whole"))
+    whole = docs.select(filled_id().alias("end"), text.alias("whole")).join(ends, "end", "left_semi").groupBy("end").agg(F.min("whole").alias("whole"))
     alike = F.pandas_udf(lambda a, b: pd.Series([_similar(x, y, width) for x, y in zip(a, b, strict=True)], dtype="float64"), "double")
     one, other = (whole.select(F.col("end").alias(n), F.col("whole").alias(f"{n}_text")) for n in ("src", "dst"))
     near = links.join(one, "src").join(other, "dst").filter(alike("src_text", "dst_text") >= similarity).select("src", "dst")
     kept = nodes.join(components(near).select("node"), "node", "left_anti").select("node")
-    held = docs.select(F.struct(*docs.columns).alias("doc"), F.coalesce("doc_id", low).alias("id"))
+    held = docs.select(F.struct(*docs.columns).alias("doc"), filled_id().alias("id"))
     staying = held.join(kept, held["id"] == kept["node"], "left_semi")
     first = Window.partitionBy("id").orderBy(F.xxhash64("doc.text"))
     return staying.withColumn("row", F.row_number().over(first)).filter("row = 1").select("doc.*")

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import stash
+from readloom.llm.common import filled_id, stash
 
 #: A piece ends at a line's end or after closing marks; the white space that follows belongs to it.
 PIECE = re.compile(r"[^\n.!?]*(?:\n\s*|[.!?]+\s*|$)")
@@ -113,14 +113,14 @@ def dedup_spans(docs: DataFrame) -> DataFrame:
     """
     docs = docs.drop("removed_sentences")
     key = F.xxhash64("text")
-    runs = stash(hashed_runs(docs.select("doc_id", "text", key.alias("key"))))
+    runs = stash(hashed_runs(docs.select(filled_id().alias("doc_id"), "text", key.alias("key"))))
     place = F.struct("doc_id", "key", "first")
     counted = runs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
     repeated = stash(counted.filter("n > 1").drop("n"))  # a table of its own, so that the join may split a run that most texts have
-    later = runs.join(repeated, ["h1", "h2"]).filter(~F.col("at").eqNullSafe(place))
+    later = runs.join(repeated, ["h1", "h2"]).filter(F.col("at") != place)
     gone = later.groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    held = docs.select(F.struct(*docs.columns).alias("doc"), key.alias("key"))  # in a struct, no column's name can clash
-    joined = held.join(gone, held["doc.doc_id"].eqNullSafe(gone["doc_id"]) & (held["key"] == gone["key"]), "left")
+    held = docs.select(F.struct(*docs.columns).alias("doc"), filled_id().alias("id"), key.alias("key"))  # in a struct, no column's name can clash
+    joined = held.join(gone, (held["id"] == gone["doc_id"]) & (held["key"] == gone["key"]), "left")
     cut_of = F.pandas_udf(_cut, "struct<text string, sentences int, removed int>")
     text = F.when(F.col("spans").isNull(), F.col("doc.text")).otherwise(F.col("cut.text"))
     cut = joined.withColumn("cut", cut_of(F.when(F.col("spans").isNotNull(), F.col("doc.text")), "spans"))

@@ -58,7 +58,7 @@ def test_ids_equal_those_of_whole_texts():
 def test_every_piece_has_its_place(spark, capacity):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choices(["ab", "the", "zq", "é!"], k=rng.randrange(0, 90))), "extra") for i in range(400)]
-    rows += [(1000, None, None), (1001, "", None), (3, rows[3][1], None), (1002, "word " * 5000, None)]
+    rows += [(1000, None, None), (1001, "", None), (3, rows[3][1], None), (1002, "word " * 5000, None), ((1 << 60) + 1, "one", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, sequence_id string")
     out = packing.pack(docs, PATH, capacity).collect()
     whole = Tokenizer.from_file(PATH)
@@ -79,5 +79,10 @@ def test_every_piece_has_its_place(spark, capacity):
     assert len(used) == len(plain_best_fit([w[3] for w in want], capacity))
 
 
+def test_null_ids(spark):
+    out = packing.pack(spark.createDataFrame([(None, "a b"), ((1 << 60) + 1, "c")], "doc_id long, text string"), PATH).collect()
+    assert {r.doc_id for r in out} == {None, (1 << 60) + 1} and len({r.sequence_id for r in out}) == 1
+
+
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []

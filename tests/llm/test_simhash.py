@@ -43,6 +43,13 @@ def test_matches_brute_force(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_null_ids_and_extra_columns(spark):
+    rows = [(None, "a b c d", 1, "x"), (4, "a b c d", 2, "y"), (None, "quite other words here now", 3, "z"), (4, "a b c d", 2, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp int, node string")
+    out = simhash.near_duplicates(docs).collect()
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in out) == [("4", "4"), ("4", "4"), ("None", "4"), ("None", "None")]
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 

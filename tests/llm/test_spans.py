@@ -48,6 +48,12 @@ def test_repeated_passages_go_and_clean_texts_stay(spark):
         assert [d for d in left if left[d] and p.split()[40] in left[d]] == [100 + i]
 
 
+def test_null_ids_come_first(spark):
+    text = "one two three four five six seven eight nine ten. a b c d e f g h i j k."
+    docs = spark.createDataFrame([(3, text), (None, text), ((1 << 60) + 1, text)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in spans.dedup_spans(docs).collect()} == {None: text, 3: "", (1 << 60) + 1: ""}
+
+
 def test_repeated_rows_and_empty_table(spark):
     text = "one two three four five six seven eight nine ten. " + "a b c d e f g h i j k."
     assert run(spark, [(1, text), (1, text)]) == [(1, text, 0)] * 2
