@@ -35,7 +35,6 @@ def plain(v):
 def test_query_matches_sql(spark, db, name):
     df = plans.QUERIES[name](spark, SF)
     rows = df.collect()
-    assert rows
     if name not in plans.SQL:
         return
     found = db.execute(plans.SQL[name])
