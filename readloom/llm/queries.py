@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import chat, licences, merkle, mixing, packing, quality, rules, sharding, simhash, spans
+from readloom.llm import chat, licences, merkle, mixing, packing, quality, rules, sharding, simhash, spans, sql
 from readloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,4 +58,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_chat": sql.OP5, "op9_merkle": sql.OP9}
