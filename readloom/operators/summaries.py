@@ -124,3 +124,26 @@ def interval_coverage(spans: DataFrame) -> DataFrame:
     events = spans.select("ref", F.explode(F.array(F.struct(F.col("r_st").alias("pos"), F.lit(1).alias("d")), F.struct((F.col("r_ei") + 1).alias("pos"), F.lit(-1).alias("d")))).alias("e"))
     changes = events.groupBy("ref", F.col("e.pos").alias("pos")).agg(F.sum("e.d").alias("d"))
     return changes.select("ref", "pos", F.sum("d").over(Window.partitionBy("ref").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)).alias("coverage"))
+
+
+def genome_coverage(tokens: DataFrame, key: str = "rname") -> DataFrame:
+    """key, ref_pos, link (M matched, D deleted, U unmatched: clipped), coverage, dels; insertions have the position before them and link I."""
+    clipped = tokens.filter("op = 'S'")
+    start = F.col("pos") + F.col("r0") - F.when(F.col("q0") == 0, F.col("len")).otherwise(0)
+    unmatched = clipped.select(key, F.explode(F.sequence(start.cast("long"), (start + F.col("len") - 1).cast("long"))).alias("ref_pos"), F.lit("U").alias("link"))
+    first = F.col("pos") + F.col("r0")
+    matched = tokens.filter("op IN ('M', 'D')").select(key, F.explode(F.sequence(first.cast("long"), (first + F.col("len") - 1).cast("long"))).alias("ref_pos"), F.col("op").alias("link"))
+    inserted = tokens.filter("op = 'I'").select(key, (first - 1).cast("long").alias("ref_pos"), F.lit("I").alias("link"))
+    rows = matched.unionByName(unmatched).unionByName(inserted)
+    per = rows.groupBy(key, "ref_pos", "link").agg(F.count(F.lit(1)).alias("n"))
+    count = lambda *links: F.sum(F.when(F.col("link").isin(*links), F.col("n")).otherwise(0)).over(Window.partitionBy(key, "ref_pos"))
+    return per.select(key, "ref_pos", "link", "n", count("M", "D").alias("coverage"), count("D").alias("dels"))
+
+
+def compared_positions(pairs: DataFrame, key: str, first: str, second: str) -> DataFrame:
+    """kind, n of the columns of two aligned sequences: match, deletion, addition, mismatch."""
+    letters = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
+    each = pairs.select(key, F.explode(F.zip_with(letters(first), letters(second), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("x"))
+    a, b = F.col("x.a"), F.col("x.b")
+    kind = F.when(a == b, "match").when(F.coalesce(b, F.lit("-")) == "-", "deletion").when(F.coalesce(a, F.lit("-")) == "-", "addition").otherwise("mismatch")
+    return each.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from readloom.functions import cigar
 from readloom.functions.tables import values
-from readloom.operators import counts, kmers, summaries
+from readloom.operators import counts, iterate, kmers, summaries
 from readloom.plans.calls import _PLACED, placed_of
 from readloom.plans.reads import _CONS, _INSERTS, _LONG, _WIDE
 from readloom.plans.registry import query
-from readloom.plans.scalars import KEY, tokens_of
+from readloom.plans.scalars import _TOKENS, KEY, tokens_of
 
 FPR = [(round(0.05 * i, 2), round((20 - i) ** 2 / 4.0, 3)) for i in range(21)]
 
@@ -164,3 +164,38 @@ def a18(seqs: DataFrame, pieces: DataFrame) -> DataFrame:
     placed, contigs = placed_of(seqs, pieces)
     cuts = seqs.filter("length(seq) >= 200").select(F.col("doc_id").alias("contig"), F.floor(F.length("seq") / 2).alias("cut"))
     return kmers.cut_support(kmers.coverage(placed, contigs, 60), cuts, 20)
+
+
+@query(
+    "a53_genome_coverage",
+    f"""WITH {_TOKENS}, r AS (SELECT rname, CAST(pos + r0 + i AS BIGINT) AS ref_pos, op AS link FROM (SELECT *, unnest(range(0, len)) AS i FROM tokens WHERE op IN ('M', 'D')) x
+    UNION ALL SELECT rname, CAST(pos + r0 - CASE WHEN q0 = 0 THEN len ELSE 0 END + i AS BIGINT), 'U' FROM (SELECT *, unnest(range(0, len)) AS i FROM tokens WHERE op = 'S') y UNION ALL SELECT rname, CAST(pos + r0 - 1 AS BIGINT), 'I' FROM tokens WHERE op = 'I'),
+    c AS (SELECT rname, ref_pos, link, count(*) AS n FROM r GROUP BY ALL)
+    SELECT *, CAST(coalesce(sum(n) FILTER (WHERE link IN ('M', 'D')) OVER (PARTITION BY rname, ref_pos), 0) AS BIGINT) AS coverage, CAST(coalesce(sum(n) FILTER (WHERE link = 'D') OVER (PARTITION BY rname, ref_pos), 0) AS BIGINT) AS dels FROM c""",
+    "sam",
+)
+def a53(sam: DataFrame) -> DataFrame:
+    return summaries.genome_coverage(tokens_of(sam))
+
+
+@query(
+    "j22_compared_positions",
+    "WITH p AS (SELECT a.ord, a.seq AS s1, b.seq AS s2 FROM aligned a JOIN aligned b ON b.ord = a.ord + 1), e AS (SELECT substr(s1, CAST(i AS INT), 1) AS a, substr(s2, CAST(i AS INT), 1) AS b FROM (SELECT *, unnest(range(1, greatest(length(s1), length(s2)) + 1)) AS i FROM p) x) SELECT CASE WHEN a = b THEN 'match' WHEN b IN ('-', '') THEN 'deletion' WHEN a IN ('-', '') THEN 'addition' ELSE 'mismatch' END AS kind, count(*) AS n FROM e GROUP BY 1",
+    "aligned",
+)
+def j22(aligned: DataFrame) -> DataFrame:
+    following = aligned.select((F.col("ord") - 1).alias("ord"), F.col("seq").alias("s2"))
+    return summaries.compared_positions(aligned.select("ord", F.col("seq").alias("s1")).join(following, "ord"), "ord", "s1", "s2")
+
+
+@query(
+    "i2_stop_passes",
+    """WITH c AS (SELECT sample, line AS pass, app AS ref, CAST(sum(depth) AS BIGINT) AS n FROM runs WHERE line <= 5 GROUP BY ALL), t AS (SELECT sample, CAST(sum(depth) AS BIGINT) AS reads FROM runs GROUP BY sample),
+    j AS (SELECT coalesce(a.sample, b.sample) AS sample, coalesce(a.pass, b.pass + 1) AS pass, a.n, b.n AS was FROM c a FULL JOIN c b ON a.sample = b.sample AND a.ref = b.ref AND a.pass = b.pass + 1),
+    p AS (SELECT sample, pass, bool_and(n IS NOT NULL AND was IS NOT NULL) AS same, bool_or(coalesce(n > was, true)) AS gained, sum(n) AS mapped FROM j WHERE (sample, pass) IN (SELECT sample, pass FROM c) GROUP BY ALL)
+    SELECT t.sample, min(pass) AS stopped FROM t LEFT JOIN p ON p.sample = t.sample AND pass > 1 AND same AND (NOT gained OR mapped > 0.95 * reads OR pass >= 3) GROUP BY t.sample""",
+    "runs",
+)
+def i2(runs: DataFrame) -> DataFrame:
+    per = runs.filter("line <= 5").groupBy("sample", F.col("line").alias("pass"), F.col("app").alias("ref")).agg(F.sum("depth").cast("long").alias("n"))
+    return iterate.stop_passes(per, "sample", runs.groupBy("sample").agg(F.sum("depth").cast("long").alias("reads")))
