@@ -34,8 +34,7 @@ def translate(reads: DataFrame, seq: str = "seq", offset: int = 0, list_ambiguou
     spark = reads.sparkSession
     table = F.broadcast(mixture_codon_table(spark))  # 15^3 + 3 * 15^2 rows, fixed
     keyed = reads.withColumn("_row", F.monotonically_increasing_id())
-    n = F.floor((F.length(seq) - offset) / 3).cast("int")
-    codons = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(F.col(seq), i * 3 + 1 + offset, F.lit(3)))).otherwise(F.array().cast("array<string>"))
+    codons = F.regexp_extract_all(F.substring(seq, offset + 1, 1 << 30), F.lit("(.{3})"))
     exploded = keyed.select("_row", F.posexplode(codons).alias("i", "codon")).join(table, "codon", "left")
     one = F.when(F.col("codon") == "---", "-").when(F.col("aminos").isNull(), "?").when(F.length("aminos") == 1, F.col("aminos"))
     amino = one.otherwise(F.concat(F.lit("["), F.col("aminos"), F.lit("]")) if list_ambiguous else F.lit("?"))

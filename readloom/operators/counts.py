@@ -14,8 +14,7 @@ COUNTED = ["A", "C", "T", "G", "-"]
 
 def position_bases(aligned: DataFrame) -> DataFrame:
     """refname, pos (from 1), base, n of `aligned(refname, off, seq, cnt)`: the pileup in long form. n marks a gap, not a base."""
-    bases = F.filter(F.split("seq", ""), lambda b: b != "")
-    each = aligned.select("refname", "off", "cnt", F.posexplode(bases).alias("i", "base")).filter("base <> 'n'")
+    each = aligned.select("refname", "off", "cnt", F.posexplode(F.split("seq", "")).alias("i", "base")).filter("base NOT IN ('n', '')")
     return each.groupBy("refname", (F.col("off") + F.col("i") + 1).cast("long").alias("pos"), "base").agg(F.sum("cnt").cast("long").alias("n"))
 
 
@@ -61,7 +60,7 @@ def codon_counts(aligned: DataFrame) -> DataFrame:
     start = F.col("off") + F.col("frame")
     padded = F.concat(F.repeat(F.lit(" "), (start % 3).cast("int")), "seq")
     whole = F.rpad(padded, (F.ceil(F.length(padded) / 3) * 3).cast("int"), F.lit(" "))
-    codons = F.transform(F.sequence(F.lit(0), (F.length(whole) / 3).cast("int") - 1), lambda i: F.substring(whole, i * 3 + 1, F.lit(3)))
+    codons = F.regexp_extract_all(whole, F.lit("(.{3})"))
     each = framed.select("refname", "frame", "cnt", F.floor(start / 3).alias("first"), F.posexplode(codons).alias("i", "codon"))
     return each.groupBy("refname", "frame", (F.col("first") + F.col("i")).alias("codon_idx"), "codon").agg(F.sum("cnt").cast("long").alias("n"))
 
