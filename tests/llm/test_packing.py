@@ -49,6 +49,8 @@ def test_plan_is_best_fit_decreasing():
 
 def test_ids_equal_those_of_whole_texts():
     texts = ["Hello, World! it's\n\tÉtÉ 12ab", "a b c  d\x1ce", "é ́x ΣΑΣ straße", "", "x" * 500, "<|endoftext|>a <|startoftext|>"]
+    rng = random.Random(3)
+    texts += ["".join(rng.choices(["a", "B", "'s", "'", ".", "$$", "!", " ", "é", "́", "̱", "H", "9", "…", "-", "<|", "\n", "don't."], k=30)) for _ in range(400)]
     encoder, whole = packing.ChunkEncoder(PATH), Tokenizer.from_file(PATH)
     for t in texts * 2:
         assert np.frombuffer(encoder.encode(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
