@@ -227,8 +227,10 @@ BANDS, ROWS_A_BAND = 8, 2
 #: Fingerprints of texts of similarity 0.8 over five-word shingles differ in about 10 bits, in 17 at most of many thousand.
 WIDE_RADIUS = 20
 MEMBERS = 2048
-#: Earlier texts of a block whose exact similarity is looked at. Fingerprints rank them roughly, so one would not do.
+#: Earlier texts of a block whose exact similarity is looked at first. Fingerprints rank them roughly, so one would not do.
 NEAREST = 3
+#: Ranks of earlier texts that the second pass looks at, and how much further each later pass looks.
+RANKS, WIDER = 16, 8
 
 
 def _signature(texts: pd.Series, width: int) -> pd.DataFrame:
@@ -236,14 +238,14 @@ def _signature(texts: pd.Series, width: int) -> pd.DataFrame:
     factors = rng.integers(0, 1 << 63, BANDS * ROWS_A_BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     rows = []
     for text in texts:
-        h = shingle_hashes(text, width)
+        h = np.unique(shingle_hashes(text, width))
         if not len(h):
-            rows.append((0, [0] * BANDS))
+            rows.append((0, 0, [0] * BANDS))
             continue
         least = np.array([(h * f).min() for f in factors]).reshape(BANDS, ROWS_A_BAND)
         keys = least[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ least[:, 1] ^ np.arange(1, BANDS + 1, dtype=np.uint64)
-        rows.append((fingerprint_of(h), keys.view(np.int64).tolist()))
-    return pd.DataFrame(rows, columns=["fp", "keys"])
+        rows.append((fingerprint_of(h), len(h), keys.view(np.int64).tolist()))
+    return pd.DataFrame(rows, columns=["fp", "shingles", "keys"])
 
 
 def _similar(a: str, b: str, width: int) -> float:
@@ -252,36 +254,119 @@ def _similar(a: str, b: str, width: int) -> float:
     return common / max(1, len(one) + len(other) - common)
 
 
+def _first_blocks(keyed: DataFrame) -> DataFrame:
+    """Blocks of one key; one of over MEMBERS texts is dealt into parts, each together with the key's first text."""
+    counted = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "fp")).alias("first")).filter("n > 1")
+    parts = F.ceil(F.col("n") / MEMBERS)
+    dealt = keyed.join(counted, "key").select("key", bucket_of(["node"], parts).alias("part"), "node", "fp")
+    firsts = counted.filter(F.col("n") > MEMBERS).select("key", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"), "first.node", "first.fp")
+    return dealt.unionByName(firsts).groupBy("key", "part").agg(F.array_sort(F.collect_set(F.struct("node", "fp"))).alias("members")).filter(F.size("members") > 1)
+
+
+def _cells(keyed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (cell, node, fp, shingles) of cells that hold together any two texts of a key that are in different components.
+
+    Of two such texts, one at least is outside the key's largest component. So a key of over MEMBERS texts gives cells of a
+    group of those outside and a part of all; a key within one component gives none.
+    """
+    labelled = _labelled(keyed, labels)
+    by_component = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    counted = by_component.groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main"))
+    rows = labelled.join(counted.filter("n > most"), "key")
+    parts, groups = F.ceil(F.col("n") / MEMBERS).cast("int"), F.ceil((F.col("n") - F.col("most")) / MEMBERS).cast("int")
+    part, group = bucket_of(["node"], parts), bucket_of(["node"], groups)
+
+    def numbers(n: Column) -> Column:
+        return F.sequence(F.lit(0), n - 1)
+
+    def cell(g: Column, p: Column) -> Column:
+        return F.struct("key", g.alias("g"), p.alias("p"))
+
+    as_any = F.transform(numbers(groups), lambda g: cell(g, part))
+    outside = F.transform(numbers(parts), lambda p: cell(group, p))
+    within = F.when((F.col("n") > MEMBERS) & (F.col("component") != F.col("main")), F.array_union(as_any, outside)).when(F.col("n") > MEMBERS, as_any)
+    zero = F.lit(0)
+    return rows.select("node", "fp", "shingles", F.explode(F.coalesce(within, F.array(cell(zero, zero)))).alias("cell"))
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _unchecked(cells: DataFrame, labels: DataFrame, similarity: float, low: int, high: int) -> DataFrame:
+    """Links (src, dst) of each cell between texts of different components within WIDE_RADIUS, of ranks low to high - 1.
+
+    A text's earlier ones are ranked by distance, whatever their component, so that ranks are the same in every pass. Numbers of
+    shingles too far apart for `similarity` are no link. A row with src = dst says that the cell has links of later ranks.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = np.array([len(x) for x in batch["node"]], np.int64)
+            if not len(sizes):
+                continue
+            node, fp, shingles, component = (np.concatenate([np.asarray(x, np.int64) for x in batch[c]]) for c in ("node", "fp", "shingles", "component"))
+            for later, earlier, distance in near_lanes(fp, sizes, WIDE_RADIUS):
+                fits = np.minimum(shingles[later], shingles[earlier]) >= similarity * np.maximum(shingles[later], shingles[earlier]) - 1e-6
+                later, earlier, distance = later[fits], earlier[fits], distance[fits]
+                order = np.lexsort((earlier, distance, later))
+                later, earlier = later[order], earlier[order]
+                rank = np.arange(len(later)) - np.searchsorted(later, later)
+                apart = (component[later] != component[earlier]) & (rank >= low)
+                now = apart & (rank < high)
+                yield pd.DataFrame({"src": node[later[now]], "dst": node[earlier[now]]})
+                if (apart & ~now).any():
+                    yield pd.DataFrame({"src": node[:1], "dst": node[:1]})
+
+    held = _labelled(cells, labels).groupBy("cell").agg(
+        F.array_sort(F.collect_set(F.struct("node", "fp", "shingles", "component"))).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    columns = [F.col(f"members.{c}").alias(c) for c in ("node", "fp", "shingles", "component")]
+    return held.filter("low < high").select(*columns).mapInPandas(run, "src long, dst long").distinct()
+
+
 def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """`docs(doc_id, text, ...)` with one row of each group of near copies: that of the smallest doc_id.
 
     Near copies are texts whose sets of `width`-word shingles have a Jaccard similarity of `similarity` or more, and whatever is
     linked through such. At 0.8, fingerprints differ in too many bits for keys on their parts to tell much, so blocks come from
-    bands of min-hashes of the shingles; in a block fingerprints are compared bit-sliced, each text is linked to its nearest
-    earlier ones within the radius, and links stay if the exact similarity of the whole texts suffices. A block of over MEMBERS
-    texts is dealt into parts, each together with the block's first text.
+    bands of min-hashes of the shingles; in a block fingerprints are compared bit-sliced, and links stay if the exact similarity
+    of the whole texts suffices. The first pass checks each text's nearest earlier ones, which joins most groups at a cost that
+    grows with the rows. Later passes check whatever else a block has within the radius between texts that aren't joined yet,
+    nearest ones first, until nothing is left unchecked: no block is capped, and no link between such texts is left out.
 
     Equal texts are one. Null and empty texts are equal and without words, a group of their own. Rows that share a doc_id (a
     null one too) are one document, of which the first text by hash stays. An empty table gives no rows.
     """
-    sign = F.pandas_udf(lambda s: _signature(s, width), "struct<fp long, keys array<long>>")
+    sign = F.pandas_udf(lambda s: _signature(s, width), "struct<fp long, shingles long, keys array<long>>")
     text = F.coalesce("text", F.lit(""))
     signed = docs.select(filled_id().alias("id"), F.md5(text).alias("same"), sign(text).alias("s"))
     texts = signed.groupBy("same").agg(F.min("id").alias("node"), F.first("s").alias("s"))
-    nodes = stash(texts.select("node", "s.fp", "s.keys").dropDuplicates(["node"]))
-    keyed = nodes.filter("fp != 0").select("node", "fp", F.explode("keys").alias("key"))
-    counted = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "fp")).alias("first")).filter("n > 1")
-    parts = F.ceil(F.col("n") / MEMBERS)
-    dealt = keyed.join(counted, "key").select("key", bucket_of(["node"], parts).alias("part"), "node", "fp")
-    firsts = counted.filter(F.col("n") > MEMBERS).select("key", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"), "first.node", "first.fp")
-    blocks = dealt.unionByName(firsts).groupBy("key", "part").agg(F.array_sort(F.collect_set(F.struct("node", "fp"))).alias("members")).filter(F.size("members") > 1)
-    links = stash(links_in_blocks(blocks, WIDE_RADIUS, NEAREST).distinct())
-    ends = links.select(F.explode(F.array("src", "dst")).alias("end")).distinct()
-    whole = docs.select(filled_id().alias("end"), text.alias("whole")).join(ends, "end", "left_semi").groupBy("end").agg(F.min("whole").alias("whole"))
+    nodes = stash(texts.select("node", "s.fp", "s.shingles", "s.keys").dropDuplicates(["node"]))
+    keyed = nodes.filter("shingles > 0").select("node", "fp", "shingles", F.explode("keys").alias("key"))
     alike = F.pandas_udf(lambda a, b: pd.Series([_similar(x, y, width) for x, y in zip(a, b, strict=True)], dtype="float64"), "double")
-    one, other = (whole.select(F.col("end").alias(n), F.col("whole").alias(f"{n}_text")) for n in ("src", "dst"))
-    near = links.join(one, "src").join(other, "dst").filter(alike("src_text", "dst_text") >= similarity).select("src", "dst")
-    kept = nodes.join(components(near).select("node"), "node", "left_anti").select("node")
+
+    def near(links: DataFrame) -> DataFrame:
+        ends = links.select(F.explode(F.array("src", "dst")).alias("end")).distinct()
+        whole = docs.select(filled_id().alias("end"), text.alias("whole")).join(ends, "end", "left_semi").groupBy("end").agg(F.min("whole").alias("whole"))
+        one, other = (whole.select(F.col("end").alias(n), F.col("whole").alias(f"{n}_text")) for n in ("src", "dst"))
+        return stash(links.join(one, "src").join(other, "dst").filter(alike("src_text", "dst_text") >= similarity).select("src", "dst"))
+
+    checked = stash(links_in_blocks(_first_blocks(keyed), WIDE_RADIUS, NEAREST).distinct())
+    joined = near(checked)
+    labels = components(joined)
+    cells = stash(_cells(keyed, labels))
+    low, high = 0, RANKS
+    while True:
+        found = stash(_unchecked(cells, labels, similarity, low, high))
+        fresh = stash(found.filter("src != dst").join(checked, ["src", "dst"], "left_anti"))
+        if not fresh.isEmpty():
+            joined, checked = joined.union(near(fresh)), checked.union(fresh)
+            labels = components(joined)
+        if found.filter("src = dst").isEmpty():
+            break
+        low, high = high, high * WIDER
+    kept = nodes.join(labels.select("node"), "node", "left_anti").select("node")
     held = docs.select(F.struct(*docs.columns).alias("doc"), filled_id().alias("id"))
     staying = held.join(kept, held["id"] == kept["node"], "left_semi")
     first = Window.partitionBy("id").orderBy(F.xxhash64("doc.text"))
