@@ -18,27 +18,56 @@ from readloom.llm.common import filled_id, stash
 
 #: A piece ends at a line's end or after closing marks; the white space that follows belongs to it.
 PIECE = re.compile(r"[^\n.!?]*(?:\n\s*|[.!?]+\s*|$)")
-#: Pieces join into a sentence until it has LEAST words or its line ends; one of more than MOST words is cut there.
-LEAST, MOST = 8, 24
-#: Words and sentences that a run needs; a shorter one may repeat by chance.
-RUN_WORDS, RUN_SENTENCES = 16, 2
+WORD = re.compile(r"\s*\S+\s*")
+#: A piece of more than MOST words is cut at the least hash of each WINDOW places between its words.
+WINDOW = 7
+MOST = 2 * WINDOW - 1
+#: Words of a run with the end of a piece inside, and of one within a piece; a shorter one may repeat by chance.
+RUN_WORDS, PIECE_WORDS = 16, 25
 
 
 def sentences(text: str) -> list[str]:
-    """Sentences whose concatenation is the text; the same lines give the same sentences wherever they stand."""
+    """Sentences of MOST words at most, whose concatenation is the text.
+
+    Where one ends depends on the words nearby, not on where its line or the text begins. Copies of a stretch agree in an end
+    within MOST words from either edge of it, and in all between those two: in a piece that goes on for longer than that, both
+    are cut, and alike from WINDOW words inside the stretch. So 51 words (2 * MOST + PIECE_WORDS) hold the same run wherever
+    they stand.
+    """
     out: list[str] = []
-    held, words = "", 0
+    lead = ""
     for piece in PIECE.findall(text):
-        n = len(piece.split())
-        if n > MOST:
-            parts = re.findall(rf"\s*(?:\S+\s*){{1,{MOST}}}", piece)
-            out += [held] * bool(held) + parts[:-1]
-            held, words, piece, n = "", 0, parts[-1], len(parts[-1].split())
-        held, words = held + piece, words + n
-        if held and (words >= LEAST or "\n" in piece):
-            out.append(held)
-            held, words = "", 0
-    return out + [held] * bool(held)
+        words = WORD.findall(piece)
+        if not words:  # white space at the start of the text
+            lead += piece
+        elif len(words) <= MOST:
+            out.append(lead + piece)
+            lead = ""
+        else:
+            ends = [0, *_least_places(words), len(words)]
+            whole = [lead + words[0], *words[1:]]
+            out += ["".join(whole[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+            lead = ""
+    return out + [lead] * bool(lead)
+
+
+def _least_places(words: list[str]) -> list[int]:
+    """Places between words whose hash, of the words on both sides, is the first least one of some WINDOW places in a row."""
+    import xxhash
+
+    plain = [w.strip().lower() for w in words]
+    rank = [xxhash.xxh32_intdigest(f"{a} {b}") for a, b in zip(plain, plain[1:], strict=False)]
+    found, least = [], -1
+    for start in range(len(rank) - WINDOW + 1):
+        last = start + WINDOW - 1
+        if least < start:
+            least = min(range(start, last + 1), key=rank.__getitem__)
+        elif rank[last] < rank[least]:
+            least = last
+        else:
+            continue
+        found.append(least + 1)
+    return found
 
 
 def runs_of(text: str) -> list[tuple[int, int, str]]:
@@ -47,23 +76,30 @@ def runs_of(text: str) -> list[tuple[int, int, str]]:
     Both directions, so that a repeated passage is covered to its first and to its last sentence. Sentences without words take
     no part. The normal form is lower case with single spaces.
     """
-    words = [" ".join(s.lower().split()) for s in sentences(text)]
+    whole = sentences(text)
+    words = [" ".join(s.lower().split()) for s in whole]
     at = [i for i, w in enumerate(words) if w]
-    count = [0]
+    count, ended = [0], [0]
     for i in at:
         count.append(count[-1] + words[i].count(" ") + 1)
+        ended.append(ended[-1] + any(c in whole[i].lstrip() for c in "\n.!?"))
+
+    def suffices(i: int, j: int) -> bool:
+        n = count[j] - count[i]
+        return n >= PIECE_WORDS or n >= RUN_WORDS and ended[j - 1] > ended[i]
+
     n, found, start, end = len(at), set(), 0, 0
     for i in range(n):
-        end = max(end, i + RUN_SENTENCES)
-        while end <= n and count[end] - count[i] < RUN_WORDS:
+        end = max(end, i + 1)
+        while end <= n and not suffices(i, end):
             end += 1
         if end > n:
             break
         found.add((i, end))
-    for j in range(RUN_SENTENCES, n + 1):
-        while start + 1 <= j - RUN_SENTENCES and count[j] - count[start + 1] >= RUN_WORDS:
+    for j in range(1, n + 1):
+        while start + 1 < j and suffices(start + 1, j):
             start += 1
-        if count[j] - count[start] >= RUN_WORDS:
+        if suffices(start, j):
             found.add((start, j))
     return [(at[i], at[j - 1], " ".join(words[k] for k in at[i:j])) for i, j in sorted(found)]
 

@@ -58,3 +58,37 @@ def test_repeated_rows_and_empty_table(spark):
     text = "one two three four five six seven eight nine ten. " + "a b c d e f g h i j k."
     assert run(spark, [(1, text), (1, text)]) == [(1, text, 0)] * 2
     assert run(spark, []) == []
+
+
+def test_no_window_of_51_words_stays_twice(spark):
+    """Passages at shifted offsets of unpunctuated lines, and near copies, against plain windows of 51 words."""
+    rng = random.Random(3)
+
+    def words(n, stops):
+        return [f"q{rng.randrange(10**6)}" + rng.choice([".", "?\n"]) * (rng.random() < stops) for _ in range(n)]
+
+    rows = []
+    for n, stops in enumerate((0, 0, 0.03, 0.1, 0.3)):
+        passage = words(51, stops)
+        rows += [(100 * n + k, " ".join(words(k, 0) + passage + words(k * 7 % 30, 0))) for k in range(30)]
+    whole = words(800, 0.02)
+    for k in range(10):
+        at = rng.sample(range(800), 8)
+        near = [[w] if i not in at else rng.choice(([], [w, "new"], ["new"])) for i, w in enumerate(whole)]
+        rows.append((900 + k, " ".join(w for own in near for w in own)))
+
+    def windows(text):
+        w = text.lower().split()
+        return {tuple(w[i : i + 51]) for i in range(len(w) - 50)}
+
+    seen, before = set(), set()
+    for _, text in rows:
+        own = windows(text)
+        before |= own & seen
+        seen |= own
+    assert len(before) > 100
+    seen = set()
+    for _, text, _ in run(spark, rows):
+        own = windows(text)
+        assert not own & seen
+        seen |= own
