@@ -16,10 +16,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, taught by the labels, doesn't reject. Rows that share a doc_id are rejected together."""
-    verdicts = quality.classify(docs, table(spark, sf_dir, "labels"))
-    rejected = verdicts.filter("predicted = 0").select(F.col("doc_id").alias("rejected")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["rejected"]), "left_anti")
+    """Documents that the classifier, taught by the labels, doesn't reject. Texts that share a doc_id, or have none, are judged each."""
+    same = F.md5(F.coalesce("text", F.lit("")))
+    verdicts = quality.classify(docs.withColumn("_same", same), table(spark, sf_dir, "labels"), ("_same",))
+    rejected = verdicts.filter("predicted = 0").select(F.col("doc_id").alias("rejected"), "_same").distinct()
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["rejected"]) & (same == rejected["_same"]), "left_anti")
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -126,16 +126,16 @@ def fit(labelled: DataFrame) -> Model:
     return Model(odds, shift, scale, tuple(classes))
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Columns doc_id, held_out, score, predicted of every row of `docs(doc_id, text)`.
+def classify(docs: DataFrame, labels: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Columns doc_id, `more`, held_out, score, predicted of every row of `docs(doc_id, text)`; `more` are columns of `docs`.
 
     Learns from `labels(doc_id, quality)` of documents that aren't held out, all of them; labels other than 0 and 1 and null
     doc_ids teach nothing, repeated rows count each. Inputs are statistics of the whole text alone. Null and empty texts have
     all statistics 0 and are scored like others. Documents without a label are scored too. An empty table gives no rows.
     """
-    known = stash(docs.select("doc_id", features("text").alias("x")))
+    known = stash(docs.select("doc_id", *more, features("text").alias("x")))
     taught = labels.filter(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int")).filter(~held_out("doc_id"))
     model = fit(known.join(taught, "doc_id"))
     score = F.pandas_udf(lambda s: pd.Series(model.scores(np.stack(s.to_list())) if len(s) else []), "double")
-    scored = known.select("doc_id", held_out("doc_id").alias("held_out"), score("x").alias("score"))
+    scored = known.select("doc_id", *more, held_out("doc_id").alias("held_out"), score("x").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -12,7 +12,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.common import bucket_of, filled_id, stash
@@ -338,7 +338,7 @@ def _unchecked(cells: DataFrame, labels: DataFrame, similarity: float, upto: int
 
 
 def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """`docs(doc_id, text, ...)` with one row of each group of near copies: that of the smallest doc_id.
+    """`docs(doc_id, text, ...)` with one row of each group of near copies: that of the smallest doc_id, then of the least text hash.
 
     Near copies are texts whose sets of `width`-word shingles have a Jaccard similarity of `similarity` or more, and whatever is
     linked through such. At 0.8, fingerprints differ in too many bits for keys on their parts to tell much, so blocks come from
@@ -347,20 +347,21 @@ def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8)
     grows with the rows. Later passes check whatever else a block has within the radius between texts that aren't joined yet,
     nearest ones first, until nothing is left unchecked: no block is capped, and no link between such texts is left out.
 
-    Equal texts are one. Null and empty texts are equal and without words, a group of their own. Rows that share a doc_id (a
-    null one too) are one document, of which the first text by hash stays. An empty table gives no rows.
+    Equal texts are one. Null and empty texts are equal and without words, a group of their own. Different texts under one
+    doc_id (a null one too) are different documents. An empty table gives no rows.
     """
     sign = F.pandas_udf(lambda s: _signature(s, width), "struct<fp long, shingles long, sketch binary, keys array<long>>")
     text = F.coalesce("text", F.lit(""))
     signed = docs.select(filled_id().alias("id"), F.md5(text).alias("same"), sign(text).alias("s"))
-    texts = signed.groupBy("same").agg(F.min("id").alias("node"), F.first("s").alias("s"))
-    nodes = stash(texts.select("node", "s.fp", "s.shingles", "s.sketch", "s.keys").dropDuplicates(["node"]))
+    texts = signed.groupBy("same").agg(F.min("id").alias("id"), F.first("s").alias("s"))
+    nodes = stash(texts.select(F.monotonically_increasing_id().alias("node"), "id", "same", "s.fp", "s.shingles", "s.sketch", "s.keys"))
     keyed = nodes.filter("shingles > 0").select("node", "fp", "shingles", "sketch", F.explode("keys").alias("key"))
     alike = F.pandas_udf(lambda a, b: pd.Series([_similar(x, y, width) for x, y in zip(a, b, strict=True)], dtype="float64"), "double")
 
     def near(links: DataFrame) -> DataFrame:
         ends = links.select(F.explode(F.array("src", "dst")).alias("end")).distinct()
-        whole = docs.select(filled_id().alias("end"), text.alias("whole")).join(ends, "end", "left_semi").groupBy("end").agg(F.min("whole").alias("whole"))
+        owners = nodes.select(F.col("node").alias("end"), "id", "same").join(ends, "end")
+        whole = docs.select(filled_id().alias("id"), F.md5(text).alias("same"), text.alias("whole")).join(owners, ["id", "same"]).groupBy("end").agg(F.first("whole").alias("whole"))
         one, other = (whole.select(F.col("end").alias(n), F.col("whole").alias(f"{n}_text")) for n in ("src", "dst"))
         return stash(links.join(one, "src").join(other, "dst").filter(alike("src_text", "dst_text") >= similarity).select("src", "dst"))
 
@@ -378,8 +379,7 @@ def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8)
         if found.filter("src = dst").isEmpty():
             break
         upto *= WIDER
-    kept = nodes.join(labels.select("node"), "node", "left_anti").select("node")
-    held = docs.select(F.struct(*docs.columns).alias("doc"), filled_id().alias("id"))
-    staying = held.join(kept, held["id"] == kept["node"], "left_semi")
-    first = Window.partitionBy("id").orderBy(F.xxhash64("doc.text"))
-    return staying.withColumn("row", F.row_number().over(first)).filter("row = 1").select("doc.*")
+    first = _labelled(nodes.select("node", "id", "same"), labels).groupBy("component").agg(F.min(F.struct("id", "same")).alias("first"))
+    held = docs.select(F.struct(*docs.columns).alias("doc"), filled_id().alias("id"), F.md5(text).alias("same"))
+    staying = held.join(first.select("first.id", "first.same"), ["id", "same"], "left_semi")
+    return staying.groupBy("id", "same").agg(F.first("doc").alias("doc")).select("doc.*")

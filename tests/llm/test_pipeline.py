@@ -86,6 +86,30 @@ def test_copies_behind_many_texts_that_are_less_similar(spark, monkeypatch):
         assert {r.doc_id for r in simhash.one_of_each_group(docs).collect()} == {d for d in least if least[d] == d}
 
 
+def test_texts_under_null_and_shared_ids_are_documents_each(spark):
+    rng = random.Random(4)
+    texts = [prose(rng, 100) for _ in range(40)]
+    rows = [(None if i < 20 else 5, t) for i, t in enumerate(texts)]
+    rows += [(9, texts[20]), (9, near(rng, texts[21], 1)), (None, near(rng, texts[22], 1)), (3, near(rng, texts[23], 1)), (None, texts[0]), (5, None), (5, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], SCHEMA)
+    want = [(None if i < 20 else 5, t) for i, t in enumerate(texts) if i not in (22, 23)] + [rows[42], rows[43]]
+    got = [(r.doc_id, r.text) for r in simhash.one_of_each_group(docs).collect()]
+    wordless = [g for g in got if not g[1]]
+    assert len(wordless) == 1 and wordless[0][0] == 5
+    assert sorted(map(str, (g for g in got if g[1]))) == sorted(map(str, want))
+
+
+def test_a_rejected_text_takes_no_other_of_its_id_along(spark, tmp_path):
+    rng = random.Random(5)
+    good, junk = ([f(prose(rng, 100)) for _ in range(60)] for f in (str, lambda t: " ".join(w.upper() + "!!$$" for w in t.split())))
+    rows = [(i, t) for i, t in enumerate(good[:40] + junk[:40])] + [(None, t) for t in good[40:50] + junk[40:50]] + [(999, t) for t in good[50:] + junk[50:]]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], SCHEMA)
+    labels = [(i, int(i < 40)) for i in range(80)]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.good_documents(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and {r.text for r in out.collect()} == set(good)
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.one_of_each_group(empty).collect() == []
