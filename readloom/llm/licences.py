@@ -91,29 +91,34 @@ class NoticeSearch:
 
     def windows(self, line: str) -> Iterator[tuple[int, int, int]]:
         """Where each notice may stand: (notice, start, end), overlapping places joined."""
-        held: dict[int, list[int]] = {}
+        held: dict[int, list[tuple[int, int]]] = {}
         for last, (size, owners) in self._seeds.iter(line):
             for notice, at in owners:
                 _, length, k, _ = self._notices[notice]
-                start = max(0, last + 1 - size - at - k - 1)
-                end = last + 1 - size - at + length + k + 1
-                own = held.get(notice)
-                if own and start <= own[1]:
-                    own[1] = max(own[1], end)
-                    continue
-                if own:
-                    yield notice, own[0], own[1]
-                held[notice] = [start, end]
-        for notice, (start, end) in held.items():
+                start = last + 1 - size - at
+                held.setdefault(notice, []).append((max(0, start - k - 1), start + length + k + 1))
+        for notice, own in held.items():
+            own.sort()  # a later seed may stand for an earlier start
+            start, end = own[0]
+            for a, b in own[1:]:
+                if a > end:
+                    yield notice, start, end
+                    start = a
+                end = max(end, b)
             yield notice, start, end
 
     def find(self, line: str) -> list[Found]:
         out = set()
         for notice, start, end in self.windows(line):
             label, length, k, pattern = self._notices[notice]
-            for m in pattern.finditer(line, start, min(end, len(line))):
-                edits = sum(m.fuzzy_counts)
-                out.add(Found(label, m.start(), m.end(), edits, 1 - edits / length))
+            left = [(start, min(end, len(line)))]
+            while left:  # the best match of a stretch may lie behind others
+                a, b = left.pop()
+                m = pattern.search(line, a, b) if b - a >= length - k else None
+                if m:
+                    edits = sum(m.fuzzy_counts)
+                    out.add(Found(label, m.start(), m.end(), edits, 1 - edits / length))
+                    left += [(a, m.start()), (m.end(), b)]
         return sorted(out, key=lambda f: (f.start, f.end, f.label))
 
 

@@ -54,6 +54,31 @@ def test_notices_with_errors_are_found():
     assert licences.searcher().find(" the quick brown fox licensed to run ") == []
 
 
+def test_windows_reach_back_to_the_start_of_each_notice():
+    """Edits that leave a seed standing by chance before the true one."""
+    rng = random.Random(6)
+    hard = ["licesed knder heoapachez license version 2 0"]
+    label, notice = licences.NOTICES[0]
+    for _ in range(3000):
+        text = list(notice)
+        for at in rng.sample(range(len(text)), rng.randrange(1, 6)):
+            text[at] = rng.choice(["", rng.choice("abcdefghijklmnopqrstuvwxyz "), text[at] + rng.choice("abcdefghijklmnopqrstuvwxyz ")])
+        hard.append(" ".join("".join(text).split()))
+    own = licences.searcher()
+    for text in hard:
+        if distance(notice, text) <= licences.errors_for(notice):
+            line = f" {'aaa ' * 20}{text} bbb "
+            at = line.index(text)
+            assert any(own._notices[n][0] == label and a <= at and b >= at + len(text) for n, a, b in own.windows(line)), text
+
+
+def test_every_notice_of_a_joined_window_is_found():
+    other, exact = "relesed into the pubic domain", "released into the public domain"
+    for parts in ([other, exact], [other, other, exact, other], [exact] * 3):
+        found = licences.scan_text(" ".join(parts))[-1]
+        assert [(s["first_word"], s["end_word"]) for s in found if s["label"] == "public-domain"] == [(5 * i, 5 * i + 5) for i in range(len(parts))]
+
+
 def test_spans_count_words():
     spans = licences.scan_text("One two. Released under the M1T License!")[-1]
     assert spans == [{"label": "mit", "first_word": 2, "end_word": 7, "edits": 1}]
