@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from readloom.sources.files import scratch
+
 
 def numeric(value: str | Column) -> Column:
     """A number, or null for what isn't one."""
@@ -121,9 +123,17 @@ def running_best(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def every_nth(rows: DataFrame, order: str, n: int) -> DataFrame:
-    """Every n-th of distinct names; one row a run folder is ordered as a whole."""
-    names = rows.select(order).distinct()
-    return names.withColumn("_n", F.row_number().over(Window.orderBy(order)) - 1).filter(F.col("_n") % n == 0).drop("_n")
+    """Every n-th of distinct names, in order: numbered within ranges of names, to which the counts of earlier ranges are added.
+
+    Ranges are written once, as the bounds of another evaluation might differ. Only the counts, a row a range, are in one task.
+    """
+    path = scratch(rows.sparkSession)
+    rows.select(order).distinct().repartitionByRange(order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    names = rows.sparkSession.read.parquet(path)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = names.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows")).select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+    return names.withColumn("_n", within).join(starts, "_range").filter((F.col("_start") + F.col("_n")) % n == 0).select(order)
 
 
 def in_order(rows: DataFrame, column: str, listed: list[str]) -> DataFrame:

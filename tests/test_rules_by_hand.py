@@ -144,3 +144,13 @@ def test_fastq_and_fasta_files(spark, tmp_path):
     assert sorted((r.name, r.seq, r.qual) for r in files.read_fastq(spark, f"{tmp_path}/q").collect()) == [("r1", "ACGT", "@@II"), ("r2", "", "")]
     (tmp_path / "x.fasta").write_text(">a b\nAC\nGT\n>c\n\nTT\n")
     assert sorted(map(tuple, files.read_fasta(spark, f"{tmp_path}/x.fasta").collect())) == [("a b", "ACGT"), ("c", "TT")]
+
+
+def test_every_nth_name_is_numbered_in_ranges(spark):
+    names = [None, *(f"r{i * 7919 % 5003:05d}" for i in range(5003))]
+    rows = spark.createDataFrame([(x,) for x in names * 2], "name string")
+    for n in (1, 10, 6000):
+        out = runs.every_nth(rows, "name", n)
+        assert sorted((r.name for r in out.collect()), key=str) == sorted(sorted(names, key=lambda x: (x is not None, x or ""))[::n], key=str)
+    assert "row_number() windowspecdefinition(name" not in out._jdf.queryExecution().analyzed().toString()
+    assert runs.every_nth(rows.limit(0), "name", 10).collect() == []
