@@ -7,7 +7,7 @@ soon as every lane is beyond the radius.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -19,8 +19,9 @@ from readloom.llm.common import bucket_of, filled_id, stash
 from readloom.llm.components import components
 
 BITS = 64
-#: Rows of (query, machine word) that are compared at once: bounds a task's memory whatever a block holds.
-COMPARE_ROWS = 1 << 17
+#: Rows of (query, machine word) that are compared at once, and lanes within the radius that are handed on at once: they bound
+#: a task's memory whatever a block holds.
+COMPARE_ROWS, HITS = 1 << 17, 1 << 18
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -101,9 +102,10 @@ def near_lanes(prints: np.ndarray, sizes: np.ndarray, radius: int) -> Iterator[t
                     counts = [c[keep] for c in counts]
                 if not len(query):
                     break
-        if len(query):
-            hit = np.unpackbits((~over).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
+        for part in _portions(over):
+            hit = np.unpackbits((~over[part]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
             row, bit = np.nonzero(hit)
+            row += part.start
             distance = sum(((counts[k][row] >> bit.astype(np.uint64)) & np.uint64(1)).astype(np.int64) << k for k in range(counters))
             earlier_row = starts[block[query[row]]] + (word[row] - first_word[block[query[row]]]) * 64 + bit
             yield query[row], earlier_row, distance
@@ -122,74 +124,88 @@ def _above(counts: list[np.ndarray], radius: int) -> np.ndarray:
     return above
 
 
-def links_in_blocks(blocks: DataFrame, radius: int, nearest: int = 0) -> DataFrame:
-    """Links (src, dst) between rows of `blocks(members array<struct<fp, node>>)` within the radius.
+def _portions(over: np.ndarray) -> Iterator[slice]:
+    """Stretches of rows with about HITS lanes within the radius."""
+    ends = np.cumsum(np.bitwise_count(~over), dtype=np.int64)
+    at = 0
+    while at < len(over):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + HITS, "right")))
+        yield slice(at, upto)
+        at = upto
 
-    One link a row at most, to the first row of its component in the block: no connection is lost, and no group gives all its
-    pairs. Or, for links that are yet to be checked, each row's `nearest` earlier rows.
-    """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sizes(cells: pd.DataFrame) -> np.ndarray:
+    """How many rows each cell has; its rows lie together."""
+    cell = cells["cell"].to_numpy()
+    return np.diff(np.append(np.flatnonzero(np.diff(cell, prepend=~cell[:1])), len(cell)))
+
+
+def by_cell(rows: DataFrame, run: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """`run` over `rows(cell, node, ...)`, some whole cells at once with their rows in order of node: a task holds one batch and one cell."""
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
         for batch in batches:
-            sizes = np.array([len(x) for x in batch["fps"]], np.int64)
-            if not len(sizes):
+            cell = batch["cell"].to_numpy()
+            if not len(cell):
                 continue
-            prints = np.concatenate([np.asarray(x, np.int64) for x in batch["fps"]])
-            nodes = np.concatenate([np.asarray(x, np.int64) for x in batch["nodes"]])
-            found: list[tuple[np.ndarray, np.ndarray]] = []
-            for later, earlier, distance in near_lanes(prints, sizes, radius):
-                found.append(_nearest(later, earlier, distance, nearest) if nearest else (later, earlier))
-                if not nearest:
-                    found = [_spanning(found, len(prints))]
-            for later, earlier in found:
-                yield pd.DataFrame({"src": nodes[later], "dst": nodes[earlier]})
-
-    split = blocks.select(F.transform("members", lambda m: m["fp"]).alias("fps"), F.transform("members", lambda m: m["node"]).alias("nodes"))
-    return split.mapInPandas(run, "src long, dst long")
-
-
-def _nearest(later: np.ndarray, earlier: np.ndarray, distance: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((earlier, distance, later))
-    own = later[order]
-    place = np.arange(len(own)) - np.searchsorted(own, own)
-    first = order[place < n]
-    return later[first], earlier[first]
-
-
-def _spanning(found: list[tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each row with the smallest row of its component, by repeated label halving over the pairs."""
-    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-    label = np.arange(n)
+            upto = int(np.searchsorted(cell, cell[-1]))  # the last cell may go on
+            if held and (upto or held[-1]["cell"].iat[-1] != cell[0]):
+                yield run(pd.concat([*held, batch[:upto]], ignore_index=True))
+                held = []
+            elif upto:
+                yield run(batch[:upto].reset_index(drop=True))
+            held.append(batch[upto:])
+        if held:
+            yield run(pd.concat(held, ignore_index=True))
+
+    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInPandas(stream, schema)
+
+
+def links_in_blocks(blocks: DataFrame, radius: int) -> DataFrame:
+    """Links (src, dst) between rows of `blocks(cell, fp, node)` of one cell within the radius.
+
+    One link a row at most, to the first row of its component in the cell: no connection is lost, and no group gives all its pairs.
+    """
+
+    def run(cells: pd.DataFrame) -> pd.DataFrame:
+        label = np.arange(len(cells))
+        for later, earlier, _ in near_lanes(cells["fp"].to_numpy(), _sizes(cells), radius):
+            _unite(label, later, earlier)
+        rows = np.flatnonzero(label != np.arange(len(cells)))
+        node = cells["node"].to_numpy()
+        return pd.DataFrame({"src": node[rows], "dst": node[label[rows]]})
+
+    return by_cell(blocks, run, "src long, dst long")
+
+
+def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Bring the rows a and b, pair by pair, under one label, the smallest row of their component, by repeated halving of ways."""
     while True:
         la, lb = label[a], label[b]
         if (la == lb).all():
-            break
-        low, high = np.minimum(la, lb), np.maximum(la, lb)
-        np.minimum.at(label, high, low)
+            return
+        np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
         while (label[label] != label).any():
-            label = label[label]
-    rows = np.flatnonzero(label != np.arange(n))
-    return rows, label[rows]
+            label[:] = label[label]
 
 
 def pigeonhole_blocks(prints: DataFrame, radius: int, split_over: int = 512) -> DataFrame:
-    """Blocks that hold together any two fingerprints of `prints(fp, node)` that differ in at most `radius` bits.
+    """Rows (cell, fp, node) of cells that hold together any two fingerprints of `prints(fp, node)` that differ in at most `radius` bits.
 
     The 64 bits fall into radius + 2 parts; two such fingerprints agree in at least two of them, so each pair of parts is a
     key. A key with over `split_over` fingerprints is keyed anew on pairs of parts of its other bits, by the same argument, so
-    that a block never holds more than the 2^(bits left) values that distinct fingerprints leave.
+    that a cell never holds more than the 2^(bits left) values that distinct fingerprints leave.
     """
     bits = list(range(BITS))
     top = _keyed(prints, bits, radius, "key")
-    counted = top.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    counted = stash(top.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     top = stash(top.join(counted, "key"))
-    small = top.filter(F.col("n") <= split_over).select("key", "fp", "node")
-    deep = small.limit(0)
+    small = top.filter(F.col("n") <= split_over).select(F.xxhash64("key").alias("cell"), "fp", "node")
     for i, (_, rest) in enumerate(_pairs(bits, radius)):
         own = top.filter((F.col("n") > split_over) & (F.col("key.part") == i)).select("fp", "node", F.col("key").alias("_top"))
-        key = F.struct(F.lit(100 + i).alias("part"), F.xxhash64("_top", "_low").alias("value")).alias("key")
-        deep = deep.unionByName(_keyed(own, rest, radius, "_low").select(key, "fp", "node"))
-    return small.unionByName(deep).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("fp", "node"))).alias("members")).filter(F.size("members") > 1)
+        small = small.unionByName(_keyed(own, rest, radius, "_low").select(F.xxhash64("_top", "_low").alias("cell"), "fp", "node"))
+    return small
 
 
 def _pairs(bits: list[int], radius: int) -> list[tuple[list[int], list[int]]]:
@@ -210,176 +226,236 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
     """Columns doc_id, fingerprint (16 hex digits) and component_id of every row of `docs(doc_id, text)`.
 
     Null and empty texts have fingerprint zero and link like others. Rows that share a doc_id (repeats) each get their row.
-    Distinct fingerprints are compared; copies of one fingerprint follow their smallest doc_id, so a group of copies of any
-    size is one node. A null doc_id has a row, but names no component: one of null ids alone has the component null. An empty table
-    gives no rows; other columns of `docs` are ignored.
+    Distinct fingerprints are the nodes that are compared and joined, so a group of copies of any size is one node, and a
+    document without doc_id links like any other; component_id is the smallest doc_id of the component, null if none of its
+    documents has one. An empty table gives no rows; other columns of `docs` are ignored.
     """
     prints = stash(docs.select("doc_id", fingerprint("text", width).alias("fp")))
-    nodes = stash(prints.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    links = links_in_blocks(pigeonhole_blocks(nodes.filter("node IS NOT NULL"), radius), radius)
-    joined = components(links)
-    of_print = nodes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(of_print, "fp").select("doc_id", hex_of("fp").alias("fingerprint"), "component_id")
-
-
-#: Two min-hashes a band and eight bands: texts of similarity 0.8 share a band but for 3 in 10,000.
-BANDS, ROWS_A_BAND = 8, 2
-#: Fingerprints of texts of similarity 0.8 over five-word shingles differ in about 10 bits, in 17 at most of many thousand.
-WIDE_RADIUS = 20
-MEMBERS = 2048
-#: Earlier texts of a block whose exact similarity is looked at first. Fingerprints rank them roughly, so one would not do.
-NEAREST = 3
-#: Earlier texts of other components that the second pass checks, and how many times as many each later pass does.
-RANKS, WIDER = 64, 8
+    least = stash(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    nodes = least.select("fp", F.col("fp").alias("node"))
+    joined = components(links_in_blocks(pigeonhole_blocks(nodes, radius), radius))
+    of_print = stash(least.join(joined, least["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component")))
+    smallest = stash(of_print.groupBy("component").agg(F.min("least").alias("component_id")))
+    named = of_print.join(smallest, "component").select("fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", hex_of("fp").alias("fingerprint"), "component_id")
+
+
+#: Five min-hashes a band and 25 bands: texts of similarity 0.8 share no band in 5 of 100,000 cases.
+BANDS, ROWS_A_BAND = 25, 5
+#: Fingerprints of texts of similarity 0.8 differ in about 10 bits over many shingles, in about 12 over four and five; in more
+#: than this in one pair of 100,000 at most.
+WIDE_RADIUS = 26
 #: One byte of each of so many min-hashes is a text's sketch. Texts of similarity 0.8 agree in 102 on average; fewer than
-#: ALIKE, five deviations below, in one pair of a million. Most candidates at 0.5 and less fail, so their texts aren't read.
+#: ALIKE, five deviations below, in two pairs of a million. Most candidates at 0.5 and less fail, so their shingles aren't read.
 SKETCH, ALIKE = 128, 0.625
+#: Texts, and shingles of these texts, that a part of a block holds.
+MEMBERS, SHINGLES = 2048, 1_000_000
+#: A block with more texts outside its largest component is keyed anew.
+CROWDED = 65_536
+_FACTORS = np.random.default_rng(20240501).integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _signature(texts: pd.Series, width: int) -> pd.DataFrame:
-    rng = np.random.default_rng(20240501)
-    factors = rng.integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     rows = []
     for text in texts:
         h = np.unique(shingle_hashes(text, width))
         if not len(h):
             rows.append((0, 0, bytes(SKETCH), [0] * BANDS))
             continue
-        least = np.array([(h * f).min() for f in factors])
-        banded = least[: BANDS * ROWS_A_BAND].reshape(BANDS, ROWS_A_BAND)
-        keys = banded[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ banded[:, 1] ^ np.arange(1, BANDS + 1, dtype=np.uint64)
+        least = np.full(SKETCH, np.iinfo(np.uint64).max)
+        for at in range(0, len(h), 512):
+            least = np.minimum(least, (h[at : at + 512, None] * _FACTORS).min(axis=0))
+        keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+        for own in least[: BANDS * ROWS_A_BAND].reshape(BANDS, ROWS_A_BAND).T:
+            keys = (keys ^ own) * np.uint64(0x9E3779B97F4A7C15)
+            keys ^= keys >> np.uint64(29)
         rows.append((fingerprint_of(h), len(h), least.astype(np.uint8).tobytes(), keys.view(np.int64).tolist()))
     return pd.DataFrame(rows, columns=["fp", "shingles", "sketch", "keys"])
 
 
-def _similar(a: str, b: str, width: int) -> float:
-    one, other = (np.unique(shingle_hashes(t, width)) for t in (a, b))
-    common = len(np.intersect1d(one, other, assume_unique=True))
-    return common / max(1, len(one) + len(other) - common)
-
-
-def _first_blocks(keyed: DataFrame) -> DataFrame:
-    """Blocks of one key; one of over MEMBERS texts is dealt into parts, each together with the key's first text."""
-    counted = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "fp")).alias("first")).filter("n > 1")
-    parts = F.ceil(F.col("n") / MEMBERS)
-    dealt = keyed.join(counted, "key").select("key", bucket_of(["node"], parts).alias("part"), "node", "fp")
-    firsts = counted.filter(F.col("n") > MEMBERS).select("key", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"), "first.node", "first.fp")
-    return dealt.unionByName(firsts).groupBy("key", "part").agg(F.array_sort(F.collect_set(F.struct("node", "fp"))).alias("members")).filter(F.size("members") > 1)
+def _shingle_set(texts: pd.Series, width: int) -> pd.Series:
+    return pd.Series([np.unique(shingle_hashes(x, width)).tobytes() for x in texts])
+
+
+def _similarities(one: pd.Series, other: pd.Series) -> pd.Series:
+    out = []
+    for a, b in zip(one, other, strict=True):
+        a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        out.append(common / max(1, len(a) + len(b) - common))
+    return pd.Series(out, dtype="float64")
+
+
+def _candidates(cells: pd.DataFrame, similarity: float, label: Callable[[np.ndarray], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs (later, earlier, agreement) of rows of each cell that may be as similar: fingerprints within WIDE_RADIUS, numbers of
+    shingles not too far apart, sketches alike. Pairs of one label are left out."""
+    shingles = cells["shingles"].to_numpy()
+    sketches = np.frombuffer(b"".join(cells["sketch"]), np.uint8).reshape(-1, SKETCH)
+    for later, earlier, _ in near_lanes(cells["fp"].to_numpy(), _sizes(cells), WIDE_RADIUS):
+        one, other = shingles[later], shingles[earlier]
+        keep = np.minimum(one, other) >= similarity * np.maximum(one, other) - 1e-6
+        if label is not None:
+            keep &= label(later) != label(earlier)
+        later, earlier = later[keep], earlier[keep]
+        agreement = np.empty(len(later), np.int64)
+        for at in range(0, len(later), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            agreement[part] = (sketches[later[part]] == sketches[earlier[part]]).sum(axis=1)
+        keep = agreement >= ALIKE * SKETCH
+        yield later[keep], earlier[keep], agreement[keep]
+
+
+def _nearest(cells: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """The earlier row of its cell whose sketch agrees best with each row's."""
+    best, dst = np.zeros(len(cells), np.int64), np.zeros(len(cells), np.int64)
+    for later, earlier, agreement in _candidates(cells, similarity):
+        order = np.lexsort((earlier, -agreement, later))
+        own, first = np.unique(later[order], return_index=True)
+        first = order[first]
+        better = agreement[first] > best[own]
+        best[own[better]], dst[own[better]] = agreement[first[better]], earlier[first[better]]
+    rows = np.flatnonzero(best)
+    node = cells["node"].to_numpy()
+    return pd.DataFrame({"src": node[rows], "agreement": best[rows], "dst": node[dst[rows]]})
+
+
+def _open_rows(cells: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Rows with a candidate of another component in their cell."""
+    component, open_ = cells["component"].to_numpy(), np.zeros(len(cells), bool)
+    for later, earlier, _ in _candidates(cells, similarity, lambda rows: component[rows]):
+        open_[later] = open_[earlier] = True
+    return cells[open_]
+
+
+def _exact_links(cells: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Links that join components of a cell: all pairs of candidates are compared by their shingles, but those already joined."""
+    _, group = np.unique(cells["component"].to_numpy(), return_inverse=True)
+    label = np.arange(int(group.max()) + 1)
+    sets = [np.frombuffer(x, np.uint64) for x in cells["shingle_set"]]
+    size = np.array([len(x) for x in sets])
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    start = np.cumsum(size) - size
+    own = np.zeros(int(number.max(initial=0)) + 1, bool)
+    found: list[tuple[int, int]] = []
+    for later, earlier, _ in _candidates(cells, similarity, lambda rows: label[group[rows]]):
+        rows, first = np.unique(later, return_index=True)
+        for row, others in zip(rows, np.split(earlier, first[1:]), strict=True):
+            mine = number[start[row] : start[row] + size[row]]
+            own[mine] = True
+            step = max(1, SHINGLES // int(size[others].max()))
+            for at in range(0, len(others), step):
+                part = others[at : at + step]
+                part = part[label[group[part]] != label[group[row]]]
+                if not len(part):
+                    continue
+                ends = np.cumsum(size[part])
+                places = np.arange(ends[-1]) - np.repeat(ends - size[part] - start[part], size[part])
+                common = np.add.reduceat(own[number[places]].astype(np.int64), ends - size[part])
+                for other in part[common >= similarity * (size[row] + size[part] - common) - 1e-9]:
+                    a, b = label[group[row]], label[group[other]]
+                    if a != b:
+                        label[label == max(a, b)] = min(a, b)
+                        found.append((row, other))
+            own[mine] = False
+    node = cells["node"].to_numpy()
+    ends = np.array(found, np.int64).reshape(-1, 2)
+    return pd.DataFrame({"src": node[ends[:, 0]], "dst": node[ends[:, 1]]})
 
 
-def _cells(keyed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (cell, node, fp, shingles, sketch) of cells that hold together any two texts of a key that are in different components.
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-    Of two such texts, one at least is outside the key's largest component. So a key of over MEMBERS texts gives cells of a
-    group of those outside and a part of all; a key within one component gives none.
-    """
-    labelled = _labelled(keyed, labels)
-    by_component = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    counted = by_component.groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main"))
-    rows = labelled.join(counted.filter("n > most"), "key")
-    parts, groups = F.ceil(F.col("n") / MEMBERS).cast("int"), F.ceil((F.col("n") - F.col("most")) / MEMBERS).cast("int")
-    part, group = bucket_of(["node"], parts), bucket_of(["node"], groups)
 
-    def numbers(n: Column) -> Column:
-        return F.sequence(F.lit(0), n - 1)
+def _mixed_keys(labelled: DataFrame) -> DataFrame:
+    """`labelled(key, node, shingles, component)` of keys with several components; main is the one with the most texts."""
+    by_component = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("shingles").alias("weight"))
+    most = F.max_by(F.struct("component", "n", "weight"), F.struct("n", "component"))
+    of_key = by_component.groupBy("key").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight"), most.alias("most")).filter("n > most.n")
+    outside = {"main": F.col("most.component"), "outside": F.col("n") - F.col("most.n"), "outside_weight": F.col("weight") - F.col("most.weight")}
+    return labelled.join(stash(of_key.withColumns(outside).drop("most")), "key")  # a table of its own, so that the join may split a large key
 
-    def cell(g: Column, p: Column) -> Column:
-        return F.struct("key", g.alias("g"), p.alias("p"))
 
-    as_any = F.transform(numbers(groups), lambda g: cell(g, part))
-    outside = F.transform(numbers(parts), lambda p: cell(group, p))
-    within = F.when((F.col("n") > MEMBERS) & (F.col("component") != F.col("main")), F.array_union(as_any, outside)).when(F.col("n") > MEMBERS, as_any)
-    zero = F.lit(0)
-    return rows.select("node", "fp", "shingles", "sketch", F.explode(F.coalesce(within, F.array(cell(zero, zero)))).alias("cell"))
+def _keyed_anew(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows of crowded keys under keys that also hold a band of the sketch's bytes; the bands take other min-hashes together."""
+    byte = lambda i: F.substring("sketch", F.lit(i + 1), F.lit(1))
+    bands = [F.xxhash64("key", F.lit(b), *(byte(b + BANDS * k) for k in range(ROWS_A_BAND))) for b in range(BANDS)]
+    return crowded.join(nodes.select("node", "sketch"), "node").select("node", "shingles", "component", F.explode(F.array(*bands)).alias("key"))
 
 
-def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _cells(rows: DataFrame) -> DataFrame:
+    """Rows (cell, node, component) of cells that hold together any two texts of a key that are in different components.
 
+    Of two such texts, one at least is outside the key's main component. So a key of more than a part gives cells of a group of
+    those outside and a part of all. Parts have MEMBERS texts or SHINGLES shingles, about.
+    """
 
-def _unchecked(cells: DataFrame, labels: DataFrame, similarity: float, upto: int) -> DataFrame:
-    """Links (src, dst) of each cell between texts of different components within WIDE_RADIUS, `upto` a text, nearest first.
+    def pieces(n: str, weight: str) -> Column:
+        return F.ceil(F.greatest(F.col(n) / MEMBERS, F.col(weight) / SHINGLES)).cast("int")
 
-    Numbers of shingles too far apart for `similarity`, or unlike sketches, are no link. A row with src = dst says that the cell
-    has further links.
-    """
+    parts, groups = pieces("n", "weight"), pieces("outside", "outside_weight")
+    part, group = bucket_of(["node"], parts), bucket_of(["node"], groups)
+    cell = lambda g, p: F.xxhash64("key", g, p)
+    as_any = F.transform(F.sequence(F.lit(0), groups - 1), lambda g: cell(g, part))
+    as_outside = F.transform(F.sequence(F.lit(0), parts - 1), lambda p: cell(group, p))
+    own = F.when(parts == 1, F.array(cell(F.lit(0), F.lit(0)))).when(F.col("component") == F.col("main"), as_any).otherwise(F.array_union(as_any, as_outside))
+    return rows.select("node", "component", F.explode(own).alias("cell"))
 
-    def alike(sketches: np.ndarray, later: np.ndarray, earlier: np.ndarray) -> np.ndarray:
-        step = 1 << 16
-        parts = [(sketches[later[i : i + step]] == sketches[earlier[i : i + step]]).sum(axis=1) >= ALIKE * SKETCH for i in range(0, len(later), step)]
-        return np.concatenate(parts) if parts else np.empty(0, bool)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes = np.array([len(x) for x in batch["node"]], np.int64)
-            if not len(sizes):
-                continue
-            node, fp, shingles, component = (np.concatenate([np.asarray(x, np.int64) for x in batch[c]]) for c in ("node", "fp", "shingles", "component"))
-            sketches = np.frombuffer(b"".join(x for cell in batch["sketch"] for x in cell), np.uint8).reshape(-1, SKETCH)
-            for later, earlier, distance in near_lanes(fp, sizes, WIDE_RADIUS):
-                keep = component[later] != component[earlier]
-                later, earlier, distance = later[keep], earlier[keep], distance[keep]
-                keep = np.minimum(shingles[later], shingles[earlier]) >= similarity * np.maximum(shingles[later], shingles[earlier]) - 1e-6
-                keep[keep] = alike(sketches, later[keep], earlier[keep])
-                later, earlier, distance = later[keep], earlier[keep], distance[keep]
-                first, other = _nearest(later, earlier, distance, upto)
-                yield pd.DataFrame({"src": node[first], "dst": node[other]})
-                if len(first) < len(later):
-                    yield pd.DataFrame({"src": node[:1], "dst": node[:1]})
-
-    columns = ["node", "fp", "shingles", "sketch", "component"]
-    held = (
-        _labelled(cells, labels)
-        .groupBy("cell")
-        .agg(F.array_sort(F.collect_set(F.struct(*columns))).alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low < high")
-    )
-    return held.select(*(F.col(f"members.{c}").alias(c) for c in columns)).mapInPandas(run, "src long, dst long").distinct()
-
-
-def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8, crowded_over: int = CROWDED) -> DataFrame:
     """`docs(doc_id, text, ...)` with one row of each group of near copies: that of the smallest doc_id, then of the least text hash.
 
     Near copies are texts whose sets of `width`-word shingles have a Jaccard similarity of `similarity` or more, and whatever is
     linked through such. At 0.8, fingerprints differ in too many bits for keys on their parts to tell much, so blocks come from
-    bands of min-hashes of the shingles; in a block fingerprints are compared bit-sliced, and links stay if the exact similarity
-    of the whole texts suffices. The first pass checks each text's nearest earlier ones, which joins most groups at a cost that
-    grows with the rows. Later passes check whatever else a block has within the radius between texts that aren't joined yet,
-    nearest ones first, until nothing is left unchecked: no block is capped, and no link between such texts is left out.
+    bands of min-hashes of the shingles; in a block fingerprints are compared bit-sliced, then sketches, then whole sets of
+    shingles, and these decide.
+
+    First each text is compared with the earlier one that agrees best with it, which joins most groups. Blocks that still hold
+    several components are then compared whole, but for pairs joined already: rows with a candidate bring their shingles to the
+    block, and a block gives at most one link for each component that it joins. No block is capped: a large one is split into
+    cells that meet in full, and one with over `crowded_over` texts outside its largest component is keyed anew by further bands.
 
     Equal texts are one. Null and empty texts are equal and without words, a group of their own. Different texts under one
-    doc_id (a null one too) are different documents. An empty table gives no rows.
+    doc_id (a null one too) are different documents; of rows that repeat both, the least by hash stays. Columns may have any
+    names. An empty table gives no rows.
     """
     sign = F.pandas_udf(lambda s: _signature(s, width), "struct<fp long, shingles long, sketch binary, keys array<long>>")
     text = F.coalesce("text", F.lit(""))
     signed = docs.select(filled_id().alias("id"), F.md5(text).alias("same"), sign(text).alias("s"))
     texts = signed.groupBy("same").agg(F.min("id").alias("id"), F.first("s").alias("s"))
     nodes = stash(texts.select(F.monotonically_increasing_id().alias("node"), "id", "same", "s.fp", "s.shingles", "s.sketch", "s.keys"))
-    keyed = nodes.filter("shingles > 0").select("node", "fp", "shingles", "sketch", F.explode("keys").alias("key"))
-    alike = F.pandas_udf(lambda a, b: pd.Series([_similar(x, y, width) for x, y in zip(a, b, strict=True)], dtype="float64"), "double")
-
-    def near(links: DataFrame) -> DataFrame:
-        ends = links.select(F.explode(F.array("src", "dst")).alias("end")).distinct()
-        owners = nodes.select(F.col("node").alias("end"), "id", "same").join(ends, "end")
-        whole = docs.select(filled_id().alias("id"), F.md5(text).alias("same"), text.alias("whole")).join(owners, ["id", "same"]).groupBy("end").agg(F.first("whole").alias("whole"))
-        one, other = (whole.select(F.col("end").alias(n), F.col("whole").alias(f"{n}_text")) for n in ("src", "dst"))
-        return stash(links.join(one, "src").join(other, "dst").filter(alike("src_text", "dst_text") >= similarity).select("src", "dst"))
-
-    checked = stash(links_in_blocks(_first_blocks(keyed), WIDE_RADIUS, NEAREST).distinct())
-    joined = near(checked)
+    signs = nodes.select("node", "fp", "shingles", "sketch")
+    keyed = nodes.filter("shingles > 0").select("node", "shingles", F.explode("keys").alias("key"))
+    shared = stash(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).filter("n > 1"))
+    dealt = stash(keyed.join(shared, "key"))
+
+    wanted = nodes.select("node", "id", "same").join(dealt.select("node").distinct(), "node")
+    whole = docs.select(filled_id().alias("id"), F.md5(text).alias("same"), text.alias("whole")).join(wanted, ["id", "same"]).groupBy("id", "same", "node").agg(F.first("whole").alias("whole"))
+    shingle_set = F.pandas_udf(lambda s: _shingle_set(s, width), "binary")
+    sets = stash(whole.select("node", shingle_set("whole").alias("shingle_set")))
+
+    parts = F.ceil(F.col("n") / MEMBERS).cast("int")
+    own_part = bucket_of(["node"], parts)
+    firsts = dealt.filter((F.col("n") > MEMBERS) & (F.col("node") == F.col("first"))).select("key", "node", own_part.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    blocks = dealt.select("key", "node", own_part.alias("part")).union(firsts.filter("part != own").select("key", "node", "part"))
+    blocks = blocks.select(F.xxhash64("key", "part").alias("cell"), "node")
+    nearest = by_cell(blocks.join(signs, "node"), lambda x: _nearest(x, similarity), "src long, agreement long, dst long")
+    best = nearest.groupBy("src").agg(F.max(F.struct("agreement", "dst"))["dst"].alias("dst"))
+    one, other = (sets.select(F.col("node").alias(n), F.col("shingle_set").alias(f"{n}_set")) for n in ("src", "dst"))
+    alike = F.pandas_udf(_similarities, "double")("src_set", "dst_set") >= similarity - 1e-12
+    joined = stash(best.join(one, "src").join(other, "dst").filter(alike).select("src", "dst"))
     labels = components(joined)
-    cells = stash(_cells(keyed, labels))
-    upto = RANKS
-    while True:
-        found = stash(_unchecked(cells, labels, similarity, upto))
-        fresh = stash(found.filter("src != dst").join(checked, ["src", "dst"], "left_anti"))
-        if not fresh.isEmpty():
-            joined, checked = joined.union(near(fresh)), checked.union(fresh)
-            labels = components(joined)
-        if found.filter("src = dst").isEmpty():
-            break
-        upto *= WIDER
+
+    mixed = stash(_mixed_keys(_labelled(dealt.select("key", "node", "shingles"), labels)))
+    crowded = F.col("outside") > crowded_over
+    cells = _cells(mixed.filter(~crowded))
+    if not mixed.filter(crowded).isEmpty():
+        cells = cells.union(_cells(_mixed_keys(_keyed_anew(mixed.filter(crowded), nodes))))
+    columns = "cell long, node long, component long, fp long, shingles long, sketch binary"
+    open_ = stash(by_cell(cells.join(signs, "node"), lambda x: _open_rows(x, similarity), columns))
+    more = by_cell(open_.join(sets, "node"), lambda x: _exact_links(x, similarity), "src long, dst long")
+    labels = components(joined.union(stash(more)))
+
     first = _labelled(nodes.select("node", "id", "same"), labels).groupBy("component").agg(F.min(F.struct("id", "same")).alias("first"))
     held = docs.select(F.struct(*docs.columns).alias("doc"), filled_id().alias("id"), F.md5(text).alias("same"))
     staying = held.join(first.select("first.id", "first.same"), ["id", "same"], "left_semi")
-    return staying.groupBy("id", "same").agg(F.first("doc").alias("doc")).select("doc.*")
+    return staying.groupBy("id", "same").agg(F.min_by("doc", F.xxhash64(F.to_json("doc"))).alias("doc")).select("doc.*")

@@ -58,17 +58,15 @@ def test_one_of_each_group_matches_all_pairs(spark, monkeypatch):
     for i, r in enumerate(rows):
         groups.setdefault(root(i), []).append(r[0])
     want = sorted(min(g, key=lambda d: (d is not None, d or 0)) or 0 for g in groups.values())
-    for members, nearest, ranks in ((2048, 3, 16), (3, 1, 1), (2, 1, 2)):
+    for members, crowded_over in ((2048, 65_536), (3, 65_536), (2, 4)):
         monkeypatch.setattr(simhash, "MEMBERS", members)
-        monkeypatch.setattr(simhash, "NEAREST", nearest)
-        monkeypatch.setattr(simhash, "RANKS", ranks)
-        out = simhash.one_of_each_group(spark.createDataFrame(rows, SCHEMA)).collect()
+        out = simhash.one_of_each_group(spark.createDataFrame(rows, SCHEMA), crowded_over=crowded_over).collect()
         assert out and list(out[0].asDict()) == ["doc_id", "text", "lang", "source", "n_chars"]
         assert sorted(r.doc_id or 0 for r in out) == want
 
 
 def test_copies_behind_many_texts_that_are_less_similar(spark, monkeypatch):
-    """Texts at 0.6 to 0.8 of one another, a few of which have a true copy: all of a group must be found, whatever the ranks."""
+    """Texts at 0.6 to 0.8 of one another, a few of which have a true copy: all of a group must be found."""
     rng = random.Random(9)
     base = prose(rng, 150)
     rows = [(i, near(rng, base, rng.choice((2, 3, 4)))) for i in range(60)]
@@ -79,11 +77,9 @@ def test_copies_behind_many_texts_that_are_less_similar(spark, monkeypatch):
         for a, b in pairs:
             least[a] = least[b] = min(least[a], least[b])
     docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], SCHEMA)
-    for members, nearest, ranks in ((2048, 1, 1), (4, 1, 2)):
+    for members, crowded_over in ((2048, 65_536), (4, 65_536), (8, 10)):
         monkeypatch.setattr(simhash, "MEMBERS", members)
-        monkeypatch.setattr(simhash, "NEAREST", nearest)
-        monkeypatch.setattr(simhash, "RANKS", ranks)
-        assert {r.doc_id for r in simhash.one_of_each_group(docs).collect()} == {d for d in least if least[d] == d}
+        assert {r.doc_id for r in simhash.one_of_each_group(docs, crowded_over=crowded_over).collect()} == {d for d in least if least[d] == d}
 
 
 def test_texts_under_null_and_shared_ids_are_documents_each(spark):
