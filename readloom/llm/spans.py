@@ -1,7 +1,7 @@
 """Substring deduplication by sliding sentence spans.
 
-Every run of several consecutive sentences is hashed, runs are joined globally by hash, and the sentences that any non-first
-occurrence of a repeated run covers are removed.
+Every run of several consecutive sentences is hashed, equal runs of all documents meet by their hash, and the sentences that any
+non-first occurrence of a repeated run covers are removed.
 """
 
 from __future__ import annotations
@@ -14,16 +14,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import filled_id, stash
+from readloom.llm.common import filled_id
 
 #: A piece ends at a line's end or after closing marks; the white space that follows belongs to it.
 PIECE = re.compile(r"[^\n.!?]*(?:\n\s*|[.!?]+\s*|$)")
 WORD = re.compile(r"\s*\S+\s*")
+ENDS = re.compile(r"[\n.!?]")
+#: Runs in order of their hash, then of their place.
+PLACE = ["h1", "h2", "doc_id", "key", "first"]
 #: A piece of more than MOST words is cut at the least hash of each WINDOW places between its words.
-WINDOW = 7
+WINDOW = 9
 MOST = 2 * WINDOW - 1
 #: Words of a run with the end of a piece inside, and of one within a piece; a shorter one may repeat by chance.
-RUN_WORDS, PIECE_WORDS = 16, 25
+RUN_WORDS, PIECE_WORDS = 16, 17
 
 
 def sentences(text: str) -> list[str]:
@@ -70,19 +73,21 @@ def _least_places(words: list[str]) -> list[int]:
     return found
 
 
-def runs_of(text: str) -> list[tuple[int, int, str]]:
+def runs_of(text: str) -> list[tuple[int, int, bytes]]:
     """Runs (first, last, normal form) of consecutive sentences: from each sentence on and up to each, the shortest that suffice.
 
     Both directions, so that a repeated passage is covered to its first and to its last sentence. Sentences without words take
     no part. The normal form is lower case with single spaces.
     """
-    whole = sentences(text)
-    words = [" ".join(s.lower().split()) for s in whole]
-    at = [i for i, w in enumerate(words) if w]
-    count, ended = [0], [0]
-    for i in at:
-        count.append(count[-1] + words[i].count(" ") + 1)
-        ended.append(ended[-1] + any(c in whole[i].lstrip() for c in "\n.!?"))
+    at, words, count, ended, begin = [], [], [0], [0], [0]
+    for i, sentence in enumerate(sentences(text)):
+        if own := sentence.lower().split():
+            at.append(i)
+            words.append(" ".join(own).encode("utf-8", "surrogatepass"))
+            count.append(count[-1] + len(own))
+            ended.append(ended[-1] + bool(ENDS.search(sentence.lstrip())))
+            begin.append(begin[-1] + len(words[-1]) + 1)
+    whole = b" ".join(words)
 
     def suffices(i: int, j: int) -> bool:
         n = count[j] - count[i]
@@ -101,11 +106,16 @@ def runs_of(text: str) -> list[tuple[int, int, str]]:
             start += 1
         if suffices(start, j):
             found.add((start, j))
-    return [(at[i], at[j - 1], " ".join(words[k] for k in at[i:j])) for i, j in sorted(found)]
+    return [(at[i], at[j - 1], whole[begin[i] : begin[j] - 1]) for i, j in sorted(found)]
 
 
 def hashed_runs(docs: DataFrame) -> DataFrame:
-    """A row for each run of `docs(doc_id, text, key)`, with 128 bits of hash."""
+    """A row for each run of `docs(doc_id, text, key)`, with 80 bits of hash: h1 and h2.
+
+    A repeated row counts once a batch. again: the run also stands at an earlier place (doc_id, key, first) of the same batch of
+    rows. Where a run is in most texts, one row a batch has it without again; the others are dealt by their documents' key
+    instead of the hash, in `at`.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -116,14 +126,48 @@ def hashed_runs(docs: DataFrame) -> DataFrame:
                 found = runs_of(text) if text else []
                 rows += [n] * len(found)
                 spans += [(first, last) for first, last, _ in found]
-                raw += [xxhash.xxh3_128_digest(t.encode()) for _, _, t in found]
+                raw += [xxhash.xxh3_128_digest(t) for _, _, t in found]
             if not rows:
                 continue
             h, s = np.frombuffer(b"".join(raw), "<i8").reshape(-1, 2), np.array(spans, np.int32)
-            ids = batch[["doc_id", "key"]].take(rows).reset_index(drop=True)
-            yield ids.assign(first=s[:, 0], last=s[:, 1], h1=h[:, 0], h2=h[:, 1])
+            out = batch[["doc_id", "key"]].take(rows).reset_index(drop=True)
+            out = out.assign(first=s[:, 0], last=s[:, 1], h1=h[:, 0], h2=h[:, 1].astype(np.int16)).drop_duplicates(ignore_index=True)
+            out = out.sort_values(PLACE, ignore_index=True)
+            again = _first_of(out) != np.arange(len(out))
+            yield out.assign(again=again, at=np.where(again, out["key"], out["h1"]))
+
+    return docs.mapInPandas(run, "doc_id long, key long, first int, last int, h1 long, h2 short, again boolean, at long")
+
+
+def _first_of(runs: pd.DataFrame) -> np.ndarray:
+    """For each row, the number of the first row with its hash; equal hashes lie together."""
+    new = np.ones(len(runs), bool)
+    for c in ("h1", "h2"):
+        own = runs[c].to_numpy()
+        new[1:] &= own[1:] == own[:-1]
+    new[1:] = ~new[1:]
+    return np.maximum.accumulate(np.where(new, np.arange(len(runs)), 0))
+
+
+def repeats(runs: DataFrame) -> DataFrame:
+    """Of `hashed_runs`, doc_id, key, first and last of those that aren't at the first place of their hash.
+
+    One shuffle brings equal hashes together in order of place; a task streams through them and holds one row back.
+    """
+    columns = ["doc_id", "key", "first", "last"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # the first row of the last hash
+        for batch in batches:
+            yield batch.loc[batch["again"], columns]
+            own = pd.concat([held, batch[~batch["again"]]], ignore_index=True)
+            if len(own):
+                first = _first_of(own)
+                place = own[["doc_id", "key", "first"]].to_numpy()
+                yield own.loc[(place != place[first]).any(axis=1), columns]
+                held = own.iloc[first[-1:]]
 
-    return docs.mapInPandas(run, "doc_id long, key long, first int, last int, h1 long, h2 long")
+    return runs.repartition("at").sortWithinPartitions(*PLACE).mapInPandas(run, "doc_id long, key long, first int, last int")
 
 
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
@@ -149,11 +193,7 @@ def dedup_spans(docs: DataFrame) -> DataFrame:
     """
     docs = docs.drop("removed_sentences")
     key = F.xxhash64("text")
-    runs = stash(hashed_runs(docs.select(filled_id().alias("doc_id"), "text", key.alias("key"))))
-    place = F.struct("doc_id", "key", "first")
-    counted = runs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
-    repeated = stash(counted.filter("n > 1").drop("n"))  # a table of its own, so that the join may split a run that most texts have
-    later = runs.join(repeated, ["h1", "h2"]).filter(F.col("at") != place)
+    later = repeats(hashed_runs(docs.select(filled_id().alias("doc_id"), "text", key.alias("key"))))
     gone = later.groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     held = docs.select(F.struct(*docs.columns).alias("doc"), filled_id().alias("id"), key.alias("key"))  # in a struct, no column's name can clash
     joined = held.join(gone, (held["id"] == gone["doc_id"]) & (held["key"] == gone["key"]), "left")

@@ -1,6 +1,10 @@
 import random
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from readloom.llm import spans
+from readloom.llm.common import filled_id
 
 
 def text_of(rng, n):
@@ -54,6 +58,28 @@ def test_null_ids_come_first(spark):
     assert {r.doc_id: r.text for r in spans.dedup_spans(docs).collect()} == {None: text, 3: "", (1 << 60) + 1: ""}
 
 
+def test_repeats_among_many_batches(spark):
+    """A run in most texts and rows repeated, over batches of two rows: all but the first place of each hash, once."""
+    rng = random.Random(4)
+    common = " ".join(f"c{i}" for i in range(20)) + ". " + " ".join(f"d{i}" for i in range(12)) + "."
+    rows = [(rng.randrange(40), f"{text_of(rng, rng.randrange(3))} {common} {text_of(rng, 2)}" if rng.random() < 0.7 else text_of(rng, 4)) for _ in range(80)]
+    rows += rows[:30] + [(None, common)] * 5
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        keyed = docs.select(filled_id().alias("doc_id"), "text", F.xxhash64("text").alias("key"))
+        got = Counter((r.doc_id, r.key, r.first, r.last) for r in spans.repeats(spans.hashed_runs(keyed)).distinct().collect())
+        known = keyed.distinct().collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    places = {}
+    for r in known:
+        for first, last, run_ in spans.runs_of(r.text):
+            places.setdefault(run_, []).append((r.doc_id, r.key, first, last))
+    want = {p for own in places.values() for p in own if p[:3] != min(own)[:3]}
+    assert len(want) > 100 and set(got) == want
+
+
 def test_repeated_rows_and_empty_table(spark):
     text = "one two three four five six seven eight nine ten. " + "a b c d e f g h i j k."
     assert run(spark, [(1, text), (1, text)]) == [(1, text, 0)] * 2
