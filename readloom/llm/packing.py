@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import bisect
 import functools
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -19,38 +22,62 @@ from pyspark.sql import functions as F
 from readloom.llm.common import bucket_of, filled_id, numbered, restored_id, stash
 
 ROWS_A_BUCKET, MOST_BUCKETS = 2_000, 4_096
-#: Ids of white-space-free chunks that a task keeps at hand; when full it starts anew, which costs time only.
+#: Chunks, and words, whose ids a Python worker keeps at hand before it drops the older half.
 CACHE_CHUNKS = 1_000_000
+#: Printable ASCII but the apostrophe, and Latin letters that lower-case to one letter; parts of such chunks.
+PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+WORDS = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]|[!-/:-@\\[-`{-~]+")
 ID_BYTES = 4
 
 
 class ChunkEncoder:
-    """Ids of a text as little-endian unsigned 32-bit numbers, through a cache by white-space-free chunk.
+    """Ids of a text as little-endian unsigned 32-bit numbers, through caches by white-space-free chunk and by word.
 
-    The vocabulary's pre-tokenizer drops white space and never joins across it, so a text's ids are those of its chunks. Chunks
-    that aren't known yet are encoded together, parted by a special token.
+    The vocabulary's pre-tokenizer drops white space and never joins across it, so a text's ids are those of its chunks. Its
+    normalizer lower-cases, so chunks are told apart without ASCII capitals. It parts chunks at the bounds of letters, single
+    digits and marks; a chunk of Latin letters, ASCII digits and marks (no apostrophe, after which some letters part too) is
+    parted here, and its words go to the vocabulary's merges at once. All other chunks go through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._mark, self._mark_id = min((t.content, i) for i, t in self._tokenizer.get_added_tokens_decoder().items() if t.special)
+        special = [(t.content, i) for i, t in self._tokenizer.get_added_tokens_decoder().items() if t.special]
+        self._mark, self._mark_id = min(special)
+        self._special = re.compile("|".join(re.escape(content) for content, _ in special))
+        self._merges = self._tokenizer.model.tokenize
+        self._letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self._known: dict[bytes, bytes] = {}
+        self._words: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        chunks = text.encode("utf-8", "surrogatepass").split()
+        raw = text.encode("utf-8", "surrogatepass")
+        chunks = (raw if b"<" in raw else raw.lower()).split()  # special tokens are told from others by their case
         try:
             return b"".join(map(self._known.__getitem__, chunks))
         except KeyError:
+            for cache in (self._known, self._words):
+                if len(cache) > CACHE_CHUNKS:  # the older half goes
+                    for c in list(islice(cache, len(cache) // 2)):
+                        del cache[c]
             missing = [c for c in dict.fromkeys(chunks) if c not in self._known]
-        if len(self._known) + len(missing) > CACHE_CHUNKS:
-            self._known.clear()
-            missing = list(dict.fromkeys(chunks))
-        for at in range(0, len(missing), 10_000):
-            self._learn(missing[at : at + 10_000])
+        other = []
+        for chunk in missing:
+            plain = chunk.decode("utf-8", "replace")
+            if PLAIN.fullmatch(plain) and not ("<" in plain and self._special.search(plain)):
+                self._known[chunk] = b"".join([self._words.get(w) or self._word(w) for w in WORDS.findall(plain.lower())])
+            else:
+                other.append(chunk)
+        for at in range(0, len(other), 10_000):
+            self._learn(other[at : at + 10_000])
         return b"".join(map(self._known.__getitem__, chunks))
 
+    def _word(self, word: str) -> bytes:
+        tokens = self._merges(word if word.isascii() else self._letters(word)[0][0])
+        ids = self._words[word] = struct.pack(f"<{len(tokens)}I", *(t.id for t in tokens))
+        return ids
+
     def _learn(self, chunks: list[bytes]) -> None:
         texts = [c.decode("utf-8", "replace") for c in chunks]
         if not any(self._mark in t for t in texts):

@@ -48,14 +48,24 @@ def test_plan_is_best_fit_decreasing():
 
 
 def test_ids_equal_those_of_whole_texts():
-    texts = ["Hello, World! it's\n\tÉtÉ 12ab", "a b c  d\x1ce", "é ́x ΣΑΣ straße", "", "x" * 500, "<|endoftext|>a <|startoftext|>"]
+    texts = ["Hello, World! it's\n\tÉtÉ 12ab", "a b c  d\x1ce", "é ́x ΣΑΣ straße", "", "x" * 500, "<|endoftext|>a <|startoftext|>", "<|ENDOFTEXT|> <|endoftext|", "B<|endoftext|>.C"]
     rng = random.Random(3)
     texts += ["".join(rng.choices(["a", "B", "'s", "'", ".", "$$", "!", " ", "é", "́", "̱", "H", "9", "…", "-", "<|", "\n", "don't."], k=30)) for _ in range(400)]
+    latin = [chr(c) for c in range(0xA0, 0x260)] + list("abcXYZ019.,;'-_|<>#\"\\`{}~^[]@") + ["\x1c", "\x7f", "\u2028", "Σ", "İ", "ſ", "ǅ"]
+    texts += ["".join(rng.choices([*latin, " "], k=40)) for _ in range(2000)] + [a + b for a in latin for b in (".", "a", "1", "'s", "")]
+    texts += [" ".join("".join(rng.choices("aeinrstüßé", k=rng.randrange(1, 15))) for _ in range(20)) for _ in range(200)]
     encoder, whole = packing.ChunkEncoder(PATH), Tokenizer.from_file(PATH)
     for t in texts * 2:
         assert np.frombuffer(encoder.encode(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
+def test_a_full_cache_changes_no_ids(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_CHUNKS", 5)
+    encoder, whole = packing.ChunkEncoder(PATH), Tokenizer.from_file(PATH)
+    for t in ["one two three four", "five six seven, eight nine", "one 2 thr33 it's é!"] * 3:
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("capacity", [32, 2048])
 def test_every_piece_has_its_place(spark, capacity):
     rng = random.Random(2)
