@@ -34,7 +34,7 @@ class ChunkEncoder:
     """Ids of a text as little-endian unsigned 32-bit numbers, through caches by white-space-free chunk and by word.
 
     The vocabulary's pre-tokenizer drops white space and never joins across it, so a text's ids are those of its chunks. Its
-    normalizer lower-cases, so chunks are told apart without ASCII capitals. It parts chunks at the bounds of letters, single
+    normalizer lower-cases, so chunks are mostly told apart without ASCII capitals. It parts chunks at the bounds of letters, single
     digits and marks; a chunk of Latin letters, ASCII digits and marks (no apostrophe, after which some letters part too) is
     parted here, and its words go to the vocabulary's merges at once. All other chunks go through the whole tokenizer.
     """
@@ -53,7 +53,8 @@ class ChunkEncoder:
 
     def encode(self, text: str) -> bytes:
         raw = text.encode("utf-8", "surrogatepass")
-        chunks = (raw if b"<" in raw else raw.lower()).split()  # special tokens are told from others by their case
+        # special tokens are told from others by their case, and a mark of U+0300 to U+036F may combine with one case alone
+        chunks = (raw if b"<" in raw or b"\xcc" in raw or b"\xcd" in raw else raw.lower()).split()
         try:
             return b"".join(map(self._known.__getitem__, chunks))
         except KeyError:
