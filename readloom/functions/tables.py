@@ -40,8 +40,14 @@ def mixture_codons() -> list[tuple[str, str]]:
     return plain + dashed
 
 
-def mixture_codon_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(mixture_codons(), "codon string, aminos string")
+#: Letters of codons as hexadecimal digits; digits and letters that would be taken for one are none.
+_DIGITS = "-" + "".join(sorted(BASES_OF))
+CODON_DIGITS = (_DIGITS + "EF0123456789", "0123456789ABCDEF" + "x" * 12)
+
+
+def codon_sets() -> list[str | None]:
+    """Aminos of each codon by its number in digits of 16: '-' for '---', none for two dashes."""
+    return [mixture_aminos("".join(c).replace("-", "N")) if c.count("-") < 2 else "-" if c == ("-",) * 3 else None for c in product(_DIGITS, repeat=3)]
 
 
 def mixture_table(spark: SparkSession) -> DataFrame:

@@ -12,10 +12,21 @@ BASES = ["A", "C", "G", "T", "N", "-"]
 COUNTED = ["A", "C", "T", "G", "-"]
 
 
+#: Letters that are counted together before they are parted.
+STRETCH = 4
+
+
 def position_bases(aligned: DataFrame) -> DataFrame:
-    """refname, pos (from 1), base, n of `aligned(refname, off, seq, cnt)`: the pileup in long form. n marks a gap, not a base."""
-    each = aligned.select("refname", "off", "cnt", F.posexplode(F.split("seq", "")).alias("i", "base")).filter("base NOT IN ('n', '')")
-    return each.groupBy("refname", (F.col("off") + F.col("i") + 1).cast("long").alias("pos"), "base").agg(F.sum("cnt").cast("long").alias("n"))
+    """refname, pos (from 1), base, n of `aligned(refname, off, seq, cnt)`: the pileup in long form. n marks a gap, not a base.
+
+    Stretches of STRETCH letters are counted by place first, so a row a stretch instead of one a base goes to the first sum.
+    """
+    begins = F.sequence(F.lit(0), F.length("seq") - 1, F.lit(STRETCH))
+    cut = aligned.filter(F.length("seq") > 0).select("refname", "off", "cnt", "seq", F.explode(begins).alias("i"))
+    stretch = F.substring(F.col("seq"), F.col("i") + 1, F.lit(STRETCH))
+    counted = cut.groupBy("refname", (F.col("off") + F.col("i")).cast("long").alias("at"), stretch.alias("letters")).agg(F.sum("cnt").alias("n"))
+    each = counted.select("refname", "at", "n", F.posexplode(F.split("letters", "")).alias("i", "base")).filter("base NOT IN ('n', '')")
+    return each.groupBy("refname", (F.col("at") + F.col("i") + 1).alias("pos"), "base").agg(F.sum("n").cast("long").alias("n"))
 
 
 def pileup(long: DataFrame) -> DataFrame:
@@ -55,14 +66,16 @@ def consensus_sequences(bases: DataFrame, min_coverage: int = 100) -> DataFrame:
 
 
 def codon_counts(aligned: DataFrame) -> DataFrame:
-    """refname, frame (0, 1, 2), codon_idx, codon, n: reads padded with spaces to the codons of each frame."""
-    framed = aligned.select("refname", "cnt", "seq", "off", F.explode(F.array(*map(F.lit, (0, 1, 2)))).alias("frame"))
-    start = F.col("off") + F.col("frame")
-    padded = F.concat(F.repeat(F.lit(" "), (start % 3).cast("int")), "seq")
-    whole = F.rpad(padded, (F.ceil(F.length(padded) / 3) * 3).cast("int"), F.lit(" "))
-    codons = F.regexp_extract_all(whole, F.lit("(.{3})"))
-    each = framed.select("refname", "frame", "cnt", F.floor(start / 3).alias("first"), F.posexplode(codons).alias("i", "codon"))
-    return each.groupBy("refname", "frame", (F.col("first") + F.col("i")).alias("codon_idx"), "codon").agg(F.sum("cnt").cast("long").alias("n"))
+    """refname, frame (0, 1, 2), codon_idx, codon, n: reads padded with spaces to the codons of each frame.
+
+    A codon of a frame is a window of three letters at some place, so windows are counted by place, once for all frames.
+    """
+    start = F.col("off").cast("long") - 2  # the first window that holds a letter
+    windows = F.sequence(F.lit(0), F.length("seq") + 1)
+    cut = aligned.filter(F.length("seq") > 0).select("refname", start.alias("start"), "cnt", F.concat(F.lit("  "), "seq", F.lit("  ")).alias("padded"), F.explode(windows).alias("i"))
+    counted = cut.groupBy("refname", (F.col("start") + F.col("i")).alias("at"), F.substring(F.col("padded"), F.col("i") + 1, F.lit(3)).alias("codon")).agg(F.sum("cnt").cast("long").alias("n"))
+    frame = F.pmod(-F.col("at"), F.lit(3)).cast("int")
+    return counted.select("refname", frame.alias("frame"), F.expr("CAST((at + pmod(-at, 3)) / 3 AS BIGINT)").alias("codon_idx"), "codon", "n")
 
 
 def amino_counts(codons: DataFrame) -> DataFrame:

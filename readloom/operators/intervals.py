@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,7 +71,7 @@ def merge_intervals(spans: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def covered_by_others(spans: DataFrame) -> DataFrame:
-    """id, ref of intervals that one merged stretch of the intervals overlapping them covers: one pass of the removal.
+    """id, ref of intervals that one merged stretch of the intervals overlapping them covers, all seen at once; `without_covered` removes them one by one.
 
     A stretch that is larger covers. One of equal bounds covers if its intervals together have more reads.
     """
@@ -86,6 +87,44 @@ def covered_by_others(spans: DataFrame) -> DataFrame:
     return per.join(total, "id").filter(strict | equal).select("id", "ref").distinct()
 
 
+def _is_covered(start: int, end: int, reads: float | None, others: list[tuple[int, int, float | None]]) -> bool:
+    """Whether one merged stretch of the `others` that overlap an interval covers it."""
+    stretches: list[list[int]] = []
+    for low, high, _ in sorted(others, key=lambda x: x[:2]):
+        if stretches and low <= stretches[-1][1] + 1:
+            stretches[-1][1] = max(high, stretches[-1][1])
+        else:
+            stretches.append([low, high])
+    counted = reads is not None and all(r is not None for *_, r in others)
+    more = counted and sum(r for *_, r in others) > reads
+    return any(low <= start and high >= end and (more or low < start or high > end) for low, high in stretches)
+
+
+def _least_first(spans: pd.DataFrame) -> pd.DataFrame:
+    """Drop intervals, the least first, that the others left cover. A few intervals of one sample on one reference."""
+    rows = list(zip(spans["r_st"].tolist(), spans["r_ei"].tolist(), (None if pd.isna(r) else r for r in spans["reads"]), strict=True))
+    by_reads = all(r is not None for *_, r in rows)
+    left = dict(enumerate(rows))
+    for i in sorted(left, key=lambda i: rows[i][2] if by_reads else rows[i][1] - rows[i][0]):
+        start, end, reads = left.pop(i)
+        if not _is_covered(start, end, reads, [x for x in left.values() if x[0] <= end and x[1] >= start]):
+            left[i] = rows[i]
+    return spans.loc[sorted(left)]
+
+
+def without_covered(spans: DataFrame, key: list[str]) -> DataFrame:
+    """Of `spans(key, id, r_st, r_ei, reads)`, those that stay when the least (by reads; by length if any has none) that the others
+    cover is removed, again and again.
+
+    Cover is one merged stretch of the overlapping others: a larger one, or one of equal bounds whose reads are more together.
+    Removals only shrink the cover of others, so one pass from the least on gives the same. A group is what an assembler gives
+    for one sample on one reference.
+    """
+    columns = [*key, "id", "r_st", "r_ei", "reads"]
+    rows = spans.select(*columns)
+    return rows.groupBy(*key).applyInPandas(lambda x: _least_first(x.sort_values("id", ignore_index=True)), rows.schema)
+
+
 def gaps_covered(spans: DataFrame, longer_than: int = 21) -> DataFrame:
     """ref, gap_st, gap_ei: gaps between neighbours of one strand of ids (even, odd) that an interval of the other strand overlaps."""
     strand = spans.withColumn("strand", F.col("id") % 2)

@@ -74,3 +74,21 @@ def entropy(reads: DataFrame, key: str, k: int = 12) -> DataFrame:
     total = F.sum("n").over(Window.partitionBy(key))
     p = F.col("n") / total
     return counted.select(key, (-p * F.log2(p)).alias("h")).groupBy(key).agg(F.sum("h").alias("entropy"))
+
+
+def match_spectrum(contigs: DataFrame, sequence: str, most: int) -> DataFrame:
+    """size, kmer, matches, occurrences: how many k-mers left and right of each distinct k-mer, apart from it, match it in so
+    many places, for each k up to `most`, added up over contigs. A k-mer's last place in a contig counts.
+
+    Places are compared within the row, so pairs of k-mers are never rows. Contigs are short (an assembler's, at most).
+    """
+    seq, k, i = F.col(sequence), F.col("size"), F.col("i")
+    sized = contigs.select(sequence, F.explode(F.sequence(F.lit(1), F.lit(most))).alias("size")).filter(F.length(sequence) >= k)
+    places = sized.select(sequence, "size", F.explode(F.sequence(F.lit(0), F.length(sequence) - k)).alias("i"))
+    own = places.withColumn("kmer", F.substring(seq, i + 1, k)).filter(F.expr(f"locate(kmer, `{sequence}`, i + 2)") == 0)
+    apart = F.filter(F.sequence(F.lit(0), F.length(sequence) - k), lambda j: F.abs(j - i) >= k)
+    same = lambda j, t: (F.substring(seq, j + t, F.lit(1)) == F.substring(F.col("kmer"), t, F.lit(1))).cast("int")
+    matches = F.transform(apart, lambda j: F.aggregate(F.sequence(F.lit(1), k), F.lit(0), lambda a, t: a + same(j, t)))
+    found = own.withColumn("found", matches).select("size", "kmer", F.explode(F.sequence(F.lit(1), k)).alias("matches"), "found")
+    counted = found.select("size", "kmer", "matches", F.size(F.filter("found", lambda x: x == F.col("matches"))).alias("n")).filter("n > 0")
+    return counted.groupBy("size", "kmer", "matches").agg(F.sum("n").alias("occurrences"))

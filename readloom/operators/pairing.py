@@ -45,26 +45,20 @@ def merged(seq1: Column, qual1: Column, seq2: Column, qual2: Column, cutoff: int
     """
     swap = F.length(seq1) > F.length(seq2)
     pick = lambda a, b: F.when(swap, a).otherwise(b)
-    sides = F.struct(pick(seq2, seq1).alias("s1"), pick(qual2, qual1).alias("q1"), pick(seq1, seq2).alias("s2"), pick(qual1, qual2).alias("q2"))
+    letters = lambda c: F.split(c, "")
+    gap = F.length(pick(seq1, seq2)) - F.length(F.ltrim(pick(seq1, seq2), F.lit("-")))
+    # the shorter one's arrays end in nulls
+    columns = F.arrays_zip(letters(pick(seq2, seq1)).alias("a"), letters(pick(qual2, qual1)).alias("qa"), letters(pick(seq1, seq2)).alias("b"), letters(pick(qual1, qual2)).alias("qb"))
 
-    def whole(v: Column) -> Column:
-        gap = F.length(v["s2"]) - F.length(F.ltrim(v["s2"], F.lit("-")))
-        measures = F.struct(F.length(v["s1"]).alias("short"), gap.alias("gap"))
-        return bind(measures, lambda m: F.array_join(F.transform(F.sequence(F.lit(1), F.length(v["s2"])), lambda i: base(v, m, i)), ""))
+    def base(x: Column, i: Column) -> Column:
+        a, b, past = x["a"], x["b"], x["a"].isNull()
+        qa, qb = F.coalesce(cigar.phred(x["qa"]), F.lit(-33)), cigar.phred(x["qb"])
+        differ = past | (a != b)
+        kept = F.when(past | (differ & (qb - qa >= delta)), b).otherwise(a)
+        bad = (kept != "-") & ((differ & (F.abs(qb - qa) < delta)) | (F.greatest(qa, qb) <= cutoff))
+        return F.when(past & (i < gap), "n").when(bad, "N").otherwise(kept)
 
-    def base(v: Column, m: Column, i: Column) -> Column:
-        past = i > m["short"]
-        qa = F.when(past, -33).otherwise(cigar.phred(F.substring(v["q1"], i, F.lit(1))))
-        pair = F.struct(F.substring(v["s1"], i, F.lit(1)).alias("a"), F.substring(v["s2"], i, F.lit(1)).alias("b"), qa.alias("qa"), cigar.phred(F.substring(v["q2"], i, F.lit(1))).alias("qb"), past.alias("past"))
-        return bind(pair, lambda p: F.when(p["past"] & (i <= m["gap"]), "n").otherwise(chosen(p)))
-
-    def chosen(p: Column) -> Column:
-        differ = p["past"] | (p["a"] != p["b"])
-        kept = F.when(p["past"] | (differ & (p["qb"] - p["qa"] >= delta)), p["b"]).otherwise(p["a"])
-        bad = (differ & (F.abs(p["qb"] - p["qa"]) < delta)) | (F.greatest(p["qa"], p["qb"]) <= cutoff)
-        return bind(kept, lambda k: F.when(bad & (k != "-"), "N").otherwise(k))
-
-    return bind(sides, whole)
+    return F.array_join(F.transform(columns, base), "")
 
 
 def merge_pairs(sam: DataFrame) -> DataFrame:
@@ -103,18 +97,24 @@ def usable_pairs(sam: DataFrame) -> DataFrame:
 
 
 def clip_counts(tokens: DataFrame) -> DataFrame:
-    """rname, ref_pos, n: pairs in which a mate is clipped at the position and neither is mapped there."""
-    clipped = cigar.clipped_positions(tokens, ["qname", "rname"]).distinct()
-    mapped = cigar.aligned_bases(tokens.filter("op = 'M'"), ["qname", "rname"]).select("qname", "rname", "ref_pos")
-    return clipped.join(mapped, ["qname", "rname", "ref_pos"], "left_anti").groupBy("rname", "ref_pos").agg(F.count(F.lit(1)).alias("n"))
+    """rname, ref_pos, n: pairs in which a mate is clipped at the position and neither is mapped there.
+
+    A pair's clipped positions lose its mapped ones within its row; only what is left is exploded.
+    """
+    start = F.col("pos") + F.col("r0") - F.when((F.col("op") == "S") & (F.col("q0") == 0), F.col("len")).otherwise(0)
+    held = F.sequence(start.cast("long"), (start + F.col("len") - 1).cast("long"))
+    all_of = lambda op: F.flatten(F.collect_list(F.when(F.col("op") == op, held)))
+    of_pair = tokens.filter("op IN ('M', 'S') AND len > 0").groupBy("qname", "rname").agg(all_of("S").alias("clipped"), all_of("M").alias("mapped"))
+    left = of_pair.select("rname", F.explode(F.array_except("clipped", "mapped")).alias("ref_pos"))
+    return left.groupBy("rname", "ref_pos").agg(F.count(F.lit(1)).alias("n"))
 
 
 def resolve_mixed_references(sam: DataFrame) -> DataFrame:
-    """qname, rname of pairs whose mapped mates are on two references: by higher MAPQ (a number), else the first mate."""
-    of_pair = Window.partitionBy("qname")
-    mapped = sam.filter(~cigar.is_unmapped(F.col("flag"))).withColumn("_refs", F.size(F.collect_set("rname").over(of_pair)))
-    best = Window.partitionBy("qname").orderBy(F.desc("mapq"), "mate")
-    return mapped.filter("_refs > 1").withColumn("_n", F.row_number().over(best)).filter("_n = 1").select("qname", "rname", "mapq")
+    """qname, rname, mapq, score of pairs whose mapped mates are on two references: by higher MAPQ (a number), then by higher
+    alignment score (none is least), else the first mate. One shuffle."""
+    item = F.struct("mapq", "score", (-F.col("mate")).alias("m"), "rname")
+    mapped = sam.filter(~cigar.is_unmapped(F.col("flag"))).groupBy("qname").agg(F.max(item).alias("best"), F.min("rname").alias("low"), F.max("rname").alias("high"))
+    return mapped.filter("low < high").select("qname", "best.rname", "best.mapq", "best.score")
 
 
 def read_movement(before: DataFrame, after: DataFrame, width: int = 100, least_share: float = 0.1) -> DataFrame:

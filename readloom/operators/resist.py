@@ -17,7 +17,7 @@ def coverage_check(coverage: DataFrame, windows: DataFrame, least: int = MIN_COV
     inside = F.col("pos").between(F.col("start"), F.col("end"))
     at = lambda p: F.coalesce(F.max(F.when(F.col("pos") == F.col(p), F.col("coverage"))), F.lit(0))
     per = joined.groupBy("seed", "start", "end").agg((F.coalesce(F.sum(F.when(inside, F.col("coverage"))), F.lit(0)) / (F.max("end") - F.max("start") + 1)).alias("mean"), at("start").alias("first"), at("end").alias("last"))
-    reason = F.when(F.col("mean") < least, "low average coverage").when(F.col("last") < least, "not enough high-coverage at end").when((F.col("start") == 1) & (F.col("first") < least), "not enough high-coverage at start")
+    reason = F.when(F.col("mean") < least, "low average coverage").when(F.col("last") < least, "not enough high-coverage amino acids").when((F.col("start") == 1) & (F.col("first") < least), "not enough high-coverage amino acids")
     return per.select("seed", reason.alias("reason"))
 
 

@@ -197,3 +197,22 @@ def filled(rows: DataFrame, expected: DataFrame, key: list[str]) -> DataFrame:
 def properties_table(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row an app of `rows(app, key, value)`, with the listed keys as columns."""
     return rows.groupBy("app").pivot("key", keys).agg(F.first("value"))
+
+
+def significant_changes(old: DataFrame, new: DataFrame, key: list[str], least: float = 0.05) -> DataFrame:
+    """key, old_base, new_base of positions of `old` and `new(key, base, A, C, G, T, coverage)` whose consensus differs much.
+
+    Either base may show it: a mixture always; a plain base if its share of the coverage moved by more than `least`, or if a
+    coverage is 0. Too little coverage (x) and deletions don't, but x on one side does if one coverage is less than half the
+    other. A position that is missing on one side has no base and no coverage there.
+    """
+    counts = ["A", "C", "G", "T", "coverage"]
+    side = lambda d, n: d.select(*key, *(F.col(c).alias(f"{n}_{c}") for c in ["base", *counts]))
+    both = side(old, "old").join(side(new, "new"), key, "full").fillna(0, [f"{n}_{c}" for n in ("old", "new") for c in counts]).fillna("", ["old_base", "new_base"])
+    share = lambda n, b: sum((F.when(b == c, F.col(f"{n}_{c}")).otherwise(0) for c in "ACGT"), F.lit(0)) / F.col(f"{n}_coverage")
+    bare = (F.col("old_coverage") == 0) | (F.col("new_coverage") == 0)
+    moved = lambda b: F.when(b.isin("x", "-", ""), False).when(~b.isin(*"ACGT"), True).when(bare, True).otherwise(F.abs(share("old", b) - share("new", b)) > least)
+    halved = (F.col("old_coverage") < F.col("new_coverage") / 2) | (F.col("new_coverage") < F.col("old_coverage") / 2)
+    thin = ((F.col("old_base") == "x") | (F.col("new_base") == "x")) & halved
+    differ = F.col("old_base") != F.col("new_base")
+    return both.filter(differ & (moved(F.col("old_base")) | moved(F.col("new_base")) | thin)).select(*key, "old_base", "new_base")

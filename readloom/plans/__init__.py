@@ -4,7 +4,7 @@ from importlib import import_module
 
 from readloom.plans.registry import QUERIES, SQL
 
-for _name in ("scalars", "reads", "positions", "reports", "calls", "more", "files", "streams"):
+for _name in ("scalars", "reads", "positions", "reports", "calls", "more", "segments", "files", "streams"):
     import_module(f"readloom.plans.{_name}")
 
 __all__ = ["QUERIES", "SQL"]

@@ -29,7 +29,7 @@ def rules(spark: SparkSession) -> DataFrame:
 
 @query(
     "r1_coverage_check",
-    f"WITH {_COV}, w AS (SELECT * FROM {values(_WINDOWS, 'seed, st, en')}), p AS (SELECT w.seed, st, coalesce(sum(coverage) FILTER (WHERE pos BETWEEN st AND en), 0) / (en - st + 1) AS m, coalesce(max(coverage) FILTER (WHERE pos = st), 0) AS f, coalesce(max(coverage) FILTER (WHERE pos = en), 0) AS l FROM w LEFT JOIN cov ON cov.seed = w.seed GROUP BY w.seed, st, en) SELECT seed, CASE WHEN m < 100 THEN 'low average coverage' WHEN l < 100 THEN 'not enough high-coverage at end' WHEN st = 1 AND f < 100 THEN 'not enough high-coverage at start' END AS reason FROM p",
+    f"WITH {_COV}, w AS (SELECT * FROM {values(_WINDOWS, 'seed, st, en')}), p AS (SELECT w.seed, st, coalesce(sum(coverage) FILTER (WHERE pos BETWEEN st AND en), 0) / (en - st + 1) AS m, coalesce(max(coverage) FILTER (WHERE pos = st), 0) AS f, coalesce(max(coverage) FILTER (WHERE pos = en), 0) AS l FROM w LEFT JOIN cov ON cov.seed = w.seed GROUP BY w.seed, st, en) SELECT seed, CASE WHEN m < 100 THEN 'low average coverage' WHEN l < 100 THEN 'not enough high-coverage amino acids' WHEN st = 1 AND f < 100 THEN 'not enough high-coverage amino acids' END AS reason FROM p",
     "aminos",
 )
 def r1(aminos: DataFrame) -> DataFrame:

@@ -83,11 +83,11 @@ def a9(sam: DataFrame) -> DataFrame:
 
 @query(
     "t5_mixed_references",
-    "SELECT qname, rname, mapq FROM (SELECT *, row_number() OVER (PARTITION BY qname ORDER BY mapq DESC, mate) AS k FROM sam WHERE flag & 4 = 0 AND qname IN (SELECT qname FROM sam WHERE flag & 4 = 0 GROUP BY qname HAVING count(DISTINCT rname) > 1)) WHERE k = 1",
+    "WITH s AS (SELECT *, pos * mate % 40 AS score FROM sam WHERE flag & 4 = 0) SELECT qname, rname, mapq, score FROM (SELECT *, row_number() OVER (PARTITION BY qname ORDER BY mapq DESC, score DESC, mate) AS k FROM s WHERE qname IN (SELECT qname FROM s GROUP BY qname HAVING count(DISTINCT rname) > 1)) WHERE k = 1",
     "sam",
 )
 def t5(sam: DataFrame) -> DataFrame:
-    return pairing.resolve_mixed_references(sam)
+    return pairing.resolve_mixed_references(sam.withColumn("score", F.col("pos") * F.col("mate") % 40))
 
 
 @query(
@@ -288,16 +288,4 @@ def c3(aligned: DataFrame) -> DataFrame:
 )
 def p20(reads: DataFrame) -> DataFrame:
     made = reads.select("pair_id", "mate", F.when(F.col("pair_id") % 4 == 0, F.concat(F.lit("TGT"), F.substring("seq", 1, 99), F.lit("TGT"))).otherwise(F.col("seq")).alias("seq")).filter("length(seq) >= 3")
-    return seq.translate(made).select("pair_id", "mate", call_error().alias("error"))
-
-
-def call_error():
-    """The first reason not to call a read, or null; over seq, amino and the statistics of its translation."""
-    text, prot = F.col("seq"), F.col("amino")
-    size = F.length(text)
-    low = 2 * (size - F.length(F.translate(F.upper(text), "N", ""))) > size
-    return (
-        F.when(low, "low quality").when(size == 0, "zerolength").when(size % 3 != 0, "notdiv3")
-        .when(~(prot.startswith("C") & prot.endswith("C")), "cysteines").when((F.col("ambiguous") > 1) | (F.col("most_aminos") > 2), "> 2 ambiguous")
-        .when(prot.contains("*"), "stop codons").when((F.length(prot) < 32) | (F.length(prot) > 40), "length")
-    )
+    return seq.translate(made).select("pair_id", "mate", seq.call_error().alias("error"))

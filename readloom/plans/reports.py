@@ -369,18 +369,20 @@ def c8(rows: DataFrame) -> DataFrame:
 
 @query(
     "c4_significant_changes",
-    f"""WITH {_CONS}, m AS (SELECT refname, pos, coverage, CASE WHEN coverage < 100 THEN 'x' ELSE base END AS b FROM cons WHERE cutoff = '0.250'), j AS (SELECT a.pos, a.b AS b1, b.b AS b2, a.coverage AS c1, b.coverage AS c2 FROM (SELECT * FROM m WHERE refname = 'ref0') a FULL JOIN (SELECT * FROM m WHERE refname = 'ref1') b ON a.pos = b.pos)
-    SELECT pos, b1, b2 FROM j WHERE b1 IS DISTINCT FROM b2 AND coalesce(b1, '-') NOT IN ('-') AND coalesce(b2, '-') NOT IN ('-') AND (b1 <> 'x' AND b2 <> 'x' OR greatest(c1, c2) >= 2 * least(c1, c2))""",
+    f"""WITH {_CONS}, wide AS (SELECT refname, pos, {', '.join(f"coalesce(sum(n) FILTER (WHERE base = '{x}'), 0) AS {x}" for x in 'ACGT')} FROM long GROUP BY ALL), m AS (SELECT c.refname, c.pos, coverage, CASE WHEN coverage < 100 THEN 'x' ELSE base END AS b, A, C, G, T FROM cons c JOIN wide w ON w.refname = c.refname AND w.pos = c.pos WHERE cutoff = '0.250'),
+    j AS (SELECT coalesce(a.pos, b.pos) AS pos, coalesce(a.b, '') AS b1, coalesce(b.b, '') AS b2, coalesce(a.coverage, 0) AS c1, coalesce(b.coverage, 0) AS c2, {', '.join(f"coalesce({t}.{x}, 0) AS n{x}{n}" for t, n in (('a', 1), ('b', 2)) for x in 'ACGT')} FROM (SELECT * FROM m WHERE refname = 'ref0') a FULL JOIN (SELECT * FROM m WHERE refname = 'ref1') b ON a.pos = b.pos),
+    f AS (SELECT *, {', '.join(f"CASE WHEN b{n} IN ('x', '-', '') THEN false WHEN b{n} NOT IN ('A', 'C', 'G', 'T') THEN true WHEN c1 = 0 OR c2 = 0 THEN true ELSE abs(CASE b{n} WHEN 'A' THEN nA1 WHEN 'C' THEN nC1 WHEN 'G' THEN nG1 ELSE nT1 END / c1 - CASE b{n} WHEN 'A' THEN nA2 WHEN 'C' THEN nC2 WHEN 'G' THEN nG2 ELSE nT2 END / c2) > 0.05 END AS m{n}" for n in (1, 2))} FROM j)
+    SELECT pos, b1 AS old_base, b2 AS new_base FROM f WHERE b1 <> b2 AND (m1 OR m2 OR ((b1 = 'x' OR b2 = 'x') AND (c1 < c2 / 2 OR c2 < c1 / 2)))""",
     "aligned",
 )
 def c4(aligned: DataFrame) -> DataFrame:
-    bases = counts.consensus_bases(counts.position_bases(aligned), ("0.250",)).withColumn("b", F.when(F.col("coverage") < 100, "x").otherwise(F.col("base")))
-    a, b = (bases.filter(F.col("refname") == r).select("pos", F.col("b").alias(f"b{n}"), F.col("coverage").alias(f"c{n}")) for n, r in ((1, "ref0"), (2, "ref1")))
-    both = a.join(b, "pos", "full")
-    shown = lambda c: F.coalesce(F.col(c), F.lit("-")) != "-"
-    moved = F.greatest("c1", "c2") >= 2 * F.least("c1", "c2")
-    plain = (F.col("b1") != "x") & (F.col("b2") != "x")
-    return both.filter(~F.col("b1").eqNullSafe(F.col("b2")) & shown("b1") & shown("b2") & (plain | moved)).select("pos", "b1", "b2")
+    """References stand for the two releases of a sample; at this cutoff some of their bases differ."""
+    long = counts.position_bases(aligned)
+    wide = counts.pileup(long).drop("N", "del", "coverage")
+    called = counts.consensus_bases(long, ("0.250",)).withColumn("base", F.when(F.col("coverage") < 100, "x").otherwise(F.col("base")))
+    both = called.join(wide, ["refname", "pos"]).drop("cutoff")
+    old, new = (both.filter(F.col("refname") == r).drop("refname") for r in ("ref0", "ref1"))
+    return runs.significant_changes(old, new, ["pos"])
 
 
 @query("s12_properties", "SELECT app, max(CASE WHEN line = 1 THEN n END) AS k1, max(CASE WHEN line = 2 THEN n END) AS k2, max(CASE WHEN line = 9 THEN n END) AS k9 FROM (SELECT app, line, count(*) AS n FROM runs GROUP BY ALL) GROUP BY app", "runs")

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from readloom.functions import cigar, names, scores, seq
-from readloom.operators import counts, intervals, kmers, pairing, resist, runs, windows
+from readloom.operators import counts, intervals, kmers, pairing, resist, runs, segments, windows
 from readloom.sources import files
 
 
@@ -27,6 +27,18 @@ def test_translation(spark):
     assert sorted(out) == sorted([("C?-??", 5, 2), ("", 0, 0), ("?", 1, 1)])
 
 
+def test_translation_options(spark):
+    df = spark.createDataFrame([("TGTATR---ctnTAGX", 1), ("", 2), (None, 3), ("EFA0TT", 4)], "seq string, n int").repartition(3)
+
+    def of(**options):
+        return {r.n: (r.amino, r.codons, r.most_aminos, r.ambiguous) for r in seq.translate(df, **options).collect()}
+
+    assert of() == {1: ("C?-L*", 5, 2, 1), 2: ("", 0, 0, 0), 3: ("", 0, 0, 0), 4: ("??", 2, 1, 0)}
+    assert of(list_ambiguous=True)[1][0] == "C[IM]-L*" and of(resolve=True)[1][0] == "CI-L*"
+    assert of(return_list=True)[1][0] == [["C"], ["I", "M"], ["-"], ["L"], ["*"]] and of(return_list=True)[2][0] == []
+    assert of(offset=2)[1][1] == 6 and of(offset=2)[1][0][0] == "?" and of(offset=1, list_ambiguous=True)[1][0].startswith("[")
+
+
 @pytest.mark.parametrize(
     ("s1", "q1", "s2", "q2", "want"),
     [
@@ -154,3 +166,82 @@ def test_every_nth_name_is_numbered_in_ranges(spark):
         assert sorted((r.name for r in out.collect()), key=str) == sorted(sorted(names, key=lambda x: (x is not None, x or ""))[::n], key=str)
     assert "row_number() windowspecdefinition(name" not in out._jdf.queryExecution().analyzed().toString()
     assert runs.every_nth(rows.limit(0), "name", 10).collect() == []
+
+
+def test_remap_consensus(spark):
+    """Tokens by count then letters; whole-codon insertions join their base; deletions of whole codons go; N where nothing is."""
+
+    def of(rows, inserts=(), seeds=None):
+        bases = spark.createDataFrame(rows, "rname string, pos long, base string")
+        held = spark.createDataFrame(list(inserts), "rname string, pos long, base string, insert string")
+        table = spark.createDataFrame(seeds, "rname string, seed string") if seeds else None
+        return {r.rname: r.sequence for r in segments.remap_consensus(segments.remap_tokens(bases, held), table).collect()}
+
+    def read(text, start=1, name="r"):
+        return [(name, start + i, c) for i, c in enumerate(text)]
+
+    assert of(read("ACGT") + read("ACCT")) == {"r": "ACCT"}
+    assert of(read("AC", 3)) == {"r": "NNAC"}
+    assert of(read("AnNC")) == {"r": "ANNC"}
+    assert of(read("A---C") + read("A--", 1, "s") + read("T-G", 1, "t") + read("N-", 1, "u")) == {"r": "AC", "s": "A", "t": "T-G"}
+    assert of(read("ACGT") * 2, [("r", 2, "C", "GGG")] * 2 + [("r", 3, "G", "AA")]) == {"r": "ACGGGGT"}
+    assert of(read("A-N", 2) + read("----", 1, "s"), seeds=[("r", "TTGGCC"), ("s", "AA")]) == {"r": "TAGGCC"}
+    assert of(read("A-NC")) == {"r": "AN-C"}
+
+
+def test_attached_counts(spark):
+    report = spark.createDataFrame([("s", "g", p, i) for p, i in enumerate([None, None, 12, None, 14, 15, None], 1)] + [("s", "h", 1, None)], "seed string, region string, pos long, idx long")
+    at = spark.createDataFrame([("s", q, 100 + q) for q in range(9, 20)], "seed string, query_pos long, n long")
+    own = spark.createDataFrame([("s", "g", 3, 1), ("s", "g", 4, 1)], "seed string, region string, pos long, n long")
+    got = {(r.region, r.pos): (r.query_pos, r.clip_count, r.insertion_count) for r in segments.attached_counts(report, at, at, own).collect()}
+    want = {1: 11, 2: 12, 3: 13, 4: None, 5: 15, 6: 16, 7: 17}
+    assert got == {("g", p): (q, q and 100 + q, q and 100 + q + (p == 3)) for p, q in want.items()} | {("h", 1): (None, None, None)}
+    assert [r.query_pos for r in segments.attached_counts(report, at, at, own, step=3).filter("region = 'g'").orderBy("pos").collect()] == [7, 10, 13, None, 15, 16, 19]
+
+
+def test_matches_that_collide_go(spark):
+    hits = [("c", "a", 50, 0, 100, 1), ("c", "a", 40, 91, 191, 2), ("c", "a", 45, 89, 120, 3), ("c", "b", 49, 300, 400, 4), ("c", "a", 40, 190, 200, 5), ("c", "a", 1, 5, 5, 6), ("d", "b", 7, 1, 2, 7)]
+    out = segments.separate_matches(spark.createDataFrame(hits, "contig string, ref string, score long, start long, end long, ord long")).collect()
+    assert sorted(r.ord for r in out) == [1, 2, 7]
+
+
+def test_cover_is_removed_one_at_a_time(spark):
+    def of(*spans):
+        rows = [("r", i, *x) for i, x in enumerate(spans)]
+        out = intervals.without_covered(spark.createDataFrame(rows, "ref string, id long, r_st long, r_ei long, reads long"), ["ref"])
+        return sorted(r.id for r in out.collect())
+
+    assert of((0, 4, 10), (1, 10, 5), (3, 12, 6), (9, 14, 10)) == [0, 2, 3]
+    assert of((0, 4, 10), (1, 10, 6), (3, 12, 5), (9, 14, 10)) == [0, 1, 3]
+    assert of((0, 9, 5), (0, 9, 6)) == [1] and of((0, 9, 5), (0, 9, 5)) == [0, 1]
+    assert of((0, 9, None), (2, 5, 100), (7, 8, None)) == [0] and of((0, 4, 1), (5, 9, 2), (0, 9, 2)) == [2]
+    assert of((0, 4, 3), (5, 9, 2), (0, 9, 1)) == [0, 1] and of((0, 3, 9), (20, 30, 1)) == [0, 1]
+
+
+def test_match_spectrum(spark):
+    def of(*contigs, most=3):
+        out = kmers.match_spectrum(spark.createDataFrame([(c,) for c in contigs], "s string"), "s", most).collect()
+        return {(r.size, r.kmer, r.matches): r.occurrences for r in out}
+
+    assert of("AA") == {(1, "A", 1): 1}
+    assert of("ACAC", most=2) == {(1, "A", 1): 1, (1, "C", 1): 1, (2, "AC", 2): 1}
+    assert of("A", "A", "") == {} and of("AA", "AAA", most=1) == {(1, "A", 1): 3}
+    assert of("ACATC", most=2)[(2, "AC", 1)] == 2
+
+
+def test_significant_changes(spark):
+    def of(old, new):
+        schema = "pos long, base string, A long, C long, G long, T long, coverage long"
+        a, b = (spark.createDataFrame([(1, *x)] if x else [], schema) for x in (old, new))
+        return runs.significant_changes(a, b, ["pos"]).count() == 1
+
+    assert not of(("A", 90, 10, 0, 0, 100), ("A", 10, 90, 0, 0, 100))
+    assert of(("A", 90, 10, 0, 0, 100), ("C", 10, 90, 0, 0, 100)) and not of(("A", 51, 49, 0, 0, 100), ("C", 49, 51, 0, 0, 100))
+    assert of(("A", 51, 49, 0, 0, 100), ("M", 50, 50, 0, 0, 100)) and of(("A", 51, 49, 0, 0, 100), None)
+    assert of(("x", 90, 0, 0, 0, 99), ("-", 10, 0, 0, 0, 400)) and not of(("x", 99, 0, 0, 0, 99), ("A", 100, 0, 0, 0, 100)) and not of(("x", 0, 0, 0, 0, 0), ("-", 0, 0, 0, 0, 0))
+
+
+def test_equal_mapping_quality_is_told_by_alignment_score(spark):
+    rows = [("a", 99, 1, "r1", 40, 7), ("a", 147, 2, "r2", 40, 8), ("b", 99, 1, "r1", 9, 1), ("b", 147, 2, "r2", 10, 0), ("c", 99, 1, "r1", 5, 3), ("c", 147, 2, "r2", 5, 3), ("d", 99, 1, "r1", 5, None), ("d", 147, 2, "r2", 5, 0), ("e", 99, 1, "r1", 5, 1), ("e", 147, 2, "r1", 6, 1), ("f", 99, 1, "r1", 5, 1), ("f", 4, 2, "r2", 6, 1)]
+    sam = spark.createDataFrame(rows, "qname string, flag int, mate int, rname string, mapq int, score int")
+    assert {r.qname: r.rname for r in pairing.resolve_mixed_references(sam).collect()} == {"a": "r2", "b": "r2", "c": "r1", "d": "r2"}
