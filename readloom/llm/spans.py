@@ -20,8 +20,10 @@ from readloom.llm.common import filled_id
 PIECE = re.compile(r"[^\n.!?]*(?:\n\s*|[.!?]+\s*|$)")
 WORD = re.compile(r"\s*\S+\s*")
 ENDS = re.compile(r"[\n.!?]")
+#: A run as a number: 15 bits of hash, its first sentence, how many more it has.
+LENGTH_BITS, SENTENCES = 16, (1 << 48) - 1
 #: Runs in order of their hash, then of their place.
-PLACE = ["h1", "h2", "doc_id", "key", "first"]
+PLACE = ["hash", "doc_id", "key", "run"]
 #: A piece of more than MOST words is cut at the least hash of each WINDOW places between its words.
 WINDOW = 9
 MOST = 2 * WINDOW - 1
@@ -110,11 +112,10 @@ def runs_of(text: str) -> list[tuple[int, int, bytes]]:
 
 
 def hashed_runs(docs: DataFrame) -> DataFrame:
-    """A row for each run of `docs(doc_id, text, key)`, with 80 bits of hash: h1 and h2.
+    """A row for each run of `docs(doc_id, text, key)`: hash, doc_id, key and run, its sentences with 15 more bits of hash.
 
-    A repeated row counts once a batch. again: the run also stands at an earlier place (doc_id, key, first) of the same batch of
-    rows. Where a run is in most texts, one row a batch has it without again; the others are dealt by their documents' key
-    instead of the hash, in `at`.
+    A repeated row counts once a batch. A run that also stands at an earlier place of the same batch of rows has a negative
+    `run` and a hash of its document, so that of a run that most texts have, one row a batch goes to the hash's task.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,45 +130,49 @@ def hashed_runs(docs: DataFrame) -> DataFrame:
                 raw += [xxhash.xxh3_128_digest(t) for _, _, t in found]
             if not rows:
                 continue
-            h, s = np.frombuffer(b"".join(raw), "<i8").reshape(-1, 2), np.array(spans, np.int32)
-            out = batch[["doc_id", "key"]].take(rows).reset_index(drop=True)
-            out = out.assign(first=s[:, 0], last=s[:, 1], h1=h[:, 0], h2=h[:, 1].astype(np.int16)).drop_duplicates(ignore_index=True)
-            out = out.sort_values(PLACE, ignore_index=True)
+            h, s = np.frombuffer(b"".join(raw), "<i8").reshape(-1, 2), np.array(spans, np.int64)
+            more = (h[:, 1] & 0x7FFF) << 48
+            out = batch[["doc_id", "key"]].take(rows).reset_index(drop=True).assign(hash=h[:, 0], run=more | (s[:, 0] << LENGTH_BITS) | (s[:, 1] - s[:, 0]))
+            out = out.drop_duplicates().sort_values(PLACE, ignore_index=True)
             again = _first_of(out) != np.arange(len(out))
-            yield out.assign(again=again, at=np.where(again, out["key"], out["h1"]))
+            yield out.assign(hash=np.where(again, out["key"] ^ out["doc_id"] * 0x9E3779B97F4A7C1, out["hash"]), run=np.where(again, -1 - (out["run"] & SENTENCES), out["run"]))
 
-    return docs.mapInPandas(run, "doc_id long, key long, first int, last int, h1 long, h2 short, again boolean, at long")
+    return docs.mapInPandas(run, "hash long, doc_id long, key long, run long")
 
 
 def _first_of(runs: pd.DataFrame) -> np.ndarray:
-    """For each row, the number of the first row with its hash; equal hashes lie together."""
+    """For each row, the number of the first row with its whole hash; equal 64-bit hashes lie together."""
+    h, more = runs["hash"].to_numpy(), runs["run"].to_numpy() >> 48
     new = np.ones(len(runs), bool)
-    for c in ("h1", "h2"):
-        own = runs[c].to_numpy()
-        new[1:] &= own[1:] == own[:-1]
-    new[1:] = ~new[1:]
+    new[1:] = (h[1:] != h[:-1]) | (more[1:] != more[:-1])
     return np.maximum.accumulate(np.where(new, np.arange(len(runs)), 0))
 
 
 def repeats(runs: DataFrame) -> DataFrame:
-    """Of `hashed_runs`, doc_id, key, first and last of those that aren't at the first place of their hash.
+    """Of `hashed_runs`, doc_id, key, first and last of those that aren't at the first place (doc_id, key, first) of their hash.
 
     One shuffle brings equal hashes together in order of place; a task streams through them and holds one row back.
     """
-    columns = ["doc_id", "key", "first", "last"]
+
+    def told(rows: pd.DataFrame, span: np.ndarray) -> pd.DataFrame:
+        first = span >> LENGTH_BITS
+        return pd.DataFrame({"doc_id": rows["doc_id"], "key": rows["key"], "first": first, "last": first + (span & (1 << LENGTH_BITS) - 1)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None  # the first row of the last hash
         for batch in batches:
-            yield batch.loc[batch["again"], columns]
-            own = pd.concat([held, batch[~batch["again"]]], ignore_index=True)
+            again = batch["run"].to_numpy() < 0
+            yield told(batch[again], -1 - batch["run"].to_numpy()[again])
+            own = pd.concat([held, batch[~again]], ignore_index=True)
             if len(own):
                 first = _first_of(own)
-                place = own[["doc_id", "key", "first"]].to_numpy()
-                yield own.loc[(place != place[first]).any(axis=1), columns]
+                span = own["run"].to_numpy()
+                place = np.column_stack([own["doc_id"], own["key"], span >> LENGTH_BITS])
+                later = (place != place[first]).any(axis=1)
+                yield told(own[later], span[later] & SENTENCES)
                 held = own.iloc[first[-1:]]
 
-    return runs.repartition("at").sortWithinPartitions(*PLACE).mapInPandas(run, "doc_id long, key long, first int, last int")
+    return runs.repartition("hash").sortWithinPartitions(*PLACE).mapInPandas(run, "doc_id long, key long, first long, last long")
 
 
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
