@@ -1,93 +1,144 @@
-"""Document fingerprints: a Merkle tree over paragraphs and sections, in native expressions.
+"""Document fingerprints: a Merkle tree over sentences, paragraphs and sections, in native expressions.
 
-A paragraph is a line; its leaf is the SHA-256 of its text, and it also carries 64-bit hashes of its sentences, which measure
-likeness below a paragraph. Sections end after a paragraph whose hash ends in 0, 1, 2 or 3, so an edit moves no section bound
-elsewhere. The root over all sections is the fingerprint: equal texts have equal roots, and differing branches lead to edits.
+A sentence's node is the MD5 of its text, that of a paragraph (a line) the MD5 of its sentences' nodes, that of a section the MD5
+of its paragraphs' nodes with theirs below. Sections end after a paragraph whose hash ends in 0, 1, 2 or 3, so an edit moves no
+section bound elsewhere. The SHA-256 over all sections is the fingerprint: equal texts have equal roots. Two trees are compared
+from the top, and only branches that differ are opened: they tell how much is alike and where the first edit is.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from readloom.functions.bind import bind
+
 #: Rows of a stretch of ascending doc_ids, and the most stretches: a window's task holds one stretch at a time.
-ROWS_A_STRETCH, MOST_STRETCHES, FAN = 500, 65_536, 256
+ROWS_A_STRETCH, MOST_STRETCHES = 500, 65_536
+#: A node is written as its hash, a mark, and its children: paragraph `hash:sentence,sentence`, section `hash|paragraph;paragraph`.
+HASH = 32
+
+
+def _children(node: Column, mark: str) -> Column:
+    return F.split(F.substr(node, F.lit(HASH + 2)), mark)
 
 
 def tree(text: Column) -> Column:
-    """struct<root, sections, paragraphs, sentences> of a text; an empty text has one empty paragraph."""
-    paragraphs = F.transform(F.split(text, "\n"), lambda p: F.sha2(p, 256))
-    sections = F.transform(F.split(F.regexp_replace(F.array_join(paragraphs, ","), "([0-3]),", "$1;"), ";"), lambda s: F.sha2(s, 256))
-    root = F.sha2(F.array_join(sections, ","), 256)
-    sentences = F.array_distinct(F.transform(F.split(text, r"(?<=[.!?|\n]\s?)(?=[^\s.!?|])"), lambda s: F.xxhash64(s)))
-    return F.struct(root.alias("root"), sections.alias("sections"), paragraphs.alias("paragraphs"), sentences.alias("sentences"))
+    """struct<root, sections, sentences (how many different ones)> of a text; an empty text has one empty paragraph."""
+    below = F.transform(F.split(text, "\n"), lambda p: F.array_join(F.transform(F.split(p, r"(?<=[.!?|]\s?)(?=[^\s.!?|])"), lambda s: F.md5(s)), ","))
+
+    def sections(children: Column) -> Column:
+        paragraphs = F.transform(children, lambda c: F.concat(F.md5(c), F.lit(":"), c))
+        ended = F.transform(paragraphs, lambda p: F.concat(p, F.when(F.substring(p, HASH, 1).isin(*"0123"), "/").otherwise(";")))
+        bodies = bind(F.array_join(ended, ""), lambda j: F.split(F.substring(j, F.lit(1), F.length(j) - 1), "/"))
+        return F.transform(bodies, lambda b: F.concat(F.md5(b), F.lit("|"), b))
+
+    def whole(children: Column) -> Column:
+        count = F.size(F.array_distinct(F.split(F.array_join(children, ","), ",")))
+        return bind(sections(children), lambda s: F.struct(root_of(s).alias("root"), s.alias("sections"), count.alias("sentences")))
+
+    return bind(below, whole)
+
+
+def root_of(sections: Column) -> Column:
+    return F.sha2(F.array_join(F.transform(sections, lambda s: F.substring(s, 1, HASH)), ","), 256)
+
+
+def _apart(a: Column, b: Column, use) -> Column:
+    """`use` of what either side has and the other hasn't, as x.a and x.b."""
+    return bind(F.struct(F.array_except(a, b).alias("a"), F.array_except(b, a).alias("b")), use)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """1 for equal roots, else twice the sentences in common over the sentences of both (each counted once a text)."""
-    common = F.size(F.array_intersect(a["sentences"], b["sentences"]))
-    return F.when(a["root"] == b["root"], 1.0).otherwise(2.0 * common / (F.size(a["sentences"]) + F.size(b["sentences"])))
+    """1 for equal roots, else the share of both trees' different sentences that no differing branch holds alone.
+
+    Sections that both trees have stay closed, and so do the paragraphs that both have in other sections.
+    """
+
+    def opened(x: Column, mark: str) -> tuple[Column, Column]:
+        return tuple(F.flatten(F.transform(side, lambda node: _children(node, mark))) for side in (x["a"], x["b"]))
+
+    alone = _apart(a["sections"], b["sections"], lambda s: _apart(*opened(s, ";"), lambda p: _apart(*opened(p, ","), lambda x: F.size(x["a"]) + F.size(x["b"]))))
+    return F.when(a["root"] == b["root"], 1.0).otherwise(1.0 - alone / (a["sentences"] + b["sentences"]))
 
 
 def first_difference(a: Column, b: Column) -> Column:
-    """Number from 0 of the first paragraph that differs; null for equal trees."""
-    most = F.greatest(F.size(a["paragraphs"]), F.size(b["paragraphs"]))
-    differs = F.filter(F.sequence(F.lit(0), most - 1), lambda i: ~F.get(a["paragraphs"], i).eqNullSafe(F.get(b["paragraphs"], i)))
-    return F.when(a["root"] != b["root"], F.get(differs, 0))
+    """Number from 0 of the first paragraph that differs, found in the first section that does; null for equal trees."""
 
+    def place(x: Column, y: Column) -> Column:
+        return F.array_position(F.zip_with(x, y, lambda i, j: i.eqNullSafe(j)), F.lit(False)).cast("int") - 1
 
-def _stretch(doc_id: Column, bounds: list[int]) -> Column:
-    """How many bounds are at most doc_id, found in two steps of at most FAN comparisons; nulls come first."""
-    if not bounds:
-        return F.lit(0)
-    parts = [bounds[i : i + FAN] for i in range(0, len(bounds), FAN)]
-    tops = F.array(*(F.lit(p[0]) for p in parts))
-    part = F.greatest(F.size(F.filter(tops, lambda b: b <= doc_id)), F.lit(1))
-    own = F.get(F.array(*(F.array(*map(F.lit, p)) for p in parts)), part - 1)
-    return (part - 1) * FAN + F.size(F.filter(own, lambda b: b <= doc_id))
+    def within(k: Column) -> Column:
+        before = F.aggregate(F.slice(a["sections"], F.lit(1), k), F.lit(0), lambda n, s: n + F.size(F.split(s, ";")))
+        none = F.array().cast("array<string>")
+        return before + place(*(F.coalesce(_children(F.get(t["sections"], k), ";"), none) for t in (a, b)))
 
+    return F.when(a["root"] != b["root"], bind(place(a["sections"], b["sections"]), within))
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """`docs(doc_id, text)` with next_text, the text of the next row by doc_id, nulls first; the first row's after the last.
 
-    Quantiles of doc_id part the rows into stretches that are windows of their own; a stretch's last row takes the first text
-    of the next one. Texts are shuffled once.
+def _stretched(docs: DataFrame) -> DataFrame:
+    """`docs(doc_id, text)` with h, a hash of the text that orders equal ids, and stretch, which grows with (doc_id, h), nulls first.
+
+    Bounds are quantiles of doc_id; a JVM-side search finds a row's. Rows without doc_id are dealt by h.
+    """
+    counted = docs.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("ids")).first()
+    stretches = lambda n: max(1, min(MOST_STRETCHES, n // ROWS_A_STRETCH))
+    n, parts = stretches(counted["ids"]), stretches(counted["n"] - counted["ids"])
+    cuts = [i / n for i in range(1, n)]
+    bounds = sorted({float(b) for b in docs.agg(F.percentile_approx("doc_id", cuts, 20 * n)).first()[0] or []}) if cuts else []
+    hashed = docs.withColumns({"h": F.xxhash64("text"), "_id": F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0))})
+    if bounds:
+        hashed = Bucketizer(splits=[-float("inf"), *bounds, float("inf")], inputCol="_id", outputCol="_stretch").transform(hashed)
+    else:
+        hashed = hashed.withColumn("_stretch", F.lit(0))
+    by_hash = F.floor((F.shiftrightunsigned(F.col("h").bitwiseXOR(F.lit(-(1 << 63))), 11) / float(1 << 53)) * parts) - parts
+    stretch = F.when(F.col("doc_id").isNull(), by_hash).otherwise(F.col("_stretch")).cast("int")
+    return hashed.withColumn("stretch", stretch).drop("_id", "_stretch")
+
+
+def with_next(docs: DataFrame, made: Column) -> DataFrame:
+    """`docs(doc_id, text)` with own, the value of `made(text)`, and the next row's text and value, next_text and next_own, by doc_id,
+    nulls first; the first row's after the last.
+
+    A stretch of rows is a window of its own; its last row takes the first row of the next one, from a small table of these.
+    Texts are shuffled once, and `made` is computed once a row.
     """
-    n = docs.count()
-    stretches = min(MOST_STRETCHES, n // ROWS_A_STRETCH)
-    cuts = [i / stretches for i in range(1, stretches)] if stretches > 1 else []
-    bounds = sorted(set(docs.agg(F.percentile_approx("doc_id", cuts, 20 * stretches)).first()[0] or [])) if cuts else []
-    placed = docs.select("doc_id", "text", _stretch(F.col("doc_id"), bounds).alias("stretch"))
-    order = Window.partitionBy("stretch").orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    led = placed.withColumns({"next_text": F.lead("text").over(order), "last": F.lead(F.lit(1)).over(order).isNull()})
-    firsts = {r["stretch"]: r["doc_id"] for r in placed.groupBy("stretch").agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id"))["doc_id"].alias("doc_id")).collect()}
-    known = sorted(firsts)
-    after = [(s, firsts[known[(i + 1) % len(known)]]) for i, s in enumerate(known)]  # a row a stretch
-    heads = docs.sparkSession.createDataFrame(after, "of int, head long")
-    texts = docs.join(heads, F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("of").agg(F.min_by("text", F.xxhash64("text")).alias("head_text"))
-    joined = led.join(texts, (F.col("stretch") == F.col("of")) & F.col("last"), "left")
-    return joined.select("doc_id", "text", F.when(F.col("last"), F.col("head_text")).otherwise(F.col("next_text")).alias("next_text"))
+    placed = _stretched(docs)
+    firsts = placed.groupBy("stretch").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "h")).alias("f")).select("stretch", "f.doc_id", "f.h").collect()
+    known = sorted(firsts, key=lambda r: r["stretch"])
+    after = [(r["stretch"], known[(i + 1) % len(known)]["doc_id"], known[(i + 1) % len(known)]["h"]) for i, r in enumerate(known)]
+    heads = docs.sparkSession.createDataFrame(after, "of int, head long, head_h long")  # a row a stretch, MOST_STRETCHES twice at most
+    order = Window.partitionBy("stretch").orderBy(F.col("doc_id").asc_nulls_first(), "h")
+    own = placed.withColumn("own", made)
+    item = F.struct("text", "own")
+    led = own.withColumns({"_next": F.lead(item).over(order), "_last": F.lead(F.lit(1)).over(order).isNull()})
+    found = placed.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("h") == F.col("head_h"))).groupBy("of").agg(F.first("text").alias("text"))
+    first = found.withColumn("own", made).select("of", item.alias("_first"))
+    joined = led.join(first, (F.col("stretch") == F.col("of")) & F.col("_last"), "left")
+    following = F.when(F.col("_last"), F.col("_first")).otherwise(F.col("_next"))
+    return joined.select("doc_id", "text", "own", following["text"].alias("next_text"), following["own"].alias("next_own"))
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Columns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_sections, n_paragraphs,
-    first_edit of every row of `docs(doc_id, text)`.
+    first_edit of every row of `docs(doc_id, text)`; its other columns are ignored, whatever their names.
 
     The edited text ends, for its last half of code points (rounded down), in the first as many of the next document; the last
-    document is followed by the first, and one alone by itself. Rows that repeat a doc_id are ordered by a hash of their texts.
-    A null text is empty; empty texts have the fingerprint of one empty paragraph. first_edit is the first paragraph in which
-    the edited text differs, null where it doesn't. An empty table gives no rows.
+    document is followed by the first, and one alone by itself. Rows that repeat a doc_id, and rows without one, are ordered by a
+    hash of their texts. A null text is empty; empty texts have the fingerprint of one empty paragraph. first_edit is the first
+    paragraph in which the edited text differs, null where it doesn't. Of very long texts the tree takes about half of their size.
+    An empty table gives no rows.
     """
     filled = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     half = F.floor(F.length("text") / 2).cast("int")
-    kept = F.length("text") - half
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), kept), F.substring(F.col("next_text"), F.lit(1), half))
-    texts = with_next(filled).select("doc_id", F.length("text").cast("long").alias("n_chars"), "text", "next_text", edited.alias("edited"))
-    trees = texts.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), tree(F.col("text")).alias("t"), tree(F.col("edited")).alias("e"), tree(F.col("next_text")).alias("n"))
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
+    texts = with_next(filled, tree(F.col("text"))).withColumn("edited", edited)
+    trees = texts.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.size(F.split("text", "\n")).alias("n_paragraphs"), F.col("own").alias("t"), tree(F.col("edited")).alias("e"), F.col("next_own").alias("n"))
     t, e = F.col("t"), F.col("e")
     return trees.select(
         "doc_id", "n_chars", "edited_sha256",
         t["root"].alias("fingerprint"), e["root"].alias("edited_fingerprint"),
         likeness(t, e).alias("near_edited"), likeness(t, F.col("n")).alias("near_next"),
-        F.size(t["sections"]).alias("n_sections"), F.size(t["paragraphs"]).alias("n_paragraphs"), first_difference(t, e).alias("first_edit"),
+        F.size(t["sections"]).alias("n_sections"), "n_paragraphs", first_difference(t, e).alias("first_edit"),
     )

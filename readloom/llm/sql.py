@@ -18,20 +18,39 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-_HASHES = "list_transform(string_split({0}, chr(10)), lambda p: sha256(p))"
-_SECTIONS = "list_transform(string_split(regexp_replace(array_to_string({0}, ','), '([0-3]),', '\\1;', 'g'), ';'), lambda s: sha256(s))"
-_SENTENCES = "list_distinct(string_split(regexp_replace({0}, '([.!?|\\n]\\s?)([^\\s.!?|])', concat('\\1', chr(1), '\\2'), 'g'), chr(1)))"
-_NEAR = "CASE WHEN {0}_root = {1}_root THEN 1.0 ELSE 2.0 * len(list_intersect({0}_sent, {1}_sent)) / (len({0}_sent) + len({1}_sent)) END"
+_BELOW = "list_transform(string_split({0}, chr(10)), lambda p: array_to_string(list_transform(string_split(regexp_replace(p, '([.!?|]\\s?)([^\\s.!?|])', concat('\\1', chr(1), '\\2'), 'g'), chr(1)), lambda s: md5(s)), ','))"
+_PARAGRAPHS = "list_transform({0}, lambda c: concat(md5(c), ':', c))"
+_BODIES = "array_to_string(list_transform({0}, lambda p: concat(p, CASE WHEN substr(p, 32, 1) IN ('0', '1', '2', '3') THEN '/' ELSE ';' END)), '')"
+_SECTIONS = "list_transform(string_split(left({0}, length({0}) - 1), '/'), lambda b: concat(md5(b), '|', b))"
+_OPEN = "flatten(list_transform({0}, lambda x: string_split(substr(x, 34), '{1}')))"
+_ALONE = "list_distinct(list_filter({0}, lambda x: NOT list_contains({1}, x)))"
+_PAIRS = (("t", "e"), ("t", "n"))
+
+
+def _apart(step: str, of: str) -> str:
+    """Columns of what each side of each pair has alone: {pair}{side}_{step} from {pair}{side}_{of}."""
+    return ", ".join(f"{_ALONE.format(f'{a}{b}{x}_{of}', f'{a}{b}{y}_{of}')} AS {a}{b}{x}_{step}" for a, b in _PAIRS for x, y in (("a", "b"), ("b", "a")))
+
+
+def _opened(step: str, of: str, mark: str) -> str:
+    return ", ".join(f"{_OPEN.format(f'{a}{b}{x}_{of}', mark)} AS {a}{b}{x}_{step}" for a, b in _PAIRS for x in "ab")
+
+
+_NEAR = "CASE WHEN {0}_root = {1}_root THEN 1.0 ELSE 1.0 - (len({0}{1}a_q) + len({0}{1}b_q)) / ({0}_n + {1}_n) END"
+_PLACE = "list_min(list_filter(range(0, greatest(len({0}), len({1}))), lambda i: {0}[i + 1] IS DISTINCT FROM {1}[i + 1]))"
 
 OP9 = f"""
 WITH filled AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 led AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS following FROM filled),
 three AS (SELECT doc_id, text AS t, following AS n, concat(substr(text, 1, length(text) - length(text) // 2), substr(following, 1, length(text) // 2)) AS e FROM led),
-leaves AS (SELECT *, {', '.join(f"{_HASHES.format(x)} AS {x}_par, {_SENTENCES.format(x)} AS {x}_sent" for x in 'ten')} FROM three),
-nodes AS (SELECT *, {', '.join(f"{_SECTIONS.format(f'{x}_par')} AS {x}_sec" for x in 'ten')} FROM leaves),
-roots AS (SELECT *, {', '.join(f"sha256(array_to_string({x}_sec, ',')) AS {x}_root" for x in 'ten')} FROM nodes)
+leaves AS (SELECT *, {', '.join(f"{_BELOW.format(x)} AS {x}_below" for x in 'ten')} FROM three),
+lines AS (SELECT *, {', '.join(f"{_PARAGRAPHS.format(f'{x}_below')} AS {x}_par, len(list_distinct(string_split(array_to_string({x}_below, ','), ','))) AS {x}_n" for x in 'ten')} FROM leaves),
+bodies AS (SELECT *, {', '.join(f"{_BODIES.format(f'{x}_par')} AS {x}_body" for x in 'ten')} FROM lines),
+nodes AS (SELECT *, {', '.join(f"{_SECTIONS.format(f'{x}_body')} AS {x}_sec" for x in 'ten')} FROM bodies),
+roots AS (SELECT *, {', '.join(f"sha256(array_to_string(list_transform({x}_sec, lambda s: left(s, 32)), ',')) AS {x}_root" for x in 'ten')}, {', '.join(f"{a}_sec AS {a}{b}a_s, {b}_sec AS {a}{b}b_s" for a, b in _PAIRS)} FROM nodes),
+d1 AS (SELECT *, {_apart('d', 's')} FROM roots), d2 AS (SELECT *, {_opened('p', 'd', ';')} FROM d1), d3 AS (SELECT *, {_apart('o', 'p')} FROM d2), d4 AS (SELECT *, {_opened('l', 'o', ',')} FROM d3), d5 AS (SELECT *, {_apart('q', 'l')} FROM d4)
 SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(e) AS edited_sha256, t_root AS fingerprint, e_root AS edited_fingerprint,
   {_NEAR.format('t', 'e')} AS near_edited, {_NEAR.format('t', 'n')} AS near_next, len(t_sec) AS n_sections, len(t_par) AS n_paragraphs,
-  CASE WHEN t_root <> e_root THEN list_min(list_filter(range(0, greatest(len(t_par), len(e_par))), lambda i: t_par[i + 1] IS DISTINCT FROM e_par[i + 1])) END AS first_edit
-FROM roots
+  CASE WHEN t_root <> e_root THEN {_PLACE.format('t_par', 'e_par')} END AS first_edit
+FROM d5
 """

@@ -1,20 +1,43 @@
 import hashlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from readloom.llm import merkle
 
 
-def root(text):
-    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+def md5(s):
+    return hashlib.md5(s.encode()).hexdigest()
+
+
+def levels(text):
+    """Nested lists: sections of paragraphs, each a hash with its sentences' hashes."""
     sections = [[]]
-    paragraphs = [sha(p) for p in text.split("\n")]
-    for i, p in enumerate(paragraphs):
-        sections[-1].append(p)
-        if p[-1] in "0123" and i + 1 < len(paragraphs):
+    paragraphs = [[md5(s) for s in re.sub(r"([.!?|]\s?)(?=[^\s.!?|])", "\\1\0", p).split("\0")] for p in text.split("\n")]
+    for i, own in enumerate(paragraphs):
+        node = (md5(",".join(own)), own)
+        sections[-1].append(node)
+        if node[0][-1] in "0123" and i + 1 < len(paragraphs):
             sections.append([])
-    return sha(",".join(sha(",".join(s)) for s in sections))
+    return [(md5(";".join(f"{h}:{','.join(own)}" for h, own in s)), s) for s in sections]
+
+
+def root(text):
+    return hashlib.sha256(",".join(h for h, _ in levels(text)).encode()).hexdigest()
+
+
+def near(x, y):
+    """By descent with sets of hashes."""
+    if x == y:
+        return 1.0
+    a, b = levels(x), levels(y)
+    count = sum(len({s for _, ps in side for _, own in ps for s in own}) for side in (a, b))
+    closed = {h for h, _ in a} & {h for h, _ in b}
+    a, b = ([p for h, ps in side if h not in closed for p in ps] for side in (a, b))
+    closed = {h for h, _ in a} & {h for h, _ in b}
+    a, b = ({s for h, own in side if h not in closed for s in own} for side in (a, b))
+    return 1 - len(a ^ b) / count
 
 
 def text_of(rng):
@@ -29,7 +52,6 @@ def test_matches_brute_force(spark, monkeypatch):
     order = sorted(((d, t or "") for d, t, *_ in rows), key=lambda r: (r[0] is not None, r[0] or 0))
     for size in (500, 20):  # one stretch, and many
         monkeypatch.setattr(merkle, "ROWS_A_STRETCH", size)
-        monkeypatch.setattr(merkle, "FAN", 4)
         out = {r.doc_id: r for r in merkle.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string, next_text string, stretch string")).collect()}
         assert len(out) == len(rows)
         for (doc, text), (_, following) in zip(order, order[1:] + order[:1], strict=True):
@@ -37,7 +59,7 @@ def test_matches_brute_force(spark, monkeypatch):
             edited = text[: len(text) - half] + following[:half]
             assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
             assert (r.fingerprint, r.edited_fingerprint) == (root(text), root(edited))
-            assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 and (r.near_edited == 1 or text != edited)
+            assert abs(r.near_edited - near(text, edited)) < 1e-9 and abs(r.near_next - near(text, following)) < 1e-9
             a, b = text.split("\n"), edited.split("\n")
             first = next((i for i in range(max(len(a), len(b))) if a[i : i + 1] != b[i : i + 1]), None)
             assert r.first_edit == first
@@ -59,3 +81,21 @@ def test_an_edit_changes_one_branch(spark):
     a, b = merkle.tree(F.col("a")), merkle.tree(F.col("b"))
     r = df.select(F.size(F.array_except(a["sections"], b["sections"])).alias("gone"), merkle.first_difference(a, b).alias("at"), merkle.likeness(a, b).alias("near")).first()
     assert r.gone in (1, 2) and r["at"] == 30 and r.near > 0.95
+
+
+def test_shared_sections_stay_closed(spark):
+    """Trees with equal hashes over broken branches count as equal there: only differing sections are read."""
+    lines = [f"line {i} of many." for i in range(60)]
+    other = [*lines[:30], "changed", *lines[31:]]
+    trees = spark.createDataFrame([("\n".join(lines), "\n".join(other))], "x string, y string").select(merkle.tree(F.col("x")).alias("a"), merkle.tree(F.col("y")).alias("b"))
+    shared = F.array_intersect(F.col("a.sections"), F.col("b.sections"))
+    cut = lambda t: F.col(t).withField("sections", F.transform(F.col(f"{t}.sections"), lambda s: F.when(F.array_contains(shared, s), F.substring(s, 1, merkle.HASH + 1)).otherwise(s)))
+    r = trees.select(merkle.likeness(F.col("a"), F.col("b")).alias("whole"), merkle.likeness(cut("a"), cut("b")).alias("cut")).first()
+    assert r.whole == r.cut == 1 - 2 / 120
+
+
+def test_many_rows_without_id(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "ROWS_A_STRETCH", 5)
+    rows = [(None, f"text {i}\nmore {i * 7}") for i in range(40)] + [(i, f"own {i}") for i in range(3)]
+    out = merkle.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == 43 and sum(r.doc_id is None for r in out) == 40 and {r.fingerprint for r in out} == {root(t) for _, t in rows}
