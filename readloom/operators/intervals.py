@@ -32,10 +32,10 @@ def gene_bounds(landmarks: DataFrame, keep_stop: bool = False) -> DataFrame:
 def first_matching(names: DataFrame, patterns: DataFrame, name: str = "seed") -> DataFrame:
     """name, coordinates of the first of `patterns(pattern, ord, coordinates)` that matches the whole name.
 
-    A theta join on distinct names with a configured list of patterns.
+    Each distinct name is tried on the patterns, a configured list that is broadcast.
     """
     distinct = names.select(name).distinct()
-    joined = distinct.join(patterns, F.expr(f"{name} RLIKE concat('^(?:', pattern, ')$')"))
+    joined = distinct.join(F.broadcast(patterns), F.expr(f"{name} RLIKE concat('^(?:', pattern, ')$')"))
     return joined.groupBy(name).agg(F.min(F.struct("ord", "coordinates"))["coordinates"].alias("coordinates"))
 
 

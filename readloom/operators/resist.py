@@ -49,7 +49,7 @@ def padded_positions(prevalent: DataFrame, length: int) -> DataFrame:
 def needed_reports(positions: DataFrame, keys: DataFrame) -> DataFrame:
     """seed, complete: whether all key positions have aminos."""
     have = positions.filter(F.size("aminos") > 0).select("seed", "pos", F.lit(True).alias("_h"))
-    wanted = positions.select("seed").distinct().withColumn("pos", F.explode(F.array(*map(F.lit, sorted(r["pos"] for r in keys.collect())))))
+    wanted = positions.select("seed").distinct().join(F.broadcast(keys.select("pos").distinct()))  # a configured list
     return wanted.join(have, ["seed", "pos"], "left").groupBy("seed").agg(F.bool_and(F.coalesce("_h", F.lit(False))).alias("complete"))
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.sources.files import scratch
+from readloom.operators.ranks import numbered
 
 
 def numeric(value: str | Column) -> Column:
@@ -41,8 +41,8 @@ def concordance_statistics(rows: DataFrame, key: list[str], least: int = 10) ->
 
 def midpoint_quartiles(rows: DataFrame, key: list[str], value: str) -> DataFrame:
     """key, mean, q1, median, q3, iqr; a quartile between two values is their midpoint. By ranks, so no group is gathered."""
-    whole = Window.partitionBy(*key)
-    ranked = rows.withColumns({"_i": F.row_number().over(whole.orderBy(value)) - 1, "_n": F.count(F.lit(1)).over(whole)})
+    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = numbered(rows.select(*key, value), key, [value], "_i").join(sizes, key)
 
     def at(share: float) -> Column:
         place = (F.col("_n") - 1) * share
@@ -123,17 +123,8 @@ def running_best(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def every_nth(rows: DataFrame, order: str, n: int) -> DataFrame:
-    """Every n-th of distinct names, in order: numbered within ranges of names, to which the counts of earlier ranges are added.
-
-    Ranges are written once, as the bounds of another evaluation might differ. Only the counts, a row a range, are in one task.
-    """
-    path = scratch(rows.sparkSession)
-    rows.select(order).distinct().repartitionByRange(order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
-    names = rows.sparkSession.read.parquet(path)
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = names.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows")).select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
-    return names.withColumn("_n", within).join(starts, "_range").filter((F.col("_start") + F.col("_n")) % n == 0).select(order)
+    """Every n-th of distinct names, in order."""
+    return numbered(rows.select(order).distinct(), [], [order], "_k").filter(F.col("_k") % n == 0).select(order)
 
 
 def in_order(rows: DataFrame, column: str, listed: list[str]) -> DataFrame:
@@ -183,9 +174,9 @@ def consensus_change(first: Column, second: Column) -> Column:
 
 
 def padded_distance(first: Column, second: Column) -> tuple[Column, Column]:
-    """Edit distance of two sequences padded to one length, and its share in percent."""
+    """Edit distance of two sequences padded with dashes to one length, and its share in percent."""
     size = F.greatest(F.length(first), F.length(second))
-    distance = F.levenshtein(F.rpad(first, size, F.lit("x")), F.rpad(second, size, F.lit("x")))
+    distance = F.levenshtein(F.rpad(first, size, F.lit("-")), F.rpad(second, size, F.lit("-")))
     return distance, F.when(size > 0, 100 * distance / size).otherwise(0.0)
 
 

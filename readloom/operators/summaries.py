@@ -52,7 +52,7 @@ def inserted_slices(aligned: DataFrame, left: int, right: int) -> DataFrame:
 
 
 def agreement(long: DataFrame, candidates: DataFrame) -> DataFrame:
-    """dest, refname, agree, disagree: counts of bases that are, and aren't, those of each candidate `candidates(dest, pos, expected)`."""
+    """dest, refname, agree, disagree: counts of bases that are, and aren't, those of each candidate `candidates(dest, pos, expected)`, a configured few."""
     joined = long.filter(F.col("base").isin("A", "C", "G", "T")).join(candidates, "pos")
     same = F.col("base") == F.col("expected")
     return joined.groupBy("dest", "refname").agg(F.sum(F.when(same, F.col("n")).otherwise(0)).alias("agree"), F.sum(F.when(~same, F.col("n")).otherwise(0)).alias("disagree"))

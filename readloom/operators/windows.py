@@ -53,9 +53,15 @@ def true_runs(rows: DataFrame, key: list[str], order: str, flag: Column) -> Data
 
 def concordance_scores(rows: DataFrame, key: list[str], order: str, flag: Column) -> DataFrame:
     """key, order, score (roots of the runs of matches less those of mismatches) and norm (from 0 to 1; all equal: 1 if positive)."""
-    plus, minus = true_runs(rows, key, order, flag), true_runs(rows, key, order, ~flag)
-    root = F.sqrt("forward") + F.sqrt("backward")
-    both = plus.select(*key, order, root.alias("_a")).join(minus.select(*key, order, root.alias("_b")), [*key, order])
+    up = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*key).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    both = rows.select(*key, order, flag.cast("int").alias("_f"))
+    for w in (up, down):  # how many equal flags end, or begin, at each
+        both = both.withColumns({"_p": F.sum("_f").over(w), "_m": F.sum(1 - F.col("_f")).over(w)})
+        run = lambda n, other: F.col(n) - F.max(F.when(F.col("_f") == other, F.col(n)).otherwise(0)).over(w)  # noqa: B023, E731
+        step = "1" if w is up else "2"
+        both = both.withColumns({f"_a{step}": F.sqrt(run("_p", 0)), f"_b{step}": F.sqrt(run("_m", 1))})
+    both = both.withColumns({n: F.col(f"{n}1") + F.col(f"{n}2") for n in ("_a", "_b")})
     whole = Window.partitionBy(*key)
     scored = both.withColumn("score", F.round(F.col("_a") - F.col("_b"), 9))
     low, high = F.min("score").over(whole), F.max("score").over(whole)
@@ -98,13 +104,11 @@ def length_spikes(counts: DataFrame, radius: int = 20, ratio: int = 20) -> DataF
 
 def neighbour_ratios(counts: DataFrame, reach: tuple[int, ...] = (3, 4, 5, 6, 7)) -> DataFrame:
     """length, reach, ratio of a length's count to the mean of its neighbours within reach, itself left out; lengths without neighbours go."""
-    out = None
-    for b in reach:
-        near = Window.orderBy("length").rangeBetween(-b, b)  # one row a length
-        others = (F.sum("n").over(near) - F.col("n")) / (2 * b)
-        one = counts.select("length", F.lit(b).alias("reach"), F.when(others > 0, F.col("n") / F.when(others > 0, others)).alias("ratio")).filter("ratio IS NOT NULL")
-        out = one if out is None else out.unionByName(one)
-    return out
+    near = {b: Window.orderBy("length").rangeBetween(-b, b) for b in reach}  # one row a length
+    means = {f"_m{b}": (F.sum("n").over(w) - F.col("n")) / (2 * b) for b, w in near.items()}
+    others = F.array(*(F.struct(F.lit(b).alias("reach"), F.col(f"_m{b}").alias("mean")) for b in near))
+    each = counts.select("length", "n").withColumns(means).select("length", "n", F.explode(others).alias("o")).filter("o.mean > 0")
+    return each.select("length", "o.reach", (F.col("n") / F.col("o.mean")).alias("ratio"))
 
 
 def smoothed(rows: DataFrame, key: list[str], value: str) -> DataFrame:

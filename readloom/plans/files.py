@@ -13,7 +13,7 @@ from readloom.sources import files
 def s1(reads: DataFrame) -> DataFrame:
     path = files.scratch(reads.sparkSession)
     files.write_fastq(reads.select(F.concat("pair_id", F.lit(":"), "mate").alias("name"), "seq", "qual"), path)
-    return files.read_fastq(reads.sparkSession, path).drop("record")
+    return files.read_fastq(reads.sparkSession, path).drop("file", "record")
 
 
 @query("s2_fasta", "SELECT concat('d', doc_id) AS name, seq AS sequence FROM seqs", "seqs")

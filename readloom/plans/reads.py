@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from readloom.functions import cigar, seq
 from readloom.functions.tables import CODONS, CUTOFFS, MIXTURES, mixture_codons, values
-from readloom.operators import counts, pairing
+from readloom.operators import counts, pairing, ranks
 from readloom.plans.registry import query
 from readloom.plans.scalars import _RC, _TOKENS, KEY, tokens_of
 
@@ -143,7 +143,8 @@ def t8(sam: DataFrame) -> DataFrame:
 
 @query("t7_coordinate_sort", "SELECT rname, pos, qname, row_number() OVER (PARTITION BY rname ORDER BY pos, qname, mate) AS place FROM sam WHERE flag & 4 = 0", "sam")
 def t7(sam: DataFrame) -> DataFrame:
-    return counts.ranked(sam.filter("flag & 4 = 0"), ["rname"], ["pos", "qname", "mate"]).select("rname", "pos", "qname", (F.col("rank") + 1).alias("place"))
+    mapped = sam.filter("flag & 4 = 0").select("rname", "pos", "qname", "mate")
+    return ranks.numbered(mapped, ["rname"], ["pos", "qname", "mate"], "place").select("rname", "pos", "qname", (F.col("place") + 1).alias("place"))
 
 
 @query("a26_stage_counts", "SELECT rname, count(*) AS n, count(*) FILTER (WHERE mapq > 41) AS filtered FROM sam GROUP BY rname", "sam")
@@ -267,7 +268,7 @@ def a51(aligned: DataFrame) -> DataFrame:
 
 @query("w2_ranked_reads", "SELECT refname, qcut, ord, row_number() OVER (PARTITION BY refname, qcut ORDER BY ord) - 1 AS rank FROM aligned", "aligned")
 def w2(aligned: DataFrame) -> DataFrame:
-    return counts.ranked(aligned, ["refname", "qcut"], ["ord"]).select("refname", "qcut", "ord", "rank")
+    return ranks.numbered(aligned.select("refname", "qcut", "ord"), ["refname", "qcut"], ["ord"], "rank")
 
 
 @query("c3_report_consensus", f"WITH {_CONS} SELECT refname, pos, concat(CASE WHEN coverage < 100 THEN 'x' ELSE base END, CASE WHEN pos % 9 = 0 THEN 'i' ELSE '' END) AS base FROM cons WHERE cutoff = 'MAX'", "aligned")
@@ -282,10 +283,11 @@ def c3(aligned: DataFrame) -> DataFrame:
     "p20_call_errors",
     f"""WITH codons AS (SELECT * FROM {values(mixture_codons(), 'codon, aminos')}), s AS (SELECT pair_id, mate, CASE WHEN pair_id % 4 = 0 THEN concat('TGT', substr(seq, 1, 99), 'TGT') ELSE seq END AS seq FROM reads),
     e AS (SELECT pair_id, mate, seq, i, substr(seq, CAST(3 * i + 1 AS INT), 3) AS codon FROM (SELECT *, unnest(range(0, length(seq) // 3)) AS i FROM s) x),
-    p AS (SELECT pair_id, mate, any_value(seq) AS seq, string_agg(CASE WHEN length(aminos) = 1 THEN aminos ELSE 'X' END, '' ORDER BY i) AS prot, count(*) FILTER (WHERE length(aminos) > 1) AS amb, max(length(aminos)) AS most FROM e JOIN codons c ON c.codon = e.codon GROUP BY pair_id, mate)
+    t AS (SELECT pair_id, mate, string_agg(CASE WHEN length(aminos) = 1 THEN aminos ELSE 'X' END, '' ORDER BY i) AS prot, count(*) FILTER (WHERE length(aminos) > 1) AS amb, max(length(aminos)) AS most FROM e JOIN codons c ON c.codon = e.codon GROUP BY pair_id, mate),
+    p AS (SELECT s.pair_id, s.mate, seq, coalesce(prot, '') AS prot, coalesce(amb, 0) AS amb, coalesce(most, 0) AS most FROM s LEFT JOIN t ON t.pair_id = s.pair_id AND t.mate = s.mate)
     SELECT pair_id, mate, CASE WHEN 2 * (length(seq) - length(replace(seq, 'N', ''))) > length(seq) THEN 'low quality' WHEN length(seq) = 0 THEN 'zerolength' WHEN length(seq) % 3 <> 0 THEN 'notdiv3' WHEN left(prot, 1) <> 'C' OR right(prot, 1) <> 'C' THEN 'cysteines' WHEN amb > 1 OR most > 2 THEN '> 2 ambiguous' WHEN contains(prot, '*') THEN 'stop codons' WHEN length(prot) < 32 OR length(prot) > 40 THEN 'length' END AS error FROM p""",
     "reads",
 )
 def p20(reads: DataFrame) -> DataFrame:
-    made = reads.select("pair_id", "mate", F.when(F.col("pair_id") % 4 == 0, F.concat(F.lit("TGT"), F.substring("seq", 1, 99), F.lit("TGT"))).otherwise(F.col("seq")).alias("seq")).filter("length(seq) >= 3")
+    made = reads.select("pair_id", "mate", F.when(F.col("pair_id") % 4 == 0, F.concat(F.lit("TGT"), F.substring("seq", 1, 99), F.lit("TGT"))).otherwise(F.col("seq")).alias("seq"))
     return seq.translate(made).select("pair_id", "mate", seq.call_error().alias("error"))

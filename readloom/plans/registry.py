@@ -17,7 +17,7 @@ _LETTERS = "'abcdefghijklmnopqrstuvwxyz'"
 _PIECES = "SELECT doc_id, i, substr(seq, CAST({n} * i + 1 AS INT), {n}) AS seq, substr(letters, CAST({n} * i + 1 AS INT), {n}) AS letters FROM ({rows}) cut"
 _SPARK_PIECES = "SELECT doc_id, i, p.s AS seq, p.l AS letters FROM (SELECT doc_id, posexplode(zip_with(regexp_extract_all(seq, '(.{{{{1,{n}}}}})'), regexp_extract_all(letters, '(.{{{{1,{n}}}}})'), (s, l) -> named_struct('s', s, 'l', l))) AS (i, p) FROM seqs) cut"
 _DUCK_ROWS = "SELECT doc_id, seq, letters, unnest(range(0, (length(seq) - 1) // {n} + 1)) AS i FROM seqs WHERE length(seq) > 0"
-_CUT = "CASE WHEN (pair_id * 2 + mate) % 17 = 0 THEN '*' WHEN (pair_id * 2 + mate) % 5 = 0 THEN '60M' WHEN (pair_id * 2 + mate) % 5 = 1 THEN '10S50M' WHEN (pair_id * 2 + mate) % 5 = 2 THEN '30M3D30M' WHEN (pair_id * 2 + mate) % 5 = 3 THEN '20M6I34M' ELSE '40M20S' END"
+_CUT = "CASE WHEN (pair_id * 2 + mate) % 17 = 0 THEN '*' WHEN length(seq) < 60 THEN concat(length(seq), 'M') WHEN (pair_id * 2 + mate) % 5 = 0 THEN '60M' WHEN (pair_id * 2 + mate) % 5 = 1 THEN '10S50M' WHEN (pair_id * 2 + mate) % 5 = 2 THEN '30M3D30M' WHEN (pair_id * 2 + mate) % 5 = 3 THEN '20M6I34M' ELSE '40M20S' END"
 _PAIR = "doc_id * 65536 + CAST(floor(i / 2) AS BIGINT)"
 
 #: Lens: the tables or lenses it reads, its SQL in Spark and in DuckDB (None: the same).
@@ -38,14 +38,14 @@ LENSES: dict[str, tuple[tuple[str, ...], str, str | None]] = {
         ("pieces60",),
         f"SELECT concat('q', pair_id) AS qname, CAST(CASE WHEN (pair_id * 2 + mate) % 17 = 0 THEN 4 WHEN mate = 1 THEN 99 ELSE 147 END AS INT) AS flag, "
         f"concat('ref', CASE WHEN mate = 2 AND pair_id % 13 = 0 THEN (pair_id + 1) % 4 ELSE pair_id % 4 END) AS rname, 1 + pair_id % 20 + (mate - 1) * 30 AS pos, 40 + pair_id % 5 AS mapq, {_CUT} AS cigar, seq, qual, pair_id, mate "
-        f"FROM (SELECT {_PAIR} AS pair_id, CAST(1 + i % 2 AS INT) AS mate, seq, translate(letters, {_LETTERS}, '#$%&()*+-./0123456789:;<=>') AS qual FROM pieces60 WHERE length(seq) = 60) r",
+        f"FROM (SELECT {_PAIR} AS pair_id, CAST(1 + i % 2 AS INT) AS mate, seq, translate(letters, {_LETTERS}, '#$%&()*+-./0123456789:;<=>') AS qual FROM pieces60) r",
         None,
     ),
     "aligned": (
         ("pieces60",),
         "SELECT concat('ref', doc_id % 4) AS refname, 15 AS qcut, 1 + (doc_id + i) % 3 AS cnt, (doc_id + i) % 30 AS off, doc_id * 65536 + i AS ord, "
         "CASE WHEN (doc_id + i) % 6 = 0 THEN concat(substr(seq, 1, 30), '---', substr(seq, 34, 27)) WHEN (doc_id + i) % 9 = 1 THEN concat(substr(seq, 1, 9), 'N', substr(seq, 11, 50)) "
-        "WHEN (doc_id + i) % 11 = 2 THEN concat(substr(seq, 1, 39), 'nnn', substr(seq, 43, 18)) ELSE seq END AS seq FROM pieces60 WHERE length(seq) = 60",
+        "WHEN (doc_id + i) % 11 = 2 THEN concat(substr(seq, 1, 39), 'nnn', substr(seq, 43, 18)) ELSE seq END AS seq FROM pieces60",
         None,
     ),
     "quality": (

@@ -292,9 +292,8 @@ def u3(rows: DataFrame) -> DataFrame:
 @query("u4_filled_regions", "SELECT g.sample, g.region, n FROM (SELECT sample, region FROM (SELECT DISTINCT sample FROM scores), (SELECT DISTINCT region FROM scores)) g LEFT JOIN (SELECT sample, region, count(*) AS n FROM scores GROUP BY ALL) s ON s.sample = g.sample AND s.region = g.region", "scores")
 def u4(rows: DataFrame) -> DataFrame:
     have = rows.groupBy("sample", "region").agg(F.count(F.lit(1)).alias("n"))
-    # regions are a configured list of a few names: exploded from one array, not crossed
-    regions = rows.agg(F.collect_set("region").alias("all")).first()["all"]
-    expected = rows.select("sample").distinct().select("sample", F.explode(F.array(*map(F.lit, sorted(regions)))).alias("region"))
+    regions = rows.select("region").distinct()  # a configured list of a few names
+    expected = rows.select("sample").distinct().join(F.broadcast(regions))
     return runs.filled(have, expected, ["sample", "region"])
 
 
@@ -340,7 +339,7 @@ def c2(rows: DataFrame) -> DataFrame:
 _TWO = "two AS (SELECT a.ord, a.seq AS s1, b.seq AS s2 FROM aligned a JOIN aligned b ON b.ord = a.ord + 1)"
 
 
-@query("c5_padded_distances", f"WITH {_TWO} SELECT ord, levenshtein(s1, s2) AS distance, round(100 * levenshtein(s1, s2) / 60, 6) AS pct FROM two", "aligned")
+@query("c5_padded_distances", f"WITH {_TWO}, p AS (SELECT ord, CAST(greatest(length(s1), length(s2)) AS INT) AS n, s1, s2 FROM two), d AS (SELECT ord, n, levenshtein(rpad(s1, n, '-'), rpad(s2, n, '-')) AS distance FROM p) SELECT ord, distance, CASE WHEN n > 0 THEN round(100 * distance / n, 6) ELSE 0 END AS pct FROM d", "aligned")
 def c5(aligned: DataFrame) -> DataFrame:
     distance, share = runs.padded_distance(F.col("s1"), F.col("s2"))
     return _two(aligned).select("ord", distance.alias("distance"), F.round(share, 6).alias("pct"))

@@ -9,16 +9,16 @@ from readloom.plans.registry import duck, query
 from readloom.streaming import folders
 
 
-@query("st1_completed_runs", duck("WITH s AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY run ORDER BY ts) < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS new FROM file_events), k AS (SELECT *, sum(new) OVER (PARTITION BY run ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM s) SELECT run, min(ts) AS first, max(ts) AS last, count(*) AS n FROM k GROUP BY run, g", "file_events"))
+@query("st1_completed_runs", duck("WITH s AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY run ORDER BY ts) < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS new FROM file_events), k AS (SELECT *, sum(new) OVER (PARTITION BY run ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM s) SELECT run, min(ts) AS first, max(ts) AS last, count(*) AS n FROM k GROUP BY run, g HAVING max(ts) + INTERVAL 6 HOURS <= (SELECT max(ts) FROM file_events) - INTERVAL 2 DAYS", "file_events"))
 def st1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = folders.drained(folders.completed_runs(folders.event_stream(spark, sf_dir)), "complete")
+    out = folders.drained(folders.completed_runs(folders.event_stream(spark, sf_dir)), "append")
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first", "last")})
 
 
 @query("st2_new_work", duck("SELECT DISTINCT run FROM file_events WHERE kind = 'click' AND run NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1%')", "file_events"))
 def st2(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = spark.read.parquet(f"{sf_dir}/orders.parquet").filter("o_orderpriority LIKE '1%'").select(F.col("o_custkey").alias("run")).distinct()
-    return folders.drained(folders.new_work(folders.event_stream(spark, sf_dir), done), "append")
+    return folders.drained(folders.new_work(folders.event_stream(spark, sf_dir), done), "append").distinct()
 
 
 @query("st3_job_states", duck("SELECT run, bool_or(kind = 'view') AS mapped, bool_or(kind = 'purchase') AS assembled, bool_or(kind = 'view') AND bool_or(kind = 'purchase') AS started FROM file_events GROUP BY run", "file_events"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,17 +17,25 @@ def scratch(spark: SparkSession) -> str:
     """A new folder that all executors share."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         where = tempfile.mkdtemp(prefix="readloom-")
         spark.conf.set("spark.checkpoint.dir", where)
     return f"{where.rstrip('/')}/files/{uuid.uuid4().hex}"
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """record, name, seq, qual: four lines a record, plain or gz. Lines are numbered across the splits of the files, in order."""
-    numbered = spark.sparkContext.textFile(path).zipWithIndex()
-    lines = spark.createDataFrame(numbered, "line string, n long")
-    of = lambda k: F.max(F.when(F.col("n") % 4 == k, F.col("line")))
-    whole = lines.groupBy(F.floor(F.col("n") / 4).alias("record")).agg(of(0).alias("name"), of(1).alias("seq"), of(3).alias("qual"))
+    """file, record (from 0 within its file), name, seq, qual: four lines a record, plain or gz.
+
+    A line's number is its place in its block of the file, as the scan numbers rows in order, and the lines of earlier blocks.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    blocks = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("lines"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("file", "block", "first", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("start"))
+    placed = lines.join(starts, ["file", "block"]).withColumn("n", F.col("start") + F.col("at") - F.col("first"))
+    of = lambda k: F.max(F.when(F.col("n") % 4 == k, F.col("value")))
+    whole = placed.groupBy("file", F.floor(F.col("n") / 4).alias("record")).agg(of(0).alias("name"), of(1).alias("seq"), of(3).alias("qual"))
     return whole.withColumn("name", F.regexp_replace("name", "^@", ""))
 
 
@@ -69,13 +78,17 @@ def read_step_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def contigs_of(rows: DataFrame, order: str) -> DataFrame:
     """name, sequence of a contig table: the sequence is in `sequence` or `contig`, the name in `region`, `ref` or `sample`, else contig{i}.
 
-    Empty is missing. A repeated name gets the suffix _{i}, from 1; sequences are upper-cased.
+    Empty is missing. A repeated name gets the suffix _{i}, from 1; sequences are upper-cased. `order` tells rows apart; names are
+    numbered without their sequences.
     """
+    from readloom.operators.ranks import numbered
+
     have = lambda names: [F.nullif(F.col(c).cast("string"), F.lit("")) for c in names if c in rows.columns]
-    i = F.row_number().over(Window.orderBy(order))  # one row a contig of a sample
-    named = rows.select(F.col(order), F.coalesce(*have(["region", "ref", "sample"]), F.concat(F.lit("contig"), i.cast("string"))).alias("name"), F.upper(F.coalesce(*have(["sequence", "contig"]))).alias("sequence"))
-    again = F.row_number().over(Window.partitionBy("name").orderBy(order)) - 1
-    return named.withColumn("_again", again).select(F.when(F.col("_again") > 0, F.concat("name", F.lit("_"), F.col("_again").cast("string"))).otherwise(F.col("name")).alias("name"), "sequence")
+    named = rows.select(F.col(order), F.coalesce(*have(["region", "ref", "sample"])).alias("name"))
+    named = numbered(named, [], [order], "_i").withColumn("name", F.coalesce("name", F.concat(F.lit("contig"), (F.col("_i") + 1).cast("string")))).drop("_i")
+    again = numbered(named, ["name"], [order], "_again")
+    final = again.select(order, F.when(F.col("_again") > 0, F.concat("name", F.lit("_"), F.col("_again").cast("string"))).otherwise(F.col("name")).alias("name"))
+    return rows.select(order, F.upper(F.coalesce(*have(["sequence", "contig"]))).alias("sequence")).join(final, order).select("name", "sequence")
 
 
 def read_overlaps(spark: SparkSession, path: str) -> DataFrame:

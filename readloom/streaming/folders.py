@@ -1,7 +1,7 @@
 """Structured Streaming jobs that follow run folders as they fill.
 
-Late data: events older than the watermark are dropped by the state of sessions and of duplicates; counts have no watermark and
-take all. Every job's result equals that of a batch query over the same events, which is how they are tested.
+Late data: events older than the watermark are dropped by the state of sessions and of duplicates, which ends there; counts have
+no watermark and take all. Every job's result equals that of a batch query over the same events, which is how they are tested.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from readloom.sources.files import scratch
 
-GAP, LATE = "6 hours", "30 days"
+GAP, LATE, FORGOTTEN = "6 hours", "2 days", "30 days"
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,15 +40,18 @@ def drained(stream: DataFrame, mode: str) -> DataFrame:
 
 
 def completed_runs(events: DataFrame, gap: str = GAP) -> DataFrame:
-    """run, first, last, n: a run's files until none came for `gap`; two at exactly that distance are two sessions."""
+    """run, first, last, n: a run's files until none came for `gap`; two at exactly that distance are two sessions.
+
+    In append mode a session comes out, and its state goes, once the latest event is `gap` and LATE past its last file.
+    """
     kept = events.withWatermark("ts", LATE)
     sessions = kept.groupBy("run", F.session_window("ts", gap)).agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("n"))
     return sessions.select("run", "first", "last", "n")
 
 
 def new_work(events: DataFrame, done: DataFrame) -> DataFrame:
-    """run: flagged runs, once each, without those done."""
-    flagged = events.filter("kind = 'click'").withWatermark("ts", LATE).dropDuplicatesWithinWatermark(["run"])
+    """run: flagged runs, once each, without those done. A run flagged anew FORGOTTEN later comes again: readers drop it by name."""
+    flagged = events.filter("kind = 'click'").withWatermark("ts", FORGOTTEN).dropDuplicatesWithinWatermark(["run"])
     return flagged.select("run").join(done, "run", "left_anti")
 
 
