@@ -32,7 +32,7 @@ def p3(reads: DataFrame) -> DataFrame:
     f"""WITH codons AS (SELECT * FROM {values(mixture_codons(), 'codon, aminos')}),
     split AS (SELECT ord, unnest(range(0, length(seq) // 3)) AS i, seq FROM aligned),
     each AS (SELECT ord, i, substr(upper(seq), CAST(i * 3 + 1 AS INT), 3) AS codon FROM split),
-    named AS (SELECT ord, i, e.codon, aminos, CASE WHEN e.codon = '---' THEN '-' WHEN aminos IS NULL THEN '?' WHEN length(aminos) = 1 THEN aminos ELSE '?' END AS a FROM each e LEFT JOIN codons c ON e.codon = c.codon)
+    named AS (SELECT ord, i, e.codon, aminos, CASE WHEN e.codon = '---' THEN '-' WHEN aminos IS NULL THEN '?' WHEN length(aminos) = 1 THEN aminos ELSE '?' END AS a FROM each e LEFT JOIN codons c ON e.codon = c.codon),
     g AS (SELECT ord, string_agg(a, '' ORDER BY i) AS amino, count(*) AS codons, CAST(max(coalesce(length(aminos), 1)) AS BIGINT) AS most_aminos, count(*) FILTER (WHERE length(aminos) > 1) AS ambiguous FROM named GROUP BY ord)
     SELECT a.ord, coalesce(amino, '') AS amino, coalesce(codons, 0) AS codons, coalesce(most_aminos, CASE WHEN length(seq) > 0 THEN 1 ELSE 0 END) AS most_aminos, coalesce(ambiguous, 0) AS ambiguous FROM aligned a LEFT JOIN g ON g.ord = a.ord""",
     "aligned",
