@@ -7,6 +7,7 @@ non-first occurrence of a repeated run covers are removed.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,8 @@ from readloom.llm.common import filled_id
 PIECE = re.compile(r"[^\n.!?]*(?:\n\s*|[.!?]+\s*|$)")
 WORD = re.compile(r"\s*\S+\s*")
 ENDS = re.compile(r"[\n.!?]")
+#: Rows of documents whose runs are in memory at once.
+DOCS = 500
 #: A run as a number: 15 bits of hash, its first sentence, how many more it has.
 LENGTH_BITS, SENTENCES = 16, (1 << 48) - 1
 #: Runs in order of their hash, then of their place.
@@ -114,28 +117,37 @@ def runs_of(text: str) -> list[tuple[int, int, bytes]]:
 def hashed_runs(docs: DataFrame) -> DataFrame:
     """A row for each run of `docs(doc_id, text, key)`: hash, doc_id, key and run, its sentences with 15 more bits of hash.
 
-    A repeated row counts once a batch. A run that also stands at an earlier place of the same batch of rows has a negative
-    `run` and a hash of its document, so that of a run that most texts have, one row a batch goes to the hash's task.
+    A repeated row counts once in DOCS rows. A run that also stands at an earlier place of the same DOCS rows has a negative
+    `run` and a hash of its document, so that of a run that most texts have, one in DOCS goes to the hash's task.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
         for batch in batches:
-            rows, spans, raw = [], [], []
-            for n, text in enumerate(batch["text"]):
-                found = runs_of(text) if text else []
-                rows += [n] * len(found)
-                spans += [(first, last) for first, last, _ in found]
-                raw += [xxhash.xxh3_128_digest(t) for _, _, t in found]
-            if not rows:
-                continue
-            h, s = np.frombuffer(b"".join(raw), "<i8").reshape(-1, 2), np.array(spans, np.int64)
-            more = (h[:, 1] & 0x7FFF) << 48
-            out = batch[["doc_id", "key"]].take(rows).reset_index(drop=True).assign(hash=h[:, 0], run=more | (s[:, 0] << LENGTH_BITS) | (s[:, 1] - s[:, 0]))
-            out = out.drop_duplicates().sort_values(PLACE, ignore_index=True)
-            again = _first_of(out) != np.arange(len(out))
-            yield out.assign(hash=np.where(again, out["key"] ^ out["doc_id"] * 0x9E3779B97F4A7C1, out["hash"]), run=np.where(again, -1 - (out["run"] & SENTENCES), out["run"]))
+            for at in range(0, len(batch), DOCS):
+                part = batch.iloc[at : at + DOCS]
+                rows, first, more, raw = array("q"), array("q"), array("q"), bytearray()
+                for n, text in enumerate(part["text"]):
+                    for a, b, run_ in runs_of(text) if text else ():
+                        rows.append(n)
+                        first.append(a)
+                        more.append(b - a)
+                        raw += xxhash.xxh3_128_digest(run_)
+                if rows:
+                    h = np.frombuffer(raw, "<i8").reshape(-1, 2)
+                    span = (h[:, 1] & 0x7FFF) << 48 | np.asarray(first) << LENGTH_BITS | np.asarray(more)
+                    yield sent(part["doc_id"].to_numpy()[np.asarray(rows)], part["key"].to_numpy()[np.asarray(rows)], h[:, 0], span)
+
+    def sent(doc_id: np.ndarray, key: np.ndarray, hashes: np.ndarray, span: np.ndarray) -> pd.DataFrame:
+        order = np.lexsort((span, key, doc_id, hashes))
+        out = pd.DataFrame({"hash": hashes[order], "doc_id": doc_id[order], "key": key[order], "run": span[order]})
+        new = np.ones(len(out), bool)
+        new[1:] = (out.to_numpy()[1:] != out.to_numpy()[:-1]).any(axis=1)
+        out = out[new].reset_index(drop=True)
+        again = _first_of(out) != np.arange(len(out))
+        other = out["key"] ^ out["doc_id"] * 0x9E3779B97F4A7C1
+        return out.assign(hash=np.where(again, other, out["hash"]), run=np.where(again, -1 - (out["run"] & SENTENCES), out["run"]))
 
     return docs.mapInPandas(run, "hash long, doc_id long, key long, run long")
 

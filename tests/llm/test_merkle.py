@@ -8,7 +8,7 @@ from readloom.llm import merkle
 
 
 def md5(s):
-    return hashlib.md5(s.encode()).hexdigest()
+    return hashlib.md5(s.encode()).hexdigest()[:16]
 
 
 def levels(text):
