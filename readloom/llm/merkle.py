@@ -1,8 +1,8 @@
 """Document fingerprints: a Merkle tree over sentences, paragraphs and sections, in native expressions.
 
-A sentence's node is the MD5 of its text, that of a paragraph (a line) the MD5 of its sentences' nodes, that of a section the MD5
-of its paragraphs' nodes with theirs below. Sections end after a paragraph whose hash ends in 0, 1, 2 or 3, so an edit moves no
-section bound elsewhere. The SHA-256 over all sections is the fingerprint: equal texts have equal roots. Two trees are compared
+A sentence's node is a hash of its text, that of a paragraph (a line) a hash of its sentences' nodes, that of a section a hash of
+its paragraphs' nodes with theirs below, all 64 bits of MD5. Sections end after a paragraph whose hash ends in 0, 1, 2 or 3, so an
+edit moves no section bound elsewhere. The SHA-256 over all sections is the fingerprint: equal texts have equal roots. Two trees are compared
 from the top, and only branches that differ are opened: they tell how much is alike and where the first edit is.
 """
 
@@ -17,7 +17,11 @@ from readloom.functions.bind import bind
 #: Rows of a stretch of ascending doc_ids, and the most stretches: a window's task holds one stretch at a time.
 ROWS_A_STRETCH, MOST_STRETCHES = 500, 65_536
 #: A node is written as its hash, a mark, and its children: paragraph `hash:sentence,sentence`, section `hash|paragraph;paragraph`.
-HASH = 32
+HASH = 16
+
+
+def _node(content: Column) -> Column:
+    return F.substring(F.md5(content), 1, HASH)
 
 
 def _children(node: Column, mark: str) -> Column:
@@ -26,13 +30,13 @@ def _children(node: Column, mark: str) -> Column:
 
 def tree(text: Column) -> Column:
     """struct<root, sections, sentences (how many different ones)> of a text; an empty text has one empty paragraph."""
-    below = F.transform(F.split(text, "\n"), lambda p: F.array_join(F.transform(F.split(p, r"(?<=[.!?|]\s?)(?=[^\s.!?|])"), lambda s: F.md5(s)), ","))
+    below = F.transform(F.split(text, "\n"), lambda p: F.array_join(F.transform(F.split(p, r"(?<=[.!?|]\s?)(?=[^\s.!?|])"), _node), ","))
 
     def sections(children: Column) -> Column:
-        paragraphs = F.transform(children, lambda c: F.concat(F.md5(c), F.lit(":"), c))
+        paragraphs = F.transform(children, lambda c: F.concat(_node(c), F.lit(":"), c))
         ended = F.transform(paragraphs, lambda p: F.concat(p, F.when(F.substring(p, HASH, 1).isin(*"0123"), "/").otherwise(";")))
         bodies = bind(F.array_join(ended, ""), lambda j: F.split(F.substring(j, F.lit(1), F.length(j) - 1), "/"))
-        return F.transform(bodies, lambda b: F.concat(F.md5(b), F.lit("|"), b))
+        return F.transform(bodies, lambda b: F.concat(_node(b), F.lit("|"), b))
 
     def whole(children: Column) -> Column:
         count = F.size(F.array_distinct(F.split(F.array_join(children, ","), ",")))
@@ -127,7 +131,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     The edited text ends, for its last half of code points (rounded down), in the first as many of the next document; the last
     document is followed by the first, and one alone by itself. Rows that repeat a doc_id, and rows without one, are ordered by a
     hash of their texts. A null text is empty; empty texts have the fingerprint of one empty paragraph. first_edit is the first
-    paragraph in which the edited text differs, null where it doesn't. Of very long texts the tree takes about half of their size.
+    paragraph in which the edited text differs, null where it doesn't. The tree of a very long text takes about a third of its size.
     An empty table gives no rows.
     """
     filled = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
