@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or where it is unset (tests) one of our own."""
+    """The folder all executors share: spark.checkpoint.dir, or where it is unset and the master is local (tests) one of our own."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         where = tempfile.mkdtemp(prefix="readloom-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")

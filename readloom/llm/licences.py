@@ -18,22 +18,59 @@ from readloom.llm.common import filled_id, restored_id
 
 #: Base phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Short notices by label, as words.
+#: Short notices of public licences by label, as words.
 NOTICES = (
     ("apache-2.0", "licensed under the apache license version 2 0"),
+    ("apache-2.0", "spdx license identifier apache 2 0"),
+    ("apache-2.0", "you may not use this file except in compliance with the license"),
+    ("apache-2.0", "distributed under the license is distributed on an as is basis"),
     ("mit", "released under the mit license"),
+    ("mit", "licensed under the mit license"),
+    ("mit", "spdx license identifier mit"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose"),
+    ("isc", "licensed under the isc license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "redistributions of source code must retain the above copyright notice"),
+    ("bsd", "use of this source code is governed by a bsd style license"),
+    ("bsd", "licensed under the 3 clause bsd license"),
     ("gpl", "licensed under the gnu general public license"),
+    ("gpl", "under the terms of the gnu general public license as published by the free software foundation"),
+    ("gpl", "this program is free software you can redistribute it and or modify it"),
+    ("gpl", "either version 2 of the license or at your option any later version"),
+    ("gpl", "spdx license identifier gpl 3 0 or later"),
     ("lgpl", "licensed under the gnu lesser general public license"),
+    ("lgpl", "under the terms of the gnu lesser general public license"),
+    ("lgpl", "spdx license identifier lgpl 2 1"),
+    ("agpl", "licensed under the gnu affero general public license"),
+    ("agpl", "under the terms of the gnu affero general public license"),
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("mpl-2.0", "licensed under the mozilla public license"),
+    ("epl", "made available under the terms of the eclipse public license"),
+    ("cddl", "subject to the terms of the common development and distribution license"),
+    ("boost", "distributed under the boost software license version 1 0"),
+    ("zlib", "this software is provided as is without any express or implied warranty"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "do what the fuck you want to public license"),
+    ("artistic", "licensed under the artistic license 2 0"),
+    ("ofl", "licensed under the sil open font license"),
+    ("gfdl", "under the terms of the gnu free documentation license"),
+    ("odbl", "made available under the open database license"),
+    ("cc0", "to the extent possible under law the author has waived all copyright"),
+    ("cc0", "dedicated to the public domain under cc0 1 0 universal"),
     ("cc-by", "licensed under a creative commons attribution"),
+    ("cc-by", "licensed under cc by 4 0"),
+    ("cc-by-sa", "licensed under a creative commons attribution sharealike"),
+    ("cc-by-sa", "licensed under cc by sa 4 0"),
+    ("cc-by-nc", "licensed under a creative commons attribution noncommercial"),
+    ("cc-by-nd", "licensed under a creative commons attribution noderivatives"),
     ("public-domain", "released into the public domain"),
+    ("public-domain", "this work is in the public domain"),
     ("reserved", "all rights reserved"),
+    ("proprietary", "proprietary and confidential unauthorized copying of this file"),
 )
-#: A notice may have one error in this many characters.
-CHARS_AN_ERROR = 8
-MOST_ERRORS = 5
+#: A notice may have one error in this many characters, and so many at most: bounded-error matching gets slow beyond.
+CHARS_AN_ERROR, MOST_ERRORS = 8, 5
 #: All bytes that part words become spaces, capitals become small; bytes of other characters stay.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -62,8 +99,8 @@ class Found:
     likeness: float
 
 
-def errors_for(notice: str) -> int:
-    return min(MOST_ERRORS, len(notice) // CHARS_AN_ERROR)
+def errors_for(notice: str, chars_an_error: int = CHARS_AN_ERROR, most_errors: int = MOST_ERRORS) -> int:
+    return min(most_errors, len(notice) // chars_an_error)
 
 
 def seeds_of(notice: str, errors: int) -> list[tuple[int, str]]:
@@ -73,13 +110,13 @@ def seeds_of(notice: str, errors: int) -> list[tuple[int, str]]:
 
 
 class NoticeSearch:
-    def __init__(self, notices: tuple[tuple[str, str], ...] = NOTICES) -> None:
+    def __init__(self, notices: tuple[tuple[str, str], ...] = NOTICES, chars_an_error: int = CHARS_AN_ERROR, most_errors: int = MOST_ERRORS) -> None:
         import ahocorasick
         import regex
 
         self._notices, of_seed = [], {}
         for label, notice in notices:
-            k = errors_for(notice)
+            k = errors_for(notice, chars_an_error, most_errors)
             pattern = regex.compile(rf"(?b)\b(?:{regex.escape(notice)}){{e<={k}}}\b")
             self._notices.append((label, len(notice), k, pattern))
             for at, seed in seeds_of(notice, k):
@@ -123,11 +160,11 @@ class NoticeSearch:
 
 
 @functools.cache
-def searcher() -> NoticeSearch:
-    return NoticeSearch()
+def searcher(chars_an_error: int = CHARS_AN_ERROR, most_errors: int = MOST_ERRORS) -> NoticeSearch:
+    return NoticeSearch(chars_an_error=chars_an_error, most_errors=most_errors)
 
 
-def scan_text(text: str | None) -> tuple:
+def scan_text(text: str | None, chars_an_error: int = CHARS_AN_ERROR, most_errors: int = MOST_ERRORS) -> tuple:
     """n_words, n_base, first_word, last_word, base_labels, labels, score, spans of a whole text."""
     words = words_of(text)
     line = b" " + b" ".join(words) + b" "
@@ -135,7 +172,7 @@ def scan_text(text: str | None) -> tuple:
     starts = [p for own in base.values() for p in own]
     base_labels = sorted({label for label, own in base.items() if own})
     string = line.decode("utf-8", "replace")
-    found = searcher().find(string)
+    found = searcher(chars_an_error, most_errors).find(string)
     labels = sorted({*base_labels, *(f.label for f in found)})
     spans = []
     for f in found:
@@ -145,19 +182,19 @@ def scan_text(text: str | None) -> tuple:
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(base_labels), ",".join(labels), score, spans)
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, chars_an_error: int = CHARS_AN_ERROR, most_errors: int = MOST_ERRORS) -> DataFrame:
     """A row for each of `docs(doc_id, text)`: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
     Base: places of exact phrases; first_word and last_word are null without any. labels adds those of notices found with at
-    most one error in 8 characters; spans has their words and edits. score is 1 for a base phrase, else the likeness of the
-    best notice, else 0. Null and empty texts have no words and no labels. Repeated rows are scanned each. An empty table gives
-    no rows.
+    most one error in `chars_an_error` characters and `most_errors` in all; spans has their words and edits. score is 1 for a base phrase, else the likeness of the
+    best notice, else 0. Null and empty texts have no words and no labels. Very long texts are scanned whole. Repeated rows are
+    scanned each. Other columns of `docs` are ignored, whatever their names. An empty table gives no rows.
     """
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = pd.DataFrame([scan_text(t) for t in batch["text"]], columns=names)
+            out = pd.DataFrame([scan_text(t, chars_an_error, most_errors) for t in batch["text"]], columns=names)
             yield out.astype({"first_word": "Int64", "last_word": "Int64"}).assign(doc_id=batch["doc_id"].to_numpy())
 
     schema = (
