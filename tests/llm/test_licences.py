@@ -86,3 +86,20 @@ def test_spans_count_words():
 
 def test_empty_table(spark):
     assert licences.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_labels_are_those_of_all_substrings():
+    """A notice is found if and only if some stretch between word bounds lies within its errors, whatever stands around it."""
+    rng = random.Random(8)
+    own = licences.NoticeSearch((("mit", "released under the mit license"), ("cc-by", "licensed under cc by 4 0"), ("pd", "public domain")))
+    words = ["released", "relesed", "under", "undr", "the", "teh", "mit", "m1t", "license", "licensed", "lisence", "cc", "by", "4", "0", "public", "pubic", "domain", "domains", "q"]
+    for _ in range(120):
+        line = f" {' '.join(rng.choices(words, k=rng.randrange(4, 12)))} "
+        bounds = [m.start() for m in re.finditer(r"\b", line)]
+        got = {f.label for f in own.find(line)}
+        for label, length, k, _ in own._notices:
+            notice = next(n for x, n in (("mit", "released under the mit license"), ("cc-by", "licensed under cc by 4 0"), ("pd", "public domain")) if x == label)
+            near = any(distance(notice, line[a:b]) <= k for a in bounds for b in bounds if length - k <= b - a <= length + k)
+            assert (label in got) == near, (line, label)
+    for f in own.find(" x relesed undr the mit license y "):
+        assert f.edits == distance("released under the mit license", " x relesed undr the mit license y "[f.start : f.end])

@@ -1,6 +1,9 @@
+import math
 import random
 import zlib
 
+import numpy as np
+
 from readloom.llm import quality
 
 SCHEMA = "doc_id long, text string, score string, x int"
@@ -52,3 +55,28 @@ def test_without_labels_or_rows(spark):
     out = quality.classify(spark.createDataFrame([(1, "a b", None, None)], SCHEMA), none).collect()
     assert [(r.score, r.predicted) for r in out] == [(0.5, 1)]
     assert quality.classify(spark.createDataFrame([], SCHEMA), none).collect() == []
+
+
+def test_scores_are_those_of_the_densities(spark):
+    """By hand: class means and shrunk covariances in numpy, log-densities by inverse and determinant."""
+    rows, labels = corpus(600)
+    docs, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality.classify(docs, known).collect()}
+    x = {r[0]: np.array(quality.statistics(r[1])) for r in rows}
+    taught = [(x[d], q) for d, q in labels if zlib.crc32(str(d).encode()) % 5]
+    every = np.array([v for v, _ in taught])
+    shift, scale = every.mean(axis=0), np.maximum(every.std(axis=0), 1e-4)
+    own = [(np.array([v for v, q in taught if q == c]) - shift) / scale for c in (0, 1)]
+    means, covariances = [o.mean(axis=0) for o in own], [np.cov(o.T, bias=True) for o in own]
+    pooled = sum(len(o) * c for o, c in zip(own, covariances, strict=True)) / len(every)
+
+    def log_density(z, c):
+        shrunk = (1 - quality.RIDGE) * ((1 - quality.POOLED) * covariances[c] + quality.POOLED * pooled) + quality.RIDGE * np.eye(len(z))
+        away = z - means[c]
+        return -0.5 * (away @ np.linalg.inv(shrunk) @ away + math.log(np.linalg.det(shrunk)))
+
+    odds = math.log((len(own[1]) + 1) / (len(own[0]) + 1))
+    for d, v in x.items():
+        z = (v - shift) / scale
+        want = 1 / (1 + math.exp(-max(-50, min(50, log_density(z, 1) - log_density(z, 0) + odds))))
+        assert abs(got[d] - want) < 1e-6

@@ -66,3 +66,30 @@ def test_junk_goes_and_prose_stays(spark):
 
 def test_empty_table(spark):
     assert rules.judge(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_kept_is_what_em_by_hand_says(spark):
+    """EM over documents one by one, from the votes that `judge` returns."""
+    rng = random.Random(7)
+    prose = lambda: " ".join(" ".join(rng.choices(["the", "river", "runs", "over", "stones", "sleeps"], k=7)).capitalize() + rng.choice([".", "!", " $#"]) for _ in range(5))
+    rows = [(i, prose() if i % 4 else " ".join(rng.choice([str.upper, str])(w) + rng.choice(["", "!!", "$$$"]) for w in prose().split())) for i in range(400)]
+    out = [r for r in rules.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    own = [r for r in out if not r.base_failed]
+    votes = [[{"+": 1, "-": -1, "0": 0}[v] for v in r.votes] for r in own]
+    good = [1.0 if sum(v) > 0 else 0.5 if sum(v) == 0 else 0.0 for v in votes]
+    for _ in range(rules.ROUNDS):
+        prior = min(rules.GOOD[1], max(rules.GOOD[0], sum(good) / len(good)))
+        right = []
+        for j in range(len(votes[0])):
+            fine = (1 + sum(g for g, v in zip(good, votes) if v[j] == 1)) / (2 + sum(g for g, v in zip(good, votes) if v[j]))
+            bad = (1 + sum(1 - g for g, v in zip(good, votes) if v[j] == -1)) / (2 + sum(1 - g for g, v in zip(good, votes) if v[j]))
+            right.append([min(rules.ACCURACY[1], max(rules.ACCURACY[0], p)) for p in (bad, fine)])
+        for i, own_votes in enumerate(votes):
+            y1, y0 = prior, 1 - prior
+            for (bad, fine), v in zip(right, own_votes):
+                y1 *= {1: fine, -1: 1 - fine, 0: 1}[v]
+                y0 *= {1: 1 - bad, -1: bad, 0: 1}[v]
+            good[i] = y1 / (y1 + y0)
+    for r, g in zip(own, good):
+        assert abs(r.probability - g) < 1e-5 and (r.kept == (g >= rules.KEEP) or abs(g - rules.KEEP) < 1e-5)
+    assert {r.kept for r in own} == {True, False}
