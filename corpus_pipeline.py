@@ -17,10 +17,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, taught by the labels, doesn't reject. Texts that share a doc_id, or have none, are judged each."""
-    same = F.md5(F.coalesce("text", F.lit("")))
-    verdicts = quality.classify(docs.withColumn("_same", same), table(spark, sf_dir, "labels"), ("_same",))
-    rejected = verdicts.filter("predicted = 0").select(F.col("doc_id").alias("rejected"), "_same").distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["rejected"]) & (same == rejected["_same"]), "left_anti")
+    same = lambda text: F.md5(F.coalesce(text, F.lit("")))
+    slim = docs.select("doc_id", "text", same("text").alias("same"))
+    verdicts = quality.classify(slim, table(spark, sf_dir, "labels"), ("same",))
+    rejected = verdicts.filter("predicted = 0").select("doc_id", "same").distinct()
+    held = docs.select(F.struct(*docs.columns).alias("doc"))  # in a struct, no column's name can clash
+    mine = held["doc.doc_id"].eqNullSafe(rejected["doc_id"]) & (same(held["doc.text"]) == rejected["same"])
+    return held.join(rejected, mine, "left_anti").select("doc.*")
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +32,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def without_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without sentences that an earlier document has; a document of which nothing is left goes."""
+    """Texts without sentences that an earlier document has; a document of which nothing is left goes. A null text stays null."""
     cut = spans.dedup_spans(docs)
     left = cut.filter((F.col("removed_sentences") == 0) | (F.trim("text") != ""))
     return left.withColumn("n_chars", F.when(F.col("removed_sentences") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).drop("removed_sentences")
