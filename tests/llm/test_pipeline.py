@@ -143,3 +143,26 @@ def test_stages_keep_clean_documents(spark, tmp_path):
 def test_run_applies_all_stages(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert {"doc_id", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
+
+
+def test_stages_take_messy_rows_and_none(spark, tmp_path):
+    """Nulls in any column, empty and long texts, repeated rows, ties, clashing names; and an empty table."""
+    rng = random.Random(12)
+    more = ["same", "doc", "key", "spans", "copies", "row", "node", "piece"]
+    texts = [prose(rng, rng.randrange(20, 60)) for _ in range(30)]
+    rows = [(i, t, "en", f"s{i % 2}", len(t), *range(8)) for i, t in enumerate(texts)]
+    rows += [(None, None, None, None, None, *[None] * 8), (None, texts[0], None, None, None, *[None] * 8), (77, "", "en", "s0", 0, *[None] * 8)]
+    rows += [rows[0]] * 3 + [(77, None, None, "s1", None, *[1] * 8), (78, prose(rng, 30_000), "en", "s1", 0, *[2] * 8)]
+    docs = spark.createDataFrame(rows, SCHEMA + "".join(f", {c} int" for c in more))
+    labels = [(i, i % 5 > 0) for i in range(20)] + [(None, True), (5, None)]
+    spark.createDataFrame([(d, None if q is None else int(q)) for d, q in labels], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        for given in (docs, docs.limit(0)):
+            out = stage(spark, given, str(tmp_path))
+            got = [(r.doc_id, r.text) if name != "packing" else (r.doc_id, r.piece) for r in out.collect()]
+            assert bool(got) == (given is docs), name
+            assert name == "packing" or out.columns == docs.columns
+            if name in ("quality", "near_copies", "mixing"):
+                assert set(got) <= {(r[0], r[1]) for r in rows}
+            if name == "near_copies" and got:
+                assert len({t or "" for _, t in got}) == len(got) == 32
