@@ -114,14 +114,13 @@ def with_next(docs: DataFrame, made: Column) -> DataFrame:
     after = [(r["stretch"], known[(i + 1) % len(known)]["doc_id"], known[(i + 1) % len(known)]["h"]) for i, r in enumerate(known)]
     heads = docs.sparkSession.createDataFrame(after, "of int, head long, head_h long")  # a row a stretch, MOST_STRETCHES twice at most
     order = Window.partitionBy("stretch").orderBy(F.col("doc_id").asc_nulls_first(), "h")
-    own = placed.withColumn("own", made)
-    item = F.struct("text", "own")
-    led = own.withColumns({"_next": F.lead(item).over(order), "_last": F.lead(F.lit(1)).over(order).isNull()})
+    own = placed.repartition("stretch").withColumn("own", made)  # made behind the shuffle, which the window then needs no more
+    led = own.withColumns({"_text": F.lead("text").over(order), "_own": F.lead("own").over(order), "_last": F.lead(F.lit(1)).over(order).isNull()})
     found = placed.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("h") == F.col("head_h"))).groupBy("of").agg(F.first("text").alias("text"))
-    first = found.withColumn("own", made).select("of", item.alias("_first"))
+    first = found.withColumn("own", made).select("of", F.col("text").alias("_first_text"), F.col("own").alias("_first_own"))
     joined = led.join(first, (F.col("stretch") == F.col("of")) & F.col("_last"), "left")
-    following = F.when(F.col("_last"), F.col("_first")).otherwise(F.col("_next"))
-    return joined.select("doc_id", "text", "own", following["text"].alias("next_text"), following["own"].alias("next_own"))
+    following = lambda c: F.when(F.col("_last"), F.col(f"_first_{c}")).otherwise(F.col(f"_{c}"))
+    return joined.select("doc_id", "text", "own", following("text").alias("next_text"), following("own").alias("next_own"))
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
