@@ -68,12 +68,17 @@ def consensus_sequences(bases: DataFrame, min_coverage: int = 100) -> DataFrame:
 def codon_counts(aligned: DataFrame) -> DataFrame:
     """refname, frame (0, 1, 2), codon_idx, codon, n: reads padded with spaces to the codons of each frame.
 
-    A codon of a frame is a window of three letters at some place, so windows are counted by place, once for all frames.
+    A codon of a frame is a window of three letters at some place, so windows are counted by place, once for all frames; words
+    that hold STRETCH windows are counted before they are parted.
     """
     start = F.col("off").cast("long") - 2  # the first window that holds a letter
-    windows = F.sequence(F.lit(0), F.length("seq") + 1)
-    cut = aligned.filter(F.length("seq") > 0).select("refname", start.alias("start"), "cnt", F.concat(F.lit("  "), "seq", F.lit("  ")).alias("padded"), F.explode(windows).alias("i"))
-    counted = cut.groupBy("refname", (F.col("start") + F.col("i")).alias("at"), F.substring(F.col("padded"), F.col("i") + 1, F.lit(3)).alias("codon")).agg(F.sum("cnt").cast("long").alias("n"))
+    begins = F.sequence(F.lit(0), F.length("seq") + 1, F.lit(STRETCH))
+    padded = F.concat(F.lit("  "), "seq", F.lit("  ")).alias("padded")
+    cut = aligned.filter(F.length("seq") > 0).select("refname", start.alias("start"), "cnt", padded, F.explode(begins).alias("i"))
+    word = F.substring(F.col("padded"), F.col("i") + 1, F.lit(STRETCH + 2))
+    words = cut.groupBy("refname", (F.col("start") + F.col("i")).alias("begin"), word.alias("word")).agg(F.sum("cnt").alias("n"))
+    each = words.select("refname", "begin", "word", "n", F.explode(F.sequence(F.lit(0), F.length("word") - 3)).alias("k"))
+    counted = each.groupBy("refname", (F.col("begin") + F.col("k")).alias("at"), F.substring(F.col("word"), F.col("k") + 1, F.lit(3)).alias("codon")).agg(F.sum("n").cast("long").alias("n"))
     frame = F.pmod(-F.col("at"), F.lit(3)).cast("int")
     return counted.select("refname", frame.alias("frame"), F.expr("CAST((at + pmod(-at, 3)) / 3 AS BIGINT)").alias("codon_idx"), "codon", "n")
 
