@@ -211,10 +211,18 @@ def w12(reads: DataFrame) -> DataFrame:
     return windows.neighbour_ratios(a21(reads)).withColumn("ratio", F.round("ratio", 6))
 
 
-@query("w14_smoothed_coverage", None, "aligned")
+@query(
+    "w14_smoothed_coverage",
+    f"""WITH {_WIDE}, l AS (SELECT refname, list({{'g': [{{'value': coverage, 'size': CAST(1 AS INT)}}]}} ORDER BY pos) AS own FROM wide GROUP BY refname),
+    r AS (SELECT refname, list_reduce(own, lambda a, x: CASE WHEN x.g[1].value BETWEEN a.g[len(a.g)].value * 0.9 AND a.g[len(a.g)].value * 1.1 THEN {{'g': list_concat(a.g[1:len(a.g) - 1], [{{'value': a.g[len(a.g)].value, 'size': CAST(a.g[len(a.g)].size + 1 AS INT)}}])}} ELSE {{'g': list_concat(a.g, x.g)}} END).g AS groups FROM l),
+    k AS (SELECT refname, groups, unnest(range(1, len(groups) + 1)) AS i FROM r)
+    SELECT refname, CAST(i - 1 AS INT) AS i, groups[i].value AS value, groups[i].size AS size FROM k""",
+    "aligned",
+)
 def w14(aligned: DataFrame) -> DataFrame:
     wide = counts.pileup(counts.position_bases(aligned))
-    return windows.smoothed(wide, ["refname"], "coverage")
+    grouped = windows.smoothed(wide, ["refname"], "coverage").select("refname", F.posexplode("groups").alias("i", "g"))
+    return grouped.select("refname", "i", "g.value", "g.size")
 
 
 @query(
