@@ -72,3 +72,20 @@ def s11(runs: DataFrame) -> DataFrame:
     path = files.scratch(runs.sparkSession)
     files.write_by_sample(runs.groupBy("sample", "app").agg(F.count(F.lit(1)).alias("n")), path)
     return files.collate(runs.sparkSession, path, "app string, n long")
+
+
+@query("s9_sample_files", "SELECT sample, count(*) AS n, 1 AS files FROM (SELECT DISTINCT sample, run_id, line FROM runs) GROUP BY sample", "runs")
+def s9(runs: DataFrame) -> DataFrame:
+    path = files.scratch(runs.sparkSession)
+    files.write_by_sample(runs.select("sample", "run_id", "line").distinct(), path)
+    back = runs.sparkSession.read.schema("sample string, run_id long, line int").csv(path, header=True).withColumn("file", F.input_file_name())
+    return back.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file").cast("int").alias("files"))
+
+
+@query("s10_sequence_files", "SELECT concat(pair_id, ':', mate) AS name, seq, upper(seq) AS sequence FROM reads", "reads")
+def s10(reads: DataFrame) -> DataFrame:
+    spark, named = reads.sparkSession, reads.select(F.concat("pair_id", F.lit(":"), "mate").alias("name"), "seq", "qual")
+    fastq, fasta = files.scratch(spark), files.scratch(spark)
+    files.write_fastq(named, fastq)
+    files.write_fasta(named.select("name", F.col("seq").alias("sequence")), fasta)
+    return files.read_fastq(spark, fastq).select("name", "seq").join(files.read_fasta(spark, fasta), "name")

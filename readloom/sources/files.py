@@ -111,8 +111,8 @@ def sections(lines: DataFrame, key: list[str], order: str, value: str = "value")
 
 
 def write_by_sample(rows: DataFrame, path: str, sample: str = "sample") -> None:
-    """A folder of CSV a sample."""
-    rows.write.partitionBy(sample).csv(path, header=True)
+    """One CSV file a sample, in a folder named by it."""
+    rows.repartition(sample).write.partitionBy(sample).csv(path, header=True)
 
 
 def collate(spark: SparkSession, path: str, schema: str, sample: Column | None = None) -> DataFrame:
