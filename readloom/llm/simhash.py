@@ -328,7 +328,21 @@ def _open_rows(cells: pd.DataFrame, similarity: float) -> pd.DataFrame:
 
 
 def _exact_links(cells: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Links that join components of a cell: all pairs of candidates are compared by their shingles, but those already joined."""
+    """Links that join components of a cell: all pairs of candidates are compared by their shingles, but those already joined.
+
+    Cells are taken together while they have about SHINGLES shingles.
+    """
+    first = np.append(np.cumsum(_sizes(cells)) - _sizes(cells), len(cells))
+    before = np.append(0, np.cumsum(cells["shingles"].to_numpy()))[first]
+    found, at = [], 0
+    while at < len(first) - 1:
+        upto = max(at + 1, int(np.searchsorted(before, before[at] + SHINGLES, "right")) - 1)
+        found.append(_links_of(cells.iloc[first[at] : first[upto]].reset_index(drop=True), similarity))
+        at = upto
+    return pd.concat(found, ignore_index=True)
+
+
+def _links_of(cells: pd.DataFrame, similarity: float) -> pd.DataFrame:
     _, group = np.unique(cells["component"].to_numpy(), return_inverse=True)
     label = np.arange(int(group.max()) + 1)
     sets = [np.frombuffer(x, np.uint64) for x in cells["shingle_set"]]

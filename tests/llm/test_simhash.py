@@ -135,3 +135,16 @@ def test_links_of_a_block_are_those_of_all_pairs():
         return label.tolist()
 
     assert groups(got) == groups(want)
+
+
+def test_cells_apart_give_the_same_links(monkeypatch):
+    cells, sets = dense_cell(240)
+    for i in range(0, 240, 5):
+        cells.at[i + 1, "shingle_set"] = sets[i][1:].tobytes()
+    cells["shingles"] = [len(x) // 8 for x in cells["shingle_set"]]
+    cells["cell"] = np.arange(240) // 20
+    links = [simhash._exact_links(cells, 0.8)]
+    for most in (1, 3000):
+        monkeypatch.setattr(simhash, "SHINGLES", most)
+        links.append(simhash._exact_links(cells, 0.8))
+    assert len(links[0]) >= 48 and all(sorted(map(tuple, x.to_numpy())) == sorted(map(tuple, links[0].to_numpy())) for x in links)
