@@ -63,7 +63,11 @@ NOTICES = (
     ("cc-by-sa", "licensed under a creative commons attribution sharealike"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc-by-nc", "licensed under a creative commons attribution noncommercial"),
+    ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-nd", "licensed under a creative commons attribution noderivatives"),
+    ("cc-by-nd", "licensed under cc by nd 4 0"),
+    ("cc-by-nc-sa", "licensed under cc by nc sa 4 0"),
+    ("cc-by-nc-nd", "licensed under cc by nc nd 4 0"),
     ("public-domain", "released into the public domain"),
     ("public-domain", "this work is in the public domain"),
     ("reserved", "all rights reserved"),
@@ -159,6 +163,16 @@ class NoticeSearch:
         return sorted(out, key=lambda f: (f.start, f.end, f.label))
 
 
+def best_of(found: list[Found]) -> list[Found]:
+    """Without those that overlap a likelier notice, or stand within a longer one that is as likely."""
+    kept: list[Found] = []
+    for f in sorted(found, key=lambda f: (-f.likeness, f.start - f.end, f.start, f.label)):
+        near = [k for k in kept if f.start < k.end and k.start < f.end]
+        if not any(k.likeness > f.likeness or k.start <= f.start and f.end <= k.end and k.end - k.start > f.end - f.start for k in near):
+            kept.append(f)
+    return sorted(kept, key=lambda f: (f.start, f.end, f.label))
+
+
 @functools.cache
 def searcher(chars_an_error: int = CHARS_AN_ERROR, most_errors: int = MOST_ERRORS) -> NoticeSearch:
     return NoticeSearch(chars_an_error=chars_an_error, most_errors=most_errors)
@@ -172,7 +186,7 @@ def scan_text(text: str | None, chars_an_error: int = CHARS_AN_ERROR, most_error
     starts = [p for own in base.values() for p in own]
     base_labels = sorted({label for label, own in base.items() if own})
     string = line.decode("utf-8", "replace")
-    found = searcher(chars_an_error, most_errors).find(string)
+    found = best_of(searcher(chars_an_error, most_errors).find(string))
     labels = sorted({*base_labels, *(f.label for f in found)})
     spans = []
     for f in found:
@@ -186,7 +200,7 @@ def scan(docs: DataFrame, chars_an_error: int = CHARS_AN_ERROR, most_errors: int
     """A row for each of `docs(doc_id, text)`: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
     Base: places of exact phrases; first_word and last_word are null without any. labels adds those of notices found with at
-    most one error in `chars_an_error` characters and `most_errors` in all; spans has their words and edits. score is 1 for a base phrase, else the likeness of the
+    most one error in `chars_an_error` characters and `most_errors` in all, where no likelier notice stands; spans has their words and edits. score is 1 for a base phrase, else the likeness of the
     best notice, else 0. Null and empty texts have no words and no labels. Very long texts are scanned whole. Repeated rows are
     scanned each. Other columns of `docs` are ignored, whatever their names. An empty table gives no rows.
     """

@@ -103,3 +103,12 @@ def test_labels_are_those_of_all_substrings():
             assert (label in got) == near, (line, label)
     for f in own.find(" x relesed undr the mit license y "):
         assert f.edits == distance("released under the mit license", " x relesed undr the mit license y "[f.start : f.end])
+
+
+def test_the_likelier_of_overlapping_notices_counts():
+    labels = lambda text: licences.scan_text(text)[5]
+    assert labels("Licensed under CC BY-NC 4.0.") == "cc-by,cc-by-nc"  # cc by is a base phrase
+    assert labels("Licensed under CC-BY-NC-SA 4.0") == "cc-by,cc-by-nc-sa"
+    assert labels("licensed under a Creative Commons Attribution-ShareAlike") == "cc-by-sa"
+    assert labels("Licensed under the GNU Lesser General Public License") == "gpl,lgpl"
+    assert labels("Licensed under the GNU Affero Generel Public License") == "agpl"
