@@ -50,10 +50,43 @@ def overlapping(spans: DataFrame, width: int = WIDTH) -> DataFrame:
     return pairs.filter(F.floor(F.greatest("r_st", "o_st") / width) == F.col("b")).drop("b")
 
 
+#: Positions are below 2^LEVELS.
+LEVELS = 30
+
+
+def _blocks(start: Column, end: Column) -> Column:
+    """The fewest aligned blocks of 2^level positions that make up [start, end], as array<struct<level, block>>; none if empty."""
+    none = F.array().cast("array<struct<level: int, block: bigint>>")
+    begin = F.struct(start.cast("long").alias("a"), end.cast("long").alias("b"), none.alias("found"))
+
+    def step(x: Column, level: Column) -> Column:
+        own = lambda use, block: F.when(use, F.array(F.struct(level.alias("level"), block.alias("block")))).otherwise(none)
+        found = F.concat(x["found"], own(x["a"] % 2 == 1, x["a"]), own(x["b"] % 2 == 0, x["b"]))
+        up = F.struct(F.shiftright(x["a"] + 1, 1).alias("a"), F.shiftright(x["b"] - 1, 1).alias("b"), found.alias("found"))
+        return F.when(x["a"] <= x["b"], up).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS)), begin, step)["found"]
+
+
 def best_partner(spans: DataFrame) -> DataFrame:
-    """id, partner: the longest overlapping interval, of equals that of the smallest id."""
-    best = F.min(F.struct((F.col("o_st") - F.col("o_ei")).alias("len"), "other"))["other"]
-    return overlapping(spans).groupBy("id").agg(best.alias("partner"))
+    """id, partner: the longest overlapping interval, of equals that of the smallest id; intervals without one have no row.
+
+    A partner either holds the interval's first position or starts within it. Of the intervals that hold an aligned block, and of
+    those that start in one, only the longest (and its second, for itself) are kept, and a position or stretch asks its blocks:
+    rows grow with the intervals and the logarithm of the positions, never with their pairs.
+    """
+    key = ["ref", "level", "block"]
+    best = F.min(F.struct((F.col("r_st") - F.col("r_ei")).alias("len"), "id"))
+    above = F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda n: F.struct(n.alias("level"), F.floor(F.col("r_st") / F.pow(F.lit(2.0), n)).cast("long").alias("block")))
+    at = lambda blocks: spans.select("id", "ref", "r_st", "r_ei", F.explode(blocks).alias("x")).select("id", "ref", "r_st", "r_ei", "x.level", "x.block")
+    holding = at(_blocks(F.col("r_st"), F.col("r_ei")))
+    first = holding.groupBy(*key).agg(best.alias("first"))
+    second = holding.join(first, key).filter(F.col("id") != F.col("first.id")).groupBy(*key).agg(best.alias("second"))
+    held = at(above).select("id", *key).join(first, key).join(second, key, "left")
+    one = held.select("id", F.when(F.col("first.id") != F.col("id"), F.col("first")).otherwise(F.col("second")).alias("p"))
+    starting = at(above).groupBy(*key).agg(best.alias("p"))
+    two = at(_blocks(F.col("r_st") + 1, F.col("r_ei"))).select("id", *key).join(starting, key).select("id", "p")
+    return one.union(two).filter("p IS NOT NULL").groupBy("id").agg(F.min("p")["id"].alias("partner"))
 
 
 def _islands(spans: DataFrame, key: list[str]) -> DataFrame:

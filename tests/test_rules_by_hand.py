@@ -1,5 +1,7 @@
 """Edge rules on rows made by hand."""
 
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -245,3 +247,19 @@ def test_equal_mapping_quality_is_told_by_alignment_score(spark):
     rows = [("a", 99, 1, "r1", 40, 7), ("a", 147, 2, "r2", 40, 8), ("b", 99, 1, "r1", 9, 1), ("b", 147, 2, "r2", 10, 0), ("c", 99, 1, "r1", 5, 3), ("c", 147, 2, "r2", 5, 3), ("d", 99, 1, "r1", 5, None), ("d", 147, 2, "r2", 5, 0), ("e", 99, 1, "r1", 5, 1), ("e", 147, 2, "r1", 6, 1), ("f", 99, 1, "r1", 5, 1), ("f", 4, 2, "r2", 6, 1)]
     sam = spark.createDataFrame(rows, "qname string, flag int, mate int, rname string, mapq int, score int")
     assert {r.qname: r.rname for r in pairing.resolve_mixed_references(sam).collect()} == {"a": "r2", "b": "r2", "c": "r1", "d": "r2"}
+
+
+def test_best_partner_matches_all_pairs(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(150):
+        start = rng.randrange(0, 400)
+        rows.append((i, rng.choice(["a", "b"]), start, start + rng.choice([0, 1, 7, 40, 200]), 1))
+    rows += [(900, "c", 5, 5, 1), (901, "c", 6, 6, 1), (902, "d", 0, 1 << 28, 1), (903, "d", 1 << 28, 1 << 28, 1)]
+    want = {}
+    for i, ref, a, b, _ in rows:
+        others = [(c - d, j) for j, r, c, d, _ in rows if j != i and r == ref and a <= d and c <= b]
+        if others:
+            want[i] = min(others)[1]
+    out = intervals.best_partner(spark.createDataFrame(rows, "id long, ref string, r_st long, r_ei long, reads long")).collect()
+    assert {r.id: r.partner for r in out} == want
