@@ -12,7 +12,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -22,8 +21,8 @@ from pyspark.sql import functions as F
 from readloom.llm.common import bucket_of, filled_id, numbered, restored_id, stash
 
 ROWS_A_BUCKET, MOST_BUCKETS = 2_000, 4_096
-#: Chunks, and words, whose ids a Python worker keeps at hand before it drops the older half.
-CACHE_CHUNKS = 1_000_000
+#: Chunks, and words, whose ids a Python worker keeps at hand; as many more, older ones, it keeps until the next are full.
+CACHE_CHUNKS = 150_000
 #: Printable ASCII but the apostrophe, and Latin letters that lower-case to one letter; parts of such chunks.
 PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 WORDS = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]|[!-/:-@\\[-`{-~]+")
@@ -50,6 +49,8 @@ class ChunkEncoder:
         self._letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self._known: dict[bytes, bytes] = {}
         self._words: dict[str, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
+        self._old_words: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         raw = text.encode("utf-8", "surrogatepass")
@@ -58,13 +59,14 @@ class ChunkEncoder:
         try:
             return b"".join(map(self._known.__getitem__, chunks))
         except KeyError:
-            for cache in (self._known, self._words):
-                if len(cache) > CACHE_CHUNKS:  # the older half goes
-                    for c in list(islice(cache, len(cache) // 2)):
-                        del cache[c]
+            if len(self._known) > CACHE_CHUNKS:
+                self._old, self._known = self._known, {}
             missing = [c for c in dict.fromkeys(chunks) if c not in self._known]
         other = []
         for chunk in missing:
+            if chunk in self._old:
+                self._known[chunk] = self._old[chunk]
+                continue
             plain = chunk.decode("utf-8", "replace")
             if PLAIN.fullmatch(plain) and not ("<" in plain and self._special.search(plain)):
                 self._known[chunk] = b"".join([self._words.get(w) or self._word(w) for w in WORDS.findall(plain.lower())])
@@ -75,6 +77,11 @@ class ChunkEncoder:
         return b"".join(map(self._known.__getitem__, chunks))
 
     def _word(self, word: str) -> bytes:
+        if len(self._words) > CACHE_CHUNKS:
+            self._old_words, self._words = self._words, {}
+        if ids := self._old_words.get(word):
+            self._words[word] = ids
+            return ids
         tokens = self._merges(word if word.isascii() else self._letters(word)[0][0])
         ids = self._words[word] = struct.pack(f"<{len(tokens)}I", *(t.id for t in tokens))
         return ids
