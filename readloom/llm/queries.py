@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from readloom.llm import chat, licences, merkle, mixing, packing, quality, rules, sharding, simhash, spans, sql
+from readloom.llm import chat, licences, merkle, middle, mixing, packing, quality, rules, sharding, simhash, spans, sql
 from readloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,9 +54,15 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formed = middle.fill_in_middle(table(spark, sf_dir, "documents"), seed=7, per_cent=100, spm_per_cent=50)
+    digest = lambda text: F.sha2(text, 256)
+    return formed.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output").alias("output_sha256"), digest(middle.restored("output", "form")).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat": sql.OP5, "op9_merkle": sql.OP9}
+    return {"op5_chat": sql.OP5, "op9_merkle": sql.OP9, "op11_middle": sql.OP11}

@@ -54,3 +54,18 @@ SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(e) AS edited_sha256,
   CASE WHEN t_root <> e_root THEN {_PLACE.format('t_par', 'e_par')} END AS first_edit
 FROM d5
 """
+
+_LINES = "regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+')"
+_HEX = "CAST(concat('0x', substr(h, {0}, 8)) AS UBIGINT)"
+_PART = "array_to_string(list_slice(lines, {0}, {1}), '')"
+
+OP11 = f"""
+WITH filled AS (SELECT doc_id, coalesce(text, '') AS text, sha256(concat('7:', doc_id)) AS h FROM documents),
+lined AS (SELECT *, {_LINES} AS lines FROM filled),
+cut AS (SELECT *, least({_HEX.format(1)} % (len(lines) + 1), {_HEX.format(9)} % (len(lines) + 1)) AS a, greatest({_HEX.format(1)} % (len(lines) + 1), {_HEX.format(9)} % (len(lines) + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR {_HEX.format(17)} % 100 >= 100 THEN 'plain' WHEN {_HEX.format(25)} % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM lined),
+parts AS (SELECT *, {_PART.format(1, 'a')} AS p, {_PART.format('a + 1', 'b')} AS m, {_PART.format('b + 1', 'len(lines)')} AS s FROM cut)
+SELECT doc_id, len(lines) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', p, '<S>', s, '<M>', m) ELSE concat('<S>', s, '<P>', p, '<M>', m) END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
