@@ -1,0 +1,47 @@
+"""Blocks of rows that are compared within a task: whole cells, one after another, some at once."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+
+
+def bounds(cell: np.ndarray) -> np.ndarray:
+    """Where each cell begins, and the end; its rows lie together."""
+    if not len(cell):
+        return np.zeros(1, np.int64)
+    return np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
+
+
+def whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of `batches(cell, ...)`, sorted by cell, parted between cells: a batch's whole ones together, a longer one by itself."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        cell = batch["cell"].to_numpy()
+        upto = int(bounds(cell)[-2])  # the last cell may go on
+        if held and (upto or held[-1]["cell"].iat[-1] != cell[0]):
+            own = int(bounds(cell)[1]) if cell[0] == held[-1]["cell"].iat[-1] else 0
+            yield pd.concat([*held, batch[:own]], ignore_index=True)
+            held = []
+            if upto > own:
+                yield batch[own:upto].reset_index(drop=True)
+        elif upto:
+            yield batch[:upto].reset_index(drop=True)
+        held.append(batch[upto:].copy() if upto else batch)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def by_cell(rows: DataFrame, order: list[Column | str], run: Callable[[pd.DataFrame], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """`run` over some whole cells of `rows(cell, ...)` at once, their rows in `order`: a task holds one batch and one cell."""
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for cells in whole_cells(batches):
+            yield from run(cells)
+
+    return rows.repartition("cell").sortWithinPartitions("cell", *order).mapInPandas(stream, schema)

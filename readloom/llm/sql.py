@@ -69,3 +69,23 @@ SELECT doc_id, len(lines) AS n, form, CASE WHEN form <> 'plain' THEN length(p) E
   sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', p, '<S>', s, '<M>', m) ELSE concat('<S>', s, '<P>', p, '<M>', m) END) AS output_sha256, sha256(text) AS restored_sha256
 FROM parts
 """
+
+_BYTES = "list_transform(range(0, len(hex(encode({0}))) // 2), lambda i: CAST(concat('0x', substr(hex(encode({0})), 2 * i + 1, 2)) AS UINTEGER))"
+_CRC_TABLE = "list_transform(range(0, 256), lambda b: list_reduce(range(0, 8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(CAST(3988292384 AS UBIGINT), c // 2) ELSE c // 2 END, CAST(b AS UBIGINT)))"
+_CRC = f"xor(list_reduce({_BYTES}, lambda c, b: xor(t[1 + CAST(xor(c % 256, b) AS INT)], c // 256), CAST(4294967295 AS UBIGINT)), CAST(4294967295 AS UBIGINT))"
+
+OP13 = f"""
+WITH RECURSIVE filled AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM filled) GROUP BY ALL HAVING length(run) >= 6),
+crc_table AS MATERIALIZED (SELECT {_CRC_TABLE} AS t),
+hashed AS (SELECT run, n, {_CRC.format("concat(doc_id, ':', run)")} AS h FROM runs, crc_table),
+slipped AS (SELECT CASE WHEN h % 199 = 0 THEN concat(substr(run, 1, CAST(h % length(run) AS INT)), substr(run, CAST(h % length(run) AS INT) + 2)) ELSE run END AS word, n FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS MATERIALIZED (SELECT word, n, i, concat(substr(word, 1, CAST(i AS INT)), substr(word, CAST(i AS INT) + 2)) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS form, max(m) AS form_n FROM pairs GROUP BY word),
+named AS MATERIALIZED (SELECT w.word, CASE WHEN form_n >= 5 * n THEN form END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n FROM words w LEFT JOIN best b ON b.word = w.word),
+followed AS (SELECT word, word AS root, form AS ahead FROM named UNION ALL SELECT f.word, n.word, n.form FROM followed f JOIN named n ON n.word = f.ahead)
+SELECT n.word, form, root, n, n_near, form_n FROM named n JOIN followed f ON f.word = n.word WHERE ahead IS NULL
+"""
