@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import chat, licences, merkle, middle, mixing, packing, quality, rules, sharding, simhash, spans, spelling, sql
+from readloom.llm import chat, licences, merkle, middle, minhash, mixing, packing, quality, rules, sharding, simhash, spans, spelling, sql
 from readloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def op11_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formed.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output").alias("output_sha256"), digest(middle.restored("output", "form")).alias("restored_sha256"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=5, per_cent=85)
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"), least_letters=6, least_count=5, times=5, slip=199)
 
@@ -69,4 +73,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat": sql.OP5, "op9_merkle": sql.OP9, "op11_middle": sql.OP11, "op13_spelling": sql.OP13}
+    return {"op5_chat": sql.OP5, "op9_merkle": sql.OP9, "op11_middle": sql.OP11, "op12_minhash": sql.OP12, "op13_spelling": sql.OP13}

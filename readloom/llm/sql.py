@@ -70,6 +70,19 @@ SELECT doc_id, len(lines) AS n, form, CASE WHEN form <> 'plain' THEN length(p) E
 FROM parts
 """
 
+OP12 = """
+WITH RECURSIVE worded AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+shingled AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM worded WHERE len(words) > 0)),
+sets AS MATERIALIZED (SELECT doc_id, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS same, count(*) AS n FROM shingled GROUP BY doc_id),
+one AS (SELECT min(doc_id) AS doc_id, same, any_value(n) AS n FROM sets GROUP BY same),
+own AS MATERIALIZED (SELECT o.doc_id, shingle, n FROM shingled JOIN one o USING (doc_id)),
+links AS MATERIALIZED (SELECT a.doc_id AS one, b.doc_id AS other FROM own a JOIN own b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS node, doc_id AS root FROM one UNION SELECT l.other, r.root FROM reach r JOIN links l ON l.one = r.node AND r.root < l.other),
+least AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, w.doc_id) AS component_id, w.doc_id = coalesce(root, w.doc_id) AS kept
+FROM (SELECT doc_id FROM worded) w LEFT JOIN (SELECT s.doc_id, s.n, l.root FROM sets s JOIN one o ON o.same = s.same JOIN least l ON l.node = o.doc_id) f ON f.doc_id = w.doc_id
+"""
+
 _BYTES = "list_transform(range(0, len(hex(encode({0}))) // 2), lambda i: CAST(concat('0x', substr(hex(encode({0})), 2 * i + 1, 2)) AS UINTEGER))"
 _CRC_TABLE = "list_transform(range(0, 256), lambda b: list_reduce(range(0, 8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(CAST(3988292384 AS UBIGINT), c // 2) ELSE c // 2 END, CAST(b AS UBIGINT)))"
 _CRC = f"xor(list_reduce({_BYTES}, lambda c, b: xor(t[1 + CAST(xor(c % 256, b) AS INT)], c // 256), CAST(4294967295 AS UBIGINT)), CAST(4294967295 AS UBIGINT))"
