@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable, Iterable, Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from readloom.operators import scans
+from readloom.operators.groups import bounds, by_group
+from readloom.sources.files import scratch
 
 #: Positions of a bucket: intervals meet in the buckets they touch, so joins are on equal keys.
 WIDTH = 1000
@@ -89,80 +97,169 @@ def best_partner(spans: DataFrame) -> DataFrame:
     return one.union(two).filter("p IS NOT NULL").groupBy("id").agg(F.min("p")["id"].alias("partner"))
 
 
-def _islands(spans: DataFrame, key: list[str]) -> DataFrame:
-    order = Window.partitionBy(*key).orderBy("r_st", "r_ei")
-    reached = F.max("r_ei").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(F.col("r_st") <= reached + 1, 0).otherwise(1)
-    marked = spans.withColumn("_new", new)
-    return marked.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*key, "_island").agg(F.min("r_st").alias("r_st"), F.max("r_ei").alias("r_ei")).drop("_island")
+def islands(spans: DataFrame, key: list[str], apart: int = 1) -> DataFrame:
+    """`spans(key, r_st, r_ei, id, ...)` with island: those of a key that lie within `apart` positions of one another, and of one another's islands."""
+    order = ["r_st", "r_ei", "id"]
+    reached = scans.running(scans.laid(spans, key, order), key, order, {"_reached": ("max", F.col("r_ei"))}, own=False)
+    marked = reached.withColumn("_new", F.when(F.col("r_st") <= F.col("_reached") + apart, 0).otherwise(1))
+    return scans.running(marked, key, order, {"island": ("sum", F.col("_new"))}).drop("_reached", "_new", "_range")
 
 
-def merge_intervals(spans: DataFrame, width: int = WIDTH) -> DataFrame:
-    """ref, r_st, r_ei of overlapping or adjacent intervals merged: within buckets of starts first, then over what is left of each ref."""
-    local = _islands(spans.select("ref", F.floor(F.col("r_st") / width).alias("_b"), "r_st", "r_ei"), ["ref", "_b"])
-    return _islands(local.select("ref", "r_st", "r_ei"), ["ref"])
+def merge_intervals(spans: DataFrame) -> DataFrame:
+    """ref, r_st, r_ei of overlapping or adjacent intervals merged; of those with one start, only the longest counts."""
+    longest = spans.groupBy("ref", "r_st").agg(F.max("r_ei").alias("r_ei")).withColumn("id", F.lit(0))
+    return islands(longest, ["ref"]).groupBy("ref", "island").agg(F.min("r_st").alias("r_st"), F.max("r_ei").alias("r_ei")).drop("island")
 
 
 def covered_by_others(spans: DataFrame) -> DataFrame:
     """id, ref of intervals that one merged stretch of the intervals overlapping them covers, all seen at once; `without_covered` removes them one by one.
 
-    A stretch that is larger covers. One of equal bounds covers if its intervals together have more reads.
+    A stretch that is larger covers. One of equal bounds covers if its intervals together have more reads, all of them known.
+
+    Others cover an interval if no position of it has a depth of one. Their stretch is larger if some begin before it and go on
+    into it, or go on after it. So sums along each reference answer: what began and ended before a position, and how many
+    positions of depth one; each interval reads them at its start and behind its end. No pair of intervals is made.
+    """
+    key, order = ["ref"], ["pos"]
+    unknown = F.col("reads").isNull().cast("long")
+    begins = spans.select("ref", F.col("r_st").alias("pos"), F.lit(1).alias("begin"), F.lit(0).alias("end"), F.coalesce("reads", F.lit(0)).alias("reads"), unknown.alias("unknown"))
+    ends = spans.select("ref", (F.col("r_ei") + 1).alias("pos"), F.lit(0).alias("begin"), F.lit(1).alias("end"), F.lit(0).alias("reads"), F.lit(0).alias("unknown"))
+    events = begins.unionByName(ends).groupBy("ref", "pos").agg(*(F.sum(c).alias(c) for c in ("begin", "end", "reads", "unknown")))
+    sums = {f"_{c}": ("sum", F.col(c)) for c in ("begin", "end", "reads", "unknown")}
+    summed = scans.running(scans.laid(events, key, order), key, order, sums)
+    ahead = scans.running(summed, key, order, {"_next": ("nearest", F.col("pos"))}, own=False, after=True)
+    single = F.when(F.col("_begin") - F.col("_end") == 1, F.col("_next") - F.col("pos")).otherwise(0)
+    known = scans.running(ahead.withColumn("single", single), key, order, {"_single": ("sum", F.col("single"))})
+    going_on = F.col("_begin") - F.col("begin") - F.col("_end")
+    before = lambda c: F.col(f"_{c}") - F.col(c)
+    at = known.select("ref", "pos", going_on.alias("on"), *(before(c).alias(c) for c in ("reads", "unknown", "single")))
+    start, behind = (at.select(F.col("ref").alias(f"{n}_ref"), F.col("pos").alias(f"{n}_pos"), *(F.col(c).alias(f"{n}_{c}") for c in ("on", "reads", "unknown", "single"))) for n in ("a", "b"))
+    both = spans.join(start, (F.col("ref") == F.col("a_ref")) & (F.col("r_st") == F.col("a_pos"))).join(behind, (F.col("ref") == F.col("b_ref")) & (F.col("r_ei") + 1 == F.col("b_pos")))
+    covered = F.col("a_single") == F.col("b_single")
+    larger = (F.col("a_on") > 0) | (F.col("b_on") > 0)
+    more = (F.col("a_unknown") == F.col("b_unknown")) & (F.col("b_reads") - F.col("a_reads") > 2 * F.col("reads"))
+    return both.filter(covered & (larger | more)).select("id", "ref")
+
+
+#: Of an interval: start, end, reads (None: unknown), and its place in the list.
+Span = tuple[int, int, float | None, int]
+
+
+def _is_covered(span: Span, left: Iterable[Span]) -> bool:
+    """Whether one merged stretch of the others in `left` that overlap an interval covers it."""
+    start, end, reads, place = span
+    others = sorted((x for x in left if x[0] <= end and x[1] >= start and x[3] != place), key=lambda x: x[0])
+    reach = start - 1
+    for low, high, *_ in others:
+        if low > reach + 1:
+            return False
+        reach = max(reach, high)
+    if reach < end:
+        return False
+    if reach > end or others[0][0] < start:
+        return True
+    return reads is not None and all(x[2] is not None for x in others) and sum(x[2] for x in others) > reads
+
+
+def _removed(left: dict[int, Span], by_reads: bool) -> Iterator[Span]:
+    """Take from `left`, again and again, the least interval (by reads, or by length; of equals the first) that others cover.
+
+    Removals shrink the cover of others, so the search goes on where it stopped; but where reads were unknown, those passed over
+    for that reason may be covered now, and it begins anew.
+    """
+    order = sorted(left, key=lambda i: (left[i][2] if by_reads else left[i][1] - left[i][0], i))
+    at = 0
+    while at < len(order):
+        span = left.get(order[at])
+        if span is None or not _is_covered(span, left.values()):
+            at += 1
+            continue
+        del left[span[3]]
+        yield span
+        if span[2] is None:
+            at = 0
+
+
+def _rank(span: Span) -> tuple[int, int]:
+    return span[1] - span[0], span[3]
+
+
+def _passes(spans: list[Span], until: tuple[int, int] | None) -> Iterator[tuple[Span, bool, tuple[int, int] | None]]:
+    """Each interval of an island, whether it stays, and when it went.
+
+    Where some reads are unknown anywhere in the sample, the least is the shortest. `until`: at that rank the last interval of unknown
+    reads goes, and the least is from then on the one of fewest reads; None: that doesn't happen. An interval that is found late,
+    after longer ones, went when they did: its rank is theirs.
     """
-    pairs = overlapping(spans)
-    order = Window.partitionBy("id").orderBy("o_st", "o_ei", "other")
-    reached = F.max("o_ei").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = pairs.withColumn("_new", F.when(F.col("o_st") <= reached + 1, 0).otherwise(1))
-    stretch = marked.withColumn("_s", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    per = stretch.groupBy("id", "ref", "r_st", "r_ei", "reads", "_s").agg(F.min("o_st").alias("a"), F.max("o_ei").alias("b"))
-    total = pairs.groupBy("id").agg(F.sum("o_reads").alias("all_reads"))
-    strict = ((F.col("a") < F.col("r_st")) & (F.col("b") >= F.col("r_ei"))) | ((F.col("a") <= F.col("r_st")) & (F.col("b") > F.col("r_ei")))
-    equal = (F.col("a") == F.col("r_st")) & (F.col("b") == F.col("r_ei")) & (F.col("all_reads") > F.col("reads"))
-    return per.join(total, "id").filter(strict | equal).select("id", "ref").distinct()
-
-
-def _is_covered(start: int, end: int, reads: float | None, others: list[tuple[int, int, float | None]]) -> bool:
-    """Whether one merged stretch of the `others` that overlap an interval covers it."""
-    stretches: list[list[int]] = []
-    for low, high, _ in sorted(others, key=lambda x: x[:2]):
-        if stretches and low <= stretches[-1][1] + 1:
-            stretches[-1][1] = max(high, stretches[-1][1])
-        else:
-            stretches.append([low, high])
-    counted = reads is not None and all(r is not None for *_, r in others)
-    more = counted and sum(r for *_, r in others) > reads
-    return any(low <= start and high >= end and (more or low < start or high > end) for low, high in stretches)
-
-
-def _least_first(spans: pd.DataFrame) -> pd.DataFrame:
-    """Drop intervals, the least first, that the others left cover. A few intervals of one sample on one reference."""
-    rows = list(zip(spans["r_st"].tolist(), spans["r_ei"].tolist(), (None if pd.isna(r) else r for r in spans["reads"]), strict=True))
-    by_reads = all(r is not None for *_, r in rows)
-    left = dict(enumerate(rows))
-    for i in sorted(left, key=lambda i: rows[i][2] if by_reads else rows[i][1] - rows[i][0]):
-        start, end, reads = left.pop(i)
-        if not _is_covered(start, end, reads, [x for x in left.values() if x[0] <= end and x[1] >= start]):
-            left[i] = rows[i]
-    return spans.loc[sorted(left)]
+    left = {x[3]: x for x in spans}
+    unknown = sum(x[2] is None for x in spans)
+    rank, went = (-1, -1), {}
+    if until is None or until >= (0, 0):
+        kept = dict(left)
+        for span in _removed(kept, by_reads=False):
+            if until is not None and max(rank, _rank(span)) > until:
+                break
+            rank = max(rank, _rank(span))
+            went[span[3]] = rank
+            del left[span[3]]
+            unknown -= span[2] is None
+            if rank == until and not unknown:
+                break
+    if until is not None:
+        for span in _removed(left, by_reads=True):
+            went[span[3]] = None
+    for span in spans:
+        yield span, span[3] in left, went.get(span[3])
 
 
 def without_covered(spans: DataFrame, key: list[str]) -> DataFrame:
-    """Of `spans(key, id, r_st, r_ei, reads)`, those that stay when the least (by reads; by length if any has none) that the others
-    cover is removed, again and again.
+    """Of `spans(key, id, r_st, r_ei, reads)`, those that stay when the least that the others cover is removed, again and again.
 
-    Cover is one merged stretch of the overlapping others: a larger one, or one of equal bounds whose reads are more together.
-    Removals only shrink the cover of others, so one pass from the least on gives the same. A group is what an assembler gives
-    for one sample on one reference.
+    Cover is one merged stretch of the overlapping others: a larger one, or one of equal bounds whose reads, all known, are more
+    together. The least has the fewest reads; the shortest length as long as any of the key's left has unknown reads; of equals
+    the smallest id. Only overlapping intervals bear on one another, so a key's islands are gone through each by itself: first as
+    if by length to the end, which tells whether and when the key's last interval of unknown reads goes, then as it is.
     """
     columns = [*key, "id", "r_st", "r_ei", "reads"]
-    rows = spans.select(*columns)
-    return rows.groupBy(*key).applyInPandas(lambda x: _least_first(x.sort_values("id", ignore_index=True)), rows.schema)
+    path = scratch(spans.sparkSession)
+    held = islands(spans.select(*columns), key, apart=0)
+    held.withColumn("_island", F.to_json(F.struct(*key, "island"))).drop("island").write.parquet(path)
+    rows = spans.sparkSession.read.parquet(path)
+
+    def gone_through(more: list[str]) -> Callable[[pd.DataFrame], Iterator[pd.DataFrame]]:
+        def run(groups: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            edges = bounds(groups["_island"].to_numpy()).tolist()
+            reads = [None if pd.isna(r) else r for r in groups["reads"].tolist()]
+            all_spans = list(zip(groups["r_st"].tolist(), groups["r_ei"].tolist(), reads, groups["id"].tolist(), strict=True))
+            until = [None if pd.isna(a) else (int(a), int(b)) for a, b in zip(groups["_length"], groups["_id"], strict=True)] if more else [None] * len(groups)
+            stays, length, place = [], [], []
+            for first, end in zip(edges[:-1], edges[1:], strict=True):
+                for _, stay, rank in _passes(all_spans[first:end], until[first]):
+                    stays.append(stay)
+                    length.append(rank and rank[0])
+                    place.append(rank and rank[1])
+            yield groups[columns].assign(_stays=stays, _length=pd.array(length, "Int64"), _id=pd.array(place, "Int64"))
+
+        return run
+
+    schema = T.StructType([*(rows.schema[c] for c in columns), T.StructField("_stays", T.BooleanType()), T.StructField("_length", T.LongType()), T.StructField("_id", T.LongType())])
+    first = by_group(rows, "_island", ["id"], gone_through([]), schema)
+    unknown = F.col("reads").isNull()
+    last = F.max(F.when(unknown, F.struct("_length", "_id")))
+    until = first.groupBy(*key).agg(F.bool_or(unknown & F.col("_stays")).alias("_open"), last.alias("_last"))
+    rank = lambda c: F.when(~F.col("_open"), F.coalesce(F.col(f"_last.{c}"), F.lit(-1)))
+    known = until.select(*(F.col(k).alias(f"_of_{k}") for k in key), rank("_length").alias("_length"), rank("_id").alias("_id"))
+    same = functools.reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in key))
+    timed = rows.join(known, same).drop(*(f"_of_{k}" for k in key))
+    return by_group(timed, "_island", ["id"], gone_through(["_length"]), schema).filter("_stays").select(*columns)
 
 
 def gaps_covered(spans: DataFrame, longer_than: int = 21) -> DataFrame:
     """ref, gap_st, gap_ei: gaps between neighbours of one strand of ids (even, odd) that an interval of the other strand overlaps."""
+    key, order = ["ref", "strand"], ["r_st", "r_ei", "id"]
     strand = spans.withColumn("strand", F.col("id") % 2)
-    following = F.lead("r_st").over(Window.partitionBy("ref", "strand").orderBy("r_st", "r_ei", "id"))
-    gaps = strand.withColumns({"gap_st": F.col("r_ei") + 1, "gap_ei": following - 1}).filter(F.col("gap_ei") - F.col("gap_st") + 1 > longer_than).select("ref", "strand", "gap_st", "gap_ei").distinct()
+    following = scans.running(scans.laid(strand.select(*key, *order), key, order), key, order, {"_next": ("nearest", F.col("r_st"))}, own=False, after=True)
+    gaps = following.withColumns({"gap_st": F.col("r_ei") + 1, "gap_ei": F.col("_next") - 1}).filter(F.col("gap_ei") - F.col("gap_st") + 1 > longer_than).select(*key, "gap_st", "gap_ei").distinct()
     cut = gaps.withColumn("b", F.explode(buckets(F.col("gap_st"), F.col("gap_ei"))))
     others = strand.select("ref", (1 - F.col("strand")).alias("strand"), "r_st", "r_ei", F.explode(buckets(F.col("r_st"), F.col("r_ei"))).alias("b"))
     met = cut.join(others, (cut["ref"] == others["ref"]) & (cut["strand"] == others["strand"]) & (cut["b"] == others["b"]) & (F.col("r_st") <= F.col("gap_ei")) & (F.col("gap_st") <= F.col("r_ei")), "left_semi")
@@ -174,18 +271,19 @@ def out_of_order(spans: DataFrame) -> DataFrame:
 
     The query start is id order here: contigs are numbered along the query.
     """
-    by_query, by_ref = Window.partitionBy("ref").orderBy("id"), Window.partitionBy("ref").orderBy("r_st", "id")
-    return spans.select(
-        "ref", "id", (F.row_number().over(by_query) != F.row_number().over(by_ref)).alias("moved"),
-        F.lag("r_ei").over(by_query).alias("before_end"), F.lead("r_st").over(by_query).alias("after_start"),
-    )
+    key = ["ref"]
+    by_query = scans.laid(spans.select("ref", "id", "r_st", "r_ei"), key, ["id"])
+    placed = scans.running(by_query, key, ["id"], {"_query": ("sum", F.lit(1))})
+    before = scans.running(placed, key, ["id"], {"before_end": ("nearest", F.col("r_ei"))}, own=False)
+    both = scans.running(before, key, ["id"], {"after_start": ("nearest", F.col("r_st"))}, own=False, after=True).drop("_range")
+    by_ref = scans.running(scans.laid(both, key, ["r_st", "id"]), key, ["r_st", "id"], {"_ref": ("sum", F.lit(1))})
+    return by_ref.select("ref", "id", (F.col("_query") != F.col("_ref")).alias("moved"), "before_end", "after_start")
 
 
 def runs_of_positions(rows: DataFrame, key: list[str], position: str, step: int = 1) -> DataFrame:
     """key, first, last, n of positions that follow one another by `step`."""
-    order = Window.partitionBy(*key).orderBy(position)
-    island = F.col(position) - step * F.row_number().over(order)
-    return rows.withColumn("_island", island).groupBy(*key, "_island").agg(F.min(position).alias("first"), F.max(position).alias("last"), F.count(F.lit(1)).alias("n")).drop("_island")
+    placed = scans.running(scans.laid(rows, key, [position]), key, [position], {"_row": ("sum", F.lit(1))})
+    return placed.withColumn("_island", F.col(position) - step * F.col("_row")).groupBy(*key, "_island").agg(F.min(position).alias("first"), F.max(position).alias("last"), F.count(F.lit(1)).alias("n")).drop("_island")
 
 
 def deletion_groups(positions: DataFrame, key: list[str], gap: int = 13) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from readloom.operators import scans
+
 
 def nearest(rows: DataFrame, value: str, table: DataFrame, cells: int = 100) -> DataFrame:
     """`rows` with fpr: that of the entry of `table(score, fpr)` nearest to the value, the lower one of two; null outside 0 to 1.
@@ -123,7 +125,7 @@ def interval_coverage(spans: DataFrame) -> DataFrame:
     """ref, pos, coverage where it changes: a running sum of begins and ends, so no interval is exploded."""
     events = spans.select("ref", F.explode(F.array(F.struct(F.col("r_st").alias("pos"), F.lit(1).alias("d")), F.struct((F.col("r_ei") + 1).alias("pos"), F.lit(-1).alias("d")))).alias("e"))
     changes = events.groupBy("ref", F.col("e.pos").alias("pos")).agg(F.sum("e.d").alias("d"))
-    return changes.select("ref", "pos", F.sum("d").over(Window.partitionBy("ref").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)).alias("coverage"))
+    return scans.running(scans.laid(changes, ["ref"], ["pos"]), ["ref"], ["pos"], {"coverage": ("sum", F.col("d"))}).select("ref", "pos", "coverage")
 
 
 def genome_coverage(tokens: DataFrame, key: str = "rname") -> DataFrame:

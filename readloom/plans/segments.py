@@ -103,11 +103,28 @@ def t14(orders: DataFrame) -> DataFrame:
     return segments.separate_matches(hits)
 
 
-@query("i3_cover_removal", None, "orders")
+_SAMPLES = "contigs AS (SELECT o_custkey AS sample, concat('ref', o_orderkey % 2) AS ref, o_orderkey AS id, o_orderkey * 7919 % 200 AS st, o_orderkey * 7919 % 200 + 10 + o_orderkey % 90 AS ei, CASE WHEN o_orderkey % 11 <> 5 THEN CAST(floor(o_totalprice) AS BIGINT) % 50 END AS reads FROM orders)"
+_ORDERED = "list_sort(list_transform(l, lambda x: {'o': CASE WHEN len(list_filter(l, lambda y: y.reads IS NULL)) = 0 THEN x.reads ELSE x.ei - x.st END, 'id': x.id, 'st': x.st, 'ei': x.ei, 'reads': x.reads}))"
+_MET = "list_transform({0}, lambda x: {{'x': x, 'others': list_filter(l, lambda y: y.id <> x.id AND y.st <= x.ei AND y.ei >= x.st)}})"
+_WHOLE = "len(list_filter(list_concat([e.x.st], list_transform(e.others, lambda y: y.ei + 1)), lambda p: p <= e.x.ei AND len(list_filter(e.others, lambda z: z.st <= p AND p <= z.ei)) = 0)) = 0"
+_LARGER = "len(list_filter(e.others, lambda y: y.st < e.x.st OR y.ei > e.x.ei)) > 0"
+_MORE = "(len(list_filter(e.others, lambda y: y.reads IS NULL)) = 0 AND coalesce(list_sum(list_transform(e.others, lambda y: y.reads)) > e.x.reads, false))"
+
+
+@query(
+    "i3_cover_removal",
+    f"""WITH RECURSIVE {_SAMPLES}, steps AS (SELECT sample, ref, 0 AS step, list({{'id': id, 'st': st, 'ei': ei, 'reads': reads}} ORDER BY id) AS l, true AS going FROM contigs GROUP BY ALL
+     UNION ALL SELECT sample, ref, step + 1, list_filter(l, lambda y: y.id IS DISTINCT FROM gone), gone IS NOT NULL FROM
+      (SELECT *, list_filter({_MET.format(_ORDERED)}, lambda e: {_WHOLE} AND ({_LARGER} OR {_MORE}))[1].x.id AS gone FROM steps WHERE going) s),
+    last_ AS (SELECT sample, ref, unnest(arg_max(l, step)) AS c FROM steps GROUP BY sample, ref)
+    SELECT sample, ref, c.id AS id, c.st AS r_st, c.ei AS r_ei, c.reads AS reads FROM last_""",
+    "orders",
+)
 def i3(orders: DataFrame) -> DataFrame:
-    """Contigs of customers as samples; as the order of removals decides, tested against a loop by hand."""
+    """Contigs of customers as samples; of some the reads are unknown."""
     start = F.col("o_orderkey") * 7919 % 200
-    spans = orders.select(F.col("o_custkey").alias("sample"), F.concat(F.lit("ref"), F.col("o_orderkey") % 2).alias("ref"), F.col("o_orderkey").cast("long").alias("id"), start.cast("long").alias("r_st"), (start + 10 + F.col("o_orderkey") % 90).cast("long").alias("r_ei"), (F.floor("o_totalprice") % 50).cast("long").alias("reads"))
+    reads = F.when(F.col("o_orderkey") % 11 != 5, F.floor("o_totalprice") % 50).cast("long")
+    spans = orders.select(F.col("o_custkey").alias("sample"), F.concat(F.lit("ref"), F.col("o_orderkey") % 2).alias("ref"), F.col("o_orderkey").cast("long").alias("id"), start.cast("long").alias("r_st"), (start + 10 + F.col("o_orderkey") % 90).cast("long").alias("r_ei"), reads.alias("reads"))
     return intervals.without_covered(spans, ["sample", "ref"])
 
 
