@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNMAPPED, MATE_UNMAPPED, FIRST = 0x4, 0x8, 0x40
@@ -37,15 +37,28 @@ def is_valid(cigar: Column, seq: Column) -> Column:
     return cigar.rlike(VALID) & (F.aggregate(used, F.lit(0), lambda a, x: a + x) == F.length(seq))
 
 
+def token_array(cigar: Column) -> Column:
+    """array<struct<op, len, q0, r0>> of a valid cigar: q0 bases of the read and r0 of the reference are before the token.
+
+    A fold within the row: offsets need no rows of tokens, so no shuffle brings them together again.
+    """
+    token = lambda t: F.struct(F.substring(t, -1, 1).alias("op"), F.regexp_extract(t, "([0-9]+)", 1).cast("int").alias("len"))
+    parts = F.transform(F.regexp_extract_all(cigar, F.lit("([0-9]+[MIDS])")), token)
+    none = F.array().cast("array<struct<op: string, len: int, q0: int, r0: int>>")
+    start = F.struct(F.lit(0).alias("q"), F.lit(0).alias("r"), none.alias("found"))
+
+    def step(a: Column, t: Column) -> Column:
+        used = lambda *ops: F.when(t["op"].isin(*ops), t["len"]).otherwise(0)
+        own = F.struct(t["op"].alias("op"), t["len"].alias("len"), a["q"].alias("q0"), a["r"].alias("r0"))
+        return F.struct((a["q"] + used("M", "I", "S")).alias("q"), (a["r"] + used("M", "D")).alias("r"), F.concat(a["found"], F.array(own)).alias("found"))
+
+    return F.aggregate(parts, start, step)["found"]
+
+
 def tokens(reads: DataFrame, key: list[str]) -> DataFrame:
     """A row for each token of a valid cigar: key, pos, seq, qual, n, op, len, q0 (bases of the read before), r0 (of the reference)."""
-    texts = F.regexp_extract_all("cigar", F.lit("([0-9]+[MIDS])"))
-    split = reads.filter(is_valid(F.col("cigar"), F.col("seq"))).select(*key, "pos", "seq", "qual", F.posexplode(texts).alias("n", "token"))
-    op, length = F.substring("token", -1, 1), F.regexp_extract("token", "([0-9]+)", 1).cast("int")
-    before = Window.partitionBy(*key).orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    both = split.withColumns({"op": op, "len": length}).drop("token")
-    of = lambda ops: F.coalesce(F.sum(F.when(F.col("op").isin(*ops), F.col("len")).otherwise(0)).over(before), F.lit(0)).cast("int")
-    return both.withColumns({"q0": of(["M", "I", "S"]), "r0": of(["M", "D"])})
+    split = reads.filter(is_valid(F.col("cigar"), F.col("seq"))).select(*key, "pos", "seq", "qual", F.posexplode(token_array(F.col("cigar"))).alias("n", "t"))
+    return split.select(*key, "pos", "seq", "qual", "n", "t.*")
 
 
 def phred(char: Column) -> Column:
