@@ -12,13 +12,18 @@ from readloom.functions.seq import reverse_complement
 STRETCH = 256
 
 
-def kmers(seqs: DataFrame, key: str, k: int) -> DataFrame:
-    """key, start (from 0), kmer of `seqs(key, seq)`; none for those shorter than k, none with an N."""
+def windows(seqs: DataFrame, key: str, k: int) -> DataFrame:
+    """key, start (from 0), kmer, size (of the whole) of all stretches of k letters of `seqs(key, seq)`; none for those shorter than k."""
     stretch = lambda i: F.struct((i * STRETCH).alias("at"), F.substring(F.col("seq"), i * STRETCH + 1, F.lit(STRETCH + k - 1)).alias("s"))
     last = F.floor((F.length("seq") - k) / STRETCH).cast("int")
-    cut = seqs.filter(F.length("seq") >= k).select(key, F.explode(F.transform(F.sequence(F.lit(0), last), stretch)).alias("x"))
-    each = cut.select(key, F.col("x.at").alias("at"), F.posexplode(F.transform(F.sequence(F.lit(1), F.length("x.s") - (k - 1)), lambda i: F.substring(F.col("x.s"), i, F.lit(k)))).alias("i", "kmer"))
-    return each.select(key, (F.col("at") + F.col("i")).alias("start"), "kmer").filter(~F.col("kmer").contains("N"))
+    cut = seqs.filter(F.length("seq") >= k).select(key, F.length("seq").alias("size"), F.explode(F.transform(F.sequence(F.lit(0), last), stretch)).alias("x"))
+    each = cut.select(key, "size", F.col("x.at").alias("at"), F.posexplode(F.transform(F.sequence(F.lit(1), F.length("x.s") - (k - 1)), lambda i: F.substring(F.col("x.s"), i, F.lit(k)))).alias("i", "kmer"))
+    return each.select(key, (F.col("at") + F.col("i")).cast("long").alias("start"), "kmer", "size")
+
+
+def kmers(seqs: DataFrame, key: str, k: int) -> DataFrame:
+    """key, start (from 0), kmer of `seqs(key, seq)`; none for those shorter than k, none with an N."""
+    return windows(seqs, key, k).drop("size").filter(~F.col("kmer").contains("N"))
 
 
 def placements(reads: DataFrame, contigs: DataFrame, k: int) -> DataFrame:
@@ -62,10 +67,21 @@ def cut_support(changes: DataFrame, cuts: DataFrame, reach: int) -> DataFrame:
 
 
 def sharing(seqs: DataFrame, key: str, k: int) -> DataFrame:
-    """key, other: the smallest key with which it shares a k-mer, itself left out; a star of links instead of all pairs."""
-    distinct = kmers(seqs, key, k).select(key, "kmer").distinct()
-    least = distinct.groupBy("kmer").agg(F.min(key).alias("other"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return distinct.join(least, "kmer").filter(F.col(key) != F.col("other")).groupBy(key).agg(F.min("other").alias("other"))
+    """Which of `seqs(key, seq)` share a k-mer, as classes: a row for each class and member, with first (the class's smallest key),
+    members, kmers (how many k-mers these members, and no others, have), and always (false).
+
+    Two sequences share a k-mer if, and only if, both are in one class, so no link is lost and none is a row. K-mers fall into a
+    class by two sums of hashes of their owners, whatever their order. A sequence of fewer than k letters passes as sharing one
+    with all: its row has no class and always is true. Repeated rows of a key are one sequence's pieces. A null sequence has none.
+    """
+    distinct = windows(seqs, key, k).select(key, "kmer").distinct()
+    spread = lambda seed: F.sum(F.xxhash64(key, F.lit(seed)).cast("decimal(38,0)"))
+    owned = distinct.groupBy("kmer").agg(F.count(F.lit(1)).alias("members"), spread(1).alias("_a"), spread(2).alias("_b"), F.min(key).alias("first")).filter("members > 1")
+    classes = owned.groupBy("members", "_a", "_b", "first").agg(F.count(F.lit(1)).alias("kmers"), F.min("kmer").alias("kmer"))
+    held = distinct.join(classes, "kmer").select(key, "first", "members", "kmers", F.lit(False).alias("always"))  # one k-mer stands for its class
+    none = F.lit(None).cast("long")
+    short = seqs.filter(F.length("seq") < k).select(key, F.lit(None).cast(seqs.schema[key].dataType).alias("first"), none.alias("members"), none.alias("kmers"), F.lit(True).alias("always"))
+    return held.unionByName(short)
 
 
 def entropy(reads: DataFrame, key: str, k: int = 12) -> DataFrame:

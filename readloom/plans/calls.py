@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.functions.tables import values
-from readloom.operators import kmers, resist
+from readloom.operators import distances, kmers, resist
 from readloom.plans.registry import query
 from readloom.plans.scalars import _RC
 
@@ -174,11 +174,40 @@ def a17(seqs: DataFrame, pieces: DataFrame) -> DataFrame:
     return kmers.covered_bases(kmers.coverage(placed, contigs, 60))
 
 
-@query("j20_shared_kmers", "WITH km AS (SELECT DISTINCT doc_id, substr(seq, CAST(i + 1 AS INT), 30) AS kmer FROM (SELECT doc_id, seq, unnest(range(0, length(seq) - 29)) AS i FROM seqs) x), l AS (SELECT kmer, min(doc_id) AS other FROM km GROUP BY kmer HAVING count(*) > 1) SELECT doc_id, min(other) AS other FROM km JOIN l ON l.kmer = km.kmer WHERE doc_id <> other GROUP BY doc_id", "seqs")
+@query(
+    "j20_shared_kmers",
+    """WITH km AS (SELECT DISTINCT doc_id, substr(seq, CAST(i + 1 AS INT), 30) AS kmer FROM (SELECT doc_id, seq, unnest(range(0, length(seq) - 29)) AS i FROM seqs) x),
+    owned AS (SELECT kmer, list(doc_id ORDER BY doc_id) AS owners FROM km GROUP BY kmer HAVING count(*) > 1), classes AS (SELECT owners, count(*) AS kmers FROM owned GROUP BY owners)
+    SELECT unnest(owners) AS doc_id, owners[1] AS first, len(owners) AS members, kmers, false AS always FROM classes
+    UNION ALL SELECT doc_id, NULL, NULL, NULL, true FROM seqs WHERE length(seq) < 30""",
+    "seqs",
+)
 def j20(seqs: DataFrame) -> DataFrame:
     return kmers.sharing(seqs, "doc_id", 30)
 
 
+_GRAMS = "list_sum(list_transform(range(1, 257), lambda i: abs(a.v[i] - b.v[i])))"
+
+
+@query(
+    "j21_nearest_reference",
+    f"""WITH four AS (SELECT concat(a, b, c, d) AS gram FROM (VALUES ('A'), ('C'), ('G'), ('T')) w(a), (VALUES ('A'), ('C'), ('G'), ('T')) x(b), (VALUES ('A'), ('C'), ('G'), ('T')) y(c), (VALUES ('A'), ('C'), ('G'), ('T')) z(d)),
+    grams AS (SELECT doc_id, substr(seq, CAST(i AS INT), 4) AS gram, count(*) AS n FROM (SELECT doc_id, seq, unnest(range(1, length(seq) - 2)) AS i FROM seqs) GROUP BY ALL),
+    s AS MATERIALIZED (SELECT doc_id, any_value(source) AS source, any_value(seq) AS seq, any_value(length(seq)) AS size, list(coalesce(n, 0) ORDER BY f.gram) AS v FROM seqs CROSS JOIN four f LEFT JOIN grams g USING (doc_id, gram) GROUP BY doc_id),
+    sized AS MATERIALIZED (SELECT a.doc_id AS id, b.doc_id AS reference FROM s a JOIN s b ON a.doc_id < b.doc_id AND b.size >= a.size - 32 AND b.size <= a.size + 32),
+    p AS MATERIALIZED (SELECT id, a.source AS kind, reference, b.source AS other, a.seq AS one, b.seq AS two FROM sized JOIN s a ON a.doc_id = id JOIN s b ON b.doc_id = reference WHERE {_GRAMS} <= 2 * 4 * 32),
+    d AS MATERIALIZED (SELECT * FROM (SELECT id, kind, reference, other, levenshtein(one, two) AS distance FROM p) WHERE distance <= 32), n AS (SELECT * FROM d UNION ALL SELECT reference, other, id, kind, distance FROM d),
+    any_ AS (SELECT id, first(reference ORDER BY distance, reference) AS nearest, min(distance) AS distance FROM n GROUP BY id), own AS (SELECT id, first(reference ORDER BY distance, reference) AS own_nearest, min(distance) AS own_distance FROM n WHERE kind IS NOT DISTINCT FROM other GROUP BY id)
+    SELECT s.doc_id AS id, nearest, CAST(distance AS INT) AS distance, own_nearest, CAST(own_distance AS INT) AS own_distance, distance IS NOT NULL AND own_distance IS DISTINCT FROM distance AS reported FROM s LEFT JOIN any_ a ON a.id = s.doc_id LEFT JOIN own o ON o.id = s.doc_id""",
+    "seqs",
+)
+def j21(seqs: DataFrame) -> DataFrame:
+    """Each sequence among all others, their sources for genotypes: reported where another source's is nearer than its own's."""
+    samples = seqs.select(F.col("doc_id").alias("id"), F.col("source").alias("kind"), "seq")
+    found = distances.nearest(samples, samples.withColumnRenamed("id", "reference"), most=32)
+    return found.withColumn("reported", F.col("distance").isNotNull() & ~F.col("own_distance").eqNullSafe(F.col("distance")))
+
+
 @query("a19_kmer_entropy", "WITH km AS (SELECT lang, substr(seq, CAST(i + 1 AS INT), 12) AS kmer, count(*) AS n FROM (SELECT lang, seq, unnest(range(0, length(seq) - 11)) AS i FROM seqs) x GROUP BY ALL) SELECT lang, round(-sum(n / t * log2(n / t)), 6) AS entropy FROM (SELECT *, sum(n) OVER (PARTITION BY lang) AS t FROM km) GROUP BY lang", "seqs")
 def a19(seqs: DataFrame) -> DataFrame:
     return kmers.entropy(seqs, "lang").withColumn("entropy", F.round("entropy", 6))
