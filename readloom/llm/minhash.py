@@ -9,6 +9,8 @@ round or few; and the places share their hashes as a sample without replacement
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,15 +18,16 @@ from pyspark.sql import functions as F
 
 from readloom.llm import near
 from readloom.llm.common import filled_id, restored_id, stash
-from readloom.llm.simhash import shingle_hashes
 
 #: Places a band and bands: texts of similarity 0.85 share no band in 4 of 10 million cases.
 ROWS_A_BAND, BANDS = 5, 25
 COORDINATES = ROWS_A_BAND * BANDS
 #: So many standard deviations below their mean, near texts agree in fewer bytes of their sketches, one a place, in fewer than one pair of a million.
 DEVIATIONS = 5
-#: Hashes that are made at once.
-AT_ONCE = 1 << 14
+#: Shingles that are hashed at once, and hashes a place of the rounds that are made together: about as many as fill all places.
+AT_ONCE, AT_A_TIME = 1 << 14, 8
+#: Texts whose shingles are in memory at once.
+TEXTS = 500
 #: The rounds' numbers stand above so many bits of a value.
 VALUE_BITS = 48
 
@@ -39,28 +42,44 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 _ROUND = _mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """Sorted different 64-bit hashes of each run of `width` words, A-Z in lower case; of the whole sequence if it is shorter; none
+    for no words. A run's hash is made of its words' hashes in turn, so that each word is hashed once."""
+    import xxhash
+
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    of = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    runs, width = max(1, len(words) - width + 1), min(width, len(words))
+    made = np.zeros(runs if width else 0, np.uint64)
+    for i in range(width):
+        made = _mixed(made * np.uint64(3) + of[i : i + runs])
+    made.sort()
+    return made[np.concatenate([[True], made[1:] != made[:-1]])] if width else made
+
+
 def sketch(shingles: np.ndarray, places: int = COORDINATES) -> np.ndarray:
     """The least value of each place over the rounds needed; `shingles` are different 64-bit hashes, one at least."""
-    least = np.full(places, np.iinfo(np.uint64).max)
-    done, rounds = 0, 2 * places
-    while done < rounds:
-        upto = min(rounds, done + max(1, AT_ONCE // len(shingles) if done else places // len(shingles)))
+    least, most = np.full(places, np.iinfo(np.uint64).max), np.iinfo(np.uint64).max
+    step = -(-AT_A_TIME * places // len(shingles))
+    for done in range(0, places, step):
+        turn = np.arange(done, min(places, done + step), dtype=np.uint64)[:, None]
         for at in range(0, len(shingles), AT_ONCE):  # a long text takes no more memory than AT_ONCE shingles
-            h = _mixed(shingles[None, at : at + AT_ONCE] ^ _ROUND[done:upto, None])
-            turn = np.arange(done, upto)[:, None]
-            place = np.where(turn < places, ((h & np.uint64(0xFFFFFFFF)) * np.uint64(places) >> np.uint64(32)).astype(np.int64), turn - places)
-            value = (turn.astype(np.uint64) << np.uint64(VALUE_BITS)) | (h >> np.uint64(64 - VALUE_BITS))
-            np.minimum.at(least, place.ravel(), value.ravel())
-        done = upto
-        if least.max() < np.iinfo(np.uint64).max:  # later rounds have larger values
-            break
+            h = _mixed(shingles[None, at : at + AT_ONCE] ^ _ROUND[done : done + len(turn), None])
+            place = (h & np.uint64(0xFFFFFFFF)) * np.uint64(places) >> np.uint64(32)
+            np.minimum.at(least, place.astype(np.int64).ravel(), ((turn << np.uint64(VALUE_BITS)) | (h >> np.uint64(64 - VALUE_BITS))).ravel())
+        if least.max() < most:  # later rounds have larger values
+            return least
+    for place in np.flatnonzero(least == most):  # the rounds that go to one place each
+        h = _mixed(shingles ^ _ROUND[places + place]).min() >> np.uint64(64 - VALUE_BITS)
+        least[place] = (np.uint64(places + place) << np.uint64(VALUE_BITS)) | h
     return least
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for own in least.reshape(BANDS, ROWS_A_BAND).T:
-        keys = _mixed(keys ^ own)
+    """BANDS keys of each row of sketches."""
+    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(least), BANDS))
+    for i in range(ROWS_A_BAND):
+        keys = _mixed(keys ^ least.reshape(-1, BANDS, ROWS_A_BAND)[:, :, i])
     return keys.view(np.int64)
 
 
@@ -74,19 +93,16 @@ def _signature(texts: pd.Series, width: int) -> pd.DataFrame:
     """Of each text: how many different shingles, a 128-bit hash of their set, the sketch's lowest bytes, and band keys."""
     import xxhash
 
-    rows = []
-    for text in texts:
-        h = np.unique(shingle_hashes(text, width))
-        if len(h):
-            least = sketch(h)
-            rows.append((len(h), xxhash.xxh3_128_digest(h.tobytes()), _mixed(least).astype(np.uint8).tobytes(), band_keys(least).tolist()))
-        else:
-            rows.append((0, b"", b"", []))
+    sets = [shingle_set(text, width) for text in texts]
+    least = np.array([sketch(h) if len(h) else np.zeros(COORDINATES, np.uint64) for h in sets], np.uint64).reshape(-1, COORDINATES)
+    low, keys = _mixed(least).astype(np.uint8), band_keys(least)
+    rows = [(len(h), xxhash.xxh3_128_digest(h.tobytes()), low[i].tobytes(), keys[i]) if len(h) else (0, b"", b"", []) for i, h in enumerate(sets)]
     return pd.DataFrame(rows, columns=["shingles", "same", "sketch", "keys"])
 
 
-def _shingle_set(texts: pd.Series, width: int) -> pd.Series:
-    return pd.Series([np.unique(shingle_hashes(x, width)).tobytes() for x in texts])
+def _signatures(batches: Iterator[pd.Series], width: int) -> Iterator[pd.DataFrame]:
+    for texts in batches:
+        yield pd.concat([_signature(texts[at : at + TEXTS], width) for at in range(0, len(texts), TEXTS)] or [_signature(texts, width)], ignore_index=True)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 85, crowded_over: int = near.CROWDED) -> DataFrame:
@@ -101,8 +117,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 85, crowded
     whether the two are equal, nulls too, so repeated rows of one doc_id are kept alike. A text of any length is read whole;
     memory grows with it. An empty table gives no rows; other columns of `docs` are ignored.
     """
-    sign = F.pandas_udf(lambda s: _signature(s, width), "struct<shingles long, same binary, sketch binary, keys array<long>>")
-    shingle_set = F.pandas_udf(lambda s: _shingle_set(s, width), "binary")
+
+    @F.pandas_udf("struct<shingles long, same binary, sketch binary, keys array<long>>")
+    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from _signatures(batches, width)
+
+    @F.pandas_udf("binary")
+    def whole(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(x, width).tobytes() for x in texts])
+
     signed = stash(docs.select(filled_id().alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("copy"), sign("text").alias("s")).select("id", "copy", "s.*"))
     sets_ = signed.filter("shingles > 0").groupBy("same").agg(F.min(restored_id("id")).alias("least"), F.min(F.struct("id", "copy")).alias("one"), F.first(F.struct("shingles", "sketch", "keys")).alias("s"))
     nodes = stash(sets_.select(F.monotonically_increasing_id().alias("node"), "same", "least", "one.id", "one.copy", "s.*"))
@@ -110,7 +133,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 85, crowded
     dealt = near.sharing_keys(nodes.select("node", "shingles", F.explode("keys").alias("key")))
     wanted = nodes.select("node", "id", "copy").join(dealt.select("node").distinct(), "node")
     texts = docs.select(filled_id().alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("copy"), "text").join(wanted, ["id", "copy"])
-    sets = stash(texts.groupBy("id", "copy", "node").agg(F.first("text").alias("text")).select("node", shingle_set("text").alias("shingle_set")))
+    sets = stash(texts.groupBy("id", "copy", "node").agg(F.first("text").alias("text")).select("node", whole("text").alias("shingle_set")))
     rule = near.Rule(per_cent, least_agreement(per_cent))
     labels = near.labels(dealt, nodes.select("node", "shingles", "sketch"), sets, rule, crowded_over)
 

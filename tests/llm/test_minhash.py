@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 
 from readloom.llm import minhash, near
-from readloom.llm.simhash import shingle_hashes
 
 SCHEMA = "doc_id long, text string"
 
@@ -69,8 +68,7 @@ def test_large_blocks_split_and_crowded_ones_parted_lose_no_link(spark, monkeypa
     monkeypatch.setattr(near, "MEMBERS", members)
     rng = random.Random(12)
     rows = [(i, t) for i, t in enumerate(corpus(rng)[:90])]
-    monkeypatch.setattr(minhash, "band_keys", lambda least: np.zeros(1, np.int64))
-    signed = {d: np.unique(shingle_hashes(t, 5)) for d, t in rows}
+    signed = {d: minhash.shingle_set(t, 5) for d, t in rows}
     signs = spark.createDataFrame([(d, len(h), minhash.sketch(h).astype(np.uint8).tobytes()) for d, h in signed.items()], "node long, shingles long, sketch binary")
     sets = spark.createDataFrame([(d, h.tobytes()) for d, h in signed.items()], "node long, shingle_set binary")
     keyed = spark.createDataFrame([(d, len(h), k) for d, h in signed.items() for k in (1, 2)], "node long, shingles long, key long")
@@ -103,6 +101,14 @@ def test_sketch_is_that_of_the_rule():
         assert minhash.sketch(np.array(own, np.uint64)).tolist() == least
 
 
+def test_equal_runs_of_words_have_equal_hashes():
+    rng = random.Random(15)
+    for n in (0, 1, 4, 5, 6, 60):
+        text = " ".join(rng.choice(("a", "b", "É", "Zz")) for _ in range(n))
+        assert len(minhash.shingle_set(text, 5)) == len(shingles(text))
+        assert {*minhash.shingle_set(text.replace(" ", " \t") + "\n", 5).tolist()} == {*minhash.shingle_set(text.upper().replace("É", "É"), 5).tolist()}
+
+
 def test_sketches_agree_as_often_as_texts_are_alike():
     rng = np.random.default_rng(14)
     for n in (20, 300, 5000):
