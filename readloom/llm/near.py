@@ -15,9 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.llm.cells import bounds, by_cell
 from readloom.llm.common import bucket_of, stash
 from readloom.llm.components import components
+from readloom.operators.groups import bounds, by_group
 
 #: Texts, and shingles of these texts, that a part of a block holds.
 MEMBERS, SHINGLES = 2048, 500_000
@@ -220,7 +220,7 @@ def labels(dealt: DataFrame, signs: DataFrame, sets: DataFrame, rule: Rule, crow
     firsts = dealt.filter((F.col("n") > MEMBERS) & (F.col("node") == F.col("first"))).select("key", "node", own_part.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
     blocks = dealt.select("key", "node", own_part.alias("part")).union(firsts.filter("part != own").select("key", "node", "part"))
     blocks = blocks.select(F.xxhash64("key", "part").alias("cell"), "node")
-    nearest = by_cell(blocks.join(signs, "node"), ["node"], lambda x: _nearest(x, rule), "src long, agreement long, dst long")
+    nearest = by_group(blocks.join(signs, "node"), "cell", ["node"], lambda x: _nearest(x, rule), "src long, agreement long, dst long")
     best = nearest.groupBy("src").agg(F.max(F.struct("agreement", "dst"))["dst"].alias("dst"))
     one, other = (sets.select(F.col("node").alias(n), F.col("shingle_set").alias(f"{n}_set")) for n in ("src", "dst"))
     near = F.pandas_udf(lambda a, b: _are_near(a, b, rule.per_cent), "boolean")("src_set", "dst_set")
@@ -233,6 +233,6 @@ def labels(dealt: DataFrame, signs: DataFrame, sets: DataFrame, rule: Rule, crow
     if not mixed.filter(crowded).isEmpty():
         cells = cells.union(_cells(_mixed_keys(_parted_by_rare_shingles(mixed.filter(crowded), sets, rule.per_cent))))
     held = cells.join(signs, "node")
-    open_ = stash(by_cell(held, ["node"], lambda x: _open_rows(x, rule), held.schema))
-    more = by_cell(open_.join(sets, "node"), ["node"], lambda x: _exact_links(x, rule), "src long, dst long")
+    open_ = stash(by_group(held, "cell", ["node"], lambda x: _open_rows(x, rule), held.schema))
+    more = by_group(open_.join(sets, "node"), "cell", ["node"], lambda x: _exact_links(x, rule), "src long, dst long")
     return components(joined.union(stash(more)))

@@ -15,7 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import bucket_of, filled_id, stash
+from readloom.llm import near
+from readloom.llm.common import filled_id, stash
 from readloom.llm.components import components
 
 BITS = 64
@@ -248,10 +249,6 @@ WIDE_RADIUS = 26
 #: One byte of each of so many min-hashes is a text's sketch. Texts of similarity 0.8 agree in 102 on average; fewer than
 #: ALIKE, five deviations below, in two pairs of a million. Most candidates at 0.5 and less fail, so their shingles aren't read.
 SKETCH, ALIKE = 128, 0.625
-#: Texts, and shingles of these texts, that a part of a block holds.
-MEMBERS, SHINGLES = 2048, 1_000_000
-#: A block with more texts outside its largest component is keyed anew.
-CROWDED = 65_536
 _FACTORS = np.random.default_rng(20240501).integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -277,145 +274,13 @@ def _shingle_set(texts: pd.Series, width: int) -> pd.Series:
     return pd.Series([np.unique(shingle_hashes(x, width)).tobytes() for x in texts])
 
 
-def _similarities(one: pd.Series, other: pd.Series) -> pd.Series:
-    out = []
-    for a, b in zip(one, other, strict=True):
-        a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-        common = len(np.intersect1d(a, b, assume_unique=True))
-        out.append(common / max(1, len(a) + len(b) - common))
-    return pd.Series(out, dtype="float64")
-
-
-def _candidates(cells: pd.DataFrame, similarity: float, label: Callable[[np.ndarray], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs (later, earlier, agreement) of rows of each cell that may be as similar: fingerprints within WIDE_RADIUS, numbers of
-    shingles not too far apart, sketches alike. Pairs of one label are left out."""
-    shingles = cells["shingles"].to_numpy()
-    sketches = np.frombuffer(b"".join(cells["sketch"]), np.uint8).reshape(-1, SKETCH)
+def wide_pairs(cells: pd.DataFrame) -> near.Pairs:
+    """(later, earlier) of rows of each cell whose fingerprints are within WIDE_RADIUS."""
     for later, earlier, _ in near_lanes(cells["fp"].to_numpy(), _sizes(cells), WIDE_RADIUS):
-        one, other = shingles[later], shingles[earlier]
-        keep = np.minimum(one, other) >= similarity * np.maximum(one, other) - 1e-6
-        if label is not None:
-            keep &= label(later) != label(earlier)
-        later, earlier = later[keep], earlier[keep]
-        agreement = np.empty(len(later), np.int64)
-        for at in range(0, len(later), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            agreement[part] = (sketches[later[part]] == sketches[earlier[part]]).sum(axis=1)
-        keep = agreement >= ALIKE * SKETCH
-        yield later[keep], earlier[keep], agreement[keep]
-
-
-def _nearest(cells: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """The earlier row of its cell whose sketch agrees best with each row's."""
-    best, dst = np.zeros(len(cells), np.int64), np.zeros(len(cells), np.int64)
-    for later, earlier, agreement in _candidates(cells, similarity):
-        order = np.lexsort((earlier, -agreement, later))
-        own, first = np.unique(later[order], return_index=True)
-        first = order[first]
-        better = agreement[first] > best[own]
-        best[own[better]], dst[own[better]] = agreement[first[better]], earlier[first[better]]
-    rows = np.flatnonzero(best)
-    node = cells["node"].to_numpy()
-    return pd.DataFrame({"src": node[rows], "agreement": best[rows], "dst": node[dst[rows]]})
-
-
-def _open_rows(cells: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Rows with a candidate of another component in their cell."""
-    component, open_ = cells["component"].to_numpy(), np.zeros(len(cells), bool)
-    for later, earlier, _ in _candidates(cells, similarity, lambda rows: component[rows]):
-        open_[later] = open_[earlier] = True
-    return cells[open_]
-
-
-def _exact_links(cells: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Links that join components of a cell: all pairs of candidates are compared by their shingles, but those already joined.
-
-    Cells are taken together while they have about SHINGLES shingles.
-    """
-    first = np.append(np.cumsum(_sizes(cells)) - _sizes(cells), len(cells))
-    before = np.append(0, np.cumsum(cells["shingles"].to_numpy()))[first]
-    found, at = [], 0
-    while at < len(first) - 1:
-        upto = max(at + 1, int(np.searchsorted(before, before[at] + SHINGLES, "right")) - 1)
-        found.append(_links_of(cells.iloc[first[at] : first[upto]].reset_index(drop=True), similarity))
-        at = upto
-    return pd.concat(found, ignore_index=True)
-
-
-def _links_of(cells: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    _, group = np.unique(cells["component"].to_numpy(), return_inverse=True)
-    label = np.arange(int(group.max()) + 1)
-    sets = [np.frombuffer(x, np.uint64) for x in cells["shingle_set"]]
-    size = np.array([len(x) for x in sets])
-    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    start = np.cumsum(size) - size
-    own = np.zeros(int(number.max(initial=0)) + 1, bool)
-    found: list[tuple[int, int]] = []
-    for later, earlier, _ in _candidates(cells, similarity, lambda rows: label[group[rows]]):
-        rows, first = np.unique(later, return_index=True)
-        for row, others in zip(rows, np.split(earlier, first[1:]), strict=True):
-            mine = number[start[row] : start[row] + size[row]]
-            own[mine] = True
-            step = max(1, SHINGLES // int(size[others].max()))
-            for at in range(0, len(others), step):
-                part = others[at : at + step]
-                part = part[label[group[part]] != label[group[row]]]
-                if not len(part):
-                    continue
-                ends = np.cumsum(size[part])
-                places = np.arange(ends[-1]) - np.repeat(ends - size[part] - start[part], size[part])
-                common = np.add.reduceat(own[number[places]].astype(np.int64), ends - size[part])
-                for other in part[common >= similarity * (size[row] + size[part] - common) - 1e-9]:
-                    a, b = label[group[row]], label[group[other]]
-                    if a != b:
-                        label[label == max(a, b)] = min(a, b)
-                        found.append((row, other))
-            own[mine] = False
-    node = cells["node"].to_numpy()
-    ends = np.array(found, np.int64).reshape(-1, 2)
-    return pd.DataFrame({"src": node[ends[:, 0]], "dst": node[ends[:, 1]]})
-
-
-def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-
-def _mixed_keys(labelled: DataFrame) -> DataFrame:
-    """`labelled(key, node, shingles, component)` of keys with several components; main is the one with the most texts."""
-    by_component = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("shingles").alias("weight"))
-    most = F.max_by(F.struct("component", "n", "weight"), F.struct("n", "component"))
-    of_key = by_component.groupBy("key").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight"), most.alias("most")).filter("n > most.n")
-    outside = {"main": F.col("most.component"), "outside": F.col("n") - F.col("most.n"), "outside_weight": F.col("weight") - F.col("most.weight")}
-    return labelled.join(stash(of_key.withColumns(outside).drop("most")), "key")  # a table of its own, so that the join may split a large key
-
-
-def _keyed_anew(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rows of crowded keys under keys that also hold a band of the sketch's bytes; the bands take other min-hashes together."""
-    byte = lambda i: F.substring("sketch", F.lit(i + 1), F.lit(1))
-    bands = [F.xxhash64("key", F.lit(b), *(byte(b + BANDS * k) for k in range(ROWS_A_BAND))) for b in range(BANDS)]
-    return crowded.join(nodes.select("node", "sketch"), "node").select("node", "shingles", "component", F.explode(F.array(*bands)).alias("key"))
-
-
-def _cells(rows: DataFrame) -> DataFrame:
-    """Rows (cell, node, component) of cells that hold together any two texts of a key that are in different components.
-
-    Of two such texts, one at least is outside the key's main component. So a key of more than a part gives cells of a group of
-    those outside and a part of all. Parts have MEMBERS texts or SHINGLES shingles, about.
-    """
-
-    def pieces(n: str, weight: str) -> Column:
-        return F.ceil(F.greatest(F.col(n) / MEMBERS, F.col(weight) / SHINGLES)).cast("int")
-
-    parts, groups = pieces("n", "weight"), pieces("outside", "outside_weight")
-    part, group = bucket_of(["node"], parts), bucket_of(["node"], groups)
-    cell = lambda g, p: F.xxhash64("key", g, p)
-    as_any = F.transform(F.sequence(F.lit(0), groups - 1), lambda g: cell(g, part))
-    as_outside = F.transform(F.sequence(F.lit(0), parts - 1), lambda p: cell(group, p))
-    own = F.when(parts == 1, F.array(cell(F.lit(0), F.lit(0)))).when(F.col("component") == F.col("main"), as_any).otherwise(F.array_union(as_any, as_outside))
-    return rows.select("node", "component", F.explode(own).alias("cell"))
+        yield later, earlier
 
 
-def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8, crowded_over: int = CROWDED) -> DataFrame:
+def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8, crowded_over: int = near.CROWDED) -> DataFrame:
     """`docs(doc_id, text, ...)` with one row of each group of near copies: that of the smallest doc_id, then of the least text hash.
 
     Near copies are texts whose sets of `width`-word shingles have a Jaccard similarity of `similarity` or more, and whatever is
@@ -423,10 +288,7 @@ def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8,
     bands of min-hashes of the shingles; in a block fingerprints are compared bit-sliced, then sketches, then whole sets of
     shingles, and these decide.
 
-    First each text is compared with the earlier one that agrees best with it, which joins most groups. Blocks that still hold
-    several components are then compared whole, but for pairs joined already: rows with a candidate bring their shingles to the
-    block, and a block gives at most one link for each component that it joins. No block is capped: a large one is split into
-    cells that meet in full, and one with over `crowded_over` texts outside its largest component is keyed anew by further bands.
+    See `near` for how blocks are gone through: none is capped, however large, and no pair of a block is left out.
 
     Equal texts are one. Null and empty texts are equal and without words, a group of their own. Different texts under one
     doc_id (a null one too) are different documents; of rows that repeat both, the least by hash stays. Columns may have any
@@ -438,38 +300,16 @@ def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8,
     texts = signed.groupBy("same").agg(F.min("id").alias("id"), F.first("s").alias("s"))
     nodes = stash(texts.select(F.monotonically_increasing_id().alias("node"), "id", "same", "s.fp", "s.shingles", "s.sketch", "s.keys"))
     signs = nodes.select("node", "fp", "shingles", "sketch")
-    keyed = nodes.filter("shingles > 0").select("node", "shingles", F.explode("keys").alias("key"))
-    shared = stash(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).filter("n > 1"))
-    dealt = stash(keyed.join(shared, "key"))
+    dealt = near.sharing_keys(nodes.filter("shingles > 0").select("node", "shingles", F.explode("keys").alias("key")))
 
     wanted = nodes.select("node", "id", "same").join(dealt.select("node").distinct(), "node")
     whole = docs.select(filled_id().alias("id"), F.md5(text).alias("same"), text.alias("whole")).join(wanted, ["id", "same"]).groupBy("id", "same", "node").agg(F.first("whole").alias("whole"))
     shingle_set = F.pandas_udf(lambda s: _shingle_set(s, width), "binary")
     sets = stash(whole.select("node", shingle_set("whole").alias("shingle_set")))
 
-    parts = F.ceil(F.col("n") / MEMBERS).cast("int")
-    own_part = bucket_of(["node"], parts)
-    firsts = dealt.filter((F.col("n") > MEMBERS) & (F.col("node") == F.col("first"))).select("key", "node", own_part.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    blocks = dealt.select("key", "node", own_part.alias("part")).union(firsts.filter("part != own").select("key", "node", "part"))
-    blocks = blocks.select(F.xxhash64("key", "part").alias("cell"), "node")
-    nearest = by_cell(blocks.join(signs, "node"), lambda x: _nearest(x, similarity), "src long, agreement long, dst long")
-    best = nearest.groupBy("src").agg(F.max(F.struct("agreement", "dst"))["dst"].alias("dst"))
-    one, other = (sets.select(F.col("node").alias(n), F.col("shingle_set").alias(f"{n}_set")) for n in ("src", "dst"))
-    alike = F.pandas_udf(_similarities, "double")("src_set", "dst_set") >= similarity - 1e-12
-    joined = stash(best.join(one, "src").join(other, "dst").filter(alike).select("src", "dst"))
-    labels = components(joined)
-
-    mixed = stash(_mixed_keys(_labelled(dealt.select("key", "node", "shingles"), labels)))
-    crowded = F.col("outside") > crowded_over
-    cells = _cells(mixed.filter(~crowded))
-    if not mixed.filter(crowded).isEmpty():
-        cells = cells.union(_cells(_mixed_keys(_keyed_anew(mixed.filter(crowded), nodes))))
-    columns = "cell long, node long, component long, fp long, shingles long, sketch binary"
-    open_ = stash(by_cell(cells.join(signs, "node"), lambda x: _open_rows(x, similarity), columns))
-    more = by_cell(open_.join(sets, "node"), lambda x: _exact_links(x, similarity), "src long, dst long")
-    labels = components(joined.union(stash(more)))
-
-    first = _labelled(nodes.select("node", "id", "same"), labels).groupBy("component").agg(F.min(F.struct("id", "same")).alias("first"))
+    rule = near.Rule(round(100 * similarity), ALIKE * SKETCH, wide_pairs)
+    labels = near.labels(dealt, signs, sets, rule, crowded_over)
+    first = nodes.select("node", "id", "same").join(labels, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min(F.struct("id", "same")).alias("first"))
     held = docs.select(F.struct(*docs.columns).alias("doc"), filled_id().alias("id"), F.md5(text).alias("same"))
     staying = held.join(first.select("first.id", "first.same"), ["id", "same"], "left_semi")
     return staying.groupBy("id", "same").agg(F.min_by("doc", F.xxhash64(F.to_json("doc"))).alias("doc")).select("doc.*")

@@ -14,8 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.cells import bounds, by_cell
 from readloom.llm.common import LOWER, UPPER, stash
+from readloom.operators.groups import bounds, by_group
 
 #: Fixed value: the letters of a word, as a character class.
 LETTERS = r"A-Za-zÀ-ÿ"
@@ -181,7 +181,7 @@ def near_words(words: DataFrame, least_letters: int = 6, block: int = BLOCK) ->
     """word, n_near, form, form_n: of `words(word, n)` that have any, how many near words and the one of largest n, of equals the
     smallest in code-point order. A pair meets in one cell, so cells' counts add up; pairs are never rows."""
     order = [F.desc("n"), "word"]
-    each = by_cell(blocks(words, least_letters, block), order, _neighbours, "word string, n_near long, form string, form_n long")
+    each = by_group(blocks(words, least_letters, block), "cell", order, _neighbours, "word string, n_near long, form string, form_n long")
     best = F.min(F.struct((-F.col("form_n")).alias("n"), F.col("form")))
     return each.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best")).select("word", "n_near", F.col("best.form").alias("form"), (-F.col("best.n")).alias("form_n"))
 

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from readloom.llm import simhash
+from readloom.llm import near as blocks, simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -59,7 +59,7 @@ def test_one_of_each_group_matches_all_pairs(spark, monkeypatch):
         groups.setdefault(root(i), []).append(r[0])
     want = sorted(min(g, key=lambda d: (d is not None, d or 0)) or 0 for g in groups.values())
     for members, crowded_over in ((2048, 65_536), (3, 65_536), (2, 4)):
-        monkeypatch.setattr(simhash, "MEMBERS", members)
+        monkeypatch.setattr(blocks, "MEMBERS", members)
         out = simhash.one_of_each_group(spark.createDataFrame(rows, SCHEMA), crowded_over=crowded_over).collect()
         assert out and list(out[0].asDict()) == ["doc_id", "text", "lang", "source", "n_chars"]
         assert sorted(r.doc_id or 0 for r in out) == want
@@ -78,7 +78,7 @@ def test_copies_behind_many_texts_that_are_less_similar(spark, monkeypatch):
             least[a] = least[b] = min(least[a], least[b])
     docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], SCHEMA)
     for members, crowded_over in ((2048, 65_536), (4, 65_536), (8, 10)):
-        monkeypatch.setattr(simhash, "MEMBERS", members)
+        monkeypatch.setattr(blocks, "MEMBERS", members)
         assert {r.doc_id for r in simhash.one_of_each_group(docs, crowded_over=crowded_over).collect()} == {d for d in least if least[d] == d}
 
 

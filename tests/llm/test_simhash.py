@@ -6,7 +6,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
-from readloom.llm import simhash
+from readloom.llm import near, simhash
 from readloom.llm.components import components
 
 
@@ -95,6 +95,13 @@ def test_nearest_is_the_closest_earlier_row():
     assert pairs == want
 
 
+RULE = near.Rule(80, simhash.ALIKE * simhash.SKETCH, simhash.wide_pairs)
+
+
+def exact_links(cells):
+    return pd.concat(near._exact_links(cells, RULE), ignore_index=True)
+
+
 def dense_cell(n, seed=5):
     """A block of texts that are alike, but not similar enough: sets of 60 of the same 100 shingles."""
     rng = np.random.default_rng(seed)
@@ -109,7 +116,7 @@ def test_a_dense_block_takes_bounded_memory_and_gives_few_rows():
     cells, _ = dense_cell(6000)
     tracemalloc.start()
     most = max(len(later) for later, _, _ in simhash.near_lanes(cells["fp"].to_numpy(), np.array([6000]), simhash.WIDE_RADIUS))
-    open_rows, links = simhash._open_rows(cells, 0.8), simhash._nearest(cells, 0.8)
+    open_rows, links = (pd.concat(f(cells, RULE)) for f in (near._open_rows, near._nearest))
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most <= simhash.HITS + 64 and len(open_rows) == 6000 and len(links) == 5999
@@ -123,7 +130,7 @@ def test_links_of_a_block_are_those_of_all_pairs():
     cells["shingles"] = [len(x) // 8 for x in cells["shingle_set"]]
     sets = [set(np.frombuffer(x, np.uint64).tolist()) for x in cells["shingle_set"]]
     want = {(a, b) for a in range(300) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
-    links = simhash._exact_links(cells, 0.8)
+    links = exact_links(cells)
     got = set(zip(links["src"], links["dst"], strict=True))
     assert got <= want and len(got) < 300
 
@@ -143,8 +150,8 @@ def test_cells_apart_give_the_same_links(monkeypatch):
         cells.at[i + 1, "shingle_set"] = sets[i][1:].tobytes()
     cells["shingles"] = [len(x) // 8 for x in cells["shingle_set"]]
     cells["cell"] = np.arange(240) // 20
-    links = [simhash._exact_links(cells, 0.8)]
+    links = [exact_links(cells)]
     for most in (1, 3000):
-        monkeypatch.setattr(simhash, "SHINGLES", most)
-        links.append(simhash._exact_links(cells, 0.8))
+        monkeypatch.setattr(near, "SHINGLES", most)
+        links.append(exact_links(cells))
     assert len(links[0]) >= 48 and all(sorted(map(tuple, x.to_numpy())) == sorted(map(tuple, links[0].to_numpy())) for x in links)

@@ -3,10 +3,9 @@ import re
 import zlib
 from collections import Counter
 
-import pandas as pd
 import pytest
 
-from readloom.llm import cells, spelling
+from readloom.llm import spelling
 
 SCHEMA = "doc_id long, text string"
 
@@ -98,11 +97,3 @@ def test_empty_table_and_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "spelling " * 30 + "speling " * 5, "x", 3)], "doc_id long, text string, word string, n int")
     assert plain(spelling.variants(docs, slip=None).collect()) == [("speling", "spelling", "spelling", 5, 1, 30), ("spelling", "", "spelling", 30, 1, 0)]
     assert spelling.variants(docs.filter("n > 3")).count() == 0
-
-
-def test_cells_stay_whole_across_batches():
-    rows = pd.DataFrame({"cell": ["a"] * 3 + ["b"] * 9 + ["c"] + ["d"] * 4, "i": range(17)})
-    for size in (1, 2, 3, 5, 17):
-        parts = list(cells.whole_cells(rows[i : i + size].reset_index(drop=True) for i in range(0, 17, size)))
-        assert pd.concat(parts)["i"].tolist() == list(range(17))
-        assert sum(p["cell"].nunique() for p in parts) == 4
