@@ -1,20 +1,17 @@
 """Structured Streaming jobs that follow run folders as they fill.
 
-Late data: events older than the watermark are dropped by the state of sessions and of duplicates, which ends there; counts have
+Late data: events older than the watermark are dropped by the state of sessions and of joined flags, which ends there; counts have
 no watermark and take all. Every job's result equals that of a batch query over the same events, which is how they are tested.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.sources.files import scratch
 
-GAP, LATE, FORGOTTEN = "6 hours", "2 days", "30 days"
+GAP, LATE = "6 hours", "2 days"
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,16 +20,30 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.select(F.col("user_id").alias("run"), F.col("event_type").alias("kind"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("ord"))
 
 
-def drained(stream: DataFrame, mode: str) -> DataFrame:
-    """All that is there now, through the stream: batches are written as tables; in complete mode the last one counts."""
-    where = scratch(stream.sparkSession)
+STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def drained(stream: DataFrame, mode: str, provider: str | None = None, where: str | None = None) -> DataFrame:
+    """All that is there now, through the stream: batches are written as tables; in complete mode the last one counts.
+
+    `provider`: the class of the state's store, where not the session's. `where`: a folder with state and batches of an earlier
+    call, from which this one goes on; only its own batches count then.
+    """
+    conf, where = stream.sparkSession.conf, where or scratch(stream.sparkSession)
+    before = conf.get(STORE, None)
     seen: list[int] = []
 
     def write(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{where}/out/{n:09d}")
         seen.append(n)
 
-    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{where}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    if provider:
+        conf.set(STORE, provider)
+    try:
+        stream.writeStream.outputMode(mode).option("checkpointLocation", f"{where}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    finally:
+        if provider:
+            conf.set(STORE, before) if before else conf.unset(STORE)
     if not seen:
         return stream.sparkSession.createDataFrame([], stream.schema)
     paths = [f"{where}/out/{n:09d}" for n in (seen if mode == "append" else seen[-1:])]
@@ -49,10 +60,16 @@ def completed_runs(events: DataFrame, gap: str = GAP) -> DataFrame:
     return sessions.select("run", "first", "last", "n")
 
 
-def new_work(events: DataFrame, done: DataFrame) -> DataFrame:
-    """run: flagged runs, once each, without those done. A run flagged anew FORGOTTEN later comes again: readers drop it by name."""
-    flagged = events.filter("kind = 'click'").withWatermark("ts", FORGOTTEN).dropDuplicatesWithinWatermark(["run"])
-    return flagged.select("run").join(done, "run", "left_anti")
+def new_work(flags: DataFrame, markers: DataFrame, near: str = GAP, late: str = LATE) -> DataFrame:
+    """run, flagged: the `flags(run, ts)` without one of the `markers(run, ts)`, of errors or of finished work, within `near` of them on either side.
+
+    Two streams are joined, so that markers may come before or after their flags, and in any order: a flag waits in the state
+    until the watermarks, `late` behind the latest event of each stream, show that no marker can come, and comes out then.
+    """
+    flagged = flags.withWatermark("ts", late).select("run", F.col("ts").alias("flagged"))
+    marked = markers.withWatermark("ts", late).select(F.col("run").alias("_run"), F.col("ts").alias("marked"))
+    both = F.expr(f"run = _run AND marked BETWEEN flagged - INTERVAL {near} AND flagged + INTERVAL {near}")
+    return flagged.join(marked, both, "left_outer").filter("marked IS NULL").select("run", "flagged")
 
 
 def folder_counts(events: DataFrame) -> DataFrame:
@@ -64,24 +81,3 @@ def kind_counts(events: DataFrame) -> DataFrame:
     """kind, n: counts add up over arriving files as they do over a table."""
     return events.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
-
-STATE = "run long, mapped boolean, assembled boolean, started boolean"
-
-
-def job_states(events: DataFrame) -> DataFrame:
-    """run, mapped, assembled, started: what has been done so far, and whether the step after both may start; a row an update."""
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: object) -> Iterator[pd.DataFrame]:
-        mapped, assembled = state.get if state.exists else (False, False)
-        for b in batches:
-            mapped |= bool((b["kind"] == "view").any())
-            assembled |= bool((b["kind"] == "purchase").any())
-        state.update((mapped, assembled))
-        yield pd.DataFrame({"run": [key[0]], "mapped": [mapped], "assembled": [assembled], "started": [mapped and assembled]})
-
-    return events.select("run", "kind").groupBy("run").applyInPandasWithState(update, STATE, "mapped boolean, assembled boolean", "append", "NoTimeout")
-
-
-def latest_states(updates: DataFrame) -> DataFrame:
-    """The last state of each run: states only ever turn true."""
-    return updates.groupBy("run").agg(*(F.bool_or(c).alias(c) for c in ("mapped", "assembled", "started")))
