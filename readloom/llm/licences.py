@@ -118,11 +118,12 @@ class NoticeSearch:
         import ahocorasick
         import regex
 
-        self._notices, of_seed = [], {}
+        self._notices, self._any, of_seed = [], [], {}
         for label, notice in notices:
             k = errors_for(notice, chars_an_error, most_errors)
-            pattern = regex.compile(rf"(?b)\b(?:{regex.escape(notice)}){{e<={k}}}\b")
-            self._notices.append((label, len(notice), k, pattern))
+            pattern = rf"\b(?:{regex.escape(notice)}){{e<={k}}}\b"
+            self._notices.append((label, len(notice), k, regex.compile(f"(?b){pattern}")))
+            self._any.append(regex.compile(pattern))
             for at, seed in seeds_of(notice, k):
                 of_seed.setdefault(seed, []).append((len(self._notices) - 1, at))
         self._seeds = ahocorasick.Automaton()
@@ -148,29 +149,60 @@ class NoticeSearch:
                 end = max(end, b)
             yield notice, start, end
 
+    def _matches(self, notice: int, line: str, start: int, end: int) -> Iterator[object]:
+        """Matches of a notice in a stretch that don't overlap, the best of overlapping ones.
+
+        From the first place that matches at all, the best match nearby is taken, and a better one that overlaps it instead, as
+        long as there is one: each has fewer edits, so what is looked at is bounded, and the search goes on behind it.
+        """
+        _, length, k, best = self._notices[notice]
+        reach = length + k
+
+        def near(low: int, high: int) -> object:
+            after = line.find(" ", high, end)  # a stretch that ended within a word would end a match there
+            return best.search(line, max(start, low), end if after < 0 else after)
+
+        while end - start >= length - k and (first := self._any[notice].search(line, start, end)):
+            start = first.start()
+            m, better = None, near(start, start + 2 * reach) or first
+            while m is None or sum(better.fuzzy_counts) < sum(m.fuzzy_counts):
+                m = better
+                better = near(m.start() - reach, m.end() + reach) or m
+            left = [(start, m.start())]
+            while left:  # others before it
+                a, b = left.pop()
+                if b - a >= length - k and (other := best.search(line, a, b)):
+                    yield other
+                    left += [(a, other.start()), (other.end(), b)]
+            yield m
+            start = m.end()
+
     def find(self, line: str) -> list[Found]:
         out = set()
         for notice, start, end in self.windows(line):
-            label, length, k, pattern = self._notices[notice]
-            left = [(start, min(end, len(line)))]
-            while left:  # the best match of a stretch may lie behind others
-                a, b = left.pop()
-                m = pattern.search(line, a, b) if b - a >= length - k else None
-                if m:
-                    edits = sum(m.fuzzy_counts)
-                    out.add(Found(label, m.start(), m.end(), edits, 1 - edits / length))
-                    left += [(a, m.start()), (m.end(), b)]
+            label, length, _, _ = self._notices[notice]
+            for m in self._matches(notice, line, start, min(end, len(line))):
+                edits = sum(m.fuzzy_counts)
+                out.add(Found(label, m.start(), m.end(), edits, 1 - edits / length))
         return sorted(out, key=lambda f: (f.start, f.end, f.label))
 
 
+#: Characters of a stretch by which finds are looked up.
+STRETCH = 256
+
+
 def best_of(found: list[Found]) -> list[Found]:
-    """Without those that overlap a likelier notice, or stand within a longer one that is as likely."""
-    kept: list[Found] = []
+    """Without those that overlap a likelier notice, or stand within a longer one that is as likely. Only finds that share a stretch are compared."""
+    kept: dict[int, list[Found]] = {}
+    out = []
     for f in sorted(found, key=lambda f: (-f.likeness, f.start - f.end, f.start, f.label)):
-        near = [k for k in kept if f.start < k.end and k.start < f.end]
+        stretches = range(f.start // STRETCH, f.end // STRETCH + 1)
+        near = [k for s in stretches for k in kept.get(s, ()) if f.start < k.end and k.start < f.end]
         if not any(k.likeness > f.likeness or k.start <= f.start and f.end <= k.end and k.end - k.start > f.end - f.start for k in near):
-            kept.append(f)
-    return sorted(kept, key=lambda f: (f.start, f.end, f.label))
+            out.append(f)
+            for s in stretches:
+                kept.setdefault(s, []).append(f)
+    return sorted(out, key=lambda f: (f.start, f.end, f.label))
 
 
 @functools.cache
@@ -188,9 +220,10 @@ def scan_text(text: str | None, chars_an_error: int = CHARS_AN_ERROR, most_error
     string = line.decode("utf-8", "replace")
     found = best_of(searcher(chars_an_error, most_errors).find(string))
     labels = sorted({*base_labels, *(f.label for f in found)})
-    spans = []
+    spans, seen, first = [], 0, -1
     for f in found:
-        first = string.count(" ", 0, f.start + 1) - 1
+        first += string.count(" ", seen, f.start + 1)
+        seen = f.start + 1
         spans.append({"label": f.label, "first_word": first, "end_word": first + string[f.start : f.end].strip().count(" ") + 1, "edits": f.edits})
     score = 1.0 if starts else max((f.likeness for f in found), default=0.0)
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(base_labels), ",".join(labels), score, spans)
@@ -201,7 +234,7 @@ def scan(docs: DataFrame, chars_an_error: int = CHARS_AN_ERROR, most_errors: int
 
     Base: places of exact phrases; first_word and last_word are null without any. labels adds those of notices found with at
     most one error in `chars_an_error` characters and `most_errors` in all, where no likelier notice stands; spans has their words and edits. score is 1 for a base phrase, else the likeness of the
-    best notice, else 0. Null and empty texts have no words and no labels. Very long texts are scanned whole. Repeated rows are
+    best notice, else 0. Null and empty texts have no words and no labels. Very long texts are scanned whole, in time that grows with their length. Repeated rows are
     scanned each. Other columns of `docs` are ignored, whatever their names. An empty table gives no rows.
     """
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]

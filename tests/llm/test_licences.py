@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from readloom.llm import licences
 
@@ -79,6 +80,13 @@ def test_every_notice_of_a_joined_window_is_found():
         assert [(s["first_word"], s["end_word"]) for s in found if s["label"] == "public-domain"] == [(5 * i, 5 * i + 5) for i in range(len(parts))]
 
 
+def test_many_faulty_notices_in_a_text_take_time_in_proportion():
+    began = time.time()
+    spans = licences.scan_text("all rights reservd and " * 20_000)[-1]
+    assert [(s["first_word"], s["edits"]) for s in spans] == [(4 * i, 1) for i in range(20_000)] and time.time() - began < 30
+    assert len(licences.scan_text("all rights all reserved rights " * 2_000)[-1]) <= 4_000
+
+
 def test_spans_count_words():
     spans = licences.scan_text("One two. Released under the M1T License!")[-1]
     assert spans == [{"label": "mit", "first_word": 2, "end_word": 7, "edits": 1}]
