@@ -2,8 +2,9 @@
 
 A sentence's node is a hash of its text, that of a paragraph (a line) a hash of its sentences' nodes, that of a section a hash of
 its paragraphs' nodes with theirs below, all 64 bits of MD5. Sections end after a paragraph whose hash ends in 0, 1, 2 or 3, so an
-edit moves no section bound elsewhere. The SHA-256 over all sections is the fingerprint: equal texts have equal roots. Two trees are compared
-from the top, and only branches that differ are opened: they tell how much is alike and where the first edit is.
+edit moves no section bound elsewhere. These short nodes are only compared within two trees, from the top, where branches that differ
+are opened: they tell how much is alike and where the first edit is. The root, the fingerprint, stands on nodes of full width: a
+paragraph's SHA-256, a section's over its paragraphs', the root's over its sections', so roots are equal where texts are.
 """
 
 from __future__ import annotations
@@ -32,21 +33,27 @@ def tree(text: Column) -> Column:
     """struct<root, sections, sentences (how many different ones)> of a text; an empty text has one empty paragraph."""
     below = F.transform(F.split(text, "\n"), lambda p: F.array_join(F.transform(F.split(p, r"(?<=[.!?|]\s?)(?=[^\s.!?|])"), _node), ","))
 
-    def sections(children: Column) -> Column:
-        paragraphs = F.transform(children, lambda c: F.concat(_node(c), F.lit(":"), c))
-        ended = F.transform(paragraphs, lambda p: F.concat(p, F.when(F.substring(p, HASH, 1).isin(*"0123"), "/").otherwise(";")))
-        bodies = bind(F.array_join(ended, ""), lambda j: F.split(F.substring(j, F.lit(1), F.length(j) - 1), "/"))
-        return F.transform(bodies, lambda b: F.concat(_node(b), F.lit("|"), b))
+    def ended(parts: Column, paragraphs: Column) -> Column:
+        """Of each section, its `parts` (one a paragraph) joined."""
+        marked = F.zip_with(parts, paragraphs, lambda x, p: F.concat(x, F.when(F.substring(p, HASH, 1).isin(*"0123"), "/").otherwise(";")))
+        return bind(F.array_join(marked, ""), lambda j: F.split(F.substring(j, F.lit(1), F.length(j) - 1), "/"))
 
     def whole(children: Column) -> Column:
         count = F.size(F.array_distinct(F.split(F.array_join(children, ","), ",")))
-        return bind(sections(children), lambda s: F.struct(root_of(s).alias("root"), s.alias("sections"), count.alias("sentences")))
+        paragraphs = F.transform(children, lambda c: F.concat(_node(c), F.lit(":"), c))
+        own = lambda p: F.struct(root_of(ended(F.transform(F.split(text, "\n"), _full), p)).alias("root"), F.transform(ended(p, p), lambda b: F.concat(_node(b), F.lit("|"), b)).alias("sections"), count.alias("sentences"))
+        return bind(paragraphs, own)
 
     return bind(below, whole)
 
 
+def _full(content: Column) -> Column:
+    return F.sha2(content, 256)
+
+
 def root_of(sections: Column) -> Column:
-    return F.sha2(F.array_join(F.transform(sections, lambda s: F.substring(s, 1, HASH)), ","), 256)
+    """Of the joined full hashes of each section's paragraphs."""
+    return _full(F.array_join(F.transform(sections, _full), ","))
 
 
 def _apart(a: Column, b: Column, use) -> Column:

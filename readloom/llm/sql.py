@@ -22,6 +22,7 @@ _BELOW = "list_transform(string_split({0}, chr(10)), lambda p: array_to_string(l
 _PARAGRAPHS = "list_transform({0}, lambda c: concat(left(md5(c), 16), ':', c))"
 _BODIES = "array_to_string(list_transform({0}, lambda p: concat(p, CASE WHEN substr(p, 16, 1) IN ('0', '1', '2', '3') THEN '/' ELSE ';' END)), '')"
 _SECTIONS = "list_transform(string_split(left({0}, length({0}) - 1), '/'), lambda b: concat(left(md5(b), 16), '|', b))"
+_FULL = "array_to_string(list_transform(string_split({0}, chr(10)), lambda p, i: concat(sha256(p), CASE WHEN substr({0}_par[i], 16, 1) IN ('0', '1', '2', '3') THEN '/' ELSE ';' END)), '')"
 _OPEN = "flatten(list_transform({0}, lambda x: string_split(substr(x, 18), '{1}')))"
 _ALONE = "list_distinct(list_filter({0}, lambda x: NOT list_contains({1}, x)))"
 _PAIRS = (("t", "e"), ("t", "n"))
@@ -46,8 +47,8 @@ three AS (SELECT doc_id, text AS t, following AS n, concat(substr(text, 1, lengt
 leaves AS (SELECT *, {', '.join(f"{_BELOW.format(x)} AS {x}_below" for x in 'ten')} FROM three),
 lines AS (SELECT *, {', '.join(f"{_PARAGRAPHS.format(f'{x}_below')} AS {x}_par, len(list_distinct(string_split(array_to_string({x}_below, ','), ','))) AS {x}_n" for x in 'ten')} FROM leaves),
 bodies AS (SELECT *, {', '.join(f"{_BODIES.format(f'{x}_par')} AS {x}_body" for x in 'ten')} FROM lines),
-nodes AS (SELECT *, {', '.join(f"{_SECTIONS.format(f'{x}_body')} AS {x}_sec" for x in 'ten')} FROM bodies),
-roots AS (SELECT *, {', '.join(f"sha256(array_to_string(list_transform({x}_sec, lambda s: left(s, 16)), ',')) AS {x}_root" for x in 'ten')}, {', '.join(f"{a}_sec AS {a}{b}a_s, {b}_sec AS {a}{b}b_s" for a, b in _PAIRS)} FROM nodes),
+nodes AS (SELECT *, {', '.join(f"{_SECTIONS.format(f'{x}_body')} AS {x}_sec, {_FULL.format(x)} AS {x}_full" for x in 'ten')} FROM bodies),
+roots AS (SELECT *, {', '.join(f"sha256(array_to_string(list_transform(string_split(left({x}_full, length({x}_full) - 1), '/'), lambda s: sha256(s)), ',')) AS {x}_root" for x in 'ten')}, {', '.join(f"{a}_sec AS {a}{b}a_s, {b}_sec AS {a}{b}b_s" for a, b in _PAIRS)} FROM nodes),
 d1 AS (SELECT *, {_apart('d', 's')} FROM roots), d2 AS (SELECT *, {_opened('p', 'd', ';')} FROM d1), d3 AS (SELECT *, {_apart('o', 'p')} FROM d2), d4 AS (SELECT *, {_opened('l', 'o', ',')} FROM d3), d5 AS (SELECT *, {_apart('q', 'l')} FROM d4)
 SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(e) AS edited_sha256, t_root AS fingerprint, e_root AS edited_fingerprint,
   {_NEAR.format('t', 'e')} AS near_edited, {_NEAR.format('t', 'n')} AS near_next, len(t_sec) AS n_sections, len(t_par) AS n_paragraphs,
