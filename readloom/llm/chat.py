@@ -188,6 +188,9 @@ def hostile_record(spark: SparkSession) -> DataFrame:
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
-    """Digests of all `conversations` and of conversation -1, whose texts hold control strings. An empty table gives -1 alone."""
+    """Digests of all `conversations` and of conversation -1, whose texts hold control strings. An empty table gives -1 alone.
+
+    Other columns of `conversations` are ignored, whatever their names. A text of any length is formatted whole.
+    """
     records = rows_as_records(conversations).unionByName(hostile_record(conversations.sparkSession))
     return digests(format_turns(records))

@@ -126,13 +126,20 @@ def fit(labelled: DataFrame) -> Model:
     return Model(odds, shift, scale, tuple(classes))
 
 
+#: Names of the classifier's own columns.
+OWN = {"doc_id", "x", "quality", "held_out", "score", "predicted"}
+
+
 def classify(docs: DataFrame, labels: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     """Columns doc_id, `more`, held_out, score, predicted of every row of `docs(doc_id, text)`; `more` are columns of `docs`.
 
     Learns from `labels(doc_id, quality)` of documents that aren't held out, all of them; labels other than 0 and 1 and null
     doc_ids teach nothing, repeated rows count each. Inputs are statistics of the whole text alone. Null and empty texts have
-    all statistics 0 and are scored like others. Documents without a label are scored too. An empty table gives no rows.
+    all statistics 0 and are scored like others. Documents without a label are scored too. A text of any length is read whole.
+    Other columns of `docs` are ignored, whatever their names; `more` may not name one of OWN. An empty table gives no rows.
     """
+    if OWN & {*more}:
+        raise ValueError(f"the results have columns of their own named {', '.join(sorted(OWN & {*more}))}")
     known = stash(docs.select("doc_id", *more, features("text").alias("x")))
     taught = labels.filter(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int")).filter(~held_out("doc_id"))
     model = fit(known.join(taught, "doc_id"))

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from readloom.llm.common import GAP, WORD, stash
 
 LEAST_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
-#: Bounds of a rule's accuracy, and of the share of good documents: no rule is certain, none worse than chance.
+#: Bounds of a rule's accuracy, and of the share of good documents: no rule is certain, none worse than chance, and half of the
+#: documents at least are good. Of a corpus that is mostly junk, give a lower bound of its own.
 ACCURACY, GOOD = (0.55, 0.995), (0.5, 0.98)
-ROUNDS, KEEP = 200, 0.5
+#: EM ends where no probability moves by over 1e-9; in so many rounds at most, or else it is an error.
+ROUNDS, KEEP = 5_000, 0.5
 
 
 def _share(part: str, whole: str) -> Column:
@@ -81,11 +83,11 @@ def counts(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *(c.cast("long").alias(k) for k, c in long.items()))
 
 
-def posteriors(patterns: dict[str, int]) -> tuple[dict[str, float], list[tuple[float, float]]]:
+def posteriors(patterns: dict[str, int], within: tuple[float, float] = GOOD) -> tuple[dict[str, float], list[tuple[float, float]]]:
     """Probability of good for each vote pattern, and each rule's accuracies on (bad, good) documents, by EM from majority votes.
 
     A rule that votes is right with an accuracy of its own on good and on bad documents; abstaining tells nothing. The patterns
-    number at most 3^rules, whatever the corpus.
+    number at most 3^rules, whatever the corpus. The share of good documents is kept `within` bounds.
     """
     if not patterns:
         return {}, []
@@ -94,7 +96,7 @@ def posteriors(patterns: dict[str, int]) -> tuple[dict[str, float], list[tuple[f
     good = {p: (sum(v) > 0) + 0.5 * (sum(v) == 0) for p, v in side.items()}
     accuracy = [(ACCURACY[0], ACCURACY[0])] * k
     for _ in range(ROUNDS):
-        prior = min(GOOD[1], max(GOOD[0], sum(good[p] * n for p, n in patterns.items()) / total))
+        prior = min(within[1], max(within[0], sum(good[p] * n for p, n in patterns.items()) / total))
         accuracy = []
         for j in range(k):
             right, votes = [1.0, 1.0], [2.0, 2.0]
@@ -113,22 +115,24 @@ def posteriors(patterns: dict[str, int]) -> tuple[dict[str, float], list[tuple[f
         moved = max(abs(now[p] - good[p]) for p in patterns)
         good = now
         if moved < 1e-9:
-            break
-    return good, accuracy
+            return good, accuracy
+    raise RuntimeError(f"the accuracies of the rules haven't settled after {ROUNDS} rounds")
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def judge(docs: DataFrame, share: tuple[float, float] = GOOD) -> DataFrame:
     """A row for each of `docs(doc_id, text)`: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     kept, votes, probability.
 
     votes has a sign a rule, in the order of `rules`; kept is false for base_failed, else whether the posterior probability of
-    good is at least one half. Accuracies are learned from all rows that pass the base. Null and empty texts have no words and
-    fail it. Repeated rows are judged each, alike. An empty table gives no rows.
+    good is at least one half. Accuracies are learned from all rows that pass the base, with a share of good ones within `share`:
+    a corpus with fewer is judged as if it had the least, unless told so. Null and empty texts have no words and
+    fail it. Repeated rows are judged each, alike. A text of any length is read whole and takes memory in proportion. Other columns
+    of `docs` are ignored, whatever their names. An empty table gives no rows.
     """
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     voted = stash(counts(docs).withColumns({"base_failed": failed, "votes": F.concat(*rules().values())}))
     seen = voted.filter(~F.col("base_failed")).groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()
-    good, _ = posteriors({r["votes"]: r["n"] for r in seen})
+    good, _ = posteriors({r["votes"]: r["n"] for r in seen}, share)
     known = docs.sparkSession.createDataFrame(sorted(good.items()), "votes string, probability double")
     kept = ~F.col("base_failed") & (F.col("probability") >= KEEP)
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]

@@ -229,7 +229,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
     Null and empty texts have fingerprint zero and link like others. Rows that share a doc_id (repeats) each get their row.
     Distinct fingerprints are the nodes that are compared and joined, so a group of copies of any size is one node, and a
     document without doc_id links like any other; component_id is the smallest doc_id of the component, null if none of its
-    documents has one. An empty table gives no rows; other columns of `docs` are ignored.
+    documents has one. A very long text is read whole, its hashes in portions. An empty table gives no rows; other columns of
+    `docs` are ignored.
     """
     prints = stash(docs.select("doc_id", fingerprint("text", width).alias("fp")))
     least = stash(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))

@@ -204,9 +204,11 @@ def dedup_spans(docs: DataFrame) -> DataFrame:
     """`docs` with text cut, and a column removed_sentences (0 where the text is as it was).
 
     The first occurrence of a run, by doc_id (nulls first) and then place, stays; so does all of a text without repeated runs,
-    byte for byte. A later copy of a whole text loses all its sentences and has text ''. A run repeated within one text goes
+    byte for byte. A later copy of a whole text of RUN_WORDS words or more (or PIECE_WORDS without an end of a sentence between)
+    loses all its sentences and has text ''; shorter texts have no run and stay, copies too. A run repeated within one text goes
     there too. Null and empty texts have no runs. Rows that repeat both doc_id and text are one document and are treated
-    alike. A column of `docs` that is named like a result is replaced. An empty table gives no rows.
+    alike. A text of any length is cut whole; its sentences and runs are in memory at once. A column of `docs` that is named like a
+    result is replaced. An empty table gives no rows.
     """
     docs = docs.drop("removed_sentences")
     key = F.xxhash64("text")

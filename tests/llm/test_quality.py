@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from readloom.llm import quality
 
@@ -80,3 +81,10 @@ def test_scores_are_those_of_the_densities(spark):
         z = (v - shift) / scale
         want = 1 / (1 + math.exp(-max(-50, min(50, log_density(z, 1) - log_density(z, 0) + odds))))
         assert abs(got[d] - want) < 1e-6
+
+
+def test_further_columns_may_not_clash(spark):
+    docs = spark.createDataFrame([(1, "a", 2, 3)], "doc_id long, text string, score int, x int")
+    for name in ("score", "x"):
+        with pytest.raises(ValueError, match=name):
+            quality.classify(docs, docs, (name,))

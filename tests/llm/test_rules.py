@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from readloom.llm import rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -93,3 +95,15 @@ def test_kept_is_what_em_by_hand_says(spark):
     for r, g in zip(own, good):
         assert abs(r.probability - g) < 1e-5 and (r.kept == (g >= rules.KEEP) or abs(g - rules.KEEP) < 1e-5)
     assert {r.kept for r in own} == {True, False}
+
+
+def test_an_em_that_does_not_settle_is_an_error(monkeypatch):
+    monkeypatch.setattr(rules, "ROUNDS", 2)
+    with pytest.raises(RuntimeError, match="settled"):
+        rules.posteriors({"+-0": 40, "-++": 31, "++-": 22, "--+": 9})
+
+
+def test_the_share_of_good_documents_is_an_argument():
+    junk = {"---": 90, "+++": 10}
+    shares = [sum(good[p] * n for p, n in junk.items()) / 100 for good in (rules.posteriors(junk, share)[0] for share in ((0.5, 0.98), (0.02, 0.98)))]
+    assert abs(shares[1] - 0.1) < 0.01 and shares[0] >= shares[1]
