@@ -77,13 +77,15 @@ def seed_concordance(segments: DataFrame, seeds: DataFrame, regions: DataFrame,
     segments, against `seeds(rname, ref_pos, expected)` in the half-open `regions(region, start, end)`, a configured list.
 
     A position is covered if any segment matches there, and agrees if any of them has the seed's base. Percents are of the
-    region's length and of what is covered (0 of nothing). Contigs with no segment in a region have no row for it.
+    region's length and of what is covered (0 of nothing): a contig has a row for each region, of zeros where no segment is.
     """
     cut = F.broadcast(regions.select("region", F.col("end").alias("_end"), F.col("start").alias("_start"), F.explode(F.sequence("start", F.col("end") - 1)).alias("ref_pos")))
     met = segments.join(cut, "ref_pos").join(seeds, ["rname", "ref_pos"], "left")
     of_pos = met.groupBy(contig, "rname", "region", "_start", "_end", "ref_pos").agg(F.max(F.coalesce(F.col("base") == F.col("expected"), F.lit(False)).cast("int")).alias("agrees"))
     per = of_pos.groupBy(contig, "rname", "region", "_start", "_end").agg(F.sum("agrees").alias("agree"), F.count(F.lit(1)).alias("covered"))
-    return per.select(contig, "rname", "region", (100 * F.col("agree") / F.col("covered")).alias("pct_concordance"), (100 * F.col("covered") / (F.col("_end") - F.col("_start"))).alias("pct_covered"))
+    shares = per.select(contig, "rname", "region", (100 * F.col("agree") / F.col("covered")).alias("pct_concordance"), (100 * F.col("covered") / (F.col("_end") - F.col("_start"))).alias("pct_covered"))
+    wanted = segments.select(contig, "rname").distinct().crossJoin(F.broadcast(regions.select("region")))  # a configured list
+    return wanted.join(shares, [contig, "rname", "region"], "left").fillna(0.0, ["pct_concordance", "pct_covered"])
 
 
 def separate_matches(hits: DataFrame, contig: str = "contig", most: float = 0.1) -> DataFrame:

@@ -28,7 +28,7 @@ def s3(sam: DataFrame) -> DataFrame:
     path = files.scratch(sam.sparkSession)
     whole = sam.select("qname", "flag", "rname", "pos", "mapq", "cigar", F.lit("=").alias("rnext"), F.lit(0).alias("pnext"), F.lit(0).alias("tlen"), "seq", "qual")
     files.write_sam(whole, path)
-    return files.read_sam(sam.sparkSession, path).drop("rnext", "pnext", "tlen")
+    return files.read_sam(sam.sparkSession, path).drop("rnext", "pnext", "tlen", "score")
 
 
 @query("s4_step_csv", "SELECT tile, cycle, errorrate FROM quality", "quality")

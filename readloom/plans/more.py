@@ -26,21 +26,23 @@ def j10(runs: DataFrame) -> DataFrame:
     return summaries.nearest(runs.select((F.col("run_time").cast("double") / 50000).alias("g")).distinct(), "g", table)
 
 
-_WEIGHTS = [(p, a, ((7 * p + 3 * i) % 11 - 5) / 10) for p in (1, 2, 3) for i, a in enumerate("ACDEFGHIKLMNPQRSTVWY")]
-_CAND = "cand AS (SELECT DISTINCT run_id, line AS pos, substr('ACDEFGHIKLMNPQRSTVWY', 1 + CAST(CAST(depth AS BIGINT) % 20 AS INT), 1) AS amino FROM runs WHERE line <= 3 UNION SELECT run_id, line, substr('ACDEFGHIKLMNPQRSTVWY', 1 + CAST((run_id + line) % 20 AS INT), 1) FROM runs WHERE line <= 3 AND run_id % 3 = 0)"
+_PLACES = range(1, 8)
+_WEIGHTS = [(p, a, ((7 * p + 3 * i) % 11 - 5) / 10) for p in _PLACES for i, a in enumerate("ACDEFGHIKLMNPQRSTVWY")]
+_CAND = "cand AS (SELECT DISTINCT run_id, line AS pos, substr('ACDEFGHIKLMNPQRSTVWY', 1 + CAST(CAST(depth AS BIGINT) % 20 AS INT), 1) AS amino FROM runs UNION SELECT run_id, line, substr('ACDEFGHIKLMNPQRSTVWY', 1 + CAST((run_id + line) % 20 AS INT), 1) FROM runs WHERE run_id % 3 = 0)"
 _LOGISTIC = f"1 / (1 + exp(({summaries.RHO} - ({{s}})) * {summaries.A} + {summaries.B} - 0.5))"
+_SUMMED = " ".join(f"JOIN z z{p} ON z{p}.run_id = z1.run_id AND z{p}.pos = {p}" for p in _PLACES if p > 1)
 
 
 @query(
     "j11_matrix_score",
-    f"WITH {_CAND}, w AS (SELECT run_id, c.pos, coalesce(CAST(weight AS DOUBLE), 0) AS x FROM cand c LEFT JOIN {values(_WEIGHTS, 'pos, amino, weight')} ON t.pos = c.pos AND t.amino = c.amino), k AS (SELECT DISTINCT run_id FROM w), z AS (SELECT run_id, pos, x FROM w UNION ALL SELECT run_id, p, 0 FROM k, (VALUES (1), (2), (3)) v(p) WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.run_id = k.run_id AND w.pos = p)) SELECT a.run_id, round(avg({_LOGISTIC.format(s='a.x + b.x + c.x')}), 6) AS score FROM z a JOIN z b ON a.run_id = b.run_id AND a.pos = 1 AND b.pos = 2 JOIN z c ON c.run_id = a.run_id AND c.pos = 3 GROUP BY a.run_id",
+    f"WITH {_CAND}, w AS (SELECT run_id, c.pos, coalesce(CAST(weight AS DOUBLE), 0) AS x FROM cand c LEFT JOIN {values(_WEIGHTS, 'pos, amino, weight')} ON t.pos = c.pos AND t.amino = c.amino), k AS (SELECT DISTINCT run_id FROM w), z AS (SELECT run_id, pos, x FROM w UNION ALL SELECT run_id, p, 0 FROM k, (SELECT unnest(range(1, 8)) AS p) v WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.run_id = k.run_id AND w.pos = p)) SELECT z1.run_id, round(avg({_LOGISTIC.format(s=' + '.join(f'z{p}.x' for p in _PLACES))}), 6) AS score FROM z z1 {_SUMMED} WHERE z1.pos = 1 GROUP BY z1.run_id",
     "runs",
 )
 def j11(runs: DataFrame) -> DataFrame:
-    few = runs.filter("line <= 3")
+    """Lines are positions; a third of the runs are ambiguous in each."""
     letter = lambda n: F.substring(F.lit("ACDEFGHIKLMNPQRSTVWY"), (1 + n % 20).cast("int"), F.lit(1)).alias("amino")
-    one = few.select("run_id", F.col("line").alias("pos"), letter(F.col("depth").cast("long")))
-    two = few.filter("run_id % 3 = 0").select("run_id", F.col("line").alias("pos"), letter(F.col("run_id") + F.col("line")))
+    one = runs.select("run_id", F.col("line").alias("pos"), letter(F.col("depth").cast("long")))
+    two = runs.filter("run_id % 3 = 0").select("run_id", F.col("line").alias("pos"), letter(F.col("run_id") + F.col("line")))
     weights = runs.sparkSession.createDataFrame(_WEIGHTS, "pos int, amino string, weight double")
     return summaries.matrix_score(one.union(two).distinct(), weights, "run_id").withColumn("score", F.round("score", 6))
 
@@ -190,12 +192,12 @@ def j22(aligned: DataFrame) -> DataFrame:
 
 @query(
     "i2_stop_passes",
-    """WITH c AS (SELECT sample, line AS pass, app AS ref, CAST(sum(depth) AS BIGINT) AS n FROM runs WHERE line <= 5 GROUP BY ALL), t AS (SELECT sample, CAST(sum(depth) AS BIGINT) AS reads FROM runs GROUP BY sample),
+    """WITH c AS (SELECT sample, line AS pass, app AS ref, CAST(sum(depth) AS BIGINT) AS n FROM runs GROUP BY ALL), t AS (SELECT sample, CAST(sum(depth) AS BIGINT) AS reads FROM runs GROUP BY sample),
     j AS (SELECT coalesce(a.sample, b.sample) AS sample, coalesce(a.pass, b.pass + 1) AS pass, a.n, b.n AS was FROM c a FULL JOIN c b ON a.sample = b.sample AND a.ref = b.ref AND a.pass = b.pass + 1),
     p AS (SELECT sample, pass, bool_and(n IS NOT NULL AND was IS NOT NULL) AS same, bool_or(coalesce(n > was, true)) AS gained, sum(n) AS mapped FROM j WHERE (sample, pass) IN (SELECT sample, pass FROM c) GROUP BY ALL)
     SELECT t.sample, min(pass) AS stopped FROM t LEFT JOIN p ON p.sample = t.sample AND pass > 1 AND same AND (NOT gained OR mapped > 0.95 * reads OR pass >= 3) GROUP BY t.sample""",
     "runs",
 )
 def i2(runs: DataFrame) -> DataFrame:
-    per = runs.filter("line <= 5").groupBy("sample", F.col("line").alias("pass"), F.col("app").alias("ref")).agg(F.sum("depth").cast("long").alias("n"))
+    per = runs.groupBy("sample", F.col("line").alias("pass"), F.col("app").alias("ref")).agg(F.sum("depth").cast("long").alias("n"))
     return iterate.stop_passes(per, "sample", runs.groupBy("sample").agg(F.sum("depth").cast("long").alias("reads")))

@@ -10,6 +10,7 @@ from readloom.functions.tables import CODONS, CUTOFFS, MIXTURES, mixture_codons,
 from readloom.operators import counts, pairing, ranks
 from readloom.plans.registry import query
 from readloom.plans.scalars import _RC, _TOKENS, KEY, tokens_of
+from readloom.sources import files
 
 _USABLE = "sam_ok AS (SELECT * FROM sam WHERE qname IN (SELECT qname FROM sam GROUP BY qname HAVING count(*) = 2 AND count(*) FILTER (WHERE cigar = '*') = 0 AND min(rname) = max(rname)))"
 _MERGE = f"""{_TOKENS}, {_USABLE},
@@ -83,11 +84,16 @@ def a9(sam: DataFrame) -> DataFrame:
 
 @query(
     "t5_mixed_references",
-    "WITH s AS (SELECT *, pos * mate % 40 AS score FROM sam WHERE flag & 4 = 0) SELECT qname, rname, mapq, score FROM (SELECT *, row_number() OVER (PARTITION BY qname ORDER BY mapq DESC, score DESC, mate) AS k FROM s WHERE qname IN (SELECT qname FROM s GROUP BY qname HAVING count(DISTINCT rname) > 1)) WHERE k = 1",
+    "WITH s AS (SELECT *, CASE WHEN mapq % 5 <> 4 THEN CAST(length(replace(seq, 'T', '')) - pos % 7 AS INT) END AS score FROM sam WHERE flag & 4 = 0) SELECT qname, rname, mapq, score FROM (SELECT *, row_number() OVER (PARTITION BY qname ORDER BY mapq DESC, score DESC NULLS LAST, mate) AS k FROM s WHERE qname IN (SELECT qname FROM s GROUP BY qname HAVING count(DISTINCT rname) > 1)) WHERE k = 1",
     "sam",
 )
 def t5(sam: DataFrame) -> DataFrame:
-    return pairing.resolve_mixed_references(sam.withColumn("score", F.col("pos") * F.col("mate") % 40))
+    """Alignments are written with their scores as tags, but for some, and read back."""
+    path = files.scratch(sam.sparkSession)
+    scored = sam.withColumn("score", F.when(F.col("mapq") % 5 != 4, F.length(F.translate("seq", "T", "")) - F.col("pos") % 7).cast("int"))
+    files.write_sam(scored.withColumns({"rnext": F.lit("="), "pnext": F.lit(0), "tlen": F.lit(0)}), path)
+    tagged = files.read_sam(sam.sparkSession, path)
+    return pairing.resolve_mixed_references(tagged.withColumn("mate", F.when(cigar.is_first(F.col("flag")), 1).otherwise(2)))
 
 
 @query(
@@ -281,7 +287,7 @@ def c3(aligned: DataFrame) -> DataFrame:
 
 @query(
     "p20_call_errors",
-    f"""WITH codons AS (SELECT * FROM {values(mixture_codons(), 'codon, aminos')}), s AS (SELECT pair_id, mate, CASE WHEN pair_id % 4 = 0 THEN concat('TGT', substr(seq, 1, 99), 'TGT') ELSE seq END AS seq FROM reads),
+    f"""WITH codons AS (SELECT * FROM {values(mixture_codons(), 'codon, aminos')}), s AS (SELECT pair_id, mate, CASE WHEN pair_id % 4 = 0 THEN concat('TGT', seq, 'TGT') ELSE seq END AS seq FROM reads),
     e AS (SELECT pair_id, mate, seq, i, substr(seq, CAST(3 * i + 1 AS INT), 3) AS codon FROM (SELECT *, unnest(range(0, length(seq) // 3)) AS i FROM s) x),
     t AS (SELECT pair_id, mate, string_agg(CASE WHEN length(aminos) = 1 THEN aminos ELSE 'X' END, '' ORDER BY i) AS prot, count(*) FILTER (WHERE length(aminos) > 1) AS amb, max(length(aminos)) AS most FROM e JOIN codons c ON c.codon = e.codon GROUP BY pair_id, mate),
     p AS (SELECT s.pair_id, s.mate, seq, coalesce(prot, '') AS prot, coalesce(amb, 0) AS amb, coalesce(most, 0) AS most FROM s LEFT JOIN t ON t.pair_id = s.pair_id AND t.mate = s.mate)
@@ -289,5 +295,5 @@ def c3(aligned: DataFrame) -> DataFrame:
     "reads",
 )
 def p20(reads: DataFrame) -> DataFrame:
-    made = reads.select("pair_id", "mate", F.when(F.col("pair_id") % 4 == 0, F.concat(F.lit("TGT"), F.substring("seq", 1, 99), F.lit("TGT"))).otherwise(F.col("seq")).alias("seq"))
+    made = reads.select("pair_id", "mate", F.when(F.col("pair_id") % 4 == 0, F.concat(F.lit("TGT"), "seq", F.lit("TGT"))).otherwise(F.col("seq")).alias("seq"))
     return seq.translate(made).select("pair_id", "mate", seq.call_error().alias("error"))

@@ -172,13 +172,13 @@ def p21(spans: DataFrame) -> DataFrame:
 
 @query(
     "p22_unpack_mixtures",
-    f"""WITH probes AS (SELECT DISTINCT concat('AR', substr(seq, 1, 4), 'YN') AS probe FROM pieces60 WHERE length(seq) >= 4),
-    f AS (SELECT probe, concat('A', a, substr(probe, 3, 4), b, c) AS s FROM probes, (VALUES ('A'), ('G')) x(a), (VALUES ('C'), ('T')) y(b), (VALUES ('A'), ('C'), ('G'), ('T')) z(c))
+    f"""WITH probes AS (SELECT DISTINCT concat('AR', seq, 'YN') AS probe FROM pieces60),
+    f AS (SELECT probe, concat('A', a, substr(probe, 3, length(probe) - 4), b, c) AS s FROM probes, (VALUES ('A'), ('G')) x(a), (VALUES ('C'), ('T')) y(b), (VALUES ('A'), ('C'), ('G'), ('T')) z(c))
     SELECT probe, s AS unpacked, false AS reversed FROM f UNION ALL SELECT probe, {_RC.format('s')}, true FROM f""",
     "pieces60",
 )
 def p22(pieces: DataFrame) -> DataFrame:
-    probes = pieces.filter("length(seq) >= 4").select(F.concat(F.lit("AR"), F.substring("seq", 1, 4), F.lit("YN")).alias("probe")).distinct()
+    probes = pieces.select(F.concat(F.lit("AR"), "seq", F.lit("YN")).alias("probe")).distinct()
     return seq.unpack_mixtures(probes, "probe")
 
 

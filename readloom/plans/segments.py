@@ -71,8 +71,9 @@ _AREAS = [("r1", 1, 26), ("r2", 20, 61), ("r3", 61, 96)]
 @query(
     "a46_seed_concordance",
     f"""WITH {_TOKENS}, m AS (SELECT * FROM bases WHERE base <> '-'), seed AS (SELECT rname, ref_pos, first(base ORDER BY n DESC, base) AS expected FROM (SELECT rname, ref_pos, base, count(*) AS n FROM m GROUP BY ALL) GROUP BY ALL),
-    met AS (SELECT (CAST(substr(qname, 2) AS BIGINT)) // 65536 AS contig, m.rname, region, st, en, m.ref_pos, max(CASE WHEN base = expected THEN 1 ELSE 0 END) AS agrees FROM m JOIN {values(_AREAS, 'region, st, en')} ON m.ref_pos >= st AND m.ref_pos < en JOIN seed s ON s.rname = m.rname AND s.ref_pos = m.ref_pos GROUP BY ALL)
-    SELECT contig, rname, region, 100 * sum(agrees) / count(*) AS pct_concordance, 100 * count(*) / (en - st) AS pct_covered FROM met GROUP BY contig, rname, region, st, en""",
+    met AS (SELECT (CAST(substr(qname, 2) AS BIGINT)) // 65536 AS contig, m.rname, region, st, en, m.ref_pos, max(CASE WHEN base = expected THEN 1 ELSE 0 END) AS agrees FROM m JOIN {values(_AREAS, 'region, st, en')} ON m.ref_pos >= st AND m.ref_pos < en JOIN seed s ON s.rname = m.rname AND s.ref_pos = m.ref_pos GROUP BY ALL),
+    per AS (SELECT contig, rname, region, 100 * sum(agrees) / count(*) AS pct_concordance, 100 * count(*) / (en - st) AS pct_covered FROM met GROUP BY contig, rname, region, st, en)
+    SELECT c.contig, c.rname, r.region, coalesce(pct_concordance, 0) AS pct_concordance, coalesce(pct_covered, 0) AS pct_covered FROM (SELECT DISTINCT CAST(substr(qname, 2) AS BIGINT) // 65536 AS contig, rname FROM m) c CROSS JOIN (SELECT region FROM {values(_AREAS, 'region, st, en')}) r LEFT JOIN per p ON p.contig = c.contig AND p.rname = c.rname AND p.region = r.region""",
     "sam",
 )
 def a46(sam: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: A field `AS:i:n` among the optional ones is the alignment's score.
+SCORE = r"^AS:i:(-?[0-9]+)$"
 SAM = "qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, seq string, qual string"
 
 
@@ -59,15 +61,19 @@ def write_fasta(rows: DataFrame, path: str, width: int = 80) -> None:
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """The first 11 fields of lines that aren't headers."""
+    """The first 11 fields of lines that aren't headers, and score, of the optional fields (null without one)."""
     fields = F.split("value", "\t")
     schema = T._parse_datatype_string(SAM)
-    return spark.read.text(path).filter(~F.col("value").startswith("@")).select(*(F.get(fields, i).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)))
+    tags = F.filter(F.slice(fields, len(schema) + 1, F.greatest(F.size(fields), F.lit(1))), lambda x: x.rlike(SCORE))
+    score = F.regexp_extract(F.get(tags, 0), SCORE, 1).cast("int").alias("score")
+    return spark.read.text(path).filter(~F.col("value").startswith("@")).select(*(F.get(fields, i).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)), score)
 
 
 def write_sam(sam: DataFrame, path: str) -> None:
+    """Lines of the 11 fields, with the score as a tag where `sam` has a column of it and it isn't null."""
     names = [f.name for f in T._parse_datatype_string(SAM)]
-    sam.select(F.concat_ws("\t", *(F.col(n).cast("string") for n in names)).alias("value")).write.text(path)
+    tags = [F.concat(F.lit("AS:i:"), F.col("score").cast("string"))] if "score" in sam.columns else []
+    sam.select(F.concat_ws("\t", *(F.col(n).cast("string") for n in names), *tags).alias("value")).write.text(path)
 
 
 def read_step_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
