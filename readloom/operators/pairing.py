@@ -79,6 +79,27 @@ def merge_pairs(sam: DataFrame) -> DataFrame:
     return both.select("qname", "rname", failed.alias("cause"), F.when(failed.isNull(), F.col("m.text")).alias("merged"))
 
 
+def single(seq: Column, qual: Column, cutoff: int = QUALITY_CUTOFF) -> Column:
+    """One string of a read without a mate, as `merged` has it: n before its first base, N where its quality doesn't exceed the cutoff."""
+    gap = F.length(seq) - F.length(F.ltrim(seq, F.lit("-")))
+    columns = F.arrays_zip(F.split(seq, "").alias("b"), F.split(qual, "").alias("q"))
+    base = lambda x, i: F.when(i < gap, "n").when((x["b"] != "-") & (cigar.phred(x["q"]) <= cutoff), "N").otherwise(x["b"])
+    return F.array_join(F.transform(columns, base), "")
+
+
+def mapped_texts(sam: DataFrame) -> DataFrame:
+    """qname, rname, text of pairs on one reference: their mapped mates merged, or the one that is mapped. `sam` as of `merge_pairs`."""
+    columns = ["mate", "flag", "rname", "pos", "cigar", "seq", "qual"]
+    pairs = pair_mates(sam, "qname", ["mate"], columns)
+    a, b = F.col("r1"), F.col("r2")
+    mapped = lambda r: r.isNotNull() & ~cigar.is_unmapped(r["flag"])
+    kept = pairs.filter(b.isNull() | (a["rname"] == b["rname"])).select("qname", a["rname"].alias("rname"), F.when(mapped(a), a).otherwise(b).alias("x"), F.when(mapped(a) & mapped(b), b).alias("y"))
+    laid = lambda r: cigar.aligned_strings(r["seq"], r["qual"], r["pos"], r["cigar"])
+    one = bind(laid(F.col("x")), lambda v: single(v["seq"], v["qual"]))
+    two = bind(F.struct(laid(F.col("x")).alias("x"), laid(F.col("y")).alias("y")), lambda v: merged(v["x"]["seq"], v["x"]["qual"], v["y"]["seq"], v["y"]["qual"]))
+    return kept.filter(mapped(F.col("x"))).select("qname", "rname", F.when(F.col("y").isNull(), one).otherwise(two).alias("text"))
+
+
 def merge_insertions(inserts: DataFrame, cutoff: int = QUALITY_CUTOFF) -> DataFrame:
     """qname, ref_pos, merged of `inserts(qname, mate, ref_pos, insert, insert_qual)`; one counts if its worst quality exceeds the cutoff."""
     worst = F.array_min(F.transform(F.filter(F.split("insert_qual", ""), lambda c: c != ""), cigar.phred))

@@ -6,6 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def merged_bases(texts: DataFrame, inserts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`bases` and `inserts` for `remap_tokens` of `texts(qname, rname, text)`, merged pairs laid on their references, and the merged
+    `inserts(qname, ref_pos, merged)`: a pair counts once where its mates overlap. What is before a text's first base isn't there."""
+    lead = F.length("text") - F.length(F.ltrim("text", F.lit("-")))
+    each = texts.select("rname", lead.alias("_lead"), F.posexplode(F.filter(F.split("text", ""), lambda x: x != "")).alias("i", "base"))
+    bases = each.filter("i >= _lead").select("rname", (F.col("i") + 1).cast("long").alias("pos"), "base")
+    held = texts.join(inserts, "qname").select("rname", F.col("ref_pos").alias("pos"), F.substring(F.col("text"), F.col("ref_pos").cast("int"), F.lit(1)).alias("base"), F.col("merged").alias("insert"))
+    return bases, held.filter("base <> ''")
+
+
 def remap_tokens(bases: DataFrame, inserts: DataFrame, key: str = "rname") -> DataFrame:
     """key, pos, token, n of `bases(key, pos, base)` and `inserts(key, pos, base, insert)`, a row a read.
 

@@ -10,7 +10,7 @@ from readloom.functions.tables import CODONS, CUTOFFS, MIXTURES, mixture_codons,
 from readloom.operators import counts, pairing, ranks
 from readloom.plans.registry import query
 from readloom.plans.scalars import _RC, _TOKENS, KEY, tokens_of
-from readloom.sources import files
+from readloom.sources import alignments, files
 
 _USABLE = "sam_ok AS (SELECT * FROM sam WHERE qname IN (SELECT qname FROM sam GROUP BY qname HAVING count(*) = 2 AND count(*) FILTER (WHERE cigar = '*') = 0 AND min(rname) = max(rname)))"
 _MERGE = f"""{_TOKENS}, {_USABLE},
@@ -143,13 +143,17 @@ def t10(reads: DataFrame) -> DataFrame:
 
 @query("t8_reads_in_region", f"WITH {_TOKENS} SELECT qname, flag FROM bases WHERE rname = 'ref1' GROUP BY qname, flag HAVING min(ref_pos) <= 40 AND max(ref_pos) >= 30", "sam")
 def t8(sam: DataFrame) -> DataFrame:
-    ends = cigar.aligned_bases(tokens_of(sam.filter("rname = 'ref1'")), KEY).groupBy("qname", "flag").agg(F.min("ref_pos").alias("a"), F.max("ref_pos").alias("b"))
-    return ends.filter("a <= 40 AND b >= 30").select("qname", "flag").orderBy("qname")
+    path = files.scratch(sam.sparkSession)
+    alignments.write_clustered(sam, path)
+    return alignments.reads_in_region(sam.sparkSession, path, "ref1", 30, 40).select("qname", "flag").orderBy("qname")
 
 
 @query("t7_coordinate_sort", "SELECT rname, pos, qname, row_number() OVER (PARTITION BY rname ORDER BY pos, qname, mate) AS place FROM sam WHERE flag & 4 = 0", "sam")
 def t7(sam: DataFrame) -> DataFrame:
-    mapped = sam.filter("flag & 4 = 0").select("rname", "pos", "qname", "mate")
+    """Reads as they lie in sorted files, with their places on their references."""
+    path = files.scratch(sam.sparkSession)
+    alignments.write_clustered(sam, path)
+    mapped = sam.sparkSession.read.parquet(path).filter("flag & 4 = 0").select("rname", "pos", "qname", "mate")
     return ranks.numbered(mapped, ["rname"], ["pos", "qname", "mate"], "place").select("rname", "pos", "qname", (F.col("place") + 1).alias("place"))
 
 

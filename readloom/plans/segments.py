@@ -8,12 +8,19 @@ from pyspark.sql import functions as F
 from readloom.functions import cigar
 from readloom.functions.tables import values
 from readloom.operators import counts, intervals, kmers, pairing, segments
-from readloom.plans.reads import _INSERTS, _LONG, _USABLE
+from readloom.plans.reads import _INSERTS, _LONG, _MERGE, _USABLE
 from readloom.plans.registry import query
 from readloom.plans.scalars import _TOKENS, KEY, tokens_of
-
-_REMAP = f"""{_TOKENS}, held AS (SELECT rname, CAST(pos + r0 - 1 AS BIGINT) AS pos, substr(seq, q0, 1) AS base, substr(seq, q0 + 1, len) AS insert FROM tokens WHERE op = 'I' AND q0 > 0),
- each AS (SELECT rname, ref_pos AS pos, base AS token, 1 AS n FROM bases WHERE base <> 'n' UNION ALL SELECT rname, pos, concat(base, insert), 1 FROM held WHERE length(insert) % 3 = 0 AND base NOT IN ('n', 'N', '-') UNION ALL SELECT rname, pos, base, -1 FROM held WHERE length(insert) % 3 = 0 AND base NOT IN ('n', 'N', '-')),
+from readloom.sources import files
+
+_REMAP = f"""{_MERGE}, ins AS (SELECT qname, flag, CAST(pos + r0 - 1 AS BIGINT) AS ref_pos, substr(seq, q0 + 1, len) AS insert, substr(qual, q0 + 1, len) AS insert_qual FROM tokens WHERE op = 'I'),
+ good AS (SELECT * FROM ins WHERE list_min(list_transform(string_split(insert_qual, ''), lambda c: ascii(c) - 33)) > 15),
+ one_ref AS (SELECT qname, min(rname) AS rname, count(*) FILTER (WHERE flag & 4 = 0) AS mapped FROM sam GROUP BY qname HAVING min(rname) = max(rname)),
+ letters AS (SELECT o.rname, o.qname, i AS pos, substr(merged, CAST(i AS INT), 1) AS ch FROM (SELECT *, unnest(range(length(merged) - length(ltrim(merged, '-')) + 1, length(merged) + 1)) AS i FROM merged) m JOIN one_ref o ON o.qname = m.qname WHERE mapped = 2
+  UNION ALL SELECT o.rname, o.qname, ref_pos, CASE WHEN base <> '-' AND q <= 15 THEN 'N' ELSE base END FROM bases b JOIN one_ref o ON o.qname = b.qname WHERE mapped = 1),
+ merged_ins AS (SELECT coalesce(a.qname, b.qname) AS qname, coalesce(a.ref_pos, b.ref_pos) AS ref_pos, coalesce(a.insert, b.insert) AS insert FROM (SELECT * FROM good WHERE flag = 99) a FULL JOIN (SELECT * FROM good WHERE flag = 147) b ON a.qname = b.qname AND a.ref_pos = b.ref_pos),
+ held AS (SELECT l.rname, l.pos, l.ch AS base, m.insert FROM merged_ins m JOIN letters l ON l.qname = m.qname AND l.pos = m.ref_pos WHERE length(m.insert) % 3 = 0 AND l.ch NOT IN ('n', 'N', '-')),
+ each AS (SELECT rname, pos, ch AS token, 1 AS n FROM letters WHERE ch <> 'n' UNION ALL SELECT rname, pos, concat(base, insert), 1 FROM held UNION ALL SELECT rname, pos, base, -1 FROM held),
  counted AS (SELECT rname, pos, token, sum(n) AS n FROM each GROUP BY ALL HAVING sum(n) > 0)"""
 
 
@@ -28,10 +35,12 @@ _REMAP = f"""{_TOKENS}, held AS (SELECT rname, CAST(pos + r0 - 1 AS BIGINT) AS p
     "sam",
 )
 def a8(sam: DataFrame) -> DataFrame:
-    found = tokens_of(sam)
-    bases = cigar.aligned_bases(found, KEY).select("rname", F.col("ref_pos").alias("pos"), "base")
-    held = found.filter("op = 'I' AND q0 > 0").select("rname", (F.col("pos") + F.col("r0") - 1).cast("long").alias("pos"), F.substring(F.col("seq"), F.col("q0"), F.lit(1)).alias("base"), F.substring(F.col("seq"), F.col("q0") + 1, F.col("len")).alias("insert"))
-    return segments.remap_consensus(segments.remap_tokens(bases, held))
+    """A pair counts once where its mates overlap; reads whose mate is unmapped count alone."""
+    path = files.scratch(sam.sparkSession)
+    pairing.mapped_texts(sam).write.parquet(path)
+    texts = sam.sparkSession.read.parquet(path)
+    found = cigar.insertions(tokens_of(sam), KEY).withColumn("mate", F.when(F.col("flag") == 99, 1).otherwise(2))
+    return segments.remap_consensus(segments.remap_tokens(*segments.merged_bases(texts, pairing.merge_insertions(found))))
 
 
 _GENES = [("g1", 1, 30), ("g2", 28, 60), ("g3", 61, 79)]

@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from readloom.operators import intervals, scans
+from readloom.sources import alignments, files
 
 
 def laid_in(spark, rows, schema, key, order, ranges=7):
@@ -103,3 +104,35 @@ def test_cover_seen_at_once_matches_all_pairs(spark):
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SPANS)
     assert intervals.without_covered(none, ["ref"]).count() == intervals.covered_by_others(none).count() == intervals.merge_intervals(none).count() == 0
+
+
+def test_a_region_reads_few_of_the_clustered_rows(spark, tmp_path):
+    rng = random.Random(4)
+    cigars = ("50M", "20M10D30M", "5S40M3I2M", "*", "10M2000D40M")
+    rows = [(f"q{i}", f"r{rng.randrange(3)}", rng.randrange(1, 60_000), rng.choices(cigars, (50, 20, 20, 5, 1))[0], "".join(rng.choices("ACGT", k=50))) for i in range(20_000)]
+    alignments.write_clustered(spark.createDataFrame(rows, "qname string, rname string, pos int, cigar string, seq string"), str(tmp_path / "a"), 8_192)
+    spans = {"50M": 50, "20M10D30M": 60, "5S40M3I2M": 42, "10M2000D40M": 2050}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = alignments.reads_in_region(spark, str(tmp_path / "a"), "r1", 30_000, 30_100)
+        plan = found._jdf.queryExecution().executedPlan()
+        got = sorted(r.qname for r in found.collect())
+        scan, read = plan, None
+        while read is None:
+            read = scan.metrics().get("numOutputRows").get().value() if "Scan" in scan.nodeName() else None
+            scan = scan.children().head() if read is None else scan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == sorted(q for q, r, p, c, _ in rows if r == "r1" and c != "*" and p <= 30_100 and p + spans[c] - 1 >= 30_000) and len(got) > 10
+    assert read < 4_000, read
+    ordered = spark.read.parquet(str(tmp_path / "a")).withColumn("file", F.input_file_name()).collect()
+    assert all((a.rname, a.pos) <= (b.rname, b.pos) for a, b in zip(ordered, ordered[1:], strict=False) if a.file == b.file) and len(ordered) == sum(c != "*" for *_, c, _ in rows)
+
+
+def test_scores_are_read_from_tags(spark, tmp_path):
+    line = "q\t99\tr\t5\t44\t4M\t=\t0\t0\tACGT\tIIII"
+    (tmp_path / "x.sam").write_text(f"@SQ\tSN:r\n{line}\n{line}\tNM:i:3\tAS:i:-7\n{line}\tXS:Z:AS:i:9\tAS:i:12\tYS:i:1\n")
+    out = files.read_sam(spark, str(tmp_path / "x.sam"))
+    assert sorted((r.qname, r.pos, r.qual, str(r.score)) for r in out.collect()) == [("q", 5, "IIII", "-7"), ("q", 5, "IIII", "12"), ("q", 5, "IIII", "None")]
+    files.write_sam(out, str(tmp_path / "y"))
+    assert sorted(str(r.score) for r in files.read_sam(spark, str(tmp_path / "y")).collect()) == ["-7", "12", "None"]
