@@ -91,3 +91,44 @@ def nearest(samples: DataFrame, references: DataFrame, most: int, first: int = 8
     each = of.select("id", F.col("_any.reference").alias("nearest"), F.col("_any.distance").alias("distance"), F.col("_own.reference").alias("own_nearest"), F.col("_own.distance").alias("own_distance"))
     return samples.select("id").join(each, "id", "left")
 
+
+
+#: Longer consensus sequences aren't asked whether they have drifted.
+TOO_LONG = 10_000
+
+
+def drop_drifted(consensus: DataFrame, seeds: DataFrame, longest: int = TOO_LONG) -> DataFrame:
+    """sample, name, seed_dist, other_dist, other_seed, kept of `consensus(sample, name, seq, reads)`, the references of each sample,
+    with `seeds(sample, name, seq)`, the parts of their seeds that they were made from.
+
+    A reference has drifted if the seed of another one that is left is nearer to its consensus than its own, or if its consensus is
+    empty (or null). As long as a sample has several references, the drifted one of fewest reads goes (of equals the least name),
+    and if others had drifted too, all is looked at anew without it: its seed no longer draws the others away. other_dist and
+    other_seed are those of the nearest other seed at first, where it is nearer than the own one.
+
+    Distances are worked out once; a pass, over written tables, only asks which nearer seeds are left. The references of a sample
+    are compared with one another, of which it has a few, as far as their own distance goes; samples only with themselves.
+    """
+    one = consensus.select("sample", "name", "reads", F.coalesce("seq", F.lit("")).alias("seq"))
+    own = one.join(seeds.select("sample", "name", F.col("seq").alias("_seed")), ["sample", "name"], "left")
+    state = _written(own.select("sample", "name", "reads", "seq", F.levenshtein("seq", "_seed").alias("seed_dist"), (F.col("seq") == "").alias("empty")))
+    asked = state.filter(~F.col("empty") & (F.length("seq") <= longest))
+    others = seeds.select("sample", F.col("name").alias("other"), F.col("seq").alias("_seed")).join(state.select("sample", F.col("name").alias("other")), ["sample", "other"], "left_semi")
+    measured = asked.join(others, "sample").filter("name <> other").select("sample", "name", "other", "seed_dist", F.expr("levenshtein(seq, _seed, greatest(seed_dist - 1, 0))").alias("distance"))
+    nearer = _written(measured.filter("distance >= 0 AND distance < seed_dist").drop("seed_dist"))
+
+    left = _written(state.select("sample", "name", "reads", "empty"))
+    going = left
+    while True:
+        pulled = nearer.join(left.select("sample", F.col("name").alias("other")), ["sample", "other"], "left_semi").select("sample", "name").distinct()
+        drifted = going.join(pulled.withColumn("_pulled", F.lit(True)), ["sample", "name"], "left").withColumn("_drifted", F.col("empty") | F.col("_pulled").isNotNull())
+        least = F.min(F.when(F.col("_drifted"), F.struct("reads", "name")))
+        of_sample = _written(drifted.groupBy("sample").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_drifted").alias("_drifted"), least.alias("_least")).filter("_n > 1 AND _drifted > 0"))
+        gone = of_sample.select("sample", F.col("_least.name").alias("name"))
+        left = _written(left.join(gone, ["sample", "name"], "left_anti"))
+        going = left.join(of_sample.filter("_drifted > 1 AND _n > 2").select("sample"), "sample", "left_semi")
+        if going.isEmpty():
+            break
+    closest = nearer.groupBy("sample", "name").agg(F.min(F.struct("distance", "other")).alias("_other"))
+    kept = state.select("sample", "name", "seed_dist").join(closest, ["sample", "name"], "left").join(left.select("sample", "name", F.lit(True).alias("_kept")), ["sample", "name"], "left")
+    return kept.select("sample", "name", "seed_dist", F.col("_other.distance").alias("other_dist"), F.col("_other.other").alias("other_seed"), F.coalesce("_kept", F.lit(False)).alias("kept"))

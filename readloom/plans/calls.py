@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from readloom.functions.tables import values
@@ -208,6 +208,32 @@ def j21(seqs: DataFrame) -> DataFrame:
     return found.withColumn("reported", F.col("distance").isNotNull() & ~F.col("own_distance").eqNullSafe(F.col("distance")))
 
 
+_TURNS = "turns AS (SELECT conv_id AS sample, turn AS name, CAST(length(text) % 7 AS BIGINT) AS reads, translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS letters, translate(regexp_replace(lower(text), '[^a-df-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS part FROM conversations)"
+
+
+@query(
+    "i1_drifted_references",
+    f"""WITH RECURSIVE {_TURNS}, refs AS MATERIALIZED (SELECT sample, name, reads, CASE WHEN reads = 5 THEN '' ELSE letters END AS seq, CASE WHEN name % 2 = 0 THEN coalesce(lead(letters) OVER w, part) ELSE part END AS seed FROM turns WINDOW w AS (PARTITION BY sample ORDER BY name)),
+    d AS MATERIALIZED (SELECT a.sample, a.name, b.name AS other, levenshtein(a.seq, b.seed) AS distance FROM refs a JOIN refs b ON a.sample = b.sample WHERE a.name = b.name OR a.seq <> ''),
+    own AS (SELECT sample, name, distance AS seed_dist FROM d WHERE name = other), nearer AS MATERIALIZED (SELECT d.sample, d.name, d.other, distance FROM d JOIN own o ON o.sample = d.sample AND o.name = d.name WHERE d.other <> d.name AND distance < seed_dist),
+    lists AS MATERIALIZED (SELECT r.sample, r.name, any_value(r.reads) AS reads, any_value(r.seq) = '' AS empty, coalesce(list(n.other) FILTER (WHERE n.other IS NOT NULL), []) AS near FROM refs r LEFT JOIN nearer n ON n.sample = r.sample AND n.name = r.name GROUP BY r.sample, r.name),
+    steps AS (SELECT sample, 0 AS step, list({{'reads': reads, 'name': name, 'empty': empty, 'near': near}}) AS l, count(*) > 1 AS going FROM lists GROUP BY sample
+     UNION ALL SELECT sample, step + 1, list_filter(l, lambda x: len(gone) = 0 OR x.name <> gone[1].name), len(gone) > 1 AND len(l) > 2 FROM (SELECT *, list_sort(list_filter(l, lambda x: x.empty OR len(list_filter(x.near, lambda o: len(list_filter(l, lambda y: y.name = o)) > 0)) > 0)) AS gone FROM steps WHERE going) s),
+    left_ AS (SELECT sample, unnest(list_transform(arg_max(l, step), lambda x: x.name)) AS name FROM steps GROUP BY sample),
+    best AS (SELECT sample, name, min(distance) AS other_dist, first(other ORDER BY distance, other) AS other_seed FROM nearer GROUP BY sample, name)
+    SELECT o.sample, o.name, CAST(seed_dist AS INT) AS seed_dist, CAST(other_dist AS INT) AS other_dist, other_seed, f.name IS NOT NULL AS kept FROM own o LEFT JOIN best b ON b.sample = o.sample AND b.name = o.name LEFT JOIN left_ f ON f.sample = o.sample AND f.name = o.name""",
+    "conversations",
+)
+def i1(conversations: DataFrame) -> DataFrame:
+    """Turns as a conversation's references: their letters for the consensus, without e, or of the next turn, for the seed; some are empty."""
+    letters = lambda kept: F.translate(F.regexp_replace(F.lower("text"), f"[^{kept}]", ""), "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
+    turns = conversations.select(F.col("conv_id").alias("sample"), F.col("turn").alias("name"), (F.length("text") % 7).cast("long").alias("reads"), letters("a-z").alias("letters"), letters("a-df-z").alias("part"))
+    following = F.coalesce(F.lead("letters").over(Window.partitionBy("sample").orderBy("name")), "part")
+    seeds = turns.select("sample", "name", F.when(F.col("name") % 2 == 0, following).otherwise(F.col("part")).alias("seq"))
+    consensus = turns.select("sample", "name", "reads", F.when(F.col("reads") == 5, "").otherwise(F.col("letters")).alias("seq"))
+    return distances.drop_drifted(consensus, seeds)
+
+
 @query("a19_kmer_entropy", "WITH km AS (SELECT lang, substr(seq, CAST(i + 1 AS INT), 12) AS kmer, count(*) AS n FROM (SELECT lang, seq, unnest(range(0, length(seq) - 11)) AS i FROM seqs) x GROUP BY ALL) SELECT lang, round(-sum(n / t * log2(n / t)), 6) AS entropy FROM (SELECT *, sum(n) OVER (PARTITION BY lang) AS t FROM km) GROUP BY lang", "seqs")
 def a19(seqs: DataFrame) -> DataFrame:
     return kmers.entropy(seqs, "lang").withColumn("entropy", F.round("entropy", 6))

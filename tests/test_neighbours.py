@@ -71,3 +71,24 @@ def test_no_references(spark):
     samples = spark.createDataFrame([("a", "k", "ACGT")], "id string, kind string, seq string")
     assert [tuple(r) for r in distances.nearest(samples, none, 5).collect()] == [("a", None, None, None, None)]
     assert distances.nearest(samples.filter("id = 'b'"), none, 5).count() == 0
+
+
+def drifted(spark, consensus, seeds, reads):
+    rows = [("s", n, c, reads[n]) for n, c in consensus.items()]
+    out = distances.drop_drifted(spark.createDataFrame(rows, "sample string, name string, seq string, reads long"), spark.createDataFrame([("s", n, x) for n, x in seeds.items()], "sample string, name string, seq string"))
+    return {r.name: tuple(r)[2:] for r in out.collect()}
+
+
+def test_drifted_references_go_one_at_a_time(spark):
+    """Two seeds that are each nearer to the other's consensus: the one of fewer reads goes, and the other stays."""
+    end = "ACGTTGCAACGGTTAACCGGTATCGA"
+    both = drifted(spark, {"test": "AAGCCGTA" + end, "other": "ATGAAGTA" + end, "unrelated": "GGGTTTGGG" + end}, {"test": "ATGAAGTA" + end, "other": "AAGCCGAA" + end, "unrelated": "GGGTTTGGG" + end}, {"test": 2, "other": 1, "unrelated": 1})
+    assert both == {"test": (3, 1, "other", True), "other": (4, 0, "test", False), "unrelated": (0, None, None, True)}
+    empty = drifted(spark, {"a": "", "b": None, "c": "ACGT"}, {"a": "AA", "b": "CC", "c": "ACGT"}, {"a": 3, "b": 9, "c": 1})
+    assert {n: r[3] for n, r in empty.items()} == {"a": False, "b": False, "c": True}
+    alone = drifted(spark, {"a": "ACGTACGT"}, {"a": "TTTT"}, {"a": 1})
+    assert alone["a"][3]
+    tie = drifted(spark, {"a": "AAAA", "b": "CCCC"}, {"a": "CCCC", "b": "AAAA"}, {"a": 5, "b": 5})
+    assert {n: r[3] for n, r in tie.items()} == {"a": False, "b": True}
+    long = drifted(spark, {"a": "A" * 10_001, "b": "C" * 9}, {"a": "C" * 9, "b": "A" * 10_001}, {"a": 1, "b": 2})
+    assert {n: r[3] for n, r in long.items()} == {"a": True, "b": False}
