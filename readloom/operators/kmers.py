@@ -92,19 +92,29 @@ def entropy(reads: DataFrame, key: str, k: int = 12) -> DataFrame:
     return counted.select(key, (-p * F.log2(p)).alias("h")).groupBy(key).agg(F.sum("h").alias("entropy"))
 
 
+#: Letters of sequences, each a digit of base 16: what a k-mer of up to LONGEST letters says fits a long.
+LETTERS, DIGITS = "ACGTN-RYKMSWBDHV", "0123456789ABCDEF"
+LONGEST = 15
+
+
 def match_spectrum(contigs: DataFrame, sequence: str, most: int) -> DataFrame:
     """size, kmer, matches, occurrences: how many k-mers left and right of each distinct k-mer, apart from it, match it in so
-    many places, for each k up to `most`, added up over contigs. A k-mer's last place in a contig counts.
+    many places, for each k up to `most` (LONGEST at most), added up over contigs. A k-mer's last place in a contig counts.
 
-    Places are compared within the row, so pairs of k-mers are never rows. Contigs are short (an assembler's, at most).
+    A k-mer is a number of four bits a letter. Two numbers differ by exclusive or, and the letters that do are counted at once, so a
+    pair costs a few operations whatever k is. Pairs are counted in the stage that makes them and never shuffled; their number
+    grows with the square of a contig. Other letters count as one.
     """
+    if most > LONGEST:
+        raise ValueError(f"k-mers have up to {LONGEST} letters")
     seq, k, i = F.col(sequence), F.col("size"), F.col("i")
-    sized = contigs.select(sequence, F.explode(F.sequence(F.lit(1), F.lit(most))).alias("size")).filter(F.length(sequence) >= k)
-    places = sized.select(sequence, "size", F.explode(F.sequence(F.lit(0), F.length(sequence) - k)).alias("i"))
+    digits = F.regexp_replace(F.translate(seq, LETTERS, DIGITS), "[^0-9A-F]", "F")
+    sized = contigs.select(sequence, digits.alias("_digits"), F.explode(F.sequence(F.lit(1), F.lit(most))).alias("size")).filter(F.length(sequence) >= k)
+    number = lambda j: F.conv(F.substring(F.col("_digits"), j + 1, k), 16, 10).cast("long")
+    coded = sized.withColumn("_codes", F.transform(F.sequence(F.lit(0), F.length(sequence) - k), number))
+    places = coded.select(sequence, "size", "_codes", F.posexplode("_codes").alias("i", "_own"))
     own = places.withColumn("kmer", F.substring(seq, i + 1, k)).filter(F.expr(f"locate(kmer, `{sequence}`, i + 2)") == 0)
-    apart = F.filter(F.sequence(F.lit(0), F.length(sequence) - k), lambda j: F.abs(j - i) >= k)
-    same = lambda j, t: (F.substring(seq, j + t, F.lit(1)) == F.substring(F.col("kmer"), t, F.lit(1))).cast("int")
-    matches = F.transform(apart, lambda j: F.aggregate(F.sequence(F.lit(1), k), F.lit(0), lambda a, t: a + same(j, t)))
-    found = own.withColumn("found", matches).select("size", "kmer", F.explode(F.sequence(F.lit(1), k)).alias("matches"), "found")
-    counted = found.select("size", "kmer", "matches", F.size(F.filter("found", lambda x: x == F.col("matches"))).alias("n")).filter("n > 0")
-    return counted.groupBy("size", "kmer", "matches").agg(F.sum("n").alias("occurrences"))
+    pairs = own.select("size", "kmer", "i", "_own", F.posexplode("_codes").alias("j", "_other")).filter(F.abs(F.col("j") - i) >= k)
+    x = F.col("_own").bitwiseXOR(F.col("_other"))
+    any_bit = x.bitwiseOR(F.shiftright(x, 1)).bitwiseOR(F.shiftright(x, 2)).bitwiseOR(F.shiftright(x, 3)).bitwiseAND(F.lit(0x111111111111111))
+    return pairs.withColumn("matches", k - F.bit_count(any_bit)).filter("matches > 0").groupBy("size", "kmer", "matches").agg(F.count(F.lit(1)).alias("occurrences"))

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.plans.registry import query
-from readloom.sources import files
+from readloom.sources import fastq, files
 
 
 @query("s1_fastq", "SELECT concat(pair_id, ':', mate) AS name, seq, qual FROM reads", "reads")
 def s1(reads: DataFrame) -> DataFrame:
     path = files.scratch(reads.sparkSession)
     files.write_fastq(reads.select(F.concat("pair_id", F.lit(":"), "mate").alias("name"), "seq", "qual"), path)
-    return files.read_fastq(reads.sparkSession, path).drop("file", "record")
+    return fastq.read_fastq(reads.sparkSession, path).drop("file", "at")
 
 
 @query("s2_fasta", "SELECT concat('d', doc_id) AS name, seq AS sequence FROM seqs", "seqs")

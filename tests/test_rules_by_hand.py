@@ -1,5 +1,6 @@
 """Edge rules on rows made by hand."""
 
+import collections
 import random
 
 import pytest
@@ -231,6 +232,21 @@ def test_match_spectrum(spark):
     assert of("ACATC", most=2)[(2, "AC", 1)] == 2
 
 
+def test_match_spectrum_of_long_kmers_matches_a_scan(spark):
+    rng = random.Random(7)
+    contigs = ["".join(rng.choices("ACGTN-RV", k=n)) for n in (3, 25, 60)]
+    want = collections.Counter()
+    for c in contigs:
+        for k in range(1, 13):
+            last = {c[i : i + k]: i for i in range(len(c) - k + 1)}
+            for kmer, i in last.items():
+                for j in range(len(c) - k + 1):
+                    if abs(j - i) >= k and (n := sum(a == b for a, b in zip(kmer, c[j : j + k], strict=True))):
+                        want[k, kmer, n] += 1
+    out = kmers.match_spectrum(spark.createDataFrame([(c,) for c in contigs], "s string"), "s", 12).collect()
+    assert {(r["size"], r.kmer, r.matches): r.occurrences for r in out} == dict(want)
+
+
 def test_significant_changes(spark):
     def of(old, new):
         schema = "pos long, base string, A long, C long, G long, T long, coverage long"
