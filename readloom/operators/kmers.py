@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.functions.seq import reverse_complement
+from readloom.operators import stretches
 
 
 #: Bases of a stretch that k-mers are cut from: finding a place in a string takes time in proportion to it.
@@ -27,14 +27,11 @@ def kmers(seqs: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def placements(reads: DataFrame, contigs: DataFrame, k: int) -> DataFrame:
-    """contig, start, n: where reads of length k stand exactly, in either orientation; equal reads are counted before the join.
+    """contig, start, n: where reads of length k stand exactly, in either orientation.
 
-    A palindromic read counts for both orientations.
+    A palindromic read counts for both orientations. K-mers travel as stretches, see there.
     """
-    own = reads.filter(F.length("seq") == k)
-    both = own.select("seq").unionByName(own.select(reverse_complement("seq").alias("seq")))
-    counted = both.groupBy(F.col("seq").alias("kmer")).agg(F.count(F.lit(1)).alias("n"))
-    return kmers(contigs, "contig", k).join(counted, "kmer").groupBy("contig", "start").agg(F.sum("n").alias("n"))
+    return stretches.placed(reads, contigs, k)
 
 
 def coverage(placed: DataFrame, contigs: DataFrame, k: int, inner: int = 0) -> DataFrame:
@@ -70,15 +67,11 @@ def sharing(seqs: DataFrame, key: str, k: int) -> DataFrame:
     """Which of `seqs(key, seq)` share a k-mer, as classes: a row for each class and member, with first (the class's smallest key),
     members, kmers (how many k-mers these members, and no others, have), and always (false).
 
-    Two sequences share a k-mer if, and only if, both are in one class, so no link is lost and none is a row. K-mers fall into a
-    class by two sums of hashes of their owners, whatever their order. A sequence of fewer than k letters passes as sharing one
-    with all: its row has no class and always is true. Repeated rows of a key are one sequence's pieces. A null sequence has none.
+    Two sequences share a k-mer if, and only if, both are in one class, so no link is lost and none is a row. A sequence of fewer
+    than k letters passes as sharing one with all: its row has no class and always is true. Repeated rows of a key are one
+    sequence's pieces. A null sequence has none. K-mers travel as stretches, see there.
     """
-    distinct = windows(seqs, key, k).select(key, "kmer").distinct()
-    spread = lambda seed: F.sum(F.xxhash64(key, F.lit(seed)).cast("decimal(38,0)"))
-    owned = distinct.groupBy("kmer").agg(F.count(F.lit(1)).alias("members"), spread(1).alias("_a"), spread(2).alias("_b"), F.min(key).alias("first")).filter("members > 1")
-    classes = owned.groupBy("members", "_a", "_b", "first").agg(F.count(F.lit(1)).alias("kmers"), F.min("kmer").alias("kmer"))
-    held = distinct.join(classes, "kmer").select(key, "first", "members", "kmers", F.lit(False).alias("always"))  # one k-mer stands for its class
+    held = stretches.owner_classes(seqs, key, k).withColumn("always", F.lit(False))
     none = F.lit(None).cast("long")
     short = seqs.filter(F.length("seq") < k).select(key, F.lit(None).cast(seqs.schema[key].dataType).alias("first"), none.alias("members"), none.alias("kmers"), F.lit(True).alias("always"))
     return held.unionByName(short)
