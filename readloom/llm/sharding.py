@@ -2,24 +2,23 @@
 
 Groups of equal texts are packed, largest first, each into the bin with the tightest remaining capacity that still takes it.
 Groups of one size are interchangeable, so the packing runs over the histogram of group sizes, and groups then take their
-planned bins by their rank within the size. Only groups of more than a FINE-th of a shard are planned so: there are FINE times the
-shards of them at most, whatever the corpus, and as many sizes reach the driver. Smaller ones don't matter one by one: in any
-order they fill the room that is left up to one level, by prefix sums, and no shard passes the level by more than one of them.
+planned bins by their rank within the size. Different sizes number less than the root of twice the bytes of the corpus (60,000 of
+them take 1.8 GB at least), so the histogram is small beside it. The capacity is looked for with the groups of more than a FINE-th
+of a shard alone, of which there are FINE times the shards at most; the smaller ones then go on into the same bins, decreasing, up
+to the level that evens the bins out. No shard passes it by more than the largest of them.
 """
 
 from __future__ import annotations
 
-import itertools
 import random
 
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.llm.common import bucket_of, numbered, stash
 
-#: A group of less than this part of a shard is placed by prefix sums.
+#: Groups of less than this part of a shard are packed after the capacity is found.
 FINE = 1000
 #: Rows that one numbering task may hold, and the most buckets that a key is dealt to.
 ROWS_A_BUCKET, MOST_BUCKETS = 2_000, 4_096
@@ -72,13 +71,16 @@ class CapacityTree:
         return b
 
 
-def best_fit_decreasing(histogram: list[tuple[int, int]], capacity: int, most_bins: int | None = None) -> list[tuple[int, int, int, int]] | None:
+def best_fit_decreasing(histogram: list[tuple[int, int]], capacity: int, most_bins: int | None = None, rooms: list[int] | None = None) -> list[tuple[int, int, int, int]] | None:
     """Runs (size, first rank, end rank, bin) of a best-fit-decreasing packing of `histogram` of (size, count).
 
     After a group enters the tightest bin, that bin is still the tightest one for its equals while it takes them, so they enter
-    it together. A group beyond the capacity gets a bin of its own. None if more than `most_bins` would be needed.
+    it together. A group beyond the capacity gets a bin of its own. None if more than `most_bins` would be needed. `rooms`: what
+    bins that are open already still take.
     """
-    tree, bins, runs = CapacityTree(), 0, []
+    tree, bins, runs = CapacityTree(), len(rooms or []), []
+    for number, room in enumerate(rooms or []):
+        tree.add(room, number)
     for size, count in sorted(histogram, reverse=True):
         rank = 0
         while rank < count:
@@ -133,28 +135,25 @@ def rooms_within(loads: list[int], rest: int, capacity: int, fine: int) -> list[
     return rooms + [max(1, capacity - fine)] * max(0, -(-(rest - sum(rooms)) // max(1, capacity - fine)))
 
 
-def _filled(groups: DataFrame, rooms: list[int]) -> DataFrame:
-    """_group, shard of small `groups(_group, _bytes)`: laid end to end, each goes where it begins on the rooms laid end to end."""
-    n = max(1, min(MOST_BUCKETS, groups.count() // ROWS_A_BUCKET))
-    dealt = groups.withColumn("_bucket", bucket_of(["_group"], n))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row a bucket
-    starts = dealt.groupBy("_bucket").agg(F.sum("_bytes").alias("_held")).select("_bucket", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_bucket").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    placed = dealt.withColumn("_own", F.coalesce(F.sum("_bytes").over(within), F.lit(0))).join(starts, "_bucket").withColumn("_at", (F.col("_start") + F.col("_own")).cast("double"))
-    taking = [(i, room) for i, room in enumerate(rooms) if room]
-    ends = list(itertools.accumulate(room for _, room in taking))[:-1]
-    if not ends:
-        return placed.select("_group", F.lit(taking[0][0] if taking else 0).alias("shard"))
-    cut = Bucketizer(splits=[-float("inf"), *map(float, ends), float("inf")], inputCol="_at", outputCol="_room").transform(placed)
-    numbers = F.array(*(F.lit(i) for i, _ in taking))
-    return cut.select("_group", F.element_at(numbers, F.col("_room").cast("int") + 1).cast("int").alias("shard"))
+def pack_rest(histogram: list[tuple[int, int]], loads: list[int], capacity: int | None, fine: int) -> list[tuple[int, int, int, int]]:
+    """Best fit decreasing goes on with groups of `fine` at most: into bins that hold `loads`, and new ones of that capacity as
+    needed, or without a capacity into those alone, each taking as little more than it has at an even level as will do."""
+    rest = sum(size * n for size, n in histogram)
+    if capacity:
+        bins = len(rooms_within(loads, rest, capacity, fine))  # as many always do: of these an empty one is the last choice
+        rooms = [max(0, capacity - load) for load in loads] + [capacity] * (bins - len(loads))
+        return best_fit_decreasing(histogram, capacity, bins, rooms) or []
+    rooms, more = rooms_below(loads, rest), 0
+    while (runs := best_fit_decreasing(histogram, 0, len(loads), [room and room + more for room in rooms])) is None:
+        more = min(2 * more + 1, fine + 1)  # with `fine` more, what finds no room would mean that more than all is packed
+    return runs
 
 
 def shard(docs: DataFrame, group: Column, size: Column, shards: int | None = 8, capacity: int | None = None) -> DataFrame:
     """`docs` with columns shard and slot (gapless from 0 within a shard) added; rows of equal `group` stay together.
 
     Give `shards` for that many shards of near-equal size, or `capacity` for as few shards of that capacity as best fit
-    decreasing finds (but for a FINE-th of each, which is left where groups as small as that are). Sizes must be positive. A group larger than a shard is still one group and makes its shard that large.
+    decreasing finds. Sizes must be positive. A group larger than a shard is still one group and makes its shard that large.
     A null group is a group. Repeated rows count each. Columns may have any names; those named shard and slot are replaced. An
     empty table gives no rows. `docs` should be a small projection (ids, not texts): it is written to the shared folder once.
     """
@@ -163,21 +162,20 @@ def shard(docs: DataFrame, group: Column, size: Column, shards: int | None = 8,
     groups = stash(groups)
     total = groups.agg(F.sum("_bytes")).first()[0] or 0
     fine = (capacity or -(-total // shards)) // FINE
-    found = groups.filter(F.col("_bytes") > fine).groupBy("_bytes").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    found = groups.groupBy("_bytes").agg(F.count(F.lit(1)).alias("n")).toPandas()
     histogram = list(zip(found["_bytes"].tolist(), found["n"].tolist(), strict=True))
-    runs = best_fit_decreasing(histogram, capacity) if capacity else pack_into(histogram, shards, total)
+    coarse, rest = [x for x in histogram if x[0] > fine], [x for x in histogram if x[0] <= fine]
+    runs = best_fit_decreasing(coarse, capacity) if capacity else pack_into(coarse, shards, total)
     loads = [0] * (max((r[3] + 1 for r in runs), default=0) if capacity else shards)
     for size, first, end, number in runs:
         loads[number] += size * (end - first)
-    rest = total - sum(loads)
-    rooms = rooms_within(loads, rest, capacity, fine) if capacity else rooms_below(loads, rest)
+    runs += pack_rest(rest, loads, capacity, fine)
     spark = docs.sparkSession
     plan = spark.createDataFrame(pd.DataFrame(runs, columns=["_bytes", "_first", "_end", "shard"], dtype="int64"), "_bytes long, _first long, _end long, shard long")
     salts = plan.groupBy("_bytes").agg(F.ceil(F.max("_end") / ROWS_A_BUCKET).alias("_salts"))
     ranked = groups.join(salts, "_bytes").withColumn("_salt", bucket_of(["_group"], F.col("_salts"))).drop("_salts")
     ranked = numbered(ranked, ["_bytes"], "_salt", ["_group"], "_rank")
-    planned = ranked.join(plan, "_bytes").filter("_rank >= _first AND _rank < _end").select("_group", F.col("shard").cast("int"))
-    placed = planned.unionByName(_filled(groups.filter(F.col("_bytes") <= fine), rooms))
+    placed = ranked.join(plan, "_bytes").filter("_rank >= _first AND _rank < _end").select("_group", F.col("shard").cast("int"))
     out = stash(rows.join(placed, rows["_group"].eqNullSafe(placed["_group"])).select("doc", "shard"))
     n = max(1, min(MOST_BUCKETS, rows.count() // ROWS_A_BUCKET))
     slotted = numbered(out.withColumn("_bucket", bucket_of(["doc"], n)), ["shard"], "_bucket", ["doc"], "slot")

@@ -103,3 +103,30 @@ def test_columns_with_the_operators_own_names(spark):
     out = sharding.shard(docs, F.col("_group"), F.coalesce("_size", F.lit(0)) + 1, shards=3)
     assert out.columns == ["doc_id", "_group", "_size", "shard", "slot"] and out.count() == 61
     assert out.groupBy("_group").agg(F.count_distinct("shard").alias("n")).filter("n > 1").count() == 0
+
+
+def test_small_groups_are_packed_by_best_fit_decreasing_too(spark):
+    """Groups of less than a thousandth of a shard lie as the plain rule has them, not end to end."""
+    rng = random.Random(6)
+    sizes = [rng.randrange(20_000, 60_000) for _ in range(9)] + [rng.randrange(1, 89) for _ in range(4_000)]
+    df = spark.createDataFrame(list(enumerate(sizes)), "id long, n long")
+    out = sharding.shard(df, F.col("id"), F.col("n"), None, capacity=90_000).groupBy("shard").agg(F.sum("n").alias("n")).collect()
+    assert sorted(90_000 - r.n for r in out) == sorted(plain_best_fit(sizes, 90_000))
+    even = sharding.shard(df, F.col("id"), F.col("n"), 4).groupBy("shard").agg(F.sum("n").alias("n")).collect()
+    assert max(r.n for r in even) - min(r.n for r in even) <= 8
+
+
+def test_rest_is_packed_whole():
+    rng = random.Random(7)
+    for _ in range(200):
+        fine = rng.randrange(1, 30)
+        histogram = [(s, rng.randrange(1, 9)) for s in rng.sample(range(1, fine + 1), rng.randrange(1, fine + 1))]
+        loads = [rng.randrange(0, 300) for _ in range(rng.randrange(1, 9))]
+        for capacity in (None, 300):
+            runs = sharding.pack_rest(histogram, loads, capacity, fine)
+            held = dict(enumerate(loads))
+            for size, first, end, number in runs:
+                held[number] = held.get(number, 0) + size * (end - first)
+            assert all(sum(e - f for s, f, e, _ in runs if s == size) == n for size, n in histogram)
+            level = max(load + room for load, room in zip(loads, sharding.rooms_below(loads, sum(s * n for s, n in histogram)), strict=True))
+            assert max(held.values()) <= (capacity or level + fine + 1)
