@@ -68,8 +68,10 @@ def concrete_sequences(seq: Column | str) -> Column:
     """All sequences of plain bases that a sequence of mixtures may stand for."""
     col = F.col(seq) if isinstance(seq, str) else seq
     bases = F.create_map(*(x for code, own in BASES_OF.items() for x in (F.lit(code), F.array(*map(F.lit, own)))))
-    step = lambda done, letter: F.flatten(F.transform(done, lambda d: F.transform(F.element_at(bases, letter), lambda b: F.concat(d, b))))
-    return F.aggregate(F.split(col, ""), F.array(F.lit("")), lambda a, x: F.when(x == "", a).otherwise(step(a, x)))
+    own = lambda x: F.when(F.length(x) > 1, F.array(x)).otherwise(F.element_at(bases, x))
+    step = lambda done, x: F.flatten(F.transform(done, lambda d: F.transform(own(x), lambda b: F.concat(d, b))))
+    parts = F.regexp_extract_all(col, F.lit("([ACGT]+|(?s:.))"))  # plain bases go as one
+    return F.aggregate(parts, F.array(F.lit("")), step)
 
 
 def unpack_mixtures(probes: DataFrame, seq: str = "seq") -> DataFrame:
