@@ -74,7 +74,8 @@ def merge_pairs(sam: DataFrame) -> DataFrame:
     text = bind(laid, lambda v: merged(v["x"]["seq"], v["x"]["qual"], v["y"]["seq"], v["y"]["qual"]))
     ns = lambda m: F.length(m) - F.length(F.translate(m, "N", ""))
     judged = bind(text, lambda m: F.struct(m.alias("text"), (ns(m) / F.length(F.trim(m, F.lit("-"))) > MOST_N).alias("many")))
-    both = pairs.select("qname", a["rname"].alias("rname"), cause.alias("cause"), F.when(cause.isNull(), judged).alias("m"))
+    # a generator: else the optimizer would write the merge out at each use of it
+    both = pairs.select("qname", a["rname"].alias("rname"), cause.alias("cause"), F.explode(F.array(F.when(cause.isNull(), judged))).alias("m"))
     failed = F.coalesce("cause", F.when(F.col("m.many"), "manyNs"))
     return both.select("qname", "rname", failed.alias("cause"), F.when(failed.isNull(), F.col("m.text")).alias("merged"))
 
