@@ -151,15 +151,16 @@ def read_movement(before: DataFrame, after: DataFrame, width: int = 100, least_s
 def censored(reads: DataFrame, bad_cycles: DataFrame) -> DataFrame:
     """`reads(pair_id, mate, tile, seq, qual)` with N of quality # in bad cycles (of the second mate: negative ones) of its tile.
 
-    A tile's bad cycles are few and joined as one array, so reads stay whole.
+    A tile's bad cycles are few and joined as one array, so reads stay whole; only those letters are looked at.
     """
     per_tile = bad_cycles.groupBy("tile").agg(F.collect_set("cycle").alias("cycles"))
     joined = reads.join(per_tile, "tile", "left")
     sign = F.when(F.col("mate") == 1, 1).otherwise(-1)
 
     def mask(text: str, to: str) -> Column:
-        one = lambda i: F.when(F.array_contains("cycles", (i * sign).cast("long")), to).otherwise(F.substring(F.col(text), i, F.lit(1)))
-        return F.when(F.col("cycles").isNull(), F.col(text)).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), ""))
+        at = lambda c: (c * sign).cast("int")
+        one = lambda a, c: F.when(at(c).between(1, F.length(a)), F.overlay(a, F.lit(to), at(c), F.lit(1))).otherwise(a)
+        return F.when(F.col("cycles").isNull(), F.col(text)).otherwise(F.aggregate("cycles", F.col(text), one))
 
     return joined.withColumns({"seq": mask("seq", "N"), "qual": mask("qual", "#")}).drop("cycles")
 
