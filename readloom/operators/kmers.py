@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,12 +81,73 @@ def sharing(seqs: DataFrame, key: str, k: int) -> DataFrame:
     return held.unionByName(short)
 
 
+#: K-mers that a task counts before it passes the counts on, and the most letters that two bits each fit a long.
+HELD, CODED = 1 << 22, 31
+
+
+def _coded(texts: list[str], k: int) -> tuple[np.ndarray, list[str]]:
+    """The k-mers of A, C, G and T as numbers of two bits a letter, and those with others as they are; none that holds an N."""
+    kind = np.full(256, 4, np.uint8)
+    kind[[*b"ACGT"]], kind[[*b"N\n"]] = range(4), 5
+    whole = "\n".join(texts)
+    points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+    letters = kind[np.minimum(points, 255)]
+    n = len(letters) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), []
+    none = lambda x: (lambda c: c[k:] == c[:-k])(np.concatenate([[0], x.cumsum()]))
+    whole_ones, plain = none(letters == 5), none(letters >= 4)
+    part, done, size, code = (letters & 3).astype(np.int64), 0, 1, None
+    while done < k:
+        if k & size:
+            own = part[done : done + n]
+            code, done = own if code is None else code << 2 * size | own, done + size
+        part, size = part[: len(part) - size] << 2 * size | part[size:], 2 * size
+    return code[plain], [whole[i : i + k] for i in np.flatnonzero(whole_ones & ~plain).tolist()]
+
+
+def counted(reads: DataFrame, key: str, k: int) -> DataFrame:
+    """key, kmer, n: how often each k-mer, as a number or (others than A, C, G, T in it) as text, is in `reads(key, seq)`; none with an N.
+
+    A task counts some millions at a time, so a row stands for a k-mer of these, not for a place.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[object, list[str]] = {}
+        room = HELD
+
+        def passed() -> Iterator[pd.DataFrame]:
+            for name, texts in held.items():
+                codes, others = _coded(texts, k)
+                for kind, found in (("code", codes), ("kmer", np.array(others, object))):
+                    if len(found):
+                        values, n = np.unique(found, return_counts=True)
+                        frame = pd.DataFrame({"key": [name] * len(n), "code": None, "kmer": None, "n": n})
+                        frame[kind] = values
+                        yield frame
+
+        for batch in batches:
+            for name, text in zip(batch["key"], batch["seq"], strict=True):
+                for at in range(0, len(text) - k + 1, HELD):
+                    part = text[at : at + HELD + k - 1]
+                    held.setdefault(None if pd.isna(name) else name, []).append(part)
+                    room -= len(part)
+                    if room <= 0:
+                        yield from passed()
+                        held, room = {}, HELD
+        yield from passed()
+
+    if k > CODED:
+        return kmers(reads, key, k).groupBy(key, "kmer").agg(F.count(F.lit(1)).alias("n"))
+    kind = reads.schema[key].dataType
+    found = reads.filter(F.length("seq") >= k).select(F.col(key).cast("string").alias("key"), "seq").mapInPandas(run, "key string, code long, kmer string, n long")
+    total = found.groupBy("key", "code", "kmer").agg(F.sum("n").alias("n"))
+    return total.select(F.col("key").cast(kind).alias(key), F.coalesce("kmer", F.col("code").cast("string")).alias("kmer"), "n")
+
+
 def entropy(reads: DataFrame, key: str, k: int = 12) -> DataFrame:
-    """key, entropy in bits of its k-mer counts."""
-    counted = kmers(reads, key, k).groupBy(key, "kmer").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(key))
-    p = F.col("n") / total
-    return counted.select(key, (-p * F.log2(p)).alias("h")).groupBy(key).agg(F.sum("h").alias("entropy"))
+    """key, entropy in bits of its k-mer counts: the logarithm of their sum, less the mean of their own."""
+    each = counted(reads, key, k).groupBy(key).agg(F.sum("n").alias("_t"), F.sum(F.col("n") * F.log2("n")).alias("_s"))
+    return each.select(key, (F.log2("_t") - F.col("_s") / F.col("_t")).alias("entropy"))
 
 
 #: Letters of sequences, each a digit of base 16: what a k-mer of up to LONGEST letters says fits a long.

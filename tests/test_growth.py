@@ -1,9 +1,11 @@
 """Work that grows with the input: alike rows are counted before they are parted, distances go many at a call."""
 
+import math
 import random
+from collections import Counter
 
 
-from readloom.operators import distances, edits
+from readloom.operators import distances, edits, kmers
 
 
 def slow(a, b):
@@ -41,3 +43,15 @@ def test_nearest_of_short_texts_that_share_all_their_parts(spark):
         own = [x for x in near if x[2] == kind]
         assert (r.distance, r.nearest) == (near[0][:2] if near else (None, None))
         assert (r.own_distance, r.own_nearest) == (own[0][:2] if own else (None, None))
+
+
+def test_kmers_are_counted_in_the_task(spark):
+    texts = [("x", "ACGTACGTNACGRACG"), ("x", "ACG"), ("y", "AC"), (None, "TTTTT"), ("x", None), ("z", "é" * 4)]
+    out = kmers.entropy(spark.createDataFrame(texts, "k string, seq string"), "k", 3)
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    want = {}
+    for key in {k for k, _ in texts}:
+        n = Counter(s[i : i + 3] for k, s in texts if k == key and s for i in range(len(s) - 2) if "N" not in s[i : i + 3])
+        if n:
+            want[key] = sum(-c / n.total() * math.log2(c / n.total()) for c in n.values())
+    assert {r.k: round(r.entropy, 9) for r in out.collect()} == {k: round(h, 9) for k, h in want.items()}
