@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from readloom.operators.edits import edit_distance
 from readloom.operators.ranks import numbered
 
 
@@ -176,7 +177,7 @@ def consensus_change(first: Column, second: Column) -> Column:
 def padded_distance(first: Column, second: Column) -> tuple[Column, Column]:
     """Edit distance of two sequences padded with dashes to one length, and its share in percent."""
     size = F.greatest(F.length(first), F.length(second))
-    distance = F.levenshtein(F.rpad(first, size, F.lit("-")), F.rpad(second, size, F.lit("-")))
+    distance = edit_distance(F.rpad(first, size, F.lit("-")), F.rpad(second, size, F.lit("-")))
     return distance, F.when(size > 0, 100 * distance / size).otherwise(0.0)
 
 

@@ -4,8 +4,9 @@ import math
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
 
-from readloom.operators import distances, edits, kmers
+from readloom.operators import distances, edits, kmers, runs
 
 
 def slow(a, b):
@@ -45,6 +46,13 @@ def test_nearest_of_short_texts_that_share_all_their_parts(spark):
         assert (r.own_distance, r.own_nearest) == (own[0][:2] if own else (None, None))
 
 
+def test_padded_distances_go_many_at_a_call(spark):
+    df = spark.createDataFrame([("ACGT", "AC"), ("", ""), (None, "A"), ("A", "T")], "a string, b string")
+    out = df.select(*(c.alias(n) for c, n in zip(runs.padded_distance(F.col("a"), F.col("b")), ("d", "share"), strict=True)))
+    assert "levenshtein" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in out.collect()] == [(2, 50.0), (0, 0.0), (None, None), (1, 100.0)]
+
+
 def test_kmers_are_counted_in_the_task(spark):
     texts = [("x", "ACGTACGTNACGRACG"), ("x", "ACG"), ("y", "AC"), (None, "TTTTT"), ("x", None), ("z", "é" * 4)]
     out = kmers.entropy(spark.createDataFrame(texts, "k string, seq string"), "k", 3)
