@@ -33,8 +33,13 @@ def is_short_read(cigar: Column, most: int = SHORT) -> Column:
 
 def is_valid(cigar: Column, seq: Column) -> Column:
     """Only M, I, D, S tokens, which use up the sequence exactly."""
+    return fits(cigar, F.length(seq))
+
+
+def fits(cigar: Column, size: Column) -> Column:
+    """As `is_valid`, of the sequence's length."""
     used = F.transform(F.regexp_extract_all(cigar, F.lit("([0-9]+)[MIS]")), lambda x: x.cast("int"))
-    return cigar.rlike(VALID) & (F.aggregate(used, F.lit(0), lambda a, x: a + x) == F.length(seq))
+    return cigar.rlike(VALID) & (F.aggregate(used, F.lit(0), lambda a, x: a + x) == size)
 
 
 def token_array(cigar: Column) -> Column:
@@ -61,6 +66,30 @@ def tokens(reads: DataFrame, key: list[str]) -> DataFrame:
     return split.select(*key, "pos", "seq", "qual", "n", "t.*")
 
 
+def counted_tokens(reads: DataFrame, key: list[str]) -> DataFrame:
+    """A row for each token of each valid alignment, with how many reads have it: key, pos, reads, op, len, q0, r0.
+
+    Reads of one place, cigar and length are one alignment, so a cigar is parsed once for all of them.
+    """
+    alike = reads.groupBy(*key, "pos", "cigar", F.length("seq").alias("_size")).agg(F.count(F.lit(1)).alias("reads"))
+    split = alike.filter(fits(F.col("cigar"), F.col("_size"))).select(*key, "pos", "reads", F.explode(token_array(F.col("cigar"))).alias("t"))
+    return split.select(*key, "pos", "reads", "t.*")
+
+
+def coverage(counted: DataFrame, key: list[str]) -> DataFrame:
+    """key, ref_pos, coverage: reads with a base or a deletion there, of `counted_tokens`."""
+    first = (F.col("pos") + F.col("r0")).cast("long")
+    held = counted.filter("op IN ('M', 'D') AND len > 0").groupBy(*key, first.alias("first"), "len").agg(F.sum("reads").alias("reads"))
+    each = held.select(*key, "reads", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("len") - 1)).alias("ref_pos"))
+    return each.groupBy(*key, "ref_pos").agg(F.sum("reads").alias("coverage"))
+
+
+def matched_stretches(found: DataFrame, key: list[str]) -> DataFrame:
+    """key, start (reference position), letters: the whole stretches of M tokens."""
+    matched = found.filter("op = 'M' AND len > 0")
+    return matched.select(*key, (F.col("pos") + F.col("r0")).cast("long").alias("start"), F.substring(F.col("seq"), F.col("q0") + 1, F.col("len")).alias("letters"))
+
+
 def phred(char: Column) -> Column:
     return F.ascii(char) - 33
 

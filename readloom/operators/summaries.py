@@ -39,8 +39,9 @@ def matrix_score(candidates: DataFrame, weights: DataFrame, key: str) -> DataFra
 def insertion_counts(inserts: DataFrame, coverage: DataFrame) -> DataFrame:
     """rname, ref_pos, i, base, n of `inserts(qname, mate, rname, ref_pos, insert)`: a read's first insertion at a position counts; missing coverage is '-'."""
     first = inserts.groupBy("rname", "ref_pos", "qname").agg(F.min(F.struct("mate", "insert"))["insert"].alias("insert"))
-    each = first.select("rname", "ref_pos", F.posexplode(F.filter(F.split("insert", ""), lambda c: c != "")).alias("i", "base"))
-    counted = each.groupBy("rname", "ref_pos", "i", "base").agg(F.count(F.lit(1)).alias("n"))
+    alike = first.groupBy("rname", "ref_pos", "insert").agg(F.count(F.lit(1)).alias("n"))
+    each = alike.select("rname", "ref_pos", "n", F.posexplode(F.filter(F.split("insert", ""), lambda c: c != "")).alias("i", "base"))
+    counted = each.groupBy("rname", "ref_pos", "i", "base").agg(F.sum("n").alias("n"))
     rest = counted.groupBy("rname", "ref_pos", "i").agg(F.sum("n").alias("have")).join(coverage, ["rname", "ref_pos"])
     missing = rest.filter("coverage > have").select("rname", "ref_pos", "i", F.lit("-").alias("base"), (F.col("coverage") - F.col("have")).alias("n"))
     return counted.unionByName(missing)
@@ -128,16 +129,18 @@ def interval_coverage(spans: DataFrame) -> DataFrame:
     return scans.running(scans.laid(changes, ["ref"], ["pos"]), ["ref"], ["pos"], {"coverage": ("sum", F.col("d"))}).select("ref", "pos", "coverage")
 
 
-def genome_coverage(tokens: DataFrame, key: str = "rname") -> DataFrame:
-    """key, ref_pos, link (M matched, D deleted, U unmatched: clipped), coverage, dels; insertions have the position before them and link I."""
-    clipped = tokens.filter("op = 'S'")
-    start = F.col("pos") + F.col("r0") - F.when(F.col("q0") == 0, F.col("len")).otherwise(0)
-    unmatched = clipped.select(key, F.explode(F.sequence(start.cast("long"), (start + F.col("len") - 1).cast("long"))).alias("ref_pos"), F.lit("U").alias("link"))
-    first = F.col("pos") + F.col("r0")
-    matched = tokens.filter("op IN ('M', 'D')").select(key, F.explode(F.sequence(first.cast("long"), (first + F.col("len") - 1).cast("long"))).alias("ref_pos"), F.col("op").alias("link"))
-    inserted = tokens.filter("op = 'I'").select(key, (first - 1).cast("long").alias("ref_pos"), F.lit("I").alias("link"))
-    rows = matched.unionByName(unmatched).unionByName(inserted)
-    per = rows.groupBy(key, "ref_pos", "link").agg(F.count(F.lit(1)).alias("n"))
+def genome_coverage(tokens: DataFrame, key: str = "rname", weight: str | None = None) -> DataFrame:
+    """key, ref_pos, link (M matched, D deleted, U unmatched: clipped), coverage, dels; insertions have the position before them and link I.
+
+    `weight` is a column that tells how many reads have a token (none: one). Equal stretches are counted before they become positions.
+    """
+    first, size = F.col("pos") + F.col("r0"), F.col("len")
+    start = F.when(F.col("op") == "I", first - 1).when((F.col("op") == "S") & (F.col("q0") == 0), first - size).otherwise(first).cast("long")
+    size = F.when(F.col("op") == "I", 1).otherwise(size)
+    link = F.when(F.col("op") == "S", "U").otherwise(F.col("op"))
+    spans = tokens.filter("op = 'I' OR op IN ('M', 'D', 'S') AND len > 0").groupBy(key, start.alias("start"), size.alias("size"), link.alias("link")).agg(F.sum(F.col(weight) if weight else F.lit(1)).alias("n"))
+    rows = spans.select(key, "link", "n", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)).alias("ref_pos"))
+    per = rows.groupBy(key, "ref_pos", "link").agg(F.sum("n").alias("n"))
     count = lambda *links: F.sum(F.when(F.col("link").isin(*links), F.col("n")).otherwise(0)).over(Window.partitionBy(key, "ref_pos"))
     return per.select(key, "ref_pos", "link", "n", count("M", "D").alias("coverage"), count("D").alias("dels"))
 

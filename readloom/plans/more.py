@@ -11,7 +11,7 @@ from readloom.operators import counts, iterate, kmers, summaries
 from readloom.plans.calls import _PLACED, placed_of
 from readloom.plans.reads import _CONS, _INSERTS, _LONG, _WIDE
 from readloom.plans.registry import query
-from readloom.plans.scalars import _TOKENS, KEY, tokens_of
+from readloom.plans.scalars import _TOKENS, KEY, inserting, tokens_of
 
 FPR = [(round(0.05 * i, 2), round((20 - i) ** 2 / 4.0, 3)) for i in range(21)]
 
@@ -55,9 +55,8 @@ def j11(runs: DataFrame) -> DataFrame:
     "sam",
 )
 def a11(sam: DataFrame) -> DataFrame:
-    found = tokens_of(sam)
-    inserts = cigar.insertions(found, KEY).withColumn("mate", F.col("flag"))
-    coverage = cigar.aligned_bases(found, KEY).groupBy("rname", "ref_pos").agg(F.count(F.lit(1)).alias("coverage"))
+    inserts = cigar.insertions(tokens_of(inserting(sam)), KEY).withColumn("mate", F.col("flag"))
+    coverage = cigar.coverage(cigar.counted_tokens(sam.filter("cigar <> '*'"), ["rname"]), ["rname"])
     return summaries.insertion_counts(inserts, coverage)
 
 
@@ -177,7 +176,7 @@ def a18(seqs: DataFrame, pieces: DataFrame) -> DataFrame:
     "sam",
 )
 def a53(sam: DataFrame) -> DataFrame:
-    return summaries.genome_coverage(tokens_of(sam))
+    return summaries.genome_coverage(cigar.counted_tokens(sam.filter("cigar <> '*'"), ["rname"]), weight="reads")
 
 
 @query(

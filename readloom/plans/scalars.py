@@ -54,6 +54,11 @@ def tokens_of(sam: DataFrame) -> DataFrame:
     return cigar.tokens(sam.filter("cigar <> '*'"), KEY)
 
 
+def inserting(sam: DataFrame) -> DataFrame:
+    """The reads that have an insertion; only their cigars are parsed for it."""
+    return sam.filter(F.col("cigar").contains("I"))
+
+
 @query("p5_cigar_tokens", f"WITH {_TOKENS} SELECT qname, flag, n, op, len, q0, r0 FROM tokens", "sam")
 def p5(sam: DataFrame) -> DataFrame:
     return tokens_of(sam).select("qname", "flag", "n", "op", "len", "q0", "r0")

@@ -6,7 +6,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from readloom.operators import distances, edits, kmers, runs
+from readloom.functions import cigar
+from readloom.operators import distances, edits, kmers, runs, summaries
 
 
 def slow(a, b):
@@ -63,3 +64,16 @@ def test_kmers_are_counted_in_the_task(spark):
         if n:
             want[key] = sum(-c / n.total() * math.log2(c / n.total()) for c in n.values())
     assert {r.k: round(r.entropy, 9) for r in out.collect()} == {k: round(h, 9) for k, h in want.items()}
+
+
+SAM = [("a", 99, "r", 5, "2S3M1D2M", "ACGTACG"), ("b", 99, "r", 5, "2S3M1D2M", "TTTTTTT"), ("c", 99, "r", 7, "2M2I2M1S", "ACGTACG"), ("c", 147, "r", 7, "3M", "ACGT"), ("d", 99, "r", 5, "2S3M1D2M", None)]
+
+
+def test_alignments_are_parsed_once_each(spark):
+    sam = spark.createDataFrame([(*r, r[5]) for r in SAM], "qname string, flag int, rname string, pos int, cigar string, seq string, qual string")
+    counted = cigar.counted_tokens(sam, ["rname"])
+    assert {r.reads for r in counted.filter("q0 = 2 AND op = 'M' AND pos = 5").collect()} == {2} and counted.count() == 8
+    plain = summaries.genome_coverage(cigar.tokens(sam, ["rname"]))
+    assert sorted(map(tuple, summaries.genome_coverage(counted, weight="reads").collect())) == sorted(map(tuple, plain.collect()))
+    bases = cigar.aligned_bases(cigar.tokens(sam, ["rname"]), ["rname"]).groupBy("rname", "ref_pos").count()
+    assert sorted(map(tuple, cigar.coverage(counted, ["rname"]).collect())) == sorted(map(tuple, bases.collect()))
