@@ -111,24 +111,30 @@ def merge_insertions(inserts: DataFrame, cutoff: int = QUALITY_CUTOFF) -> DataFr
     return both.select("qname", "ref_pos", F.when(F.col("s1").isNull() | F.col("s2").isNull(), one).otherwise(merged(F.col("s1"), F.col("q1"), F.col("s2"), F.col("q2"), cutoff)).alias("merged"))
 
 
-def usable_pairs(sam: DataFrame) -> DataFrame:
-    """Reads of pairs that can be merged: two reads with cigars on one reference."""
-    of_pair = Window.partitionBy("qname")
-    fine = (F.count(F.lit(1)).over(of_pair) == 2) & (F.count_if(F.col("cigar") == "*").over(of_pair) == 0) & (F.min("rname").over(of_pair) == F.max("rname").over(of_pair))
-    return sam.withColumn("_fine", fine).filter("_fine").drop("_fine")
+def clip_counts(sam: DataFrame) -> DataFrame:
+    """rname, ref_pos, n: usable pairs (two reads with cigars on one reference) in which a mate is clipped at the position and neither is mapped there.
 
+    Pairs whose mates have the same places, cigars and lengths are counted first; of each such pair the clipped positions lose the
+    mapped ones within a row, and only what is left is exploded.
+    """
+    read = F.struct("pos", "cigar", F.length("seq").alias("size"))
+    pairs = sam.groupBy("qname").agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("cigar") == "*").alias("_bare"), F.min("rname").alias("rname"), F.max("rname").alias("_last"), F.array_sort(F.collect_list(read)).alias("reads"))
+    alike = pairs.filter("_n = 2 AND _bare = 0 AND rname = _last").groupBy("rname", "reads").agg(F.count(F.lit(1)).alias("n"))
+    none = F.array().cast("array<bigint>")
 
-def clip_counts(tokens: DataFrame) -> DataFrame:
-    """rname, ref_pos, n: pairs in which a mate is clipped at the position and neither is mapped there.
+    def held(op: str) -> Column:
+        def places(r: Column) -> Column:
+            def own(t: Column) -> Column:
+                start = r["pos"] + t["r0"] - F.when((t["op"] == "S") & (t["q0"] == 0), t["len"]).otherwise(0)
+                return F.sequence(start.cast("long"), (start + t["len"] - 1).cast("long"))
 
-    A pair's clipped positions lose its mapped ones within its row; only what is left is exploded.
-    """
-    start = F.col("pos") + F.col("r0") - F.when((F.col("op") == "S") & (F.col("q0") == 0), F.col("len")).otherwise(0)
-    held = F.sequence(start.cast("long"), (start + F.col("len") - 1).cast("long"))
-    all_of = lambda op: F.flatten(F.collect_list(F.when(F.col("op") == op, held)))
-    of_pair = tokens.filter("op IN ('M', 'S') AND len > 0").groupBy("qname", "rname").agg(all_of("S").alias("clipped"), all_of("M").alias("mapped"))
-    left = of_pair.select("rname", F.explode(F.array_except("clipped", "mapped")).alias("ref_pos"))
-    return left.groupBy("rname", "ref_pos").agg(F.count(F.lit(1)).alias("n"))
+            tokens = F.filter(cigar.token_array(r["cigar"]), lambda t: (t["op"] == op) & (t["len"] > 0))
+            return F.when(cigar.fits(r["cigar"], r["size"]), F.flatten(F.transform(tokens, own))).otherwise(none)
+
+        return F.flatten(F.transform("reads", places))
+
+    left = alike.select("rname", "n", F.explode(F.array_except(held("S"), held("M"))).alias("ref_pos"))
+    return left.groupBy("rname", "ref_pos").agg(F.sum("n").alias("n"))
 
 
 def resolve_mixed_references(sam: DataFrame) -> DataFrame:

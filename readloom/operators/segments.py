@@ -6,25 +6,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Letters that are counted together before they are parted, and positions of a block, each a bit of a number.
+STRETCH, BLOCK = 4, 32
+
+
+def letter_counts(stretches: DataFrame, key: str = "rname") -> DataFrame:
+    """key, ref_pos, base, n of `stretches(key, start, letters)`: pieces of STRETCH letters are counted by place before they are parted."""
+    cut = stretches.filter(F.length("letters") > 0).select(key, "start", "letters", F.explode(F.sequence(F.lit(0), F.length("letters") - 1, F.lit(STRETCH))).alias("i"))
+    piece = F.substring(F.col("letters"), F.col("i") + 1, F.lit(STRETCH))
+    counted = cut.groupBy(key, (F.col("start") + F.col("i")).alias("at"), piece.alias("piece")).agg(F.count(F.lit(1)).alias("n"))
+    each = counted.select(key, "at", "n", F.posexplode(F.split("piece", "")).alias("i", "base")).filter("base <> ''")
+    return each.groupBy(key, (F.col("at") + F.col("i")).alias("ref_pos"), "base").agg(F.sum("n").alias("n"))
+
+
 def merged_bases(texts: DataFrame, inserts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """`bases` and `inserts` for `remap_tokens` of `texts(qname, rname, text)`, merged pairs laid on their references, and the merged
     `inserts(qname, ref_pos, merged)`: a pair counts once where its mates overlap. What is before a text's first base isn't there."""
     lead = F.length("text") - F.length(F.ltrim("text", F.lit("-")))
-    each = texts.select("rname", lead.alias("_lead"), F.posexplode(F.filter(F.split("text", ""), lambda x: x != "")).alias("i", "base"))
-    bases = each.filter("i >= _lead").select("rname", (F.col("i") + 1).cast("long").alias("pos"), "base")
+    begun = texts.select("rname", (lead + 1).cast("long").alias("start"), F.substring(F.col("text"), lead + 1, F.length("text")).alias("letters"))
+    bases = letter_counts(begun).withColumnRenamed("ref_pos", "pos")
     held = texts.join(inserts, "qname").select("rname", F.col("ref_pos").alias("pos"), F.substring(F.col("text"), F.col("ref_pos").cast("int"), F.lit(1)).alias("base"), F.col("merged").alias("insert"))
     return bases, held.filter("base <> ''")
 
 
 def remap_tokens(bases: DataFrame, inserts: DataFrame, key: str = "rname") -> DataFrame:
-    """key, pos, token, n of `bases(key, pos, base)` and `inserts(key, pos, base, insert)`, a row a read.
+    """key, pos, token, n of `bases(key, pos, base)` and `inserts(key, pos, base, insert)`, a row a read; bases may be counted, with n.
 
     An insertion of whole codons joins the base before it as one token, and takes the place of that base. n, a gap, isn't counted.
     """
     whole = inserts.filter("length(insert) % 3 = 0 AND base NOT IN ('n', 'N', '-')")
-    plain = bases.filter("base <> 'n'").select(key, "pos", F.col("base").alias("token"), F.lit(1).alias("n"))
+    plain = bases.filter("base <> 'n'").select(key, "pos", F.col("base").alias("token"), (F.col("n") if "n" in bases.columns else F.lit(1)).cast("long").alias("n"))
     moved = F.array(F.struct(F.concat("base", "insert").alias("token"), F.lit(1).alias("n")), F.struct(F.col("base").alias("token"), F.lit(-1).alias("n")))
-    longer = whole.select(key, "pos", F.explode(moved).alias("t")).select(key, "pos", "t.token", "t.n")
+    longer = whole.select(key, "pos", F.explode(moved).alias("t")).select(key, "pos", "t.token", F.col("t.n").cast("long").alias("n"))
     return plain.unionByName(longer).groupBy(key, "pos", "token").agg(F.sum("n").alias("n")).filter("n > 0")
 
 
@@ -83,18 +96,36 @@ def attached_counts(report: DataFrame, clips: DataFrame, inserts: DataFrame, own
 
 
 def seed_concordance(segments: DataFrame, seeds: DataFrame, regions: DataFrame, contig: str = "contig") -> DataFrame:
-    """contig, rname, region, pct_concordance, pct_covered of `segments(contig, rname, ref_pos, base)`, matched bases of aligned
+    """contig, rname, region, pct_concordance, pct_covered of `segments(contig, rname, start, letters)`, matched stretches of aligned
     segments, against `seeds(rname, ref_pos, expected)` in the half-open `regions(region, start, end)`, a configured list.
 
-    A position is covered if any segment matches there, and agrees if any of them has the seed's base. Percents are of the
-    region's length and of what is covered (0 of nothing): a contig has a row for each region, of zeros where no segment is.
+    A position is covered if any segment matches there (a dash doesn't), and agrees if any of them has the seed's base. Percents are
+    of the region's length and of what is covered (0 of nothing): a contig has a row for each region, of zeros where no segment is.
+
+    Stretches are cut into blocks of positions; what a piece covers, and where it agrees, are bits, put together a contig and block.
     """
-    cut = F.broadcast(regions.select("region", F.col("end").alias("_end"), F.col("start").alias("_start"), F.explode(F.sequence("start", F.col("end") - 1)).alias("ref_pos")))
-    met = segments.join(cut, "ref_pos").join(seeds, ["rname", "ref_pos"], "left")
-    of_pos = met.groupBy(contig, "rname", "region", "_start", "_end", "ref_pos").agg(F.max(F.coalesce(F.col("base") == F.col("expected"), F.lit(False)).cast("int")).alias("agrees"))
-    per = of_pos.groupBy(contig, "rname", "region", "_start", "_end").agg(F.sum("agrees").alias("agree"), F.count(F.lit(1)).alias("covered"))
+    block = lambda at: F.floor(at / BLOCK).cast("long")
+    real = segments.filter(F.translate("letters", "-", "") != "").select(contig, "rname", "start", "letters", (F.col("start") + F.length("letters")).alias("end"))
+    cut = real.select("*", F.explode(F.sequence(block(F.col("start")), block(F.col("end") - 1))).alias("block"))
+    low, high = F.greatest("start", F.col("block") * BLOCK), F.least("end", (F.col("block") + 1) * BLOCK)
+    pieces = cut.select(contig, "rname", "block", (low - F.col("block") * BLOCK).cast("int").alias("at"), F.substring(F.col("letters"), (low - F.col("start") + 1).cast("int"), (high - low).cast("int")).alias("piece"))
+    of_block = seeds.filter(F.length("expected") == 1).groupBy("rname", block(F.col("ref_pos")).alias("block")).agg(F.map_from_entries(F.collect_list(F.struct(F.pmod("ref_pos", F.lit(BLOCK)).cast("int"), "expected"))).alias("_m"))
+    known = of_block.select("rname", "block", F.transform(F.sequence(F.lit(0), F.lit(BLOCK - 1)), lambda i: F.try_element_at("_m", i)).alias("expected"))
+    met = pieces.join(known, ["rname", "block"], "left")
+    own = F.split("piece", "")
+    size = F.length("piece")
+    number = lambda flags: F.conv(F.rpad(F.concat(F.repeat(F.lit("0"), F.col("at")), flags), BLOCK, F.lit("0")), 2, 10).cast("long")
+    same = F.array_join(F.zip_with(own, F.slice("expected", F.col("at") + 1, size), lambda x, e: F.when((x == e) & (x != "-"), "1").otherwise("0")), "")
+    there = F.when(F.col("piece").contains("-"), F.array_join(F.transform(own, lambda x: F.when(x == "-", "0").otherwise("1")), "")).otherwise(F.repeat(F.lit("1"), size))
+    bits = met.groupBy(contig, "rname", "block").agg(F.bit_or(number(F.coalesce(same, F.lit("")))).alias("agree"), F.bit_or(number(there)).alias("covered"))
+    spans = regions.select("region", F.col("start").alias("_start"), F.col("end").alias("_end"), F.explode(F.sequence(block(F.col("start")), block(F.col("end") - 1))).alias("block"))
+    first, last = F.greatest("_start", F.col("block") * BLOCK) - F.col("block") * BLOCK, F.least("_end", (F.col("block") + 1) * BLOCK) - F.col("block") * BLOCK
+    mask = F.conv(F.rpad(F.concat(F.repeat(F.lit("0"), first.cast("int")), F.repeat(F.lit("1"), (last - first).cast("int"))), BLOCK, F.lit("0")), 2, 10).cast("long")
+    within = bits.join(F.broadcast(spans.select("region", "_start", "_end", "block", mask.alias("_mask"))), "block")
+    count = lambda c: F.sum(F.bit_count(F.col(c).bitwiseAND(F.col("_mask"))))
+    per = within.groupBy(contig, "rname", "region", "_start", "_end").agg(count("agree").alias("agree"), count("covered").alias("covered")).filter("covered > 0")
     shares = per.select(contig, "rname", "region", (100 * F.col("agree") / F.col("covered")).alias("pct_concordance"), (100 * F.col("covered") / (F.col("_end") - F.col("_start"))).alias("pct_covered"))
-    wanted = segments.select(contig, "rname").distinct().crossJoin(F.broadcast(regions.select("region")))  # a configured list
+    wanted = bits.select(contig, "rname").distinct().crossJoin(F.broadcast(regions.select("region")))  # a configured list
     return wanted.join(shares, [contig, "rname", "region"], "left").fillna(0.0, ["pct_concordance", "pct_covered"])
 
 

@@ -79,7 +79,7 @@ def j5(sam: DataFrame) -> DataFrame:
     "sam",
 )
 def a9(sam: DataFrame) -> DataFrame:
-    return pairing.clip_counts(tokens_of(pairing.usable_pairs(sam)))
+    return pairing.clip_counts(sam)
 
 
 @query(

@@ -10,7 +10,7 @@ from readloom.functions.tables import values
 from readloom.operators import counts, intervals, kmers, pairing, segments
 from readloom.plans.reads import _INSERTS, _LONG, _MERGE, _USABLE
 from readloom.plans.registry import query
-from readloom.plans.scalars import _TOKENS, KEY, tokens_of
+from readloom.plans.scalars import _TOKENS, KEY, inserting, tokens_of
 from readloom.sources import files
 
 _REMAP = f"""{_MERGE}, ins AS (SELECT qname, flag, CAST(pos + r0 - 1 AS BIGINT) AS ref_pos, substr(seq, q0 + 1, len) AS insert, substr(qual, q0 + 1, len) AS insert_qual FROM tokens WHERE op = 'I'),
@@ -39,7 +39,7 @@ def a8(sam: DataFrame) -> DataFrame:
     path = files.scratch(sam.sparkSession)
     pairing.mapped_texts(sam).write.parquet(path)
     texts = sam.sparkSession.read.parquet(path)
-    found = cigar.insertions(tokens_of(sam), KEY).withColumn("mate", F.when(F.col("flag") == 99, 1).otherwise(2))
+    found = cigar.insertions(tokens_of(inserting(sam)), KEY).withColumn("mate", F.when(F.col("flag") == 99, 1).otherwise(2))
     return segments.remap_consensus(segments.remap_tokens(*segments.merged_bases(texts, pairing.merge_insertions(found))))
 
 
@@ -68,8 +68,8 @@ def j12(sam: DataFrame, aligned: DataFrame) -> DataFrame:
     wanted = long.select("refname").distinct().crossJoin(F.broadcast(genes)).withColumn("pos", F.col("st") + F.col("p") - 1)  # a fixed list
     idx = F.when((F.col("n") >= 0.9 * F.col("al")) & (F.col("p") % 11 != 3), F.col("st") + F.col("p") - 2)
     report = wanted.join(cov, ["refname", "pos"], "left").select(F.col("refname").alias("seed"), "region", F.col("p").alias("pos"), idx.alias("idx"))
-    clips = pairing.clip_counts(tokens_of(pairing.usable_pairs(sam))).toDF("seed", "query_pos", "n")
-    inserted = cigar.insertions(tokens_of(sam), KEY).groupBy("rname", "ref_pos").agg(F.count_distinct("qname").alias("n"))
+    clips = pairing.clip_counts(sam).toDF("seed", "query_pos", "n")
+    inserted = cigar.insertions(tokens_of(inserting(sam)), KEY).groupBy("rname", "ref_pos").agg(F.count_distinct("qname").alias("n"))
     own = inserted.filter("n % 2 = 0").select(F.col("rname").alias("seed"), F.lit("g2").alias("region"), F.col("ref_pos").alias("pos"), "n")
     return segments.attached_counts(report, clips, inserted.toDF("seed", "query_pos", "n"), own)
 
@@ -87,10 +87,12 @@ _AREAS = [("r1", 1, 26), ("r2", 20, 61), ("r3", 61, 96)]
 )
 def a46(sam: DataFrame) -> DataFrame:
     """Contigs are documents, their reads the aligned segments; the most common base stands for the seed's."""
-    matched = cigar.aligned_bases(tokens_of(sam), KEY).filter("base <> '-'")
-    each = matched.select(F.expr("CAST(substr(qname, 2) AS BIGINT) DIV 65536").alias("contig"), "rname", "ref_pos", "base")
-    counted = matched.groupBy("rname", "ref_pos", "base").agg(F.count(F.lit(1)).alias("n"))
-    seeds = counted.groupBy("rname", "ref_pos").agg(F.min(F.struct((-F.col("n")).alias("n"), "base"))["base"].alias("expected"))
+    matched = cigar.matched_stretches(tokens_of(sam), KEY)
+    each = matched.select(F.expr("CAST(substr(qname, 2) AS BIGINT) DIV 65536").alias("contig"), "rname", "start", "letters")
+    counted = segments.letter_counts(matched).filter("base <> '-'")
+    path = files.scratch(sam.sparkSession)
+    counted.groupBy("rname", "ref_pos").agg(F.min(F.struct((-F.col("n")).alias("n"), "base"))["base"].alias("expected")).write.parquet(path)
+    seeds = sam.sparkSession.read.parquet(path)  # a row a position of the references
     return segments.seed_concordance(each, seeds, sam.sparkSession.createDataFrame(_AREAS, "region string, start long, end long"))
 
 

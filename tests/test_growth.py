@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from readloom.functions import cigar
-from readloom.operators import distances, edits, kmers, runs, summaries
+from readloom.operators import distances, edits, kmers, pairing, runs, segments, summaries
 
 
 def slow(a, b):
@@ -77,3 +77,39 @@ def test_alignments_are_parsed_once_each(spark):
     assert sorted(map(tuple, summaries.genome_coverage(counted, weight="reads").collect())) == sorted(map(tuple, plain.collect()))
     bases = cigar.aligned_bases(cigar.tokens(sam, ["rname"]), ["rname"]).groupBy("rname", "ref_pos").count()
     assert sorted(map(tuple, cigar.coverage(counted, ["rname"]).collect())) == sorted(map(tuple, bases.collect()))
+
+
+def test_alike_pairs_are_counted_before_their_clips(spark):
+    rows = [("a", 5, "2S3M"), ("a", 9, "3M2S"), ("b", 5, "2S3M"), ("b", 9, "3M2S"), ("c", 9, "3M2S"), ("c", 11, "2S3M"), ("d", 5, "2S3M"), ("e", 5, "2S3M"), ("e", 5, "*"), ("f", 5, "2S3M"), ("f", 5, "9M")]
+    out = pairing.clip_counts(spark.createDataFrame([(q, "r", p, c, "ACGTA") for q, p, c in rows], "qname string, rname string, pos int, cigar string, seq string"))
+    want = Counter()
+    for places in ((({3, 4, 12, 13}), {5, 6, 7, 9, 10, 11}), (({3, 4, 12, 13}), {5, 6, 7, 9, 10, 11}), (({12, 13, 9, 10}), {9, 10, 11, 12, 13}), (({3, 4}), {5, 6, 7})):
+        want.update(places[0] - places[1])
+    assert {r.ref_pos: r.n for r in out.collect()} == dict(want)
+
+
+def test_letters_are_counted_by_stretches(spark):
+    df = spark.createDataFrame([("r", 0, "ACGTAC-"), ("r", 2, "GTNAA"), ("r", 2, ""), ("s", -3, "é")], "rname string, start long, letters string")
+    want = Counter((r.rname, r.start + i, c) for r in df.collect() for i, c in enumerate(r.letters))
+    assert {(r.rname, r.ref_pos, r.base): r.n for r in segments.letter_counts(df).collect()} == want
+
+
+def test_concordance_of_blocks(spark):
+    rng = random.Random(5)
+    seed = "".join(rng.choices("ACGTN", k=120))
+    parts = [(c, "r", at, "".join(x if rng.random() < 0.8 else rng.choice("ACGTN-") for x in seed[at : at + n])) for c in range(5) for at, n in ((rng.randrange(100), rng.randrange(1, 70)) for _ in range(3))]
+    df = spark.createDataFrame([*parts, (9, "r", 3, "--")], "contig long, rname string, start long, letters string")
+    known = spark.createDataFrame([("r", i, x) for i, x in enumerate(seed) if i % 10], "rname string, ref_pos long, expected string")
+    regions = [("one", 0, 31), ("two", 20, 97), ("far", 400, 440)]
+    want = {}
+    for c in {p[0] for p in parts}:
+        agrees = {}
+        for _, _, at, text in (p for p in parts if p[0] == c):
+            for i, x in enumerate(text, at):
+                if x != "-":
+                    agrees[i] = agrees.get(i, False) or bool(i % 10 and i < 120 and seed[i] == x)
+        for name, a, b in regions:
+            held = [v for i, v in agrees.items() if a <= i < b]
+            want[c, name] = (round(100 * sum(held) / len(held), 6) if held else 0.0, round(100 * len(held) / (b - a), 6))
+    out = segments.seed_concordance(df, known, spark.createDataFrame(regions, "region string, start long, end long"))
+    assert {(r.contig, r.region): (round(r.pct_concordance, 6), round(r.pct_covered, 6)) for r in out.collect()} == want
