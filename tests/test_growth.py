@@ -113,3 +113,13 @@ def test_concordance_of_blocks(spark):
             want[c, name] = (round(100 * sum(held) / len(held), 6) if held else 0.0, round(100 * len(held) / (b - a), 6))
     out = segments.seed_concordance(df, known, spark.createDataFrame(regions, "region string, start long, end long"))
     assert {(r.contig, r.region): (round(r.pct_concordance, 6), round(r.pct_covered, 6)) for r in out.collect()} == want
+
+
+def test_drifted_references_need_no_matrix_a_pair(spark, monkeypatch):
+    monkeypatch.setattr(distances.F, "levenshtein", None)
+    rows = [("s", "a", "ACGTACGTAA", 1), ("s", "b", "TTTTGGGG", 2), ("s", "c", None, 3)]
+    seeds = [("s", "a", "TTTTGGGA"), ("s", "b", "ACGTACGTAC"), ("s", "c", "A")]
+    out = distances.drop_drifted(spark.createDataFrame(rows, "sample string, name string, seq string, reads long"), spark.createDataFrame(seeds, "sample string, name string, seq string"))
+    found = {r.name: tuple(r)[2:] for r in out.collect()}
+    near = lambda x, y: slow({n: s or "" for _, n, s, _ in rows}[x], {n: s for _, n, s in seeds}[y])
+    assert found == {"a": (near("a", "a"), near("a", "b"), "b", False), "b": (near("b", "b"), near("b", "a"), "a", True), "c": (1, None, None, False)}
