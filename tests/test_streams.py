@@ -2,6 +2,7 @@ import datetime
 import random
 import time
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from readloom.streaming import folders, jobs
@@ -71,3 +72,43 @@ def test_states_go_on_from_a_checkpoint(spark, tmp_path):
     second = changes(spark, tmp_path / "parts", str(tmp_path / "state"))
     assert sorted(first + second) == sorted(changes(spark, tmp_path / "whole")) and min(len(first), len(second)) > 20
     assert {"start", "finished", "failed", "lost", "complete"} == {c for _, _, c, _ in first + second}
+
+
+class Store:
+    """A state's store in memory that counts its calls."""
+
+    def __init__(self):
+        self.value, self.values, self.timers, self.calls = None, {}, [], 0
+
+    def getValueState(self, *_):
+        return self
+
+    getMapState = getValueState
+
+    def __getattribute__(self, name):
+        if name in ("exists", "get", "update", "containsKey", "getValue", "updateValue", "iterator", "registerTimer"):
+            self.calls += 1
+        return object.__getattribute__(self, name)
+
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value
+    update = lambda self, value: setattr(self, "value", value)
+    containsKey = lambda self, key: key in self.values
+    getValue = lambda self, key: self.values[key]
+    updateValue = lambda self, key, value: self.values.update({key: value})
+    iterator = lambda self: iter([*self.values.items()])
+    registerTimer = lambda self, at: self.timers.append(at)
+
+
+def test_the_store_is_called_a_few_times_a_sample_not_a_report():
+    store, hour = Store(), 3_600_000_000
+    of = lambda at, job: Row(at=at * hour, ord=at, job=job, failed=False, midi=False, hcv=False, nfl=False)
+    machine = jobs.SampleJobs()
+    machine.init(store)
+    told = lambda rows: [(r.job, r.change, r.at // hour) for r in rows]
+    first = told(machine.handleInputRows((1,), iter([of(3, "main"), of(0, "none"), *(of(i, "none") for i in range(4, 50)), of(50, "resistance")]), None))
+    assert first == [("main", "start", 0), ("denovo_main", "start", 0), ("main", "finished", 3), ("resistance", "start", 3), ("resistance", "finished", 50)]
+    assert store.calls <= 5 and store.timers == [96 * 3600 * 1000]
+    second = told(machine.handleInputRows((1,), iter([of(i, "denovo_resistance") for i in range(97, 200)]), None))
+    assert second == [("denovo_main", "lost", 96), ("sample", "failed", 96)] and store.calls <= 10
+    assert not [*machine.handleInputRows((1,), iter([of(201, "main")]), None)] and store.calls <= 11
