@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.operators.edits import edit_distance
+from readloom.operators.groups import spread
 from readloom.operators.ranks import numbered
 
 
@@ -17,10 +18,13 @@ def numeric(value: str | Column) -> Column:
 
 
 def run_statistics(rows: DataFrame, key: list[str], averages: list[str], distinct: str) -> DataFrame:
-    """key, the averages of numeric values, and matches: rows, distinct and duplicate values of `distinct`."""
+    """key, the averages of numeric values, and matches: rows, distinct and duplicate values of `distinct`.
+
+    Rows are spread by key and value before they are counted, as there may be as many of these as rows: a task holds those of a bounded number.
+    """
     n = F.count(distinct)
     own = F.count_distinct(distinct)
-    return rows.groupBy(*key).agg(*(F.avg(numeric(a)).alias(a) for a in averages), n.alias("matches"), own.alias("unique_matches"), (n - own).alias("duplicate_matches"))
+    return spread(rows, *key, distinct).groupBy(*key).agg(*(F.avg(numeric(a)).alias(a) for a in averages), n.alias("matches"), own.alias("unique_matches"), (n - own).alias("duplicate_matches"))
 
 
 def soft_clip_total(rows: DataFrame, key: list[str], position: list[str], value: str) -> DataFrame:

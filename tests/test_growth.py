@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from readloom.functions import cigar
-from readloom.operators import distances, edits, kmers, pairing, runs, segments, summaries
+from readloom.operators import distances, edits, groups, kmers, pairing, runs, segments, summaries
 
 
 def slow(a, b):
@@ -123,3 +123,18 @@ def test_drifted_references_need_no_matrix_a_pair(spark, monkeypatch):
     found = {r.name: tuple(r)[2:] for r in out.collect()}
     near = lambda x, y: slow({n: s or "" for _, n, s, _ in rows}[x], {n: s for _, n, s in seeds}[y])
     assert found == {"a": (near("a", "a"), near("a", "b"), "b", False), "b": (near("b", "b"), near("b", "a"), "a", True), "c": (1, None, None, False)}
+
+
+def test_run_statistics_hold_a_bounded_number_of_rows_a_task(spark, monkeypatch):
+    """Groups of (run, sample) are as many as rows here: tasks grow in number, not in size."""
+    rows = spark.range(4000).select((F.col("id") % 1000).alias("run"), F.when(F.col("id") % 7 > 0, F.concat(F.lit("s"), F.col("id") % 3000)).alias("sample"), F.when(F.col("id") % 5 == 0, "x").otherwise((F.col("id") % 4).cast("string")).alias("depth"))
+    monkeypatch.setattr(groups, "ROWS_A_TASK", 100)
+    out = runs.run_statistics(rows, ["run"], ["depth"], "sample")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and plan.split("RepartitionByExpression")[1].split("\n")[0].endswith(", 40")
+    found = {r.run: tuple(r)[1:] for r in out.collect()}
+    for run in range(1000):
+        ids = range(run, 4000, 1000)
+        depths, samples = [i % 4 for i in ids if i % 5], [i % 3000 for i in ids if i % 7]
+        assert found[run] == (sum(depths) / len(depths) if depths else None, len(samples), len({*samples}), len(samples) - len({*samples}))
+    assert len(found) == 1000 and runs.run_statistics(rows.limit(0), ["run"], ["depth"], "sample").count() == 0
