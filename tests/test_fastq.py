@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from readloom.sources import fastq
+from readloom.sources import fastq, files
 
 
 def made(rng, n):
@@ -47,3 +47,27 @@ def test_cut_off_and_broken_records_are_errors(spark, tmp_path):
             list(fastq.records(str(tmp_path / "x.fastq"), 0, None))
     (tmp_path / "x.fastq").write_text(whole + "\n")
     assert len(list(fastq.records(str(tmp_path / "x.fastq"), 0, None))) == 2
+
+
+def test_lines_meet_by_record_not_by_block(spark, tmp_path):
+    """Several files in blocks of a few lines, one empty, one whose last line has no end: only records are shuffled, without paths."""
+    want = []
+    for f, n in enumerate((40, 0, 7, 1)):
+        records = [(f"f{f}r{i}", "ACGT" * (i % 9), "@+II" * (i % 9)) for i in range(n)]
+        text = "\n".join(f"@{name}\n{seq}\n+\n{qual}" for name, seq, qual in records)
+        (tmp_path / f"{f}.fastq").write_text(text + "\n" * (n > 0 and f != 2))
+        want += [(f"{f}.fastq", i, *r) for i, r in enumerate(records)]
+    conf = {"spark.sql.files.maxPartitionBytes": "100", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = files.read_fastq(spark, str(tmp_path))
+        found = sorted((r.file.rsplit("/", 1)[1], r.record, r.name, r.seq, r.qual) for r in out.collect())
+        plan = out.select("name", "seq")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == sorted(want) and len(found) == 48
+    grouped = next(line for line in plan.split("\n") if "Aggregate" in line)
+    assert "strategy=broadcast" in plan and "file" not in grouped
