@@ -75,3 +75,11 @@ def test_nearest_over_many_tiles(spark, monkeypatch):
         own = [x for x in near if x[2] == kind]
         assert found.pop(i) == (*(near[0][1::-1] if near else (None, None)), *(own[0][1::-1] if own else (None, None)))
     assert not found
+
+
+def test_long_texts_among_themselves(spark):
+    rng = random.Random(5)
+    base = "".join(rng.choices("ACGT", k=300_000))
+    rows = [(1, "k", base), (2, "l", base[:9] + base[10:]), (3, "k", base[:200_000] + "ACGTACGT" + base[200_000:]), (4, "k", "ACGT"), (5, "k", None)]
+    out = distances.nearest(spark.createDataFrame(rows, "id long, kind string, seq string"), None, 32)
+    assert {tuple(r) for r in out.collect()} == {(1, 2, 1, 3, 8), (2, 1, 1, None, None), (3, 1, 8, 1, 8), (4, None, None, None, None), (5, None, None, None, None)}
